@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lm, packing, quality
+from . import chat, lm, near, packing, quality
 from .common import table
 
 
+def op6_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the class of their near copies and the number of their links."""
+    return near.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op7_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, scored by the model learnt from those outside the held-out tenth."""
     return lm.score(table(spark, sf_dir, "documents"))
@@ -64,5 +69,5 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", (fold == 0).alias("held_out"), quality.score(model, F.col("text")).alias("score")).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op7_deleted_interpolation, op8_sum_of_squares_packing, op9_chat_parts, op10_rule_ensemble)}
+QUERIES = {f.__name__: f for f in (op6_lsh_forest_join, op7_deleted_interpolation, op8_sum_of_squares_packing, op9_chat_parts, op10_rule_ensemble)}
 ORACLES = {"op9_chat_parts": OP9_SQL}
