@@ -5,10 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lm, near, packing, quality
+from . import chat, lines, lm, near, packing, quality
 from .common import table
 
 
+def op2_line_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the numbers of the lines that stay."""
+    out = lines.line_report(table(spark, sf_dir, "documents"))
+    return out.withColumn("kept_lines", F.array_join("kept_lines", ","))
+
+
+OP2_SQL = """
+WITH l AS (
+  SELECT doc_id, unnest(range(len(ls)))::BIGINT AS line_no, unnest(ls) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+), t AS (
+  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(string_split(line, ' '), x -> x <> ''))) AS ws FROM l
+), u AS (
+  SELECT * FROM t WHERE len(ws) > 0
+), s AS (
+  SELECT ws, len(ws) AS n, min({'d': doc_id, 'l': line_no}) AS f FROM u GROUP BY ws
+), k AS (
+  SELECT f, n, unnest(ws) AS w FROM s
+), c AS (
+  SELECT w, count(*) AS c FROM k GROUP BY w
+), p AS (
+  SELECT f, n, w FROM (SELECT f, n, w, row_number() OVER (PARTITION BY f ORDER BY c, w) AS i FROM k JOIN c USING (w)) WHERE i <= n - ceil(0.8 * n - 1e-9) + 1
+), q AS (
+  SELECT DISTINCT a.f AS x, b.f AS y FROM p a JOIN p b ON a.w = b.w AND a.f < b.f AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9
+), g AS (
+  SELECT DISTINCT y FROM (SELECT y, len(list_intersect(a.ws, b.ws)) AS o, a.n + b.n AS m FROM q JOIN s a ON a.f = x JOIN s b ON b.f = y) WHERE o >= 0.8 * (m - o) - 1e-9
+), kept AS (
+  SELECT f.d AS doc_id, f.l AS line_no FROM s WHERE f NOT IN (SELECT y FROM g)
+), r AS (
+  SELECT doc_id, string_agg(line_no::VARCHAR, ',' ORDER BY line_no) AS kept_lines, count(*) AS k FROM kept GROUP BY doc_id
+), n AS (
+  SELECT doc_id, count(*) AS n FROM u GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_lines, coalesce(n, 0) - coalesce(k, 0) AS n_removed, coalesce(kept_lines, '') AS kept_lines
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id)
+"""
+
+
 def op6_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the class of their near copies and the number of their links."""
     return near.near_copies(table(spark, sf_dir, "documents"))
@@ -69,5 +107,5 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", (fold == 0).alias("held_out"), quality.score(model, F.col("text")).alias("score")).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op6_lsh_forest_join, op7_deleted_interpolation, op8_sum_of_squares_packing, op9_chat_parts, op10_rule_ensemble)}
-ORACLES = {"op9_chat_parts": OP9_SQL}
+QUERIES = {f.__name__: f for f in (op2_line_set_join, op6_lsh_forest_join, op7_deleted_interpolation, op8_sum_of_squares_packing, op9_chat_parts, op10_rule_ensemble)}
+ORACLES = {"op2_line_set_join": OP2_SQL, "op9_chat_parts": OP9_SQL}
