@@ -20,7 +20,7 @@ WITH l AS (
   SELECT doc_id, unnest(range(len(ls)))::BIGINT AS line_no, unnest(ls) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
 ), t AS (
-  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(string_split(line, ' '), x -> x <> ''))) AS ws FROM l
+  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(string_split(line, ' '), lambda x: x <> ''))) AS ws FROM l
 ), u AS (
   SELECT * FROM t WHERE len(ws) > 0
 ), s AS (
