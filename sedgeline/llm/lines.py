@@ -90,10 +90,14 @@ def line_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     return out.select(F.when(F.col("id") != -(1 << 63), F.col("id")).alias("doc_id"), F.col("n").cast("long").alias("n_lines"), (F.col("n") - F.size("kept")).cast("long").alias("n_removed"), F.col("kept").alias("kept_lines"))
 
 
-def remove_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD) -> DataFrame:
-    """`df` with later matches taken out of the texts; blank lines and all other columns stay."""
+def remove_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD, drop_emptied: bool = False) -> DataFrame:
+    """`df` with later matches taken out of the texts; blank lines and all other columns stay. With `drop_emptied`,
+    documents that had lines with tokens and have none left go."""
     docs = _keyed_docs(df, id_col, text_col)
     kept = kept_lines(docs, threshold=threshold).groupBy(F.col("id").alias("_id")).agg(F.collect_list("line_no").alias("_kept"))
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     lines = F.filter(F.split(F.col(text_col), "\n"), lambda x, i: (F.trim(x) == "") | F.array_contains(F.coalesce("_kept", F.array().cast("array<int>")), i))
-    return df.withColumn("_id", key).join(kept, "_id", "left").withColumn(text_col, F.array_join(lines, "\n")).select(*df.columns)
+    rows = df.withColumn("_id", key).join(kept, "_id", "left")
+    if drop_emptied:
+        rows = rows.where(F.col("_kept").isNotNull() | F.col(text_col).isNull() | (F.trim(F.translate(text_col, "\n", " ")) == ""))
+    return rows.withColumn(text_col, F.array_join(lines, "\n")).select(*df.columns)

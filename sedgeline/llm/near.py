@@ -22,7 +22,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -211,11 +211,27 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(out, pa.binary())], names=[*b.schema.names[1:], "shingles"])
 
 
+def _inner_id(id_col: str, text: Column) -> Column:
+    """Ids that are null go by a negative number of their text."""
+    return F.coalesce(F.col(id_col).cast("long"), -(F.xxhash64(text).bitwiseAND((1 << 62) - 1)) - 2)
+
+
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD, target: float = RECALL) -> DataFrame:
     """A row per document: doc_id, class_id (least id of its group of near copies), copy_of (least id of equal texts) and
-    n_links (documents at the threshold or above, copies included). Ids that are null go by a negative number inside."""
+    n_links (documents at the threshold or above, copies included)."""
+    return _classes(df, id_col, text_col, threshold, target).select("doc_id", "class_id", "copy_of", "n_links")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD, target: float = RECALL) -> DataFrame:
+    """`df` with the document of the least id of each group of near copies, all its columns as they are."""
+    heads = _classes(df, id_col, text_col, threshold, target).where("id = class_id").select(F.col("id").alias("_id")).distinct()
+    rows = df.withColumn("_id", _inner_id(id_col, F.coalesce(F.col(text_col), F.lit(""))))
+    return rows.join(heads, "_id", "left_semi").dropDuplicates(["_id"]).select(*df.columns)
+
+
+def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float, target: float) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = df.select(F.coalesce(F.col(id_col).cast("long"), -(F.xxhash64(text).bitwiseAND((1 << 62) - 1)) - 2).alias("id"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    docs = df.select(_inner_id(id_col, text).alias("id"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     made = written(docs.select("id", "text", "doc_id").mapInArrow(partial(_signatures, prefix=depth(threshold, target)), "id long, doc_id long, text_hash binary, n long, keys binary, sig binary"), "near-signatures")
     # A class of equal texts goes by its least id; the aggregate is partial, so that copies are not gathered.
     least = made.groupBy("text_hash").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.min_by("keys", "id").alias("keys"), F.min_by("sig", "id").alias("sig"))
@@ -243,4 +259,4 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     roots = components(checked.select("a", "b")).withColumnRenamed("node", "rep")
     found = reps.select("rep", "copies", "text_hash").join(links, "rep", "left").join(roots, "rep", "left")
     found = found.select("text_hash", "rep", F.coalesce("root", "rep").alias("root"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return made.select("doc_id", "text_hash").join(found, "text_hash").select("doc_id", F.col("root").alias("class_id"), F.col("rep").alias("copy_of"), "n_links")
+    return made.select("id", "doc_id", "text_hash").join(found, "text_hash").select("id", "doc_id", F.col("root").alias("class_id"), F.col("rep").alias("copy_of"), "n_links")

@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lines, lm, near, packing, quality
+from . import chat, decontam, lines, lm, near, packing, quality
 from .common import table
 
 
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents that hold an item of the benchmark, also with other numbers, names and units."""
+    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_line_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the numbers of the lines that stay."""
     out = lines.line_report(table(spark, sf_dir, "documents"))
@@ -107,5 +112,5 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", (fold == 0).alias("held_out"), quality.score(model, F.col("text")).alias("score")).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_set_join, op6_lsh_forest_join, op7_deleted_interpolation, op8_sum_of_squares_packing, op9_chat_parts, op10_rule_ensemble)}
+QUERIES = {f.__name__: f for f in (op1_template_decontamination, op2_line_set_join, op6_lsh_forest_join, op7_deleted_interpolation, op8_sum_of_squares_packing, op9_chat_parts, op10_rule_ensemble)}
 ORACLES = {"op2_line_set_join": OP2_SQL, "op9_chat_parts": OP9_SQL}
