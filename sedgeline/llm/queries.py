@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, lines, lm, near, packing, quality
-from .common import table
+from . import chat, decontam, lines, lm, media, near, packing, quality, warc
+from .common import table, written
 
 
 def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,35 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id)
 """
 
 
+def op3_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written to WARC archives and read back by the merged index."""
+    folder = warc.new_folder(spark)
+    index = written(warc.merge_index(warc.write_archives(table(spark, sf_dir, "pages"), folder)), "warc-index")
+    return warc.read_archives(index, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _op3_sql() -> str:
+    # 160 bits as eight groups of 20, each four letters of five bits.
+    letter = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {}, 5))::BIGINT >> {}) & 31)::INT + 1, 1)"
+    text = " || ".join(letter.format(5 * g + 1, s) for g in range(8) for s in (15, 10, 5, 0))
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY t) AS holder FROM p)
+SELECT page_id, strlen(t) AS payload_bytes, {text} AS payload_digest,
+  CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = holder THEN NULL ELSE holder END AS refers_to
+FROM m
+"""
+
+
+def op5_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pages that refer to their text as a stored image, resolved by digest."""
+    stored = media.store_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
+    found = media.resolve(media.interleave(stored, "id", "html"), media.media_facts(stored)).where("kind = 'image'")
+    size = F.regexp_extract("caption", r"^(\d+) bytes$", 1).cast("long")
+    return found.select(F.col("id").alias("doc_id"), size.alias("n_bytes"), "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
 def op6_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the class of their near copies and the number of their links."""
     return near.near_copies(table(spark, sf_dir, "documents"))
@@ -112,5 +141,5 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", (fold == 0).alias("held_out"), quality.score(model, F.col("text")).alias("score")).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op1_template_decontamination, op2_line_set_join, op6_lsh_forest_join, op7_deleted_interpolation, op8_sum_of_squares_packing, op9_chat_parts, op10_rule_ensemble)}
-ORACLES = {"op2_line_set_join": OP2_SQL, "op9_chat_parts": OP9_SQL}
+QUERIES = {f.__name__: f for f in (op1_template_decontamination, op2_line_set_join, op3_warc_index_merge, op5_interleaved_media, op6_lsh_forest_join, op7_deleted_interpolation, op8_sum_of_squares_packing, op9_chat_parts, op10_rule_ensemble)}
+ORACLES = {"op2_line_set_join": OP2_SQL, "op3_warc_index_merge": _op3_sql(), "op9_chat_parts": OP9_SQL}
