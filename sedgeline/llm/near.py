@@ -136,7 +136,8 @@ def _runs(batches, n_keys: int):
 
 
 def _led(batches):
-    """Within each (key, part): edges from members to leaders; leaders come out as edges to themselves."""
+    """Within each (key, part): an edge from every member to the least member that leaders connect it with, and whether it
+    has led; as many rows as members."""
     out = []
     for (key, _), t in _runs(batches, 2):
         reps = t["rep"].to_numpy()
@@ -144,16 +145,18 @@ def _led(batches):
         reps = reps[order]
         raw = t["sig"].combine_chunks()
         sig = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(len(reps), -1)[order]
-        free = np.ones(len(reps), bool)
-        edges = []
+        free, lead = np.ones(len(reps), bool), np.zeros(len(reps), bool)
+        root = np.arange(len(reps))
         for i in range(len(reps)):
             if not free[i]:
                 continue
             est = (sig == sig[i]).mean(1)
-            edges.append((reps[est >= LINK], reps[i]))
+            met = np.unique(root[est >= LINK])
+            if len(met) > 1:
+                root[np.isin(root, met)] = met[0]
             free &= est < ABSORB
-        a = np.concatenate([e for e, _ in edges])
-        out.append((np.full(len(a), key), a, np.repeat([r for _, r in edges], [len(e) for e, _ in edges])))
+            lead[i] = True
+        out.append((np.full(len(reps), key), reps, reps[root], lead))
         if sum(len(x[0]) for x in out) > 50_000:
             yield _edges(out)
             out = []
@@ -162,7 +165,7 @@ def _led(batches):
 
 
 def _edges(out):
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["key", "a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["key", "a", "b", "lead"])
 
 
 def _verified(batches, threshold: float):
@@ -240,10 +243,10 @@ def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float, target
     shared = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     rows = rows.join(shared, "key").join(reps.select("rep", "sig"), "rep")
     rows = rows.select("key", F.pmod(F.xxhash64("rep"), F.ceil(F.col("m") / PART)).cast("long").alias("part"), "rep", "sig", "m")
-    lead = "key long, a long, b long"
+    lead = "key long, a long, b long, lead boolean"
     one = written(rows.repartition("key", "part").sortWithinPartitions("key", "part").select("key", "part", "rep", "sig").mapInArrow(_led, lead), "near-edges")
     # The leaders of a bucket that was dealt out meet in a second round.
-    heads = one.where("a = b").join(shared.where(F.col("m") > PART), "key").select("key", F.lit(0).cast("long").alias("part"), F.col("a").alias("rep")).distinct()
+    heads = one.where("lead").join(shared.where(F.col("m") > PART), "key").select("key", F.lit(0).cast("long").alias("part"), F.col("a").alias("rep")).distinct()
     two = heads.join(reps.select("rep", "sig"), "rep").select("key", "part", "rep", "sig").repartition("key").sortWithinPartitions("key", "part").mapInArrow(_led, lead)
     groups = written(components(one.union(two).select("a", "b")), "near-groups")
     # Candidate groups in chunks, and every pair of chunks of a group as a block.
