@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, lines, lm, media, near, packing, quality, warc
+from . import chat, decontam, extract, lines, lm, media, near, packing, quality, warc
 from .common import table, written
 
 
@@ -73,6 +73,11 @@ FROM m
 """
 
 
+def op4_crf_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pages that refer to their text as a stored image, resolved by digest."""
     stored = media.store_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -141,5 +146,5 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", (fold == 0).alias("held_out"), quality.score(model, F.col("text")).alias("score")).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op1_template_decontamination, op2_line_set_join, op3_warc_index_merge, op5_interleaved_media, op6_lsh_forest_join, op7_deleted_interpolation, op8_sum_of_squares_packing, op9_chat_parts, op10_rule_ensemble)}
+QUERIES = {f.__name__: f for f in (op1_template_decontamination, op2_line_set_join, op3_warc_index_merge, op4_crf_extraction, op5_interleaved_media, op6_lsh_forest_join, op7_deleted_interpolation, op8_sum_of_squares_packing, op9_chat_parts, op10_rule_ensemble)}
 ORACLES = {"op2_line_set_join": OP2_SQL, "op3_warc_index_merge": _op3_sql(), "op9_chat_parts": OP9_SQL}
