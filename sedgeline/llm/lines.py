@@ -1,11 +1,14 @@
 """Line dedup by an exact set-similarity join, in DataFrame functions only.
 
 A line is the set of its blank-separated tokens. Tokens are put in one global order, rarest first (the frequency class of
-the token's hash bucket over all texts, then the hash). By prefix filtering, two sets with a Jaccard similarity of at least
-the threshold share three of the first `n - ceil(t n) + 3` tokens of each (pairs of unequal sets have an overlap of four or
-more), so only those are joined, under a length filter and a positional filter; what meets three times is verified on its
-tokens. A line goes if any line before it, by document id and line number, matches it. Lines with equal sets are one set
-first, so that a line repeated in a third of all documents is one row in the join; the three-fold match leaves few pairs.
+the token's hash bucket over all texts, then the hash). By prefix filtering, two unequal sets with a Jaccard similarity of
+at least the threshold share two of the first tokens of each: of the larger one's first `n - ceil(t n) + 2`, of the smaller
+one's first `n - ceil(2t/(1+t) n) + 2`. Only those are joined, under a length filter and a positional filter; what meets
+twice is verified on its tokens. A line goes if any line before it, by document id and line number, matches it.
+
+Lines with equal sets are one set first, so that a line repeated in a third of all documents is one row in the join. Near
+copies of one line do not meet pair by pair: each set is first verified against the first set with the same rarest token (in
+one of a few salted parts, so that no token gathers its sets in one task), and a set that goes by that is not looked up again.
 
 Defined results: lines without tokens stay; a null text is an empty text and stays null in `remove_lines`; rows with a
 null id come first; rows that share an id are ordered by their text; other columns are kept as they are.
@@ -13,25 +16,31 @@ null id come first; rows that share an id are ordered by their text; other colum
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
 
 THRESHOLD = 0.8
-MATCHES = 3
-BITS = 18
+MATCHES = 2
+#: Buckets of token counts, and of the lookup of lines in question, in bits.
+BITS, ASKED = 22, 18
+PARTS = 8
 
 
 def _tokens(line: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(line, " "), ""))
 
 
-def _dense(df: DataFrame, cell: str, value: Column, bits: int) -> Column:
-    """A one-row lookup array of 2**bits small numbers, as a scalar subquery; cells that are missing are 0."""
+def _dense(df: DataFrame, value: Column, bits: int) -> Column:
+    """A one-row lookup array of 2**bits small numbers from rows of `cell`, as a scalar subquery; missing cells are 0. It is
+    put together in pieces of 2**11 cells, which are what one task gathers."""
+    low = 11
     every = df.sparkSession.range(1 << bits).select(F.col("id").alias("cell"), F.lit(0).cast("tinyint").alias("v"))
-    rows = df.select(F.col(cell).alias("cell"), value.cast("tinyint").alias("v")).union(every).groupBy("cell").agg(F.max("v").alias("v"))
-    return rows.agg(F.transform(F.array_sort(F.collect_list(F.struct("cell", "v"))), lambda x: x["v"]).alias("a")).scalar()
+    rows = df.select("cell", value.cast("tinyint").alias("v")).union(every).groupBy("cell").agg(F.max("v").alias("v"))
+    joined = lambda c, k: F.transform(F.array_sort(F.collect_list(F.struct(k, c))), lambda x: x[c])
+    pieces = rows.groupBy(F.shiftright("cell", low).alias("piece")).agg(joined("v", "cell").alias("vs"))
+    return pieces.agg(F.flatten(joined("vs", "piece")).alias("a")).scalar()
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -44,7 +53,7 @@ def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     words = docs.select(F.explode(F.split(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
     counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << BITS) - 1).alias("cell")).count()
     classes = written(counts, "line-token-counts")
-    classes = _dense(classes, "cell", F.least(F.floor(F.log2(F.col("count")) * 2), F.lit(63)), BITS)
+    classes = _dense(classes, F.least(F.floor(F.log2(F.col("count")) * 2), F.lit(63)), BITS)
     hashed = F.array_distinct(F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w)))
     # 6 bits of the frequency class, then 57 of the hash: sorting puts the rarest first.
     keyed = F.transform("h", lambda h: F.shiftleft(F.get("classes", h.bitwiseAND((1 << BITS) - 1)).cast("long"), 57).bitwiseOR(h.bitwiseAND((1 << 57) - 1)))
@@ -55,26 +64,48 @@ def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     # Candidates may come from 32 bits of a token: more of them are verified, none is lost.
     first = F.struct("id", "line_no", n.alias("n"), F.transform(prefix, lambda k: (k.bitwiseAND((1 << 32) - 1) - (1 << 31)).cast("int")).alias("prefix"))
     sets = lines.select(F.xxhash64("keys").alias("h1"), F.xxhash64(F.lit(1), F.col("keys")).alias("h2"), first.alias("f")).groupBy("h1", "h2").agg(F.min("f").alias("f"))
-    sets = written(sets.select("h1", F.col("f.id").alias("id"), F.col("f.line_no").alias("line_no"), F.col("f.n").alias("n"), F.col("f.prefix").alias("prefix")), "line-sets")
-    posts = sets.where("n > 3").select("id", "line_no", "n", F.posexplode("prefix").alias("i", "token"))
-    a, b = posts.alias("a"), posts.alias("b")
+    sets = written(sets.select("f.*"), "line-sets")
+    some = sets.where("n > 3")
+
+    # First against the first set of the same rarest token.
+    w = Window.partitionBy("token", "part").orderBy("id", "line_no")
+    led = some.select("id", "line_no", "n", F.slice("prefix", 1, 8).alias("head"), F.get("prefix", F.lit(0)).alias("token"), F.pmod(F.xxhash64("id", "line_no"), F.lit(PARTS)).alias("part"))
+    led = led.withColumn("f", F.first(F.struct("id", "line_no", "n", "head")).over(w))
+    near = (F.least("n", "f.n") >= F.lit(threshold) * F.greatest("n", "f.n") - 1e-9) & (F.size(F.array_intersect("head", "f.head")) >= F.least(F.size("head"), F.lit(4)) - 1)
+    other = (F.col("id") != F.col("f.id")) | (F.col("line_no") != F.col("f.line_no"))
+    gone = _verified(docs, led.where(other & near).select(F.col("f.id").alias("ai"), F.col("f.line_no").alias("al"), F.col("id").alias("bi"), F.col("line_no").alias("bl")), threshold)
+    gone = written(gone, "lines-gone")
+
+    # Then the join of all, for the sets that are still there as the later one.
+    some = some.join(gone.withColumn("gone", F.lit(True)), ["id", "line_no"], "left").withColumn("gone", F.col("gone").isNotNull())
+    posts = some.select("id", "line_no", "n", "gone", F.posexplode("prefix").alias("i", "token"))
+    short = posts.where(F.col("i") < F.col("n") - F.ceil(F.lit(2 * threshold / (1 + threshold)) * F.col("n") - 1e-9) + MATCHES)
+    a, b = short.alias("a"), posts.alias("b")
     need = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("a.n") + F.col("b.n")) - 1e-9)
     earlier = (F.col("a.id") < F.col("b.id")) | ((F.col("a.id") == F.col("b.id")) & (F.col("a.line_no") < F.col("b.line_no")))
-    fits = (F.least("a.n", "b.n") >= F.lit(threshold) * F.greatest("a.n", "b.n") - 1e-9) & (F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) + MATCHES - 1 >= need)
-    met = a.join(b, (F.col("a.token") == F.col("b.token")) & earlier & fits)
-    pairs = met.groupBy(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).agg(F.count("*").alias("m")).where(f"m >= {MATCHES}").drop("m")
+    smaller = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & earlier)
+    fits = (F.col("a.n") >= F.lit(threshold) * F.col("b.n") - 1e-9) & (F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) + MATCHES - 1 >= need)
+    met = a.join(b, (F.col("a.token") == F.col("b.token")) & smaller & fits & ~F.when(earlier, F.col("b.gone")).otherwise(F.col("a.gone")))
+    pairs = met.groupBy(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).agg(F.count("*").alias("m")).where(f"m >= {MATCHES}")
+    turned = (F.col("ai") > F.col("bi")) | ((F.col("ai") == F.col("bi")) & (F.col("al") > F.col("bl")))
+    pairs = pairs.select(*[F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("ai", "bi"), ("al", "bl"), ("bi", "ai"), ("bl", "al"))])
+    later = _verified(docs, pairs, threshold).union(gone)
+    return sets.select("id", "line_no").join(later, ["id", "line_no"], "left_anti")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """(id, line_no) of the later lines (bi, bl) that match their earlier one (ai, al), by the tokens themselves. The lines in
+    question are read again from the texts; a small lookup of hashed positions keeps others out of the join."""
     pairs = written(pairs, "line-pairs")
-    # Tokens of the lines in question, read again from the texts; a small lookup of hashed positions keeps others out of the join.
     asked = pairs.select(F.col("ai").alias("id"), F.col("al").alias("line_no")).union(pairs.select("bi", "bl")).distinct()
-    cell = F.xxhash64("id", "line_no").bitwiseAND((1 << BITS) - 1)
-    wanted = _dense(asked.select(cell.alias("cell")), "cell", F.lit(1), BITS)
+    cell = F.xxhash64("id", "line_no").bitwiseAND((1 << ASKED) - 1)
+    wanted = _dense(asked.select(cell.alias("cell")), F.lit(1), ASKED)
     texts = _lines(docs).withColumn("wanted", wanted).where(F.get("wanted", cell) == 1).drop("wanted").join(asked, ["id", "line_no"]).select("id", "line_no", _tokens(F.col("line")).alias("t"))
     texts = written(texts, "line-tokens")
     one, two = texts.toDF("ai", "al", "at"), texts.toDF("bi", "bl", "bt")
     both = F.size(F.array_intersect("at", "bt"))
-    later = pairs.join(one, ["ai", "al"]).join(two, ["bi", "bl"]).where(both >= F.lit(threshold) * (F.size("at") + F.size("bt") - both) - 1e-9)
-    later = later.select(F.col("bi").alias("id"), F.col("bl").alias("line_no")).distinct()
-    return sets.select("id", "line_no").join(later, ["id", "line_no"], "left_anti")
+    met = pairs.join(one, ["ai", "al"]).join(two, ["bi", "bl"]).where(both >= F.lit(threshold) * (F.size("at") + F.size("bt") - both) - 1e-9)
+    return met.select(F.col("bi").alias("id"), F.col("bl").alias("line_no")).distinct()
 
 
 def _keyed_docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
