@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from .plans import queries as lens_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(lens_queries.QUERIES)
+ORACLES: dict[str, str] = dict(lens_queries.ORACLES)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
