@@ -7,8 +7,9 @@ one's first `n - ceil(2t/(1+t) n) + 2`. Only those are joined, under a length fi
 twice is verified on its tokens. A line goes if any line before it, by document id and line number, matches it.
 
 Lines with equal sets are one set first, so that a line repeated in a third of all documents is one row in the join. Near
-copies of one line do not meet pair by pair: each set is first verified against the first set with the same rarest token (in
-one of a few salted parts, so that no token gathers its sets in one task), and a set that goes by that is not looked up again.
+copies of one line do not meet pair by pair: each set is first verified against the first set with the same least and
+greatest token hashes, under two orders of the hashes (in one of a few salted parts, so that no pair of hashes gathers its
+sets in one task); near copies nearly all share one, and a set that goes by that is not looked up again.
 
 Defined results: lines without tokens stay; a null text is an empty text and stays null in `remove_lines`; rows with a
 null id come first; rows that share an id are ordered by their text; other columns are kept as they are.
@@ -26,6 +27,7 @@ MATCHES = 2
 #: Buckets of token counts, and of the lookup of lines in question, in bits.
 BITS, ASKED = 22, 18
 PARTS = 8
+TURN = 0x5DEECE66D1CE4E5B
 
 
 def _tokens(line: Column) -> Column:
@@ -58,22 +60,25 @@ def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     # 6 bits of the frequency class, then 57 of the hash: sorting puts the rarest first.
     keyed = F.transform("h", lambda h: F.shiftleft(F.get("classes", h.bitwiseAND((1 << BITS) - 1)).cast("long"), 57).bitwiseOR(h.bitwiseAND((1 << 57) - 1)))
     lines = _lines(docs).select("id", "line_no", hashed.alias("h")).where(F.size("h") > 0).withColumn("classes", classes)
-    lines = lines.select("id", "line_no", F.sort_array(keyed).alias("keys"))
+    other = F.transform("h", lambda h: h.bitwiseXOR(TURN))
+    ends = F.array(F.xxhash64(F.array_min("h"), F.array_max("h")), F.xxhash64(F.array_min(other), F.array_max(other)))
+    lines = lines.select("id", "line_no", ends.alias("ends"), F.sort_array(keyed).alias("keys"))
     n = F.size("keys")
     prefix = F.slice("keys", 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + MATCHES)
     # Candidates may come from 32 bits of a token: more of them are verified, none is lost.
-    first = F.struct("id", "line_no", n.alias("n"), F.transform(prefix, lambda k: (k.bitwiseAND((1 << 32) - 1) - (1 << 31)).cast("int")).alias("prefix"))
+    first = F.struct("id", "line_no", "ends", n.alias("n"), F.transform(prefix, lambda k: (k.bitwiseAND((1 << 32) - 1) - (1 << 31)).cast("int")).alias("prefix"))
     sets = lines.select(F.xxhash64("keys").alias("h1"), F.xxhash64(F.lit(1), F.col("keys")).alias("h2"), first.alias("f")).groupBy("h1", "h2").agg(F.min("f").alias("f"))
     sets = written(sets.select("f.*"), "line-sets")
     some = sets.where("n > 3")
 
-    # First against the first set of the same rarest token.
-    w = Window.partitionBy("token", "part").orderBy("id", "line_no")
-    led = some.select("id", "line_no", "n", F.slice("prefix", 1, 8).alias("head"), F.get("prefix", F.lit(0)).alias("token"), F.pmod(F.xxhash64("id", "line_no"), F.lit(PARTS)).alias("part"))
-    led = led.withColumn("f", F.first(F.struct("id", "line_no", "n", "head")).over(w))
-    near = (F.least("n", "f.n") >= F.lit(threshold) * F.greatest("n", "f.n") - 1e-9) & (F.size(F.array_intersect("head", "f.head")) >= F.least(F.size("head"), F.lit(4)) - 1)
-    other = (F.col("id") != F.col("f.id")) | (F.col("line_no") != F.col("f.line_no"))
-    gone = _verified(docs, led.where(other & near).select(F.col("f.id").alias("ai"), F.col("f.line_no").alias("al"), F.col("id").alias("bi"), F.col("line_no").alias("bl")), threshold)
+    # First against the first set of the same ends.
+    w = Window.partitionBy("end", "part").orderBy("id", "line_no")
+    led = some.select("id", "line_no", "n", F.explode("ends").alias("end"), F.pmod(F.xxhash64("id", "line_no"), F.lit(PARTS)).alias("part"))
+    led = led.withColumn("f", F.first(F.struct("id", "line_no", "n")).over(w))
+    near = F.least("n", "f.n") >= F.lit(threshold) * F.greatest("n", "f.n") - 1e-9
+    same = (F.col("id") == F.col("f.id")) & (F.col("line_no") == F.col("f.line_no"))
+    found = led.where(~same & near).select(F.col("f.id").alias("ai"), F.col("f.line_no").alias("al"), F.col("id").alias("bi"), F.col("line_no").alias("bl")).distinct()
+    gone = _verified(docs, found, threshold)
     gone = written(gone, "lines-gone")
 
     # Then the join of all, for the sets that are still there as the later one.
