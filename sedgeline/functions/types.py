@@ -53,14 +53,10 @@ TARGET_XSD = {"String": "string", "Boolean": "boolean", "DateTime": "dateTime",
 CHECKED_XSD = "string boolean dateTime date dateTimeStamp integer int long double float decimal anyURI time".split()
 FAMILIES = {"integer": ("BigInt", "Int", "Long"), "float": ("Double", "Float", "Decimal"), "text": ("String",), "time": ("DateTime",), "flag": ("Boolean",)}
 REGISTERED = ("String", "Boolean", "DateTime", "BigInt", "Double", "Int", "Long", "Float", "Decimal")
-SEMANTIC_UNITS = {
-    "Acceleration": "metrePerSecondSquared", "Angle": "radian", "AngularAcceleration": "radianPerSecondSquared", "AngularVelocity": "radianPerSecond",
-    "Area": "squareMetre", "Capacitance": "farad", "Current": "ampere", "DataRate": "bitPerSecond", "DataSize": "byte", "Density": "kilogramPerCubicMetre",
-    "Distance": "metre", "ElectricCharge": "coulomb", "Energy": "joule", "Force": "newton", "Frequency": "hertz", "Humidity": "percent", "Illuminance": "lux",
-    "Inductance": "henry", "Latitude": "degreeOfArc", "Length": "metre", "Longitude": "degreeOfArc", "Luminance": "candelaPerSquareMetre", "Mass": "kilogram",
-    "Power": "watt", "Pressure": "pascal", "Resistance": "ohm", "Temperature": "degreeCelsius", "TimeSpan": "second", "Velocity": "metrePerSecond",
-    "Voltage": "volt", "Volume": "cubicMetre",
-}
+SEMANTIC = {
+    "double": "Temperature Length Distance Velocity Speed Pressure Mass Weight Energy Power Voltage Current Resistance Capacitance Frequency Humidity Illuminance Luminance Angle Area Volume Percentage Ratio Concentration".split(),
+    "duration": ["TimeSpan"],
+}
 
 
 def _pairs(table: dict[str, list[str]], prefix: str = "") -> dict[str, str]:
@@ -132,9 +128,9 @@ def target_xsd(name: Column) -> Column:
     return F.concat(F.lit(XSD), F.coalesce(_lookup(TARGET_XSD, name), F.lit("string")))
 
 
-def semantic_unit(name: Column) -> Column:
-    """The base unit of a semantic type."""
-    return _lookup(SEMANTIC_UNITS, name)
+def semantic_schema(name: Column) -> Column:
+    """The schema that values of a semantic type have; null for unknown names."""
+    return _lookup(_pairs(SEMANTIC), name)
 
 
 class Registry:

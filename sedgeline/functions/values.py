@@ -42,9 +42,9 @@ def encoded(text: Column) -> Column:
 
 
 # The ranges of addresses that are not public.
-PRIVATE_V4 = ["0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.168.0.0/16", "224.0.0.0/4", "240.0.0.0/4"]
+PRIVATE_V4 = ["0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.168.0.0/16", "192.0.0.0/24", "192.0.2.0/24", "198.51.100.0/24", "203.0.113.0/24", "224.0.0.0/4", "240.0.0.0/4"]
 LOCAL_NAMES = ("localhost", "localhost.localdomain", "ip6-localhost", "ip6-loopback")
-ONTOLOGY_HOSTS = ("w3.org", "purl.org", "schema.org", "xmlns.com", "github.com", "githubusercontent.com", "azure.com", "example.org")
+ONTOLOGY_HOSTS = ("w3.org", "purl.org", "schema.org", "xmlns.com", "github.com", "raw.githubusercontent.com")
 
 
 def host_of(url: Column) -> Column:

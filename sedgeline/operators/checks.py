@@ -217,11 +217,12 @@ def limit_issues(entities: DataFrame, properties: DataFrame, relationships: Data
 
 # What payloads may say.
 PAYLOAD_TYPES = "String BigInt Double Decimal Boolean DateTime Binary Guid".split()
-RESERVED = ("microsoft", "system", "sys", "internal")
+RESERVED = ("system",)
 
 
-def payload_issues(parts: DataFrame) -> DataFrame:
-    """Checks of a finished definition: part fields, encoding, keys, ids, names, enumerations, types, references."""
+def payload_issues(parts: DataFrame, reserved: tuple[str, ...] = RESERVED) -> DataFrame:
+    """Checks of a finished definition: part fields, encoding, keys, ids, names, enumerations, types, references. Vendors'
+    own namespaces are given with `reserved`."""
     d = serialize.decoded_parts(parts)
     e, p, r = serialize.relations_of(parts)
     null = F.lit(None).cast("string")
@@ -233,8 +234,8 @@ def payload_issues(parts: DataFrame) -> DataFrame:
         issue(named.where("id is null or name is null or namespace is null"), "payload", "error", "keys", "required", F.concat(F.col("k"), F.lit(" lacks id, name or namespace")), F.coalesce("name", "id")),
         issue(named.where(~F.col("id").rlike("^[0-9]+$")), "payload", "error", "id", "number", "the id is no number", F.col("id")),
         issue(named.where(F.length("name") > 256), "payload", "error", "name", "length", "the name is over 256 characters", F.col("name")),
-        issue(named.where(F.lower("namespace").isin(*RESERVED)), "payload", "error", "namespace", "reserved", "the namespace is reserved", F.col("namespace")),
-        issue(named.where("namespaceType not in ('Custom', 'Imported') or visibility not in ('Visible', 'Hidden')"), "payload", "error", "enum", "enum", "an enumeration has another value", F.col("name")),
+        issue(named.where(F.lower("namespace").isin(*reserved)), "payload", "error", "namespace", "reserved", "the namespace is reserved", F.col("namespace")),
+        issue(named.where("namespaceType not in ('Custom', 'System') or visibility not in ('Visible', 'Hidden')"), "payload", "error", "enum", "enum", "an enumeration has another value", F.col("name")),
         issue(e.where("baseEntityTypeId is null"), "payload", "warning", "keys", "parent", "no parent", F.col("name")),
         issue(p.where(~F.col("valueType").isin(*PAYLOAD_TYPES)), "payload", "error", "type", "value_type", F.concat(F.lit("unknown type "), F.col("valueType")), F.col("name")),
         dangling(r, e).withColumn("source", F.lit("payload")).withColumn("severity", F.lit("warning")),
@@ -245,16 +246,20 @@ def payload_issues(parts: DataFrame) -> DataFrame:
 
 # What becomes of constructs.
 SUPPORT = {
-    "Class": "full", "DatatypeProperty": "full", "ObjectProperty": "full", "subClassOf": "full", "domain": "full", "range": "full",
-    "unionOf": "partial", "FunctionalProperty": "partial", "InverseFunctionalProperty": "partial", "NamedIndividual": "partial", "label": "partial", "comment": "partial",
-    "Restriction": "none", "intersectionOf": "none", "complementOf": "none", "oneOf": "none", "equivalentClass": "none", "disjointWith": "none", "inverseOf": "none",
-    "TransitiveProperty": "none", "SymmetricProperty": "none", "AsymmetricProperty": "none", "ReflexiveProperty": "none", "IrreflexiveProperty": "none",
-    "propertyChainAxiom": "none", "imports": "none", "sameAs": "none", "differentFrom": "none", "AnnotationProperty": "none", "hasKey": "none",
-}
+    "full": "Class subClassOf DatatypeProperty ObjectProperty domain range".split(),
+    "partial": "unionOf intersectionOf oneOf".split(),
+    "none": "Restriction allValuesFrom someValuesFrom hasValue cardinality minCardinality maxCardinality qualifiedCardinality FunctionalProperty InverseFunctionalProperty TransitiveProperty SymmetricProperty AsymmetricProperty ReflexiveProperty IrreflexiveProperty inverseOf propertyChainAxiom complementOf equivalentClass disjointWith disjointUnionOf equivalentProperty propertyDisjointWith imports NamedIndividual sameAs differentFrom".split(),
+    "metadata": "versionInfo label comment".split(),
+}
+MODEL_SUPPORT = {
+    "full": "Interface Property Relationship extends".split(),
+    "partial": "Telemetry Component displayName Object Array Enum Map point lineString polygon scaledDecimal".split(),
+    "none": "description comment Command writable unit semanticType minMultiplicity maxMultiplicity".split(),
+}
 
 
-def support_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(sorted(SUPPORT.items()), "feature string, support string")
+def support_table(spark: SparkSession, table: dict[str, list[str]] = SUPPORT) -> DataFrame:
+    return spark.createDataFrame(sorted((f, s) for s, fs in table.items() for f in fs), "feature string, support string")
 
 
 def features(t: DataFrame) -> DataFrame:
@@ -264,10 +269,10 @@ def features(t: DataFrame) -> DataFrame:
     return t.where(typed | vocab(F.col("p"))).groupBy("file", names.local_name(F.when(typed, F.col("o")).otherwise(F.col("p"))).alias("feature")).agg(F.count("*").alias("n"))
 
 
-def feature_report(t: DataFrame) -> DataFrame:
-    """(file, full, partial, none, unknown): counts of constructs by what becomes of them."""
-    rows = features(t).join(F.broadcast(support_table(t.sparkSession)), "feature", "left").fillna("unknown", ["support"])
-    return rows.groupBy("file").pivot("support", ["full", "partial", "none", "unknown"]).agg(F.sum("n")).fillna(0)
+def feature_report(counts: DataFrame, table: dict[str, list[str]] = SUPPORT) -> DataFrame:
+    """(file, feature, n) to (file, full, partial, none, metadata, unknown): counts by what becomes of the constructs."""
+    rows = counts.join(F.broadcast(support_table(counts.sparkSession, table)), "feature", "left").fillna("unknown", ["support"])
+    return rows.groupBy("file").pivot("support", ["full", "partial", "none", "metadata", "unknown"]).agg(F.sum("n")).fillna(0)
 
 
 def owl_compliance(t: DataFrame) -> DataFrame:

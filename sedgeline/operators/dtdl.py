@@ -22,8 +22,8 @@ def value_type(schema: Column, kind: Column, value_schema: Column, *, decimals:
 
 
 def rich_type(schema: Column, kind: Column, value_schema: Column, semantic: Column, unit: Column) -> Column:
-    """Struct (type, is_complex, is_array, semantic, unit, json_schema)."""
-    return F.struct(value_type(schema, kind, value_schema).alias("type"), kind.isin("Object", "Map", "Array").alias("is_complex"), (kind == "Array").alias("is_array"), F.get(semantic, F.lit(0)).alias("semantic"), F.coalesce(unit, types.semantic_unit(F.get(semantic, F.lit(0)))).alias("unit"), F.when(kind != "primitive", schema).alias("json_schema"))
+    """Struct (type, is_complex, is_array, semantic, semantic_schema, unit, json_schema)."""
+    return F.struct(value_type(schema, kind, value_schema).alias("type"), kind.isin("Object", "Map", "Array").alias("is_complex"), (kind == "Array").alias("is_array"), F.get(semantic, F.lit(0)).alias("semantic"), types.semantic_schema(F.get(semantic, F.lit(0))).alias("semantic_schema"), unit.alias("unit"), F.when(kind != "primitive", schema).alias("json_schema"))
 
 
 def flattened_fields(contents: DataFrame) -> DataFrame:
@@ -199,3 +199,17 @@ def compliance(m: Models) -> DataFrame:
 def kinds(m: Models) -> DataFrame:
     """(file, kind, n): interfaces and contents by kind."""
     return m.interfaces.select("file", F.lit("Interface").alias("kind")).union(m.contents.select("file", "kind")).groupBy("file", "kind").agg(F.count("*").alias("n"))
+
+
+def features(m: Models) -> DataFrame:
+    """(file, feature, n): constructs of models by name, for the support table."""
+    c = m.contents
+    named = lambda df, test, name: df.where(test).select("file", F.lit(name).alias("feature"))
+    rows = m.interfaces.select("file", F.lit("Interface").alias("feature")).union(c.select("file", "kind"))
+    rows = rows.union(c.where("schema_kind <> 'primitive'").select("file", "schema_kind"))
+    rows = rows.union(m.interfaces.select("file", F.explode("extends").alias("x")).select("file", F.lit("extends")))
+    for test, name in (("unit is not null", "unit"), ("writable", "writable"), ("size(semantic) > 0", "semanticType"), ("min_multiplicity is not null", "minMultiplicity"), ("max_multiplicity is not null", "maxMultiplicity")):
+        rows = rows.union(named(c, test, name))
+    for test, name in (("description is not null", "description"), ("display is not null or display_map is not null", "displayName")):
+        rows = rows.union(named(m.interfaces, test, name))
+    return rows.groupBy("file", "feature").agg(F.count("*").alias("n"))

@@ -333,7 +333,7 @@ def q_issues_cube(spark, sf_dir):
     return checks.by_severity_category(_t(spark, sf_dir, "events").select(sev.alias("severity"), F.col("event_type").alias("category")))
 
 
-@query(f"{S}, f AS (SELECT CASE WHEN p = '{TYPE}' THEN {LOCAL.format('o')} ELSE {LOCAL.format('p')} END AS feature FROM t WHERE (p = '{TYPE}' AND (starts_with(o, '{OWL}') OR starts_with(o, '{RDFS}'))) OR starts_with(p, '{OWL}') OR starts_with(p, '{RDFS}')), s(k, v) AS (VALUES {', '.join(f'''('{k}', '{v}')''' for k, v in sorted(checks.SUPPORT.items()))}) SELECT feature, coalesce(v, 'unknown') AS support, count(*) AS n FROM f LEFT JOIN s ON k = feature GROUP BY ALL")
+@query(f"{S}, f AS (SELECT CASE WHEN p = '{TYPE}' THEN {LOCAL.format('o')} ELSE {LOCAL.format('p')} END AS feature FROM t WHERE (p = '{TYPE}' AND (starts_with(o, '{OWL}') OR starts_with(o, '{RDFS}'))) OR starts_with(p, '{OWL}') OR starts_with(p, '{RDFS}')), s(k, v) AS (VALUES {', '.join(f'''('{k}', '{v}')''' for v, ks in checks.SUPPORT.items() for k in ks)}) SELECT feature, coalesce(v, 'unknown') AS support, count(*) AS n FROM f LEFT JOIN s ON k = feature GROUP BY ALL")
 def q_feature_support(spark, sf_dir):
     t = _schema(spark, sf_dir)
     return checks.features(t).join(F.broadcast(checks.support_table(spark)), "feature", "left").fillna("unknown", ["support"]).select("feature", "support", "n")
@@ -428,3 +428,53 @@ def q_ntriples_lines(spark, sf_dir):
     n = _t(spark, sf_dir, "nation")
     line = F.concat(F.lit("<http://ex.org/nation/"), F.col("n_nationkey").cast("string"), F.lit(f'> <{NS}n_name> "'), "n_name", F.lit('" .'))
     return rdf_source.lines_to_triples(n.select(F.lit("f").alias("file"), line.alias("line"))).select("s", "p", "o", "o_kind")
+
+
+# ---- model documents, made from the tables
+
+def _models(spark, sf_dir):
+    """An interface for every brand, which extends that of its part type, as JSON documents."""
+    part = _t(spark, sf_dir, "part")
+    kind, brand = F.regexp_replace("p_type", "[^A-Za-z0-9]", "_"), F.regexp_replace("p_brand", "[^A-Za-z0-9]", "_")
+    body = '","@type":"Interface","contents":[{"@type":"Property","name":"size","schema":"integer"},{"@type":"Telemetry","name":"heat","schema":"double"},{"@type":"Relationship","name":"ofType","target":"dtmi:trade:'
+    head = '{"@context":"dtmi:dtdl:context;3","@id":"dtmi:trade:'
+    types_ = part.select(F.concat(F.lit(head), kind, F.lit(';1","@type":"Interface","contents":[{"@type":"Property","name":"label","schema":"string"}]}')).alias("text"), kind.alias("file"))
+    brands = part.select(F.concat(F.lit(head), kind, F.lit(":"), brand, F.lit(';1","extends":"dtmi:trade:'), kind, F.lit(";1" + body), kind, F.lit(';1"}]}')).alias("text"), kind.alias("file"))
+    return types_.union(brands).distinct()
+
+
+_KIND = "regexp_replace(p_type, '[^A-Za-z0-9]', '_', 'g')"
+_BRAND = "regexp_replace(p_brand, '[^A-Za-z0-9]', '_', 'g')"
+_HASH = "(('0x' || substr(sha256({}), 1, 16))::UBIGINT % 1000000000000 + 1000000000000)::VARCHAR"
+
+
+@query(f"""WITH x AS (SELECT DISTINCT {_KIND} AS k, {_BRAND} AS b FROM part)
+SELECT DISTINCT k AS file, {_HASH.format("'trade:' || k")} AS id, k AS name, NULL AS parent FROM x UNION ALL SELECT k, {_HASH.format("'trade:' || k || ':' || b")}, b, {_HASH.format("'trade:' || k")} FROM x""")
+def q_model_entities(spark, sf_dir):
+    from ..operators import dtdl
+    from ..sources import dtdl as source
+
+    c = dtdl.convert(source.parse(_models(spark, sf_dir)))
+    return c.entities.select("file", "id", "name", F.col("baseEntityTypeId").alias("parent"))
+
+
+@query(f"""WITH x AS (SELECT DISTINCT {_KIND} AS k, {_BRAND} AS b FROM part) SELECT k AS file, 'Interface' AS kind, count(*) + 1 AS n FROM x GROUP BY k
+UNION ALL SELECT k, 'Property', count(*) + 1 FROM x GROUP BY k UNION ALL SELECT k, 'Telemetry', count(*) FROM x GROUP BY k UNION ALL SELECT k, 'Relationship', count(*) FROM x GROUP BY k""")
+def q_model_kinds(spark, sf_dir):
+    from ..operators import dtdl
+    from ..sources import dtdl as source
+
+    return dtdl.kinds(source.parse(_models(spark, sf_dir)))
+
+
+@query("""WITH x AS (SELECT DISTINCT n_regionkey AS r, n_nationkey AS n FROM nation)
+SELECT 'region' || r || '.cdm.json' AS file, 'Nation' || n AS entity, 'name' AS name, 'String' AS "valueType" FROM x UNION ALL SELECT 'region' || r || '.cdm.json', 'Nation' || n, 'since', 'DateTime' FROM x UNION ALL SELECT 'region' || r || '.cdm.json', 'Nation' || n, 'budget', 'Decimal' FROM x""")
+def q_business_properties(spark, sf_dir):
+    from ..operators import cdm
+    from ..sources import cdm as source
+
+    n = _t(spark, sf_dir, "nation")
+    one = F.concat(F.lit('{"entityName":"Nation'), F.col("n_nationkey").cast("string"), F.lit('","hasAttributes":["name",{"name":"since","dataType":"date"},{"name":"budget","dataType":"money"}]}'))
+    docs = n.groupBy(F.concat(F.lit("region"), F.col("n_regionkey").cast("string"), F.lit(".cdm.json")).alias("file")).agg(F.concat(F.lit('{"definitions":['), F.array_join(F.array_sort(F.collect_list(one)), ","), F.lit("]}")).alias("text"))
+    c = cdm.convert(source.parse(docs))
+    return c.properties.join(c.entities.select("file", F.col("id").alias("entity_id"), F.col("name").alias("entity")), ["file", "entity_id"]).select("file", "entity", "name", "valueType")
