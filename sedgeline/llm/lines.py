@@ -59,10 +59,11 @@ def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     hashed = F.array_distinct(F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w)))
     # 6 bits of the frequency class, then 57 of the hash: sorting puts the rarest first.
     keyed = F.transform("h", lambda h: F.shiftleft(F.get("classes", h.bitwiseAND((1 << BITS) - 1)).cast("long"), 57).bitwiseOR(h.bitwiseAND((1 << 57) - 1)))
-    lines = _lines(docs).select("id", "line_no", hashed.alias("h")).where(F.size("h") > 0).withColumn("classes", classes)
-    other = F.transform("h", lambda h: h.bitwiseXOR(TURN))
-    ends = F.array(F.xxhash64(F.array_min("h"), F.array_max("h")), F.xxhash64(F.array_min(other), F.array_max(other)))
-    lines = lines.select("id", "line_no", ends.alias("ends"), F.sort_array(keyed).alias("keys"))
+    # Each explode of one element keeps the optimizer from computing the hashes anew wherever they are used.
+    lines = _lines(docs).select("id", "line_no", F.explode(F.array(hashed)).alias("h")).where(F.size("h") > 0)
+    lines = lines.select("id", "line_no", "h", F.explode(F.array(F.transform("h", lambda h: h.bitwiseXOR(TURN)))).alias("turned")).withColumn("classes", classes)
+    ends = F.array(F.xxhash64(F.array_min("h"), F.array_max("h")), F.xxhash64(F.array_min("turned"), F.array_max("turned")))
+    lines = lines.select("id", "line_no", ends.alias("ends"), F.explode(F.array(F.sort_array(keyed))).alias("keys"))
     n = F.size("keys")
     prefix = F.slice("keys", 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + MATCHES)
     # Candidates may come from 32 bits of a token: more of them are verified, none is lost.
