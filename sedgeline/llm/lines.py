@@ -25,7 +25,7 @@ from .common import written
 THRESHOLD = 0.8
 MATCHES = 2
 #: Buckets of token counts, and of the lookup of lines in question, in bits.
-BITS, ASKED = 22, 18
+BITS, ASKED = 20, 18
 PARTS = 8
 TURN = 0x5DEECE66D1CE4E5B
 
@@ -34,15 +34,32 @@ def _tokens(line: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(line, " "), ""))
 
 
-def _dense(df: DataFrame, value: Column, bits: int) -> Column:
-    """A one-row lookup array of 2**bits small numbers from rows of `cell`, as a scalar subquery; missing cells are 0. It is
-    put together in pieces of 2**11 cells, which are what one task gathers."""
-    low = 11
+def _pieces(df: DataFrame, value: Column, bits: int) -> DataFrame:
+    """A lookup of 2**bits numbers from rows of `cell`, 0 for missing ones, in pieces (piece, vs) of 2**11 cells, which are
+    what one task gathers."""
     every = df.sparkSession.range(1 << bits).select(F.col("id").alias("cell"), F.lit(0).cast("tinyint").alias("v"))
     rows = df.select("cell", value.cast("tinyint").alias("v")).union(every).groupBy("cell").agg(F.max("v").alias("v"))
-    joined = lambda c, k: F.transform(F.array_sort(F.collect_list(F.struct(k, c))), lambda x: x[c])
-    pieces = rows.groupBy(F.shiftright("cell", low).alias("piece")).agg(joined("v", "cell").alias("vs"))
-    return pieces.agg(F.flatten(joined("vs", "piece")).alias("a")).scalar()
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("cell", "v"))), lambda x: x["v"])
+    return rows.groupBy(F.shiftright("cell", 11).alias("piece")).agg(in_order.alias("vs"))
+
+
+def _array(df: DataFrame, value: Column, bits: int) -> Column:
+    """The lookup as a scalar subquery, for use in a filter."""
+    whole = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("piece", "vs"))), lambda x: x["vs"]))
+    return _pieces(df, value, bits).agg(whole.alias("a")).scalar()
+
+
+def _constant(df: DataFrame, value: Column, bits: int) -> Column:
+    """The lookup as a binary constant of 2**bits bytes, for use inside lambdas, where subqueries may not stand (and a column
+    would be copied for every row). Numbers are printable: 33 and up."""
+    text = F.array_join(F.transform("vs", lambda v: F.char(v.cast("int") + 33)), "")
+    rows = _pieces(df, value, bits).select("piece", text.alias("t"))
+    whole = rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece", "t"))), lambda x: x["t"]), "").alias("t"))
+    return F.lit(bytearray(whole.first().t.encode("ascii")))
+
+
+def _at(constant: Column, cell: Column) -> Column:
+    return F.ascii(F.substring(constant, cell.cast("int") + 1, F.lit(1)).cast("string")) - 33
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -55,13 +72,13 @@ def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     words = docs.select(F.explode(F.split(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
     counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << BITS) - 1).alias("cell")).count()
     classes = written(counts, "line-token-counts")
-    classes = _dense(classes, F.least(F.floor(F.log2(F.col("count")) * 2), F.lit(63)), BITS)
+    classes = _constant(classes, F.least(F.floor(F.log2(F.col("count")) * 2), F.lit(63)), BITS)
     hashed = F.array_distinct(F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w)))
     # 6 bits of the frequency class, then 57 of the hash: sorting puts the rarest first.
-    keyed = F.transform("h", lambda h: F.shiftleft(F.get("classes", h.bitwiseAND((1 << BITS) - 1)).cast("long"), 57).bitwiseOR(h.bitwiseAND((1 << 57) - 1)))
+    keyed = F.transform("h", lambda h: F.shiftleft(_at(classes, h.bitwiseAND((1 << BITS) - 1)).cast("long"), 57).bitwiseOR(h.bitwiseAND((1 << 57) - 1)))
     # Each explode of one element keeps the optimizer from computing the hashes anew wherever they are used.
     lines = _lines(docs).select("id", "line_no", F.explode(F.array(hashed)).alias("h")).where(F.size("h") > 0)
-    lines = lines.select("id", "line_no", "h", F.explode(F.array(F.transform("h", lambda h: h.bitwiseXOR(TURN)))).alias("turned")).withColumn("classes", classes)
+    lines = lines.select("id", "line_no", "h", F.explode(F.array(F.transform("h", lambda h: h.bitwiseXOR(TURN)))).alias("turned"))
     ends = F.array(F.xxhash64(F.array_min("h"), F.array_max("h")), F.xxhash64(F.array_min("turned"), F.array_max("turned")))
     lines = lines.select("id", "line_no", ends.alias("ends"), F.explode(F.array(F.sort_array(keyed))).alias("keys"))
     n = F.size("keys")
@@ -105,8 +122,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     pairs = written(pairs, "line-pairs")
     asked = pairs.select(F.col("ai").alias("id"), F.col("al").alias("line_no")).union(pairs.select("bi", "bl")).distinct()
     cell = F.xxhash64("id", "line_no").bitwiseAND((1 << ASKED) - 1)
-    wanted = _dense(asked.select(cell.alias("cell")), F.lit(1), ASKED)
-    texts = _lines(docs).withColumn("wanted", wanted).where(F.get("wanted", cell) == 1).drop("wanted").join(asked, ["id", "line_no"]).select("id", "line_no", _tokens(F.col("line")).alias("t"))
+    wanted = _array(asked.select(cell.alias("cell")), F.lit(1), ASKED)
+    texts = _lines(docs).where(F.get(wanted, cell) == 1).join(asked, ["id", "line_no"]).select("id", "line_no", _tokens(F.col("line")).alias("t"))
     texts = written(texts, "line-tokens")
     one, two = texts.toDF("ai", "al", "at"), texts.toDF("bi", "bl", "bt")
     both = F.size(F.array_intersect("at", "bt"))
