@@ -23,10 +23,14 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """`df`, written to the shared folder and read again: lineage ends there, and lost executors lose nothing."""
+    """`df`, written to the shared folder and read again: lineage ends there, and lost executors lose nothing.
+
+    What led to the table is garbage then; collecting it lets the engine drop the shuffle files at once, which else stay on
+    the executors' disks until the driver happens to collect."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.option("compression", codec).parquet(path)
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
