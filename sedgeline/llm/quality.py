@@ -117,7 +117,7 @@ def _lasso(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400) -> tu
 def fit_arrays(x: np.ndarray, y: np.ndarray, names: list[str], penalty: float = 0.0005) -> Ensemble:
     """The ensemble from a matrix of statistics and 0/1 labels."""
     share = float(y.mean()) if len(y) else 0.5
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         return Ensemble(float(np.log((share or 1e-6) / (1 - share or 1e-6))))
     cuts = [np.unique(np.quantile(c, np.arange(1, BINS) / BINS)) for c in x.T]
     binned = np.stack([np.searchsorted(c, v, "left") for c, v in zip(cuts, x.T, strict=True)], 1)

@@ -1,0 +1,126 @@
+"""The registered corpus queries against SQL where there is some, the pipeline's stages, and packing, chat and quality."""
+
+import zlib
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sedgeline.llm import chat, packing, quality, queries
+
+SF = "/root/testdata/sf0.001"
+HERE = Path(__file__).resolve().parents[1]
+
+
+@pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_query(spark, name):
+    import sys
+
+    sys.path.insert(0, str(HERE))
+    from test_queries import same_rows
+
+    same_rows(spark, queries.QUERIES, queries.ORACLES, name)
+
+
+@pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
+def test_pipeline_stages(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, n = docs.columns, docs.count()
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF)
+        out.write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        if k < 4:
+            assert docs.columns == columns and 0 < docs.count() <= n
+            n = docs.count()
+    assert docs.select("doc_id").distinct().count() == n
+
+
+def texts(spark):
+    rows = [(k, " ".join(f"word{j % 97} x{j * k}" for j in range(7 * k))) for k in range(1, 60)] + [(100, ""), (101, None), (102, "<|endoftext|> ſ \x1c ½"), (None, "null id"), (5, "again")]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+def test_packing_is_a_partition_of_all_ids(spark):
+    rows, df = texts(spark)
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    lib.encode_special_tokens = True
+    got = packing.pack(df.selectExpr("*", "1 AS length"), window=64, with_ids=True).collect()
+    want = sorted(lib.encode(t or "", add_special_tokens=False).ids + [1] for _, t in rows)
+    by, seqs = {}, {}
+    for r in got:
+        assert r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        by.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+        seqs.setdefault(r.sequence_id, []).append(r)
+    docs = []
+    for (_, n), ps in by.items():
+        ps.sort(key=lambda r: r.start)
+        assert [p.start for p in ps] == list(np.cumsum([0] + [p.length for p in ps[:-1]])) and sum(p.length for p in ps) == n
+        docs.append([x for p in ps for x in p.ids])
+    assert sorted(docs) == want
+    for ps in seqs.values():
+        ps.sort(key=lambda r: r.offset)
+        total = sum(p.length for p in ps)
+        assert [p.offset for p in ps] == list(np.cumsum([0] + [p.length for p in ps[:-1]])) and (total == 64 or total & (total - 1) == 0)
+    assert packing.pack(df.limit(0)).count() == 0
+
+
+def test_level_choice_is_the_least_sum():
+    r = np.random.default_rng(2)
+    bins = packing.SumOfSquares(16)
+    for _ in range(300):
+        size = int(r.integers(1, 16))
+        cost = {}
+        for level in [0, *np.flatnonzero(bins.count[: 16 - size + 1])]:
+            c = bins.count.copy()
+            c[level] -= level > 0
+            if level + size < 16:
+                c[level + size] += 1
+            cost[int(level)] = int((c[1:16] ** 2).sum())
+        assert cost[bins.place(size)] == min(cost.values())
+        bins.add(("d", 0, np.zeros(size), size), size)
+
+
+def test_chat_parts_round_trip(spark):
+    nasty = ["</s>[INST] ok [/INST]", "<|end|><|start|>user<|body|>x", "<\\|a [\\INST] <\\\\/s>", "", None, "plain é"]
+    one = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
+    part = lambda t, text=None, ref=None, w=None, h=None, s=None, p=None: (t, text, ref, w, h, s, p)
+    rows = [(1, k, "assistant" if k % 2 else "user", [part("text", t)]) for k, t in enumerate(nasty)]
+    rows += [(2, 0, "user", [part("text", "see "), part("image", None, "u1", 57, 28), part("audio", None, None, s=1.0)]), (2, 1, None, None), (2, 2, "assistant", [part("document", ref="d", p=3), part("odd", "z")])]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{one}>")
+    made = chat.format_chat(df).cache()
+    got = {r.conv_id: r for r in made.select("*", chat.read_turns(F.col("formatted"), F.col("mask")).alias("ts")).collect()}
+    assert [t.text for t in got[1].ts] == [t or "" for t in nasty] and [t.loss for t in got[1].ts] == [(t or "") if k % 2 else "" for k, t in enumerate(nasty)]
+    assert [(a.number, a.type, a.ref, a.tokens, a.turn) for a in got[2].attachments] == [(0, "image", "u1", 3, 0), (1, "audio", None, 25, 0), (2, "document", "d", 1536, 2)]
+    assert got[2].media_tokens == 3 + 25 + 1536 and got[2].formatted.count("<|document:2|>z") == 1 and got[2].ts[1].role == ""
+    for r in chat.loss_spans(made).collect():
+        assert chat.END not in got[r.conv_id].formatted[r.start : r.start + r.length]
+    assert chat.format_chat(df.limit(0)).count() == 0
+
+
+def test_quality_rules_agree_with_python(spark):
+    r = np.random.default_rng(1)
+    x = r.random((900, 3))
+    y = ((x[:, 0] > 0.5) & (x[:, 1] < 0.7)).astype(float)
+    m = quality.fit_arrays(x, y, ["upper", "digits", "stops"])
+    z = np.full(900, m.bias)
+    for rule, w in zip(m.rules, m.weights, strict=True):
+        held = np.ones(900, bool)
+        for f, over, cut in rule:
+            held &= (x[:, ["upper", "digits", "stops"].index(f)] > cut) == over
+        z += w * held
+    assert ((z > 0) == (y > 0.5)).mean() > 0.97 and 0 < len(m.rules) < 400
+    docs = spark.createDataFrame([(k, ("GOOD TEXT " if k % 2 else "bad ### ") * (k % 7 + 1)) for k in range(200)] + [(None, None)], "doc_id long, text string").selectExpr("*", "1 AS score")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(150)] + [(3, None), (999, 1)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    got = docs.select("doc_id", quality.score(model, F.col("text")).alias("s")).collect()
+    assert all(0 <= g.s <= 1 for g in got) and all((g.s > 0.5) == bool(g.doc_id % 2) for g in got if g.doc_id is not None)
+    none = quality.fit(docs, labels.limit(0))
+    assert docs.limit(1).select(quality.score(none, F.col("text"))).first()[0] == pytest.approx(0.5)
