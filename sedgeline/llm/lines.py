@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 THRESHOLD = 0.8
 MATCHES = 2
@@ -96,8 +96,9 @@ def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     near = F.least("n", "f.n") >= F.lit(threshold) * F.greatest("n", "f.n") - 1e-9
     same = (F.col("id") == F.col("f.id")) & (F.col("line_no") == F.col("f.line_no"))
     found = led.where(~same & near).select(F.col("f.id").alias("ai"), F.col("f.line_no").alias("al"), F.col("id").alias("bi"), F.col("line_no").alias("bl")).distinct()
-    gone = _verified(docs, found, threshold)
+    gone, used = _verified(docs, found, threshold)
     gone = written(gone, "lines-gone")
+    discard(*used)
 
     # Then the join of all, for the sets that are still there as the later one.
     some = some.join(gone.withColumn("gone", F.lit(True)), ["id", "line_no"], "left").withColumn("gone", F.col("gone").isNotNull())
@@ -112,13 +113,14 @@ def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     pairs = met.groupBy(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).agg(F.count("*").alias("m")).where(f"m >= {MATCHES}")
     turned = (F.col("ai") > F.col("bi")) | ((F.col("ai") == F.col("bi")) & (F.col("al") > F.col("bl")))
     pairs = pairs.select(*[F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("ai", "bi"), ("al", "bl"), ("bi", "ai"), ("bl", "al"))])
-    later = _verified(docs, pairs, threshold).union(gone)
+    later = _verified(docs, pairs, threshold)[0].union(gone)
     return sets.select("id", "line_no").join(later, ["id", "line_no"], "left_anti")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """(id, line_no) of the later lines (bi, bl) that match their earlier one (ai, al), by the tokens themselves. The lines in
-    question are read again from the texts; a small lookup of hashed positions keeps others out of the join."""
+def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> tuple[DataFrame, tuple[DataFrame, ...]]:
+    """(id, line_no) of the later lines (bi, bl) that match their earlier one (ai, al), by the tokens themselves, and the
+    tables that it is read from. The lines in question are read again from the texts; a small lookup of hashed positions
+    keeps others out of the join."""
     pairs = written(pairs, "line-pairs")
     asked = pairs.select(F.col("ai").alias("id"), F.col("al").alias("line_no")).union(pairs.select("bi", "bl")).distinct()
     cell = F.xxhash64("id", "line_no").bitwiseAND((1 << ASKED) - 1)
@@ -128,7 +130,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     one, two = texts.toDF("ai", "al", "at"), texts.toDF("bi", "bl", "bt")
     both = F.size(F.array_intersect("at", "bt"))
     met = pairs.join(one, ["ai", "al"]).join(two, ["bi", "bl"]).where(both >= F.lit(threshold) * (F.size("at") + F.size("bt") - both) - 1e-9)
-    return met.select(F.col("bi").alias("id"), F.col("bl").alias("line_no")).distinct()
+    return met.select(F.col("bi").alias("id"), F.col("bl").alias("line_no")).distinct(), (pairs, texts)
 
 
 def _keyed_docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
