@@ -13,5 +13,5 @@ ORACLES: dict[str, str] = dict(lens_queries.ORACLES)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The number of triples by predicate of the part table seen as a graph."""
-    return QUERIES["q_triples_by_predicate"](spark, sf_dir)
+    """The test tables as a graph, converted to a whole definition."""
+    return QUERIES["q_definition_parts"](spark, sf_dir)
