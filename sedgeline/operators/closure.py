@@ -20,16 +20,14 @@ def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent", *,
     """`edges` (file, child, parent) to (file, node, ancestor, level), level 1 for parents: each pair at its least level.
     Cycles end because a pair is followed once; a node on a cycle is its own ancestor."""
     e = written(edges.select("file", F.col(child).alias("node"), F.col(parent).alias("up")).where("up is not null").distinct())
-    front = e.select("file", "node", F.col("up").alias("ancestor"), F.lit(1).alias("level"))
-    seen = written(front)
-    front = seen
+    front = seen = e.select("file", "node", F.col("up").alias("ancestor"), F.lit(1).alias("level"))
     for level in range(2, deepest + 1):
         step = front.alias("f").join(e.alias("e"), (F.col("f.file") == F.col("e.file")) & (F.col("f.ancestor") == F.col("e.node")))
         step = step.select("f.file", "f.node", F.col("e.up").alias("ancestor")).distinct().join(seen.select("file", "node", "ancestor"), ["file", "node", "ancestor"], "left_anti")
         front = written(step.withColumn("level", F.lit(level)))
         if front.isEmpty():
             break
-        seen = written(seen.unionByName(front))
+        seen = seen.unionByName(front)
     return seen
 
 
