@@ -211,7 +211,7 @@ OTHER_NAMES = "nav navbar navigation menu topbar header masthead footer bottom c
 MAIN_NAMES = "article content post entry story main body text page blog news single hentry maintext articlebody".split()
 
 
-def labelled_pages(seed: int = 7, n: int = 400) -> list[tuple[str, list[int]]]:
+def labelled_pages(seed: int = 7, n: int = 1200) -> list[tuple[str, list[int]]]:
     """Pages of varied skeletons with their labels."""
     rng = np.random.default_rng(seed)
     syllables = [c + v for c in "b c d f g k l m n p r s t v z st tr ch".split() for v in "a e i o u ou en".split()]
@@ -275,11 +275,19 @@ def labelled_pages(seed: int = 7, n: int = 400) -> list[tuple[str, list[int]]]:
                 bits.append("</aside></nav>")
 
         def main(bits=bits, leaf=leaf, other=other) -> None:
+            headed = chance(0.2)
+            bits.append("<header>" if headed else "")
             if chance(0.85):
                 leaf(f"<h1>{words(1, 12, chance(0.4))}</h1>", 1)
+            bits.append("</header>" if headed else "")
             for _ in range(int(rng.integers(1, 10))):
-                kind = int(rng.integers(10))
-                if kind < 6:
+                kind = int(rng.integers(12))
+                if kind == 10:
+                    leaf(f"<figure><img src=x><figcaption>{words(2, 14)}</figcaption></figure>", 1)
+                elif kind == 11:
+                    for _ in range(int(rng.integers(1, 4))):
+                        leaf(f"<table><tr><td>{words(1, 6, chance(0.3))}</td></tr></table>", 1)
+                elif kind < 6:
                     leaf(f"<p>{words(1, 90)}</p>" if chance(0.7) else f"<p><b>{words(2, 60)}<br>", 1)
                 elif kind == 6:
                     leaf(f"<h2>{words(1, 8, False)}</h2>", 1)
@@ -293,9 +301,9 @@ def labelled_pages(seed: int = 7, n: int = 400) -> list[tuple[str, list[int]]]:
                     bits.append("</blockquote></pre></div>")
                 else:
                     leaf(f"<p>{words(1, 20)} <a href='/y'>{words(1, 3, False)}</a> {words(1, 20)}</p>", 1)
-                if chance(0.06):
-                    tag = pick(["aside", "figure", "div"])
-                    leaf(f"<{tag}{named(['ad', 'ads', 'advert', 'sponsor', 'promo', 'share', 'related', 'newsletter', 'notice'])}>{words(1, 12)}</{tag}>", 0)
+                if chance(0.25):
+                    tag = pick(["aside", "div", "section"])
+                    leaf(f"<{tag}{named(['ad', 'ads', 'ad', 'advert', 'advertisement', 'banner', 'sponsor', 'promo', 'share', 'related', 'newsletter', 'notice', 'comments', 'form', 'cookie', 'menu', 'sidebar'])}>{words(1, 12)}</{tag}>", 0)
 
         bits.append(f"<html><head><title>{words(1, 8, False)}</title></head><body>")
         for _ in range(int(rng.integers(0, 4))):
