@@ -3,12 +3,12 @@
 A line is the set of its blank-separated tokens. Tokens are put in one global order, rarest first (the frequency class of
 the token's hash bucket over all texts, then the hash). By prefix filtering, two unequal sets with a Jaccard similarity of
 at least the threshold share two of the first tokens of each: of the larger one's first `n - ceil(t n) + 2`, of the smaller
-one's first `n - ceil(2t/(1+t) n) + 2`. Only those are joined, under a length filter and a positional filter; what meets
-twice is verified on its tokens. A line goes if any line before it, by document id and line number, matches it.
+one's first `n - ceil(2t/(1+t) n) + 2`. Only those are joined, under a length filter, a positional filter and a bound
+by counts of tokens in hash buckets; what meets twice is verified on its tokens. A line goes if any line before it, by document id and line number, matches it.
 
 Lines with equal sets are one set first, so that a line repeated in a third of all documents is one row in the join. Near
-copies of one line do not meet pair by pair: each set is first verified against the first set with the same least and
-greatest token hashes, under two orders of the hashes (in one of a few salted parts, so that no pair of hashes gathers its
+copies of one line do not meet pair by pair: each set is first verified against the first set that has two of four ends in
+common with it, the least and the greatest token hash under two orders of the hashes (in one of a few salted parts, so that no pair of hashes gathers its
 sets in one task); near copies nearly all share one, and a set that goes by that is not looked up again.
 
 Defined results: lines without tokens stay; a null text is an empty text and stays null in `remove_lines`; rows with a
@@ -62,6 +62,11 @@ def _at(constant: Column, cell: Column) -> Column:
     return F.ascii(F.substring(constant, cell.cast("int") + 1, F.lit(1)).cast("string")) - 33
 
 
+def _left(x: Column, by: Column) -> Column:
+    """x shifted left by a column."""
+    return F.call_function("shiftleft", x, by)
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     return docs.select("id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.trim("line") != "")
 
@@ -79,12 +84,18 @@ def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     # Each explode of one element keeps the optimizer from computing the hashes anew wherever they are used.
     lines = _lines(docs).select("id", "line_no", F.explode(F.array(hashed)).alias("h")).where(F.size("h") > 0)
     lines = lines.select("id", "line_no", "h", F.explode(F.array(F.transform("h", lambda h: h.bitwiseXOR(TURN)))).alias("turned"))
-    ends = F.array(F.xxhash64(F.array_min("h"), F.array_max("h")), F.xxhash64(F.array_min("turned"), F.array_max("turned")))
-    lines = lines.select("id", "line_no", ends.alias("ends"), F.explode(F.array(F.sort_array(keyed))).alias("keys"))
+    four = [F.array_min("h"), F.array_max("h"), F.array_min("turned"), F.array_max("turned")]
+    ends = F.array(*[F.xxhash64(F.lit(4 * x + y), four[x], four[y]) for x in range(4) for y in range(x + 1, 4)])
+    # Counts of tokens by eight buckets of the hash, a byte each, of all tokens and of a half of them; up to 255 tokens.
+    shift = lambda h: (F.shiftrightunsigned(h, 20).bitwiseAND(7) * 8).cast("int")
+    zero = F.lit(0).cast("long")
+    counted = [F.aggregate("h", zero, lambda a, h: a + _left(F.lit(1).cast("long"), shift(h))), F.aggregate("h", zero, lambda a, h: a + _left(F.shiftrightunsigned(h, 23).bitwiseAND(1), shift(h)))]
+    counted = [F.when(F.size("h") <= 255, c).otherwise(zero) for c in counted]
+    lines = lines.select("id", "line_no", ends.alias("ends"), counted[0].alias("whole"), counted[1].alias("half"), F.explode(F.array(F.sort_array(keyed))).alias("keys"))
     n = F.size("keys")
     prefix = F.slice("keys", 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + MATCHES)
     # Candidates may come from 32 bits of a token: more of them are verified, none is lost.
-    first = F.struct("id", "line_no", "ends", n.alias("n"), F.transform(prefix, lambda k: (k.bitwiseAND((1 << 32) - 1) - (1 << 31)).cast("int")).alias("prefix"))
+    first = F.struct("id", "line_no", "ends", "whole", "half", n.alias("n"), F.transform(prefix, lambda k: (k.bitwiseAND((1 << 32) - 1) - (1 << 31)).cast("int")).alias("prefix"))
     sets = lines.select(F.xxhash64("keys").alias("h1"), F.xxhash64(F.lit(1), F.col("keys")).alias("h2"), first.alias("f")).groupBy("h1", "h2").agg(F.min("f").alias("f"))
     sets = written(sets.select("f.*"), "line-sets")
     some = sets.where("n > 3")
@@ -102,13 +113,20 @@ def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
 
     # Then the join of all, for the sets that are still there as the later one.
     some = some.join(gone.withColumn("gone", F.lit(True)), ["id", "line_no"], "left").withColumn("gone", F.col("gone").isNotNull())
-    posts = some.select("id", "line_no", "n", "gone", F.posexplode("prefix").alias("i", "token"))
+    posts = some.select("id", "line_no", "n", "gone", "whole", "half", F.posexplode("prefix").alias("i", "token"))
     short = posts.where(F.col("i") < F.col("n") - F.ceil(F.lit(2 * threshold / (1 + threshold)) * F.col("n") - 1e-9) + MATCHES)
     a, b = short.alias("a"), posts.alias("b")
     need = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("a.n") + F.col("b.n")) - 1e-9)
     earlier = (F.col("a.id") < F.col("b.id")) | ((F.col("a.id") == F.col("b.id")) & (F.col("a.line_no") < F.col("b.line_no")))
     smaller = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & earlier)
     fits = (F.col("a.n") >= F.lit(threshold) * F.col("b.n") - 1e-9) & (F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) + MATCHES - 1 >= need)
+    # No two sets differ by less than their counts do, bucket by bucket.
+    apart = F.lit(0)
+    for k in range(8):
+        at = lambda c, k=k: F.shiftrightunsigned(c, 8 * k).bitwiseAND(255)
+        a1, b1 = at(F.col("a.half")), at(F.col("b.half"))
+        apart = apart + F.abs(a1 - b1) + F.abs(at(F.col("a.whole")) - a1 - at(F.col("b.whole")) + b1)
+    fits = fits & ((F.col("b.n") > 255) | (apart <= F.col("a.n") + F.col("b.n") - 2 * need))
     met = a.join(b, (F.col("a.token") == F.col("b.token")) & smaller & fits & ~F.when(earlier, F.col("b.gone")).otherwise(F.col("a.gone")))
     pairs = met.groupBy(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).agg(F.count("*").alias("m")).where(f"m >= {MATCHES}")
     turned = (F.col("ai") > F.col("bi")) | ((F.col("ai") == F.col("bi")) & (F.col("al") > F.col("bl")))
