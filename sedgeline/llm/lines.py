@@ -106,7 +106,10 @@ def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     led = led.withColumn("f", F.first(F.struct("id", "line_no", "n")).over(w))
     near = F.least("n", "f.n") >= F.lit(threshold) * F.greatest("n", "f.n") - 1e-9
     same = (F.col("id") == F.col("f.id")) & (F.col("line_no") == F.col("f.line_no"))
-    found = led.where(~same & near).select(F.col("f.id").alias("ai"), F.col("f.line_no").alias("al"), F.col("id").alias("bi"), F.col("line_no").alias("bl")).distinct()
+    # Of the sets that a set meets, the one that it has most ends in common with, and of equals the first.
+    met = led.where(~same & near).groupBy("id", "line_no", F.col("f.id").alias("ai"), F.col("f.line_no").alias("al")).agg(F.count("*").alias("m"))
+    best = met.groupBy("id", "line_no").agg(F.min(F.struct((-F.col("m")).alias("m"), "ai", "al")).alias("x"))
+    found = best.select(F.col("x.ai").alias("ai"), F.col("x.al").alias("al"), F.col("id").alias("bi"), F.col("line_no").alias("bl"))
     gone, used = _verified(docs, found, threshold)
     gone = written(gone, "lines-gone")
     discard(*used)
