@@ -11,6 +11,9 @@ copies of one line do not meet pair by pair: each set is first verified against
 common with it, the least and the greatest token hash under two orders of the hashes (in one of a few salted parts, so that no pair of hashes gathers its
 sets in one task); near copies nearly all share one, and a set that goes by that is not looked up again.
 
+Rows that share an id, or have none, are numbered in the order of their texts; the number stands in the upper half of
+`line_no` in here, so that (id, line_no) is one line of one row and in order. Other rows have number 0 and are not moved.
+
 Defined results: lines without tokens stay; a null text is an empty text and stays null in `remove_lines`; rows with a
 null id come first; rows that share an id are ordered by their text; other columns are kept as they are.
 """
@@ -68,12 +71,12 @@ def _left(x: Column, by: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    return docs.select("id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.trim("line") != "")
+    lines = docs.select("id", "nth", F.posexplode(F.split("text", "\n")).alias("k", "line")).where(F.trim("line") != "")
+    return lines.select("id", F.shiftleft("nth", 32).bitwiseOR(F.col("k").cast("long")).alias("line_no"), "line")
 
 
 def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` (id, text) to (id, line_no) of the lines with tokens that no earlier line matches; for rows that share an id,
-    line numbers are those of one of them."""
+    """`docs` (id, nth, text) to (id, nth, line_no) of the lines with tokens that no earlier line matches."""
     words = docs.select(F.explode(F.split(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
     counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << BITS) - 1).alias("cell")).count()
     classes = written(counts, "line-token-counts")
@@ -135,7 +138,8 @@ def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     turned = (F.col("ai") > F.col("bi")) | ((F.col("ai") == F.col("bi")) & (F.col("al") > F.col("bl")))
     pairs = pairs.select(*[F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("ai", "bi"), ("al", "bl"), ("bi", "ai"), ("bl", "al"))])
     later = _verified(docs, pairs, threshold)[0].union(gone)
-    return sets.select("id", "line_no").join(later, ["id", "line_no"], "left_anti")
+    kept = sets.select("id", "line_no").join(later, ["id", "line_no"], "left_anti")
+    return kept.select("id", F.shiftright("line_no", 32).alias("nth"), F.col("line_no").bitwiseAND((1 << 32) - 1).cast("int").alias("line_no"))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> tuple[DataFrame, tuple[DataFrame, ...]]:
@@ -154,27 +158,44 @@ def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> tuple[Data
     return met.select(F.col("bi").alias("id"), F.col("bl").alias("line_no")).distinct(), (pairs, texts)
 
 
-def _keyed_docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """`df` with `_id`, the least number for null, and `_nth`, which tells rows of one `_id` apart in the order of their
+    texts: 0 where the id is unique, else the row's place among all rows whose id is not."""
+    df = df.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))))
+    shared = written(df.groupBy("_id").count().where("count > 1").select("_id"), "line-shared-ids")
+    if shared.isEmpty():
+        return df.withColumn("_nth", F.lit(0).cast("long"))
+    rows = df.join(shared, "_id", "left_semi").orderBy("_id", F.coalesce(F.col(text_col), F.lit("")))
+    # Numbers rise from part to part and count within each; the parts' sizes make them places.
+    rows = written(rows.withColumn("_nth", F.monotonically_increasing_id()), "line-shared-rows")
+    part = F.shiftright("_nth", 33)
+    sizes = rows.groupBy(part.alias("_part")).count()
+    before = sizes.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
+    rows = rows.withColumn("_part", part).join(F.broadcast(before), "_part")
+    rows = rows.withColumn("_nth", F.col("_before") + F.col("_nth").bitwiseAND((1 << 33) - 1)).drop("_part", "_before")
+    return df.join(shared, "_id", "left_anti").withColumn("_nth", F.lit(0).cast("long")).unionByName(rows)
+
+
+def _docs(keyed: DataFrame, text_col: str) -> DataFrame:
+    return keyed.select(F.col("_id").alias("id"), F.col("_nth").alias("nth"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
 def line_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD) -> DataFrame:
     """A row per document: doc_id, n_lines (with tokens), n_removed, kept_lines (numbers from 0, in order)."""
-    docs = _keyed_docs(df, id_col, text_col)
-    kept = kept_lines(docs, threshold=threshold).groupBy("id").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
+    docs = _docs(_keyed(df, id_col, text_col), text_col)
+    kept = kept_lines(docs, threshold=threshold).groupBy("id", "nth").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
     n = F.size(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""))
-    out = docs.select("id", n.alias("n")).join(kept, "id", "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
+    out = docs.select("id", "nth", n.alias("n")).join(kept, ["id", "nth"], "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
     return out.select(F.when(F.col("id") != -(1 << 63), F.col("id")).alias("doc_id"), F.col("n").cast("long").alias("n_lines"), (F.col("n") - F.size("kept")).cast("long").alias("n_removed"), F.col("kept").alias("kept_lines"))
 
 
 def remove_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD, drop_emptied: bool = False) -> DataFrame:
     """`df` with later matches taken out of the texts; blank lines and all other columns stay. With `drop_emptied`,
     documents that had lines with tokens and have none left go."""
-    docs = _keyed_docs(df, id_col, text_col)
-    kept = kept_lines(docs, threshold=threshold).groupBy(F.col("id").alias("_id")).agg(F.collect_list("line_no").alias("_kept"))
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
+    keyed = _keyed(df, id_col, text_col)
+    kept = kept_lines(_docs(keyed, text_col), threshold=threshold).groupBy(F.col("id").alias("_id"), F.col("nth").alias("_nth")).agg(F.collect_list("line_no").alias("_kept"))
     lines = F.filter(F.split(F.col(text_col), "\n"), lambda x, i: (F.trim(x) == "") | F.array_contains(F.coalesce("_kept", F.array().cast("array<int>")), i))
-    rows = df.withColumn("_id", key).join(kept, "_id", "left")
+    rows = keyed.join(kept, ["_id", "_nth"], "left")
     if drop_emptied:
         rows = rows.where(F.col("_kept").isNotNull() | F.col(text_col).isNull() | (F.trim(F.translate(text_col, "\n", " ")) == ""))
     return rows.withColumn(text_col, F.array_join(lines, "\n")).select(*df.columns)

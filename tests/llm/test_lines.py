@@ -58,3 +58,22 @@ def test_empty_null_ids_and_repeats(spark):
     df = spark.createDataFrame([(None, "a b c d e"), (4, "a b c d e\nq r"), (4, "z")], "doc_id long, text string")
     got = sorted((r.doc_id or -1, r.n_lines) for r in lines.line_report(df).collect())
     assert got == [(-1, 1), (4, 1), (4, 2)]
+
+
+def test_rows_that_share_an_id_against_all_pairs(spark):
+    texts = [t for _, t in corpus(8, 90)]
+    long = " ".join(f"v{k}" for k in range(20))
+    texts += ["alpha beta gamma\n" + long, "delta epsilon zeta\n" + long + " w", "eta theta iota\n" + long, "a b\nonly here one", "a b\nonly there two"]
+    ids = [None, None, 7, 7, 3, 100]
+    docs = [(ids[k % 6] if k % 6 < 5 else 100 + k, t) for k, t in enumerate(texts)]
+    # Rows in the order that is defined, each with a number of its own for the plain version.
+    rows = sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    kept = plain(list(enumerate(t for _, t in rows)))
+    want = sorted((repr(i), t or "", kept[k]) for k, (i, t) in enumerate(rows))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    left = lambda t, ks: "\n".join(x for k, x in enumerate(t.split("\n")) if k in ks or not x.strip(" "))
+    report = sorted((repr(r.doc_id), r.n_lines, r.n_removed, r.kept_lines) for r in lines.line_report(df).collect())
+    n = lambda t: sum(bool(x.strip(" ")) for x in t.split("\n"))
+    assert report == sorted((i, n(t), n(t) - len(ks), ks) for i, t, ks in want)
+    got = sorted((repr(r.doc_id), r.text or "") for r in lines.remove_lines(df).collect())
+    assert got == sorted((i, left(t, ks)) for i, t, ks in want)
