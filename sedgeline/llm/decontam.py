@@ -2,9 +2,10 @@
 
 Words are lowered and stripped of punctuation; numbers, names and units become typed placeholders, so that a question
 asked again with other values keeps its template. Windows of eight template words of the benchmark and of the documents
-meet in a hash join; of the windows of a document that lie on one diagonal with an item, the slots must be consistent:
-each value of the item stands for one value of the document and the other way round. A document holds an item if
-consistent windows cover at least half of the item.
+meet in a hash join; the windows of a document that lie on one diagonal with an item, a lane, must be consistent: a value
+of the item stands for the value that the document has at more than half of its places in the lane, and a window counts if
+its slots all do as that says, or if they all have the item's own values. A document holds an item if windows that count
+cover at least half of the item.
 
 A document's windows are looked up in a bitmap of the benchmark's hashes first, which is 8 MB whatever the benchmark's
 size, so that only windows that can join leave the task that reads the text.
@@ -17,6 +18,7 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import partial
 
 import numpy as np
@@ -125,7 +127,8 @@ def _windows(template: np.ndarray, slot: np.ndarray, counts: np.ndarray, n: int)
 
 
 def _emit(batches, sizes: list[int], bitmap: np.ndarray | None, whole: bool):
-    """(id, hash, pos, values, n) of windows: of items all, of documents those in the bitmap. Short items give one window."""
+    """(id, hash, pos, values, places, n) of windows: of items all, of documents those in the bitmap. The places of the
+    values in the window are given for items only, a document's window that meets one has the same. Short items give one window."""
     for b in batches:
         column = b.column(1).cast(pa.large_string()).fill_null("")
         data, offsets = W.bytes_of(column)
@@ -141,11 +144,31 @@ def _emit(batches, sizes: list[int], bitmap: np.ndarray | None, whole: bool):
                     cell = h >> U(64 - BITS)
                     fit = (bitmap[cell >> U(3)] >> (cell & U(7)).astype(np.uint8)) & 1 > 0
                 at, h, text = at[fit], h[fit], text[fit]
+                places = [np.flatnonzero(slot[a : a + n]).tolist() for a in at] if whole else [None] * len(at)
                 slots = [value[a : a + n][slot[a : a + n]].view(np.int64).tolist() for a in at]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x).take(pa.array(text)), pa.array(h.view(np.int64)), pa.array(at - firsts[text], pa.int64()), pa.array(slots, pa.list_(pa.int64())), pa.array(np.full(len(at), n), pa.int32())], names=["id", "hash", "pos", "values", "n"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x).take(pa.array(text)), pa.array(h.view(np.int64)), pa.array(at - firsts[text], pa.int64()), pa.array(slots, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32())), pa.array(np.full(len(at), n), pa.int32())], names=["id", "hash", "pos", "values", "places", "n"])
 
 
-ROWS = "id long, hash long, pos long, values array<long>, n int"
+ROWS = "id long, hash long, pos long, values array<long>, places array<int>, n int"
+JUDGED = "doc_id long, item_id long, at array<long>, slots long, reparameterised boolean"
+
+
+def _judged(batches):
+    """Of each lane: the item's windows that count, their distinct pairs of values, and whether any pair is unequal."""
+    for b in batches:
+        out = []
+        for r in b.to_pylist():
+            pairs = {w["ipos"] + k: (i, d) for w in r["met"] for k, i, d in zip(w["places"], w["iv"], w["dv"], strict=True)}
+            votes, total = Counter(pairs.values()), Counter(i for i, _ in pairs.values())
+            at, used = set(), set()
+            for w in r["met"]:
+                own = set(zip(w["iv"], w["dv"], strict=True))
+                if w["iv"] == w["dv"] or all(2 * votes[p] > total[p[0]] for p in own):
+                    at.add(w["ipos"])
+                    used |= own
+            if at:
+                out.append({"doc_id": r["doc_id"], "item_id": r["item_id"], "at": sorted(at), "slots": len(used), "reparameterised": any(i != d for i, d in used)})
+        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("at", pa.list_(pa.int64())), ("slots", pa.int64()), ("reparameterised", pa.bool_())]))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", *, coverage: float = COVERAGE) -> DataFrame:
@@ -167,13 +190,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         yield from _emit(batches, used, shared.value, False)
 
     found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, ROWS)
-    met = found.select(F.col("id").alias("doc_id"), "hash", "pos", F.col("values").alias("dv")).join(known.select("hash", F.col("id").alias("item_id"), F.col("pos").alias("ipos"), F.col("values").alias("iv")), "hash")
-    pairs = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("iv", "dv"))))
-    lanes = met.groupBy("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("lane")).agg(F.collect_set("ipos").alias("at"), pairs.alias("pairs"))
-    n = F.size("pairs")
-    consistent = (F.size(F.array_distinct("pairs.iv")) == n) & (F.size(F.array_distinct("pairs.dv")) == n)
-    lanes = lanes.where(consistent)
-    whole = lanes.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("windows"), F.max(n).cast("long").alias("slots"), F.max(F.exists("pairs", lambda p: p["iv"] != p["dv"])).alias("reparameterised"))
+    met = found.select(F.col("id").alias("doc_id"), "hash", "pos", F.col("values").alias("dv")).join(known.select("hash", F.col("id").alias("item_id"), F.col("pos").alias("ipos"), F.col("values").alias("iv"), "places"), "hash")
+    lanes = met.groupBy("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("lane")).agg(F.collect_set(F.struct("ipos", "places", "iv", "dv")).alias("met"))
+    lanes = lanes.mapInArrow(_judged, JUDGED)
+    whole = lanes.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("windows"), F.max("slots").alias("slots"), F.max("reparameterised").alias("reparameterised"))
     size = known.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("pos").alias("item_windows"))
     out = whole.join(size, "item_id").withColumn("coverage", F.col("windows") / F.col("item_windows"))
     return out.where(F.col("coverage") >= coverage).select("doc_id", "item_id", "windows", "item_windows", "coverage", "slots", "reparameterised")

@@ -37,3 +37,17 @@ def test_short_items_and_empty(spark):
     got = found(spark, [(1, "we saw one two three four five there"), (2, "one two three four")], [(1, "one two three four five"), (2, "one two three four")])
     assert set(got) == {(1, 1)}
     assert not found(spark, [], [(1, ITEM)]) and not found(spark, [(1, ITEM)], [])
+
+
+def test_one_broken_slot_leaves_the_other_windows(spark):
+    words = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(59)]
+    words[5] = words[50] = "4"
+    passage = " ".join(words)
+    words[50] = "7"
+    ask = "if a farmer has 3 hens and buys 5 more at the fair how many hens are there then in the yard"
+    thrice = "you add 4 spoons of flour then stir it well and add 4 spoons of milk and then at last add 4 spoons of fine sugar to it"
+    docs = [(1, " ".join(words)), (2, ask.replace("5", "3")), (3, ask.replace("5", "9").replace("3", "9")), (4, thrice.replace("4", "6", 2)), (5, "nothing of it")]
+    got = found(spark, docs, [(1, passage), (2, ask), (3, thrice)])
+    assert set(got) == {(1, 1), (2, 2), (3, 2), (4, 3)}
+    assert got[1, 1].windows == 44 and got[1, 1].item_windows == 52 and not got[1, 1].reparameterised
+    assert got[3, 2].coverage == 1 and got[3, 2].reparameterised
