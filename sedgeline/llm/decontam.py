@@ -5,13 +5,14 @@ asked again with other values keeps its template. Windows of eight template word
 meet in a hash join; the windows of a document that lie on one diagonal with an item, a lane, must be consistent: a value
 of the item stands for the value that the document has at more than half of its places in the lane, and a window counts if
 its slots all do as that says, or if they all have the item's own values. A document holds an item if windows that count
-cover at least half of the item.
+cover at least half of the item. Windows are also met by their plain words, lowered and without placeholders, so that a
+copy counts whatever its slots, case and lines; windows of more than half slots are met by those only.
 
 A document's windows are looked up in a bitmap of the benchmark's hashes first, which is 8 MB whatever the benchmark's
 size, so that only windows that can join leave the task that reads the text.
 
 Defined results: null texts are empty; items of fewer than five words match nothing, items of five to seven words match by
-one window of all their words; windows with fewer than half literal words are no evidence; repeated documents each get
+one window of all their words; windows with fewer than half literal words are evidence with the same words only; repeated documents each get
 their rows, once for each id; rows with a null id come out with a null id; repeated items count once; empty tables give
 no rows; other columns are ignored.
 """
@@ -110,25 +111,31 @@ def canonical(lower: np.ndarray, low_off: np.ndarray, data: np.ndarray, offsets:
     return template, value, number | unit | named, np.bincount(text, minlength=len(counts))
 
 
-def _windows(template: np.ndarray, slot: np.ndarray, counts: np.ndarray, n: int):
-    """Start words and hashes of all windows of n words inside one text with enough literal words, and their text."""
+def _windows(template: np.ndarray, value: np.ndarray, slot: np.ndarray, counts: np.ndarray, n: int):
+    """Start words, hashes, texts of the windows of n words inside one text, whether they are plain, and dense. Those with
+    enough literal words have a hash of their templates, those with slots one of their plain words too (without slots, both
+    are the same); dense ones have more than half slots, and plain words only."""
     text = np.repeat(np.arange(len(counts)), counts)
-    m = len(template) - n + 1
-    if m <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, U), text[:0]
-    h = np.full(m, U(n))
-    with np.errstate(over="ignore"):
-        for k in range(n):
-            h = h * U(0xD1342543DE82EF95) + template[k : k + m]
+    m = max(len(template) - n + 1, 0)
+
+    def hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+        h = np.full(m, U(n))
+        with np.errstate(over="ignore"):
+            for k in range(n):
+                h = h * U(0xD1342543DE82EF95) + words[k : k + m]
+        return W.mix(h[at])
+
     run = np.concatenate([[0], np.cumsum(slot)])
-    ok = (text[:m] == text[n - 1 :]) & (2 * (run[n:] - run[:m]) <= n)
-    at = np.flatnonzero(ok)
-    return at, W.mix(h[ok]), text[:m][ok]
+    k = run[n:][:m] - run[:m]
+    inside = text[:m] == text[n - 1 :][:m]
+    few, some = np.flatnonzero(inside & (2 * k <= n)), np.flatnonzero(inside & (k > 0))
+    at = np.concatenate([few, some])
+    return at, np.concatenate([hashes(template, few), hashes(value, some)]), text[at], np.arange(len(at)) >= len(few), 2 * k[at] > n
 
 
 def _emit(batches, sizes: list[int], bitmap: np.ndarray | None, whole: bool):
-    """(id, hash, pos, values, places, n) of windows: of items all, of documents those in the bitmap. The places of the
-    values in the window are given for items only, a document's window that meets one has the same. Short items give one window."""
+    """(id, hash, pos, values, places, n, dense) of windows: of items all, of documents those in the bitmap. Plain windows
+    have no values. The places of the values in the window are given for items only, a document's window that meets one has the same. Short items give one window."""
     for b in batches:
         column = b.column(1).cast(pa.large_string()).fill_null("")
         data, offsets = W.bytes_of(column)
@@ -137,38 +144,38 @@ def _emit(batches, sizes: list[int], bitmap: np.ndarray | None, whole: bool):
             template, value, slot, counts = canonical(lower[low_off[x] : low_off[y]], low_off[x : y + 1] - low_off[x], data[offsets[x] : offsets[y]], offsets[x : y + 1] - offsets[x])
             firsts = np.cumsum(counts) - counts
             for n in sizes:
-                at, h, text = _windows(template, slot, counts, n)
+                at, h, text, plain, dense = _windows(template, value, slot, counts, n)
                 if whole:
                     fit = counts[text] == n if n < WINDOW else np.ones(len(at), bool)
                 else:
                     cell = h >> U(64 - BITS)
                     fit = (bitmap[cell >> U(3)] >> (cell & U(7)).astype(np.uint8)) & 1 > 0
-                at, h, text = at[fit], h[fit], text[fit]
-                places = [np.flatnonzero(slot[a : a + n]).tolist() for a in at] if whole else [None] * len(at)
-                slots = [value[a : a + n][slot[a : a + n]].view(np.int64).tolist() for a in at]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x).take(pa.array(text)), pa.array(h.view(np.int64)), pa.array(at - firsts[text], pa.int64()), pa.array(slots, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32())), pa.array(np.full(len(at), n), pa.int32())], names=["id", "hash", "pos", "values", "places", "n"])
+                at, h, text, plain, dense = at[fit], h[fit], text[fit], plain[fit], dense[fit]
+                places = [[] if z else np.flatnonzero(slot[a : a + n]).tolist() for a, z in zip(at, plain, strict=True)] if whole else [None] * len(at)
+                slots = [[] if z else value[a : a + n][slot[a : a + n]].view(np.int64).tolist() for a, z in zip(at, plain, strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x).take(pa.array(text)), pa.array(h.view(np.int64)), pa.array(at - firsts[text], pa.int64()), pa.array(slots, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32())), pa.array(np.full(len(at), n), pa.int32()), pa.array(dense)], names=["id", "hash", "pos", "values", "places", "n", "dense"])
 
 
-ROWS = "id long, hash long, pos long, values array<long>, places array<int>, n int"
-JUDGED = "doc_id long, item_id long, at array<long>, slots long, reparameterised boolean"
+ROWS = "id long, hash long, pos long, values array<long>, places array<int>, n int, dense boolean"
+JUDGED = "doc_id long, item_id long, at array<long>, dense array<long>, slots long, reparameterised boolean"
 
 
 def _judged(batches):
-    """Of each lane: the item's windows that count, their distinct pairs of values, and whether any pair is unequal."""
+    """Of each lane: the item's windows that count, dense ones apart, their distinct pairs of values, and whether any pair is unequal."""
     for b in batches:
         out = []
         for r in b.to_pylist():
             pairs = {w["ipos"] + k: (i, d) for w in r["met"] for k, i, d in zip(w["places"], w["iv"], w["dv"], strict=True)}
             votes, total = Counter(pairs.values()), Counter(i for i, _ in pairs.values())
-            at, used = set(), set()
+            at, used, dense = set(), set(), {w["ipos"] for w in r["met"] if w["dense"]}
             for w in r["met"]:
                 own = set(zip(w["iv"], w["dv"], strict=True))
                 if w["iv"] == w["dv"] or all(2 * votes[p] > total[p[0]] for p in own):
                     at.add(w["ipos"])
                     used |= own
             if at:
-                out.append({"doc_id": r["doc_id"], "item_id": r["item_id"], "at": sorted(at), "slots": len(used), "reparameterised": any(i != d for i, d in used)})
-        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("at", pa.list_(pa.int64())), ("slots", pa.int64()), ("reparameterised", pa.bool_())]))
+                out.append({"doc_id": r["doc_id"], "item_id": r["item_id"], "at": sorted(at - dense), "dense": sorted(at & dense), "slots": len(used), "reparameterised": any(i != d for i, d in used)})
+        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("at", pa.list_(pa.int64())), ("dense", pa.list_(pa.int64())), ("slots", pa.int64()), ("reparameterised", pa.bool_())]))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", *, coverage: float = COVERAGE) -> DataFrame:
@@ -190,10 +197,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         yield from _emit(batches, used, shared.value, False)
 
     found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, ROWS)
-    met = found.select(F.col("id").alias("doc_id"), "hash", "pos", F.col("values").alias("dv")).join(known.select("hash", F.col("id").alias("item_id"), F.col("pos").alias("ipos"), F.col("values").alias("iv"), "places"), "hash")
-    lanes = met.groupBy("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("lane")).agg(F.collect_set(F.struct("ipos", "places", "iv", "dv")).alias("met"))
+    met = found.select(F.col("id").alias("doc_id"), "hash", "pos", F.col("values").alias("dv")).join(known.select("hash", F.col("id").alias("item_id"), F.col("pos").alias("ipos"), F.col("values").alias("iv"), "places", "dense"), "hash")
+    lanes = met.groupBy("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("lane")).agg(F.collect_set(F.struct("ipos", "places", "iv", "dv", "dense")).alias("met"))
     lanes = lanes.mapInArrow(_judged, JUDGED)
-    whole = lanes.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("windows"), F.max("slots").alias("slots"), F.max("reparameterised").alias("reparameterised"))
-    size = known.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("pos").alias("item_windows"))
-    out = whole.join(size, "item_id").withColumn("coverage", F.col("windows") / F.col("item_windows"))
-    return out.where(F.col("coverage") >= coverage).select("doc_id", "item_id", "windows", "item_windows", "coverage", "slots", "reparameterised")
+    n = lambda c: F.size(F.array_distinct(F.flatten(F.collect_set(c)))).cast("long")
+    whole = lanes.groupBy("doc_id", "item_id").agg(n("at").alias("at"), n("dense").alias("dense"), F.max("slots").alias("slots"), F.max("reparameterised").alias("reparameterised"))
+    size = known.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct(F.when(~F.col("dense"), F.col("pos"))).alias("of_at"), F.countDistinct("pos").alias("of_all"))
+    # Other values can only be seen outside dense windows, so those do not count against an item without them.
+    ways = [F.struct(F.try_divide(F.col("at") + F.col("dense"), F.col("of_all")).alias("c"), (F.col("at") + F.col("dense")).alias("w"), F.col("of_all").alias("of")), F.struct(F.try_divide("at", "of_at").alias("c"), F.col("at").alias("w"), F.col("of_at").alias("of"))]
+    out = whole.join(size, "item_id").withColumn("x", F.greatest(*ways)).where(F.col("x.c") >= coverage)
+    return out.select("doc_id", "item_id", F.col("x.w").alias("windows"), F.col("x.of").alias("item_windows"), F.col("x.c").alias("coverage"), "slots", "reparameterised")

@@ -51,3 +51,18 @@ def test_one_broken_slot_leaves_the_other_windows(spark):
     assert set(got) == {(1, 1), (2, 2), (3, 2), (4, 3)}
     assert got[1, 1].windows == 44 and got[1, 1].item_windows == 52 and not got[1, 1].reparameterised
     assert got[3, 2].coverage == 1 and got[3, 2].reparameterised
+
+
+def test_plain_copies_of_any_slots_case_and_lines(spark):
+    dense = "What is 12 + 35 * 7 - 4?"
+    long = "3 4 5 6 7 8 9 10 then 11 12 13 14 15 16 17"
+    names = "one day old Marta took a bus with her friend Jonas to meet their good uncle Pietro near the big town of Lisbon for tea"
+    mixed = "we know that a 1 2 3 4 5 6 7 8 9 1 2 3 4 5 6 7 8 9 can be told from all the other sorts of it"
+    wrapped = names
+    for name in ("Marta", "Jonas", "Pietro", "Lisbon"):
+        wrapped = wrapped.replace(" " + name, "\n" + name)
+    docs = [(1, "Now. " + dense + " Well"), (2, "what is 12 35 8 4"), (3, "x " + long), (4, names.lower()), (5, names.upper()), (6, wrapped), (7, mixed.replace("all", "the")), (8, long.replace("1", "2")), (9, names.replace("Marta", "Jane"))]
+    got = found(spark, docs, [(1, dense), (3, long), (4, names), (7, mixed)])
+    assert set(got) == {(1, 1), (3, 3), (4, 4), (5, 4), (6, 4), (7, 7), (9, 4)}
+    assert got[1, 1].coverage == got[3, 3].coverage == got[4, 4].coverage == got[6, 4].coverage == 1
+    assert got[9, 4].reparameterised
