@@ -32,8 +32,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold an item of the benchmark."""
-    leaks = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_leak"]), "left_anti")
+    leaks = decontam.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak"), F.col("text_key").alias("_key")).distinct()
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_leak"]) & (decontam.text_key(docs["text"]) == leaks["_key"]), "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

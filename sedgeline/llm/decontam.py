@@ -13,7 +13,7 @@ size, so that only windows that can join leave the task that reads the text.
 
 Defined results: null texts are empty; items of fewer than five words match nothing, items of five to seven words match by
 one window of all their words; windows with fewer than half literal words are evidence with the same words only; repeated documents each get
-their rows, once for each id; rows with a null id come out with a null id; repeated items count once; empty tables give
+their rows, once for each id and text; rows with a null id come out with a null id; repeated items count once; empty tables give
 no rows; other columns are ignored.
 """
 
@@ -25,7 +25,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -134,7 +134,7 @@ def _windows(template: np.ndarray, value: np.ndarray, slot: np.ndarray, counts:
 
 
 def _emit(batches, sizes: list[int], bitmap: np.ndarray | None, whole: bool):
-    """(id, hash, pos, values, places, n, dense) of windows: of items all, of documents those in the bitmap. Plain windows
+    """(id, key, hash, pos, values, places, n, dense) of windows: of items all, of documents those in the bitmap. Plain windows
     have no values. The places of the values in the window are given for items only, a document's window that meets one has the same. Short items give one window."""
     for b in batches:
         column = b.column(1).cast(pa.large_string()).fill_null("")
@@ -153,11 +153,11 @@ def _emit(batches, sizes: list[int], bitmap: np.ndarray | None, whole: bool):
                 at, h, text, plain, dense = at[fit], h[fit], text[fit], plain[fit], dense[fit]
                 places = [[] if z else np.flatnonzero(slot[a : a + n]).tolist() for a, z in zip(at, plain, strict=True)] if whole else [None] * len(at)
                 slots = [[] if z else value[a : a + n][slot[a : a + n]].view(np.int64).tolist() for a, z in zip(at, plain, strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x).take(pa.array(text)), pa.array(h.view(np.int64)), pa.array(at - firsts[text], pa.int64()), pa.array(slots, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32())), pa.array(np.full(len(at), n), pa.int32()), pa.array(dense)], names=["id", "hash", "pos", "values", "places", "n", "dense"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x).take(pa.array(text)), b.column(2).slice(x, y - x).take(pa.array(text)), pa.array(h.view(np.int64)), pa.array(at - firsts[text], pa.int64()), pa.array(slots, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32())), pa.array(np.full(len(at), n), pa.int32()), pa.array(dense)], names=["id", "key", "hash", "pos", "values", "places", "n", "dense"])
 
 
-ROWS = "id long, hash long, pos long, values array<long>, places array<int>, n int, dense boolean"
-JUDGED = "doc_id long, item_id long, at array<long>, dense array<long>, slots long, reparameterised boolean"
+ROWS = "id long, key long, hash long, pos long, values array<long>, places array<int>, n int, dense boolean"
+JUDGED = "doc_id long, text_key long, item_id long, at array<long>, dense array<long>, slots long, reparameterised boolean"
 
 
 def _judged(batches):
@@ -174,17 +174,27 @@ def _judged(batches):
                     at.add(w["ipos"])
                     used |= own
             if at:
-                out.append({"doc_id": r["doc_id"], "item_id": r["item_id"], "at": sorted(at - dense), "dense": sorted(at & dense), "slots": len(used), "reparameterised": any(i != d for i, d in used)})
-        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("at", pa.list_(pa.int64())), ("dense", pa.list_(pa.int64())), ("slots", pa.int64()), ("reparameterised", pa.bool_())]))
+                out.append({"doc_id": r["doc_id"], "text_key": r["text_key"], "item_id": r["item_id"], "at": sorted(at - dense), "dense": sorted(at & dense), "slots": len(used), "reparameterised": any(i != d for i, d in used)})
+        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("item_id", pa.int64()), ("at", pa.list_(pa.int64())), ("dense", pa.list_(pa.int64())), ("slots", pa.int64()), ("reparameterised", pa.bool_())]))
+
+
+def text_key(text: Column) -> Column:
+    """What tells the texts of rows that share an id, or have none, apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", *, coverage: float = COVERAGE) -> DataFrame:
-    """A row per document and item that it holds: doc_id, item_id, windows (consistent ones of the item), item_windows,
+    """A row per document and item that it holds: doc_id, item_id, windows (those of the item that count), item_windows,
     coverage, slots (distinct), reparameterised (some slot has another value)."""
+    return leaks(docs, benchmark, id_col, text_col, item_col, item_text, coverage=coverage).drop("text_key")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", *, coverage: float = COVERAGE) -> DataFrame:
+    """The same with `text_key` of the document's text, which belongs to the key where ids are null or repeated."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text).alias("text")).where("id is not null").dropDuplicates()
     sizes = list(range(SHORTEST, WINDOW + 1))
-    known = written(items.mapInArrow(partial(_emit, sizes=sizes, bitmap=None, whole=True), ROWS), "leak-items")
+    known = written(items.select("id", "text", F.lit(0).cast("long").alias("key")).mapInArrow(partial(_emit, sizes=sizes, bitmap=None, whole=True), ROWS), "leak-items")
     # The bitmap as words of 64 bits that have any bit, at most 2**BITS / 64 of them.
     top = F.shiftrightunsigned("hash", 64 - BITS)
     cells = known.select(F.shiftright(top, 6).alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - BITS}) & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
@@ -196,14 +206,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     def run(batches):
         yield from _emit(batches, used, shared.value, False)
 
-    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, ROWS)
-    met = found.select(F.col("id").alias("doc_id"), "hash", "pos", F.col("values").alias("dv")).join(known.select("hash", F.col("id").alias("item_id"), F.col("pos").alias("ipos"), F.col("values").alias("iv"), "places", "dense"), "hash")
-    lanes = met.groupBy("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("lane")).agg(F.collect_set(F.struct("ipos", "places", "iv", "dv", "dense")).alias("met"))
+    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("key")).mapInArrow(run, ROWS)
+    met = found.select(F.col("id").alias("doc_id"), F.col("key").alias("text_key"), "hash", "pos", F.col("values").alias("dv")).join(known.select("hash", F.col("id").alias("item_id"), F.col("pos").alias("ipos"), F.col("values").alias("iv"), "places", "dense"), "hash")
+    lanes = met.groupBy("doc_id", "text_key", "item_id", (F.col("pos") - F.col("ipos")).alias("lane")).agg(F.collect_set(F.struct("ipos", "places", "iv", "dv", "dense")).alias("met"))
     lanes = lanes.mapInArrow(_judged, JUDGED)
     n = lambda c: F.size(F.array_distinct(F.flatten(F.collect_set(c)))).cast("long")
-    whole = lanes.groupBy("doc_id", "item_id").agg(n("at").alias("at"), n("dense").alias("dense"), F.max("slots").alias("slots"), F.max("reparameterised").alias("reparameterised"))
+    whole = lanes.groupBy("doc_id", "text_key", "item_id").agg(n("at").alias("at"), n("dense").alias("dense"), F.max("slots").alias("slots"), F.max("reparameterised").alias("reparameterised"))
     size = known.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct(F.when(~F.col("dense"), F.col("pos"))).alias("of_at"), F.countDistinct("pos").alias("of_all"))
     # Other values can only be seen outside dense windows, so those do not count against an item without them.
     ways = [F.struct(F.try_divide(F.col("at") + F.col("dense"), F.col("of_all")).alias("c"), (F.col("at") + F.col("dense")).alias("w"), F.col("of_all").alias("of")), F.struct(F.try_divide("at", "of_at").alias("c"), F.col("at").alias("w"), F.col("of_at").alias("of"))]
     out = whole.join(size, "item_id").withColumn("x", F.greatest(*ways)).where(F.col("x.c") >= coverage)
-    return out.select("doc_id", "item_id", F.col("x.w").alias("windows"), F.col("x.of").alias("item_windows"), F.col("x.c").alias("coverage"), "slots", "reparameterised")
+    return out.select("doc_id", "text_key", "item_id", F.col("x.w").alias("windows"), F.col("x.of").alias("item_windows"), F.col("x.c").alias("coverage"), "slots", "reparameterised")

@@ -66,3 +66,17 @@ def test_plain_copies_of_any_slots_case_and_lines(spark):
     assert set(got) == {(1, 1), (3, 3), (4, 4), (5, 4), (6, 4), (7, 7), (9, 4)}
     assert got[1, 1].coverage == got[3, 3].coverage == got[4, 4].coverage == got[6, 4].coverage == 1
     assert got[9, 4].reparameterised
+
+
+def test_rows_without_an_id_of_their_own_are_told_apart(spark, tmp_path):
+    import corpus_pipeline
+
+    half = len(ITEM.split()) // 2 + 3
+    parts = [" ".join(ITEM.split()[:half - 3]), " ".join(ITEM.split()[half - 3:])]
+    docs = [(i, t) for i in (None, 5) for t in ("so " + ITEM, parts[0] + " or so", "and then " + parts[1], "clean words only in here", None, "")]
+    spark.createDataFrame([(10, ITEM)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    left = corpus_pipeline.without_leaks(spark, df, str(tmp_path)).collect()
+    key = lambda r: (repr(r[0]), repr(r[1]))
+    assert sorted(((r.doc_id, r.text) for r in left), key=key) == sorted((d for d in docs if d[1] != "so " + ITEM), key=key)
+    assert {k for k in found(spark, docs, [(10, ITEM)])} == {(None, 10), (5, 10)}
