@@ -165,8 +165,8 @@ def _judged(batches):
     for b in batches:
         out = []
         for r in b.to_pylist():
-            pairs = {w["ipos"] + k: (i, d) for w in r["met"] for k, i, d in zip(w["places"], w["iv"], w["dv"], strict=True)}
-            votes, total = Counter(pairs.values()), Counter(i for i, _ in pairs.values())
+            pairs = {(w["ipos"] + k, i, d) for w in r["met"] for k, i, d in zip(w["places"], w["iv"], w["dv"], strict=True)}
+            votes, total = Counter(p[1:] for p in pairs), Counter(i for _, i, _ in pairs)
             at, used, dense = set(), set(), {w["ipos"] for w in r["met"] if w["dense"]}
             for w in r["met"]:
                 own = set(zip(w["iv"], w["dv"], strict=True))
