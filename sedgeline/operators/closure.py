@@ -1,8 +1,8 @@
 """Recursion over metadata edges: closures, cycles, depths, orders, RDF lists and class expressions.
 
-Edges carry their document in `file`, so that any number of documents are closed in one plan. Rounds are joins of the
-frontier with the edges, by level, as far as the deepest document; each round's rows are bounded by the edges times the
-depth; what a round finds is written to the shared folder, which ends its lineage.
+Edges carry their document in `file`, so that any number of documents are closed in one plan. Paths double each round, so
+that the deepest document of n levels takes log n joins, without a bound; what a round finds is written to the shared
+folder, which ends its lineage.
 """
 
 from __future__ import annotations
@@ -12,23 +12,20 @@ from pyspark.sql import functions as F
 
 from .shared import written
 
-#: Levels beyond which a hierarchy is taken to be endless.
-DEEPEST = 100
 
-
-def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent", *, deepest: int = DEEPEST) -> DataFrame:
+def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
     """`edges` (file, child, parent) to (file, node, ancestor, level), level 1 for parents: each pair at its least level.
-    Cycles end because a pair is followed once; a node on a cycle is its own ancestor."""
+    Cycles end because a pair is found once; a node on a cycle is its own ancestor."""
     e = written(edges.select("file", F.col(child).alias("node"), F.col(parent).alias("up")).where("up is not null").distinct())
-    front = seen = e.select("file", "node", F.col("up").alias("ancestor"), F.lit(1).alias("level"))
-    for level in range(2, deepest + 1):
-        step = front.alias("f").join(e.alias("e"), (F.col("f.file") == F.col("e.file")) & (F.col("f.ancestor") == F.col("e.node")))
-        step = step.select("f.file", "f.node", F.col("e.up").alias("ancestor")).distinct().join(seen.select("file", "node", "ancestor"), ["file", "node", "ancestor"], "left_anti")
-        front = written(step.withColumn("level", F.lit(level)))
-        if front.isEmpty():
-            break
-        seen = seen.unionByName(front)
-    return seen
+    seen, reach = e.select("file", "node", F.col("up").alias("ancestor"), F.lit(1).alias("level")), 1
+    while True:
+        # A least way of more than `reach` levels is one of just so many and another of at most as many.
+        far = seen.where(F.col("level") == reach).alias("f").join(seen.alias("s"), (F.col("f.file") == F.col("s.file")) & (F.col("f.ancestor") == F.col("s.node")))
+        step = far.select("f.file", "f.node", "s.ancestor", (F.col("s.level") + reach).alias("level")).groupBy("file", "node", "ancestor").agg(F.min("level").alias("level"))
+        new = written(step.join(seen.select("file", "node", "ancestor"), ["file", "node", "ancestor"], "left_anti"))
+        if new.isEmpty():
+            return seen
+        seen, reach = seen.unionByName(new), reach * 2
 
 
 def on_cycle(closure: DataFrame) -> DataFrame:
@@ -54,17 +51,21 @@ def depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     up = ancestors(edges)
     bad = reaches_cycle(up).withColumn("bad", F.lit(True))
     clean = edges.join(bad.select("file", F.col("node").alias("child")), ["file", "child"], "left_anti").select("file", F.col("child").alias("node"), F.col("parent").alias("up"))
-    now = nodes.select("file", "node").distinct().join(bad, ["file", "node"], "left").withColumn("depth", F.when(F.col("bad").isNull(), F.lit(0))).drop("bad")
-    clean = written(clean)
-    now = written(now)
-    for _ in range(DEEPEST):
-        above = clean.join(now.select("file", F.col("node").alias("up"), F.col("depth").alias("d")), ["file", "up"]).groupBy("file", "node").agg((F.max("d") + 1).alias("d"))
-        new = now.join(above, ["file", "node"], "left").select("file", "node", F.greatest("depth", "d").alias("new"), "depth")
-        new = written(new)
-        if new.where("new > depth").isEmpty():
-            return new.select("file", "node", F.col("new").alias("depth"))
-        now = new.select("file", "node", F.col("new").alias("depth"))
-    return now
+    now = written(nodes.select("file", "node").distinct().join(bad, ["file", "node"], "left").withColumn("depth", F.when(F.col("bad").isNull(), F.lit(0))).drop("bad"))
+    known = now.select("file", "node")
+    clean = clean.join(known, ["file", "node"], "left_semi").join(known.withColumnRenamed("node", "up"), ["file", "up"], "left_semi")
+    # Ways of 1, 2, 4, ... edges; there are no cycles in them, so they run out.
+    ways = [written(clean.select("file", "node", "up").distinct())]
+    while not ways[-1].isEmpty():
+        a, b = ways[-1].alias("a"), ways[-1].alias("b")
+        ways.append(written(a.join(b, (F.col("a.file") == F.col("b.file")) & (F.col("a.up") == F.col("b.node"))).select("a.file", "a.node", "b.up").distinct()))
+    # Where a node's ways of `depth` edges end: the longest steps first, each taken if any way goes on so far.
+    at = now.withColumn("up", F.col("node"))
+    for k in reversed(range(len(ways) - 1)):
+        farther = at.alias("a").join(ways[k].alias("w"), (F.col("a.file") == F.col("w.file")) & (F.col("a.up") == F.col("w.node")))
+        farther = written(farther.select("a.file", "a.node", (F.col("a.depth") + (1 << k)).alias("depth"), "w.up").distinct())
+        at = written(at.join(farther.select("file", "node"), ["file", "node"], "left_anti").unionByName(farther))
+    return at.select("file", "node", "depth").distinct()
 
 
 def topological(nodes: DataFrame, edges: DataFrame) -> DataFrame:

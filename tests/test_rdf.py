@@ -167,3 +167,18 @@ def test_definition_checks_and_limits(spark):
     assert got == [("error", "dangling"), ("error", "display"), ("error", "key"), ("error", "own_parent"), ("error", "parent"), ("warning", "display_type"), ("warning", "key_type"), ("warning", "self")]
     assert [(x.severity, x.code) for x in checks.limit_issues(e, p, r).collect()] == [("error", "entity_name")]
     assert {x.code for x in checks.converted_compliance(e, p, r).collect()} == {"TGT020"}
+
+
+def test_a_chain_and_a_cycle_of_150(spark):
+    chain = [("f", f"c{i:03}", f"c{i + 1:03}") for i in range(149)] + [("f", "c000", "c140"), ("f", "top", "gone")]
+    ring = [("g", f"r{i:03}", f"r{(i + 1) % 150:03}") for i in range(150)]
+    e = spark.createDataFrame(chain + ring, "file string, child string, parent string")
+    nodes = spark.createDataFrame([("f", f"c{i:03}") for i in range(150)] + [("f", "top")] + [("g", f"r{i:03}") for i in range(150)], "file string, node string")
+    level = {(r.node, r.ancestor): r.level for r in closure.ancestors(e).collect()}
+    # From c000 the short cut leads to c140 at once.
+    want = {(f"c{i:03}", f"c{j:03}"): j - i if i or j < 140 else min(j, j - 139) for i in range(150) for j in range(i + 1, 150)} | {("top", "gone"): 1}
+    want |= {(f"r{i:03}", f"r{j:03}"): (j - i) % 150 or 150 for i in range(150) for j in range(150)}
+    assert level == want
+    got = {r.node: r.depth for r in closure.depths(nodes, e).collect()}
+    assert got == {f"c{i:03}": 149 - i for i in range(150)} | {"top": 0} | {f"r{i:03}": None for i in range(150)}
+    assert {r.child for r in closure.chosen_parent(e, nodes).collect()} == {f"c{i:03}" for i in range(149)}
