@@ -5,23 +5,18 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from corpus_rows import same_rows
 from pyspark.sql import functions as F
 
 from sedgeline.llm import chat, packing, quality, queries
 
 SF = "/root/testdata/sf0.001"
-HERE = Path(__file__).resolve().parents[1]
 
 
 @pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query(spark, name):
-    import sys
-
-    sys.path.insert(0, str(HERE))
-    from test_queries import same_rows
-
-    same_rows(spark, queries.QUERIES, queries.ORACLES, name)
+    same_rows(spark, queries.QUERIES, queries.ORACLES, name, SF)
 
 
 @pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
