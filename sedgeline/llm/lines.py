@@ -1,21 +1,23 @@
 """Line dedup by an exact set-similarity join, in DataFrame functions only.
 
 A line is the set of its blank-separated tokens. Tokens are put in one global order, rarest first (the frequency class of
-the token's hash bucket over all texts, then the hash). By prefix filtering, two unequal sets with a Jaccard similarity of
-at least the threshold share two of the first tokens of each: of the larger one's first `n - ceil(t n) + 2`, of the smaller
-one's first `n - ceil(2t/(1+t) n) + 2`. Only those are joined, under a length filter, a positional filter and a bound
-by counts of tokens in hash buckets; what meets twice is verified on its tokens. A line goes if any line before it, by document id and line number, matches it.
+the token's hash bucket over all texts, then the hash). By prefix filtering, two sets with a Jaccard similarity of at least
+the threshold share one of the first `n - ceil(t n) + 1` tokens of each. Only those are joined, under a length filter, a
+positional filter and a bound by parity: 64 bits of a set, each the parity of a share of its tokens, differ from another
+set's in no more bits than the sets differ in tokens. What meets is verified on its tokens. A line goes if any line before
+it, by document id and line number, matches it.
 
 Lines with equal sets are one set first, so that a line repeated in a third of all documents is one row in the join. Near
-copies of one line do not meet pair by pair: each set is first verified against the first set that has two of four ends in
-common with it, the least and the greatest token hash under two orders of the hashes (in one of a few salted parts, so that no pair of hashes gathers its
-sets in one task); near copies nearly all share one, and a set that goes by that is not looked up again.
+copies do not meet pair by pair: in a first round each set is verified against the first set, and the one before it, of
+those that share one of its eight rarest tokens (frequent tokens in salted parts); nearly all near copies go by that, and
+a set that has gone is not looked up again, only looked at.
 
 Rows that share an id, or have none, are numbered in the order of their texts; the number stands in the upper half of
 `line_no` in here, so that (id, line_no) is one line of one row and in order. Other rows have number 0 and are not moved.
 
 Defined results: lines without tokens stay; a null text is an empty text and stays null in `remove_lines`; rows with a
-null id come first; rows that share an id are ordered by their text; other columns are kept as they are.
+null id come first; rows that share an id are ordered by their text; other columns are kept as they are. Thresholds are
+over 0 and at most 1.
 """
 
 from __future__ import annotations
@@ -26,131 +28,121 @@ from pyspark.sql import functions as F
 from .common import discard, written
 
 THRESHOLD = 0.8
-MATCHES = 2
 #: Buckets of token counts, and of the lookup of lines in question, in bits.
-BITS, ASKED = 20, 18
-PARTS = 8
-TURN = 0x5DEECE66D1CE4E5B
+BITS, ASKED = 20, 22
+#: Tokens of a set that the first round looks at.
+RAREST = 8
 
 
 def _tokens(line: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(line, " "), ""))
 
 
-def _pieces(df: DataFrame, value: Column, bits: int) -> DataFrame:
-    """A lookup of 2**bits numbers from rows of `cell`, 0 for missing ones, in pieces (piece, vs) of 2**11 cells, which are
-    what one task gathers."""
-    every = df.sparkSession.range(1 << bits).select(F.col("id").alias("cell"), F.lit(0).cast("tinyint").alias("v"))
-    rows = df.select("cell", value.cast("tinyint").alias("v")).union(every).groupBy("cell").agg(F.max("v").alias("v"))
-    in_order = F.transform(F.array_sort(F.collect_list(F.struct("cell", "v"))), lambda x: x["v"])
-    return rows.groupBy(F.shiftright("cell", 11).alias("piece")).agg(in_order.alias("vs"))
+def _lookup(rows: DataFrame, bits: int) -> Column:
+    """An array of 2**bits numbers from rows (cell, v), 0 for missing ones, as a scalar subquery. One task gathers 2**11 cells,
+    the last one as many pieces as there are."""
+    kind = rows.schema["v"].dataType
+    every = rows.sparkSession.range(1 << bits).select(F.col("id").alias("cell"), F.lit(0).cast(kind).alias("v"))
+    filled = rows.select("cell", "v").union(every).groupBy("cell").agg(F.bit_or("v").alias("v"))
+    in_order = lambda cs, at, v: F.transform(F.array_sort(F.collect_list(F.struct(at, v))), lambda x: x[v])
+    pieces = filled.groupBy(F.shiftright("cell", 11).alias("piece")).agg(in_order(filled, "cell", "v").alias("vs"))
+    return pieces.agg(F.flatten(in_order(pieces, "piece", "vs")).alias("a")).scalar()
 
 
-def _array(df: DataFrame, value: Column, bits: int) -> Column:
-    """The lookup as a scalar subquery, for use in a filter."""
-    whole = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("piece", "vs"))), lambda x: x["vs"]))
-    return _pieces(df, value, bits).agg(whole.alias("a")).scalar()
-
-
-def _constant(df: DataFrame, value: Column, bits: int) -> Column:
-    """The lookup as a binary constant of 2**bits bytes, for use inside lambdas, where subqueries may not stand (and a column
-    would be copied for every row). Numbers are printable: 33 and up."""
-    text = F.array_join(F.transform("vs", lambda v: F.char(v.cast("int") + 33)), "")
-    rows = _pieces(df, value, bits).select("piece", text.alias("t"))
-    whole = rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece", "t"))), lambda x: x["t"]), "").alias("t"))
-    return F.lit(bytearray(whole.first().t.encode("ascii")))
+def _lines(docs: DataFrame) -> DataFrame:
+    lines = docs.select("id", "nth", F.posexplode(F.split("text", "\n")).alias("k", "line")).where(F.trim("line") != "")
+    return lines.select("id", F.shiftleft("nth", 32).bitwiseOR(F.col("k").cast("long")).alias("line_no"), "line")
 
 
-def _at(constant: Column, cell: Column) -> Column:
-    return F.ascii(F.substring(constant, cell.cast("int") + 1, F.lit(1)).cast("string")) - 33
+def _classes(docs: DataFrame) -> Column:
+    """The frequency class of each hash bucket of tokens, two for each doubling, as a lookup."""
+    words = docs.select(F.explode(F.split(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << BITS) - 1).alias("cell")).count()
+    counts = written(counts, "line-token-counts")
+    return _lookup(counts.select("cell", F.least(F.floor(F.log2(F.col("count")) * 2), F.lit(63)).cast("tinyint").alias("v")), BITS)
 
 
-def _left(x: Column, by: Column) -> Column:
-    """x shifted left by a column."""
-    return F.call_function("shiftleft", x, by)
+def _need(a: Column, b: Column, threshold: float) -> Column:
+    """The least overlap of two sets of those sizes at the threshold."""
+    return F.ceil(F.lit(threshold / (1 + threshold)) * (a + b) - 1e-9)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    lines = docs.select("id", "nth", F.posexplode(F.split("text", "\n")).alias("k", "line")).where(F.trim("line") != "")
-    return lines.select("id", F.shiftleft("nth", 32).bitwiseOR(F.col("k").cast("long")).alias("line_no"), "line")
+def _fits(a: str, b: str, threshold: float) -> Column:
+    """The length filter and the bound by parity, for rows with n and parity."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    apart = F.bit_count(F.col(f"{a}.parity").bitwiseXOR(F.col(f"{b}.parity")))
+    return (F.least(n, m) >= F.lit(threshold) * F.greatest(n, m) - 1e-9) & (apart <= n + m - 2 * _need(n, m, threshold))
 
 
-def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` (id, nth, text) to (id, nth, line_no) of the lines with tokens that no earlier line matches."""
-    words = docs.select(F.explode(F.split(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << BITS) - 1).alias("cell")).count()
-    classes = written(counts, "line-token-counts")
-    classes = _constant(classes, F.least(F.floor(F.log2(F.col("count")) * 2), F.lit(63)), BITS)
+def _sets(docs: DataFrame, threshold: float) -> DataFrame:
+    """A row per set of tokens: id, line_no (the first line that has it), n, parity, prefix (its first tokens, rarest first:
+    6 bits of the frequency class, then 57 of the hash)."""
     hashed = F.array_distinct(F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w)))
-    # 6 bits of the frequency class, then 57 of the hash: sorting puts the rarest first.
-    keyed = F.transform("h", lambda h: F.shiftleft(_at(classes, h.bitwiseAND((1 << BITS) - 1)).cast("long"), 57).bitwiseOR(h.bitwiseAND((1 << 57) - 1)))
-    # Each explode of one element keeps the optimizer from computing the hashes anew wherever they are used.
+    # Each explode of one element keeps the optimizer from computing an array anew wherever it is used.
     lines = _lines(docs).select("id", "line_no", F.explode(F.array(hashed)).alias("h")).where(F.size("h") > 0)
-    lines = lines.select("id", "line_no", "h", F.explode(F.array(F.transform("h", lambda h: h.bitwiseXOR(TURN)))).alias("turned"))
-    four = [F.array_min("h"), F.array_max("h"), F.array_min("turned"), F.array_max("turned")]
-    ends = F.array(*[F.xxhash64(F.lit(4 * x + y), four[x], four[y]) for x in range(4) for y in range(x + 1, 4)])
-    # Counts of tokens by eight buckets of the hash, a byte each, of all tokens and of a half of them; up to 255 tokens.
-    shift = lambda h: (F.shiftrightunsigned(h, 20).bitwiseAND(7) * 8).cast("int")
-    zero = F.lit(0).cast("long")
-    counted = [F.aggregate("h", zero, lambda a, h: a + _left(F.lit(1).cast("long"), shift(h))), F.aggregate("h", zero, lambda a, h: a + _left(F.shiftrightunsigned(h, 23).bitwiseAND(1), shift(h)))]
-    counted = [F.when(F.size("h") <= 255, c).otherwise(zero) for c in counted]
-    lines = lines.select("id", "line_no", ends.alias("ends"), counted[0].alias("whole"), counted[1].alias("half"), F.explode(F.array(F.sort_array(keyed))).alias("keys"))
+    # Subqueries may not stand inside lambdas; the optimizer merges the two selects, so that the lookup is in no row.
+    lines = lines.select("id", "line_no", "h", _classes(docs).alias("classes"))
+    keyed = F.transform("h", lambda h: F.shiftleft(F.get(F.col("classes"), h.bitwiseAND((1 << BITS) - 1).cast("int")).cast("long"), 57).bitwiseOR(h.bitwiseAND((1 << 57) - 1)))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))
+    lines = lines.select("id", "line_no", keyed.alias("keys"), F.aggregate("h", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(h))).alias("parity"))
+    lines = lines.select("id", "line_no", "parity", F.explode(F.array(F.sort_array("keys"))).alias("keys"))
     n = F.size("keys")
-    prefix = F.slice("keys", 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + MATCHES)
-    # Candidates may come from 32 bits of a token: more of them are verified, none is lost.
-    first = F.struct("id", "line_no", "ends", "whole", "half", n.alias("n"), F.transform(prefix, lambda k: (k.bitwiseAND((1 << 32) - 1) - (1 << 31)).cast("int")).alias("prefix"))
+    prefix = F.slice("keys", 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + 1)
+    first = F.struct("id", "line_no", n.alias("n"), "parity", prefix.alias("prefix"))
     sets = lines.select(F.xxhash64("keys").alias("h1"), F.xxhash64(F.lit(1), F.col("keys")).alias("h2"), first.alias("f")).groupBy("h1", "h2").agg(F.min("f").alias("f"))
-    sets = written(sets.select("f.*"), "line-sets")
-    some = sets.where("n > 3")
-
-    # First against the first set of the same ends.
-    w = Window.partitionBy("end", "part").orderBy("id", "line_no")
-    led = some.select("id", "line_no", "n", F.explode("ends").alias("end"), F.pmod(F.xxhash64("id", "line_no"), F.lit(PARTS)).alias("part"))
-    led = led.withColumn("f", F.first(F.struct("id", "line_no", "n")).over(w))
-    near = F.least("n", "f.n") >= F.lit(threshold) * F.greatest("n", "f.n") - 1e-9
-    same = (F.col("id") == F.col("f.id")) & (F.col("line_no") == F.col("f.line_no"))
-    # Of the sets that a set meets, the one that it has most ends in common with, and of equals the first.
-    met = led.where(~same & near).groupBy("id", "line_no", F.col("f.id").alias("ai"), F.col("f.line_no").alias("al")).agg(F.count("*").alias("m"))
-    best = met.groupBy("id", "line_no").agg(F.min(F.struct((-F.col("m")).alias("m"), "ai", "al")).alias("x"))
-    found = best.select(F.col("x.ai").alias("ai"), F.col("x.al").alias("al"), F.col("id").alias("bi"), F.col("line_no").alias("bl"))
-    gone, used = _verified(docs, found, threshold)
+    return sets.select("f.*")
+
+
+def _near(sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (ai, al, bi, bl) of a set with the first one and the one before it among those that share a rare token."""
+    posts = sets.select("id", "line_no", "n", "parity", F.explode(F.slice("prefix", 1, RAREST)).alias("token"))
+    # Tokens of some thousand lines and more are dealt out, so that no token gathers its sets in one task.
+    parts = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.shiftrightunsigned("token", 58).cast("int") - 12, F.lit(0)))
+    w = Window.partitionBy("token", F.pmod(F.xxhash64("id", "line_no"), parts)).orderBy("id", "line_no")
+    one = F.struct("id", "line_no", "n", "parity")
+    met = posts.select(one.alias("b"), F.first(one).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag(one).over(w).alias("last"))
+    met = met.select("b", F.explode(F.array("first", "last")).alias("a"))
+    met = met.where((F.col("a.id") != F.col("b.id")) | (F.col("a.line_no") != F.col("b.line_no"))).where(_fits("a", "b", threshold))
+    return met.select(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).distinct()
+
+
+def _met(sets: DataFrame, gone: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (ai, al, bi, bl) of all sets that pass the filters, the later one not yet gone."""
+    some = sets.join(gone.withColumn("gone", F.lit(1)), ["id", "line_no"], "left")
+    # Both sides read the same shuffle: every condition is on both and they use the same columns, so that nothing is moved
+    # below it on one side only.
+    posts = some.select("id", "line_no", "n", "parity", F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("i", "token"))
+    a, b = posts.alias("a"), posts.alias("b")
+    earlier = (F.col("a.id") < F.col("b.id")) | ((F.col("a.id") == F.col("b.id")) & (F.col("a.line_no") < F.col("b.line_no")))
+    fits = _fits("a", "b", threshold) & (F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) >= _need(F.col("a.n"), F.col("b.n"), threshold))
+    met = a.join(b, (F.col("a.token") == F.col("b.token")) & fits & (F.when(earlier, F.col("b.gone")).otherwise(F.col("a.gone") + 1) == 0))
+    return met.select(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).distinct()
+
+
+def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
+    """`docs` (id, nth, text) to (id, nth, line_no) of the lines with tokens that no earlier line matches."""
+    if not 0 < threshold <= 1:
+        raise ValueError(f"threshold {threshold}")
+    sets = written(_sets(docs, threshold), "line-sets")
+    gone, used = _verified(docs, _near(sets, threshold), threshold)
     gone = written(gone, "lines-gone")
     discard(*used)
-
-    # Then the join of all, for the sets that are still there as the later one.
-    some = some.join(gone.withColumn("gone", F.lit(True)), ["id", "line_no"], "left").withColumn("gone", F.col("gone").isNotNull())
-    posts = some.select("id", "line_no", "n", "gone", "whole", "half", F.posexplode("prefix").alias("i", "token"))
-    short = posts.where(F.col("i") < F.col("n") - F.ceil(F.lit(2 * threshold / (1 + threshold)) * F.col("n") - 1e-9) + MATCHES)
-    a, b = short.alias("a"), posts.alias("b")
-    need = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("a.n") + F.col("b.n")) - 1e-9)
-    earlier = (F.col("a.id") < F.col("b.id")) | ((F.col("a.id") == F.col("b.id")) & (F.col("a.line_no") < F.col("b.line_no")))
-    smaller = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & earlier)
-    fits = (F.col("a.n") >= F.lit(threshold) * F.col("b.n") - 1e-9) & (F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) + MATCHES - 1 >= need)
-    # No two sets differ by less than their counts do, bucket by bucket.
-    apart = F.lit(0)
-    for k in range(8):
-        at = lambda c, k=k: F.shiftrightunsigned(c, 8 * k).bitwiseAND(255)
-        a1, b1 = at(F.col("a.half")), at(F.col("b.half"))
-        apart = apart + F.abs(a1 - b1) + F.abs(at(F.col("a.whole")) - a1 - at(F.col("b.whole")) + b1)
-    fits = fits & ((F.col("b.n") > 255) | (apart <= F.col("a.n") + F.col("b.n") - 2 * need))
-    met = a.join(b, (F.col("a.token") == F.col("b.token")) & smaller & fits & ~F.when(earlier, F.col("b.gone")).otherwise(F.col("a.gone")))
-    pairs = met.groupBy(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).agg(F.count("*").alias("m")).where(f"m >= {MATCHES}")
-    turned = (F.col("ai") > F.col("bi")) | ((F.col("ai") == F.col("bi")) & (F.col("al") > F.col("bl")))
-    pairs = pairs.select(*[F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("ai", "bi"), ("al", "bl"), ("bi", "ai"), ("bl", "al"))])
-    later = _verified(docs, pairs, threshold)[0].union(gone)
+    later = _verified(docs, _met(sets, gone, threshold), threshold)[0].union(gone)
     kept = sets.select("id", "line_no").join(later, ["id", "line_no"], "left_anti")
     return kept.select("id", F.shiftright("line_no", 32).alias("nth"), F.col("line_no").bitwiseAND((1 << 32) - 1).cast("int").alias("line_no"))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> tuple[DataFrame, tuple[DataFrame, ...]]:
     """(id, line_no) of the later lines (bi, bl) that match their earlier one (ai, al), by the tokens themselves, and the
-    tables that it is read from. The lines in question are read again from the texts; a small lookup of hashed positions
-    keeps others out of the join."""
+    tables that it is read from. The lines in question are read again from the texts; a lookup of 2**ASKED bits keeps most
+    others out of the join."""
     pairs = written(pairs, "line-pairs")
     asked = pairs.select(F.col("ai").alias("id"), F.col("al").alias("line_no")).union(pairs.select("bi", "bl")).distinct()
     cell = F.xxhash64("id", "line_no").bitwiseAND((1 << ASKED) - 1)
-    wanted = _array(asked.select(cell.alias("cell")), F.lit(1), ASKED)
-    texts = _lines(docs).where(F.get(wanted, cell) == 1).join(asked, ["id", "line_no"]).select("id", "line_no", _tokens(F.col("line")).alias("t"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(63).cast("int"))
+    word = F.shiftright(cell, 6)
+    wanted = _lookup(asked.select(word.alias("cell"), bit.alias("v")), ASKED - 6)
+    texts = _lines(docs).where(F.get(wanted, word.cast("int")).bitwiseAND(bit) != 0).join(asked, ["id", "line_no"]).select("id", "line_no", _tokens(F.col("line")).alias("t"))
     texts = written(texts, "line-tokens")
     one, two = texts.toDF("ai", "al", "at"), texts.toDF("bi", "bl", "bt")
     both = F.size(F.array_intersect("at", "bt"))
@@ -193,9 +185,12 @@ def remove_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """`df` with later matches taken out of the texts; blank lines and all other columns stay. With `drop_emptied`,
     documents that had lines with tokens and have none left go."""
     keyed = _keyed(df, id_col, text_col)
-    kept = kept_lines(_docs(keyed, text_col), threshold=threshold).groupBy(F.col("id").alias("_id"), F.col("nth").alias("_nth")).agg(F.collect_list("line_no").alias("_kept"))
-    lines = F.filter(F.split(F.col(text_col), "\n"), lambda x, i: (F.trim(x) == "") | F.array_contains(F.coalesce("_kept", F.array().cast("array<int>")), i))
-    rows = keyed.join(kept, ["_id", "_nth"], "left")
+    kept = kept_lines(_docs(keyed, text_col), threshold=threshold).groupBy(F.col("id").alias("_id"), F.col("nth").alias("_nth")).agg(F.sort_array(F.collect_list("line_no")).alias("_kept"))
+    # A flag for each line up to the last one kept, so that a line's is found by its number.
+    before = lambda x, i: F.when(i == 0, -1).otherwise(F.get("_kept", i - 1))
+    flags = F.flatten(F.transform("_kept", lambda x, i: F.concat(F.array_repeat(F.lit(False), x - before(x, i) - 1), F.array(F.lit(True)))))
+    rows = keyed.join(kept.withColumn("_flags", flags), ["_id", "_nth"], "left")
+    lines = F.filter(F.split(F.col(text_col), "\n"), lambda x, i: (F.trim(x) == "") | F.coalesce(F.get("_flags", i), F.lit(False)))
     if drop_emptied:
         rows = rows.where(F.col("_kept").isNotNull() | F.col(text_col).isNull() | (F.trim(F.translate(text_col, "\n", " ")) == ""))
     return rows.withColumn(text_col, F.array_join(lines, "\n")).select(*df.columns)
