@@ -2,9 +2,10 @@
 
 A line is the set of its blank-separated tokens. Tokens are put in one global order, rarest first (the frequency class of
 the token's hash bucket over all texts, then the hash). By prefix filtering, two sets with a Jaccard similarity of at least
-the threshold share one of the first `n - ceil(t n) + 1` tokens of each. Only those are joined, under a length filter, a
-positional filter and a bound by parity: 64 bits of a set, each the parity of a share of its tokens, differ from another
-set's in no more bits than the sets differ in tokens. What meets is verified on its tokens. A line goes if any line before
+the threshold share 1 + k of the first `n - ceil(t n) + 1 + k` tokens of each (k is 0 for sets of under 64 tokens and grows
+with them, as chance meetings do). Only those are joined, under a length filter, a positional filter and a bound by parity:
+64 bits of a set, each the parity of a share of its tokens, differ from another set's in no more bits than the sets differ
+in tokens. What meets often enough is verified on its tokens. A line goes if any line before
 it, by document id and line number, matches it.
 
 Lines with equal sets are one set first, so that a line repeated in a third of all documents is one row in the join. Near
@@ -32,6 +33,8 @@ THRESHOLD = 0.8
 BITS, ASKED = 20, 22
 #: Tokens of a set that the first round looks at.
 RAREST = 8
+#: Rows of two numbers that may be broadcast; more of them are joined by a shuffle.
+SMALL = 1 << 19
 
 
 def _tokens(line: Column) -> Column:
@@ -44,7 +47,7 @@ def _lookup(rows: DataFrame, bits: int) -> Column:
     kind = rows.schema["v"].dataType
     every = rows.sparkSession.range(1 << bits).select(F.col("id").alias("cell"), F.lit(0).cast(kind).alias("v"))
     filled = rows.select("cell", "v").union(every).groupBy("cell").agg(F.bit_or("v").alias("v"))
-    in_order = lambda cs, at, v: F.transform(F.array_sort(F.collect_list(F.struct(at, v))), lambda x: x[v])
+    in_order = lambda cs, at, v: F.transform(F.sort_array(F.collect_list(F.struct(at, v))), lambda x: x[v])
     pieces = filled.groupBy(F.shiftright("cell", 11).alias("piece")).agg(in_order(filled, "cell", "v").alias("vs"))
     return pieces.agg(F.flatten(in_order(pieces, "piece", "vs")).alias("a")).scalar()
 
@@ -62,6 +65,11 @@ def _classes(docs: DataFrame) -> Column:
     return _lookup(counts.select("cell", F.least(F.floor(F.log2(F.col("count")) * 2), F.lit(63)).cast("tinyint").alias("v")), BITS)
 
 
+def _more(n: Column, threshold: float) -> Column:
+    """How many tokens over one two sets of at least n must share in their prefixes."""
+    return F.least(F.floor(n / 64).cast("int"), F.lit(4), F.ceil(n * F.lit(threshold) - 1e-9).cast("int") - 1)
+
+
 def _need(a: Column, b: Column, threshold: float) -> Column:
     """The least overlap of two sets of those sizes at the threshold."""
     return F.ceil(F.lit(threshold / (1 + threshold)) * (a + b) - 1e-9)
@@ -78,17 +86,17 @@ def _sets(docs: DataFrame, threshold: float) -> DataFrame:
     """A row per set of tokens: id, line_no (the first line that has it), n, parity, prefix (its first tokens, rarest first:
     6 bits of the frequency class, then 57 of the hash)."""
     hashed = F.array_distinct(F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w)))
-    # Each explode of one element keeps the optimizer from computing an array anew wherever it is used.
-    lines = _lines(docs).select("id", "line_no", F.explode(F.array(hashed)).alias("h")).where(F.size("h") > 0)
     # Subqueries may not stand inside lambdas; the optimizer merges the two selects, so that the lookup is in no row.
-    lines = lines.select("id", "line_no", "h", _classes(docs).alias("classes"))
-    keyed = F.transform("h", lambda h: F.shiftleft(F.get(F.col("classes"), h.bitwiseAND((1 << BITS) - 1).cast("int")).cast("long"), 57).bitwiseOR(h.bitwiseAND((1 << 57) - 1)))
-    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))
-    lines = lines.select("id", "line_no", keyed.alias("keys"), F.aggregate("h", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(h))).alias("parity"))
-    lines = lines.select("id", "line_no", "parity", F.explode(F.array(F.sort_array("keys"))).alias("keys"))
+    lines = _lines(docs).select("id", "line_no", hashed.alias("h"), _classes(docs).alias("classes"))
+    of = lambda h: F.coalesce(F.get(F.col("classes"), h.bitwiseAND((1 << BITS) - 1).cast("int")), F.lit(0).cast("tinyint"))
+    keyed = F.transform("h", lambda h: F.shiftleft(of(h).cast("long"), 57).bitwiseOR(h.bitwiseAND((1 << 57) - 1)))
+    # The explode of one element keeps the optimizer from computing the array anew wherever it is used.
+    lines = lines.select("id", "line_no", keyed.alias("keys")).select("id", "line_no", F.explode(F.array(F.sort_array("keys"))).alias("keys")).where(F.size("keys") > 0)
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(k, 51).bitwiseAND(63).cast("int"))
+    parity = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k))).alias("parity")
     n = F.size("keys")
-    prefix = F.slice("keys", 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + 1)
-    first = F.struct("id", "line_no", n.alias("n"), "parity", prefix.alias("prefix"))
+    prefix = F.slice("keys", 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + 1 + _more(n, threshold))
+    first = F.struct("id", "line_no", n.alias("n"), parity, prefix.alias("prefix"))
     sets = lines.select(F.xxhash64("keys").alias("h1"), F.xxhash64(F.lit(1), F.col("keys")).alias("h2"), first.alias("f")).groupBy("h1", "h2").agg(F.min("f").alias("f"))
     return sets.select("f.*")
 
@@ -101,48 +109,58 @@ def _near(sets: DataFrame, threshold: float) -> DataFrame:
     w = Window.partitionBy("token", F.pmod(F.xxhash64("id", "line_no"), parts)).orderBy("id", "line_no")
     one = F.struct("id", "line_no", "n", "parity")
     met = posts.select(one.alias("b"), F.first(one).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag(one).over(w).alias("last"))
-    met = met.select("b", F.explode(F.array("first", "last")).alias("a"))
-    met = met.where((F.col("a.id") != F.col("b.id")) | (F.col("a.line_no") != F.col("b.line_no"))).where(_fits("a", "b", threshold))
+    far = lambda a: ((F.col(f"{a}.id") != F.col("b.id")) | (F.col(f"{a}.line_no") != F.col("b.line_no"))) & _fits(a, "b", threshold)
+    met = met.where(far("first") | F.coalesce(far("last"), F.lit(False))).select("b", F.explode(F.array("first", "last")).alias("a")).where(far("a"))
     return met.select(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).distinct()
 
 
-def _met(sets: DataFrame, gone: DataFrame, threshold: float) -> DataFrame:
+def _met(sets: DataFrame, gone: DataFrame, threshold: float, small: bool) -> DataFrame:
     """Pairs (ai, al, bi, bl) of all sets that pass the filters, the later one not yet gone."""
-    some = sets.join(gone.withColumn("gone", F.lit(1)), ["id", "line_no"], "left")
+    gone = gone.withColumn("gone", F.lit(1))
+    some = sets.join(F.broadcast(gone) if small else gone, ["id", "line_no"], "left")
     # Both sides read the same shuffle: every condition is on both and they use the same columns, so that nothing is moved
     # below it on one side only.
     posts = some.select("id", "line_no", "n", "parity", F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("i", "token"))
     a, b = posts.alias("a"), posts.alias("b")
     earlier = (F.col("a.id") < F.col("b.id")) | ((F.col("a.id") == F.col("b.id")) & (F.col("a.line_no") < F.col("b.line_no")))
-    fits = _fits("a", "b", threshold) & (F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i")) >= _need(F.col("a.n"), F.col("b.n"), threshold))
+    n, m = F.col("a.n"), F.col("b.n")
+    more = _more(F.least(n, m), threshold)
+    fits = _fits("a", "b", threshold) & (F.least(n - F.col("a.i"), m - F.col("b.i")) + more >= _need(n, m, threshold))
     met = a.join(b, (F.col("a.token") == F.col("b.token")) & fits & (F.when(earlier, F.col("b.gone")).otherwise(F.col("a.gone") + 1) == 0))
-    return met.select(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).distinct()
+    met = met.groupBy(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).agg(F.count("*").alias("met"), F.max(more).alias("more"))
+    return met.where("met > more").drop("met", "more")
 
 
-def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` (id, nth, text) to (id, nth, line_no) of the lines with tokens that no earlier line matches."""
+def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD, small: int = SMALL) -> DataFrame:
+    """`docs` (id, nth, text) to (id, nth, line_no) of the lines with tokens that no earlier line matches. Up to
+    `small` rows of ids and line numbers are broadcast, more are shuffled; the results are the same."""
     if not 0 < threshold <= 1:
         raise ValueError(f"threshold {threshold}")
     sets = written(_sets(docs, threshold), "line-sets")
-    gone, used = _verified(docs, _near(sets, threshold), threshold)
+    gone, used = _verified(docs, _near(sets, threshold), threshold, small)
     gone = written(gone, "lines-gone")
     discard(*used)
-    later = _verified(docs, _met(sets, gone, threshold), threshold)[0].union(gone)
+    later = _verified(docs, _met(sets, gone, threshold, gone.count() <= small), threshold, small)[0].union(gone)
     kept = sets.select("id", "line_no").join(later, ["id", "line_no"], "left_anti")
     return kept.select("id", F.shiftright("line_no", 32).alias("nth"), F.col("line_no").bitwiseAND((1 << 32) - 1).cast("int").alias("line_no"))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> tuple[DataFrame, tuple[DataFrame, ...]]:
+def _verified(docs: DataFrame, pairs: DataFrame, threshold: float, small: int) -> tuple[DataFrame, tuple[DataFrame, ...]]:
     """(id, line_no) of the later lines (bi, bl) that match their earlier one (ai, al), by the tokens themselves, and the
-    tables that it is read from. The lines in question are read again from the texts; a lookup of 2**ASKED bits keeps most
-    others out of the join."""
+    tables that it is read from. The lines in question are read again from the texts; if they are many, a lookup of
+    2**ASKED bits keeps most others out of the join."""
     pairs = written(pairs, "line-pairs")
     asked = pairs.select(F.col("ai").alias("id"), F.col("al").alias("line_no")).union(pairs.select("bi", "bl")).distinct()
-    cell = F.xxhash64("id", "line_no").bitwiseAND((1 << ASKED) - 1)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(63).cast("int"))
-    word = F.shiftright(cell, 6)
-    wanted = _lookup(asked.select(word.alias("cell"), bit.alias("v")), ASKED - 6)
-    texts = _lines(docs).where(F.get(wanted, word.cast("int")).bitwiseAND(bit) != 0).join(asked, ["id", "line_no"]).select("id", "line_no", _tokens(F.col("line")).alias("t"))
+    texts = _lines(docs)
+    if 2 * pairs.count() <= small:
+        asked = F.broadcast(asked)
+    else:
+        cell = F.xxhash64("id", "line_no").bitwiseAND((1 << ASKED) - 1)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(63).cast("int"))
+        word = F.shiftright(cell, 6)
+        wanted = _lookup(asked.select(word.alias("cell"), bit.alias("v")), ASKED - 6)
+        texts = texts.where(F.get(wanted, word.cast("int")).bitwiseAND(bit) != 0)
+    texts = texts.join(asked, ["id", "line_no"]).select("id", "line_no", _tokens(F.col("line")).alias("t"))
     texts = written(texts, "line-tokens")
     one, two = texts.toDF("ai", "al", "at"), texts.toDF("bi", "bl", "bt")
     both = F.size(F.array_intersect("at", "bt"))

@@ -2,10 +2,12 @@
 
 import random
 
+import pytest
+
 from sedgeline.llm import lines
 
 
-def plain(docs):
+def plain(docs, threshold=0.8):
     seen, kept = [], {}
     for i, text in sorted(((i, t or "") for i, t in docs), key=lambda r: r[0]):
         kept[i] = []
@@ -13,7 +15,7 @@ def plain(docs):
             s = {w for w in line.split(" ") if w}
             if not s:
                 continue
-            if not any(len(s & o) >= 0.8 * len(s | o) for o in seen):
+            if not any(len(s & o) >= threshold * len(s | o) - 1e-9 for o in seen):
                 kept[i].append(k)
             seen.append(s)
     return kept
@@ -77,3 +79,42 @@ def test_rows_that_share_an_id_against_all_pairs(spark):
     assert report == sorted((i, n(t), n(t) - len(ks), ks) for i, t, ks in want)
     got = sorted((repr(r.doc_id), r.text or "") for r in lines.remove_lines(df).collect())
     assert got == sorted((i, left(t, ks)) for i, t, ks in want)
+
+
+@pytest.mark.parametrize(("threshold", "small"), [(0.5, lines.SMALL), (0.6, 0), (0.8, 0), (0.9, 5), (1.0, lines.SMALL)])
+def test_thresholds_and_paths_against_all_pairs(spark, threshold, small):
+    r = random.Random(int(100 * threshold))
+    docs = corpus(5, 60)
+    # Long lines, for which several shared tokens are asked, with copies around the threshold; and the shortest lines.
+    for k in range(12):
+        long = [f"v{k}x{r.randrange(400)}" for _ in range(r.choice([70, 150, 330]))]
+        for share in (0.0, 0.02, 0.1, 0.2, 0.4):
+            docs.append((len(docs), " ".join(w if r.random() > share else f"u{r.randrange(99)}" for w in long) + "\na b c\na b c d\na b"))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    kept = lines.kept_lines(lines._docs(lines._keyed(df, "doc_id", "text"), "text"), threshold=threshold, small=small)
+    got = {}
+    for row in kept.collect():
+        got.setdefault(row.id, []).append(row.line_no)
+    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in plain(docs, threshold).items() if v}
+
+
+def test_odd_thresholds(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    for bad in (0, 1.5):
+        with pytest.raises(ValueError):
+            lines.line_report(df, threshold=bad)
+
+
+def test_lookup_is_in_no_row(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    plan = lines._sets(lines._docs(lines._keyed(df, "doc_id", "text"), "text"), 0.8)._jdf.queryExecution().optimizedPlan().toString()
+    assert "classes" not in plan and "scalar-subquery" in plan
+
+
+def test_very_long_text(spark):
+    text = "\n".join(f"row {k} of {k * k} and {k % 7}" for k in range(30_000))
+    df = spark.createDataFrame([(1, text), (2, "row 5 of 25 and 5\nnew words here to stay")], "doc_id long, text string")
+    got = {r.doc_id: r for r in lines.line_report(df).collect()}
+    assert got[2].kept_lines == [1] and got[1].n_lines == 30_000
+    out = {r.doc_id: r.text for r in lines.remove_lines(df).collect()}
+    assert out[2] == "new words here to stay" and out[1].count("\n") == len(got[1].kept_lines) - 1
