@@ -3,10 +3,11 @@
 Each task packs its own rows in the order in which it reads them, so that there is no shuffle and no state beyond the
 open windows of one task. A document's full windows are cut off its front; the rest, shorter than a window, goes to the
 fill level that minimises the sum of squared counts of partially filled windows, which a level array tracks. At the end
-of a task the windows still open are emptied, and their pieces, cut where needed, fill whole windows; what then remains,
-less than one window for each task, goes to sequences whose lengths are powers of two and need no padding.
+of a task the emptiest of the windows still open are emptied, one by one, and their pieces, cut where needed, fill the
+fullest ones up; all others stay as they were placed. What then remains, less than one window for each task, goes to
+sequences whose lengths are powers of two and need no padding.
 
-Defined results: a null text is an empty text; an empty text is the end token alone; repeated rows are packed once each;
+Defined results: special tokens inside a text get their ids, as the library does; a null text is an empty text; an empty text is the end token alone; repeated rows are packed once each;
 a null id stays null; an empty table gives no rows; columns other than the two named are ignored.
 """
 
@@ -30,7 +31,8 @@ _ODD = re.compile("[^\x00-\x1b\x20-\u024f]")
 
 class WordTokenizer:
     """Ids of a byte-level BPE vocabulary file of the `tokenizers` library. Common texts are encoded, to the same ids, by
-    `tiktoken` from the file's own table, which takes a third of the CPU time; texts with rare characters by `tokenizers`."""
+    `tiktoken` from the file's own table, which takes a third of the CPU time; texts with rare characters or with special
+    tokens by `tokenizers`."""
 
     def __init__(self, path: str):
         import public_tokenizers
@@ -38,7 +40,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
+        added = sorted(t.content for t in self.lib.get_added_tokens_decoder().values())
+        self.odd = re.compile("|".join([_ODD.pattern, *map(re.escape, added)]))
         # The byte-level alphabet: printable bytes stand for themselves, the others follow from code point 256 on.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
@@ -46,7 +49,7 @@ class WordTokenizer:
         self.fast = tiktoken.Encoding("table", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
-        if _ODD.search(text):
+        if self.odd.search(text):
             return np.array(self.lib.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.fast.encode_to_numpy(text, disallowed_special=())
 
@@ -82,8 +85,9 @@ class SumOfSquares:
         self.count[level + size] += 1
         return None
 
-    def rest(self) -> list:
-        return [p for level in reversed(self.open) for pieces in level for p in pieces]
+    def rest(self) -> list[tuple[int, list]]:
+        """The windows still open with their fill, the fullest first."""
+        return [(fill, pieces) for fill in range(self.window - 1, 0, -1) for pieces in self.open[fill]]
 
 
 def _pieces(docs: Iterator[tuple], window: int) -> Iterator[list]:
@@ -95,20 +99,42 @@ def _pieces(docs: Iterator[tuple], window: int) -> Iterator[list]:
             yield [(doc, s, ids[s : s + window], n)]
         if cut < n and (full := bins.add((doc, cut, ids[cut:], n), n - cut)):
             yield full
-    left = bins.rest()
-    total = sum(len(p[2]) for p in left)
-    sizes = [window] * (total // window) + [1 << b for b in range(window.bit_length(), -1, -1) if total % window >> b & 1]
-    k = at = 0
-    for size in sizes:
-        out, room = [], size
-        while room:
-            doc, s, ids, n = left[k]
-            take = min(room, len(ids) - at)
-            out.append((doc, s + at, ids[at : at + take], n))
-            room, at = room - take, at + take
-            if at == len(ids):
-                k, at = k + 1, 0
-        yield out
+    yield from _closed(bins.rest(), window)
+
+
+def _closed(left: list[tuple[int, list]], window: int) -> Iterator[list]:
+    """Open windows, the fullest first, closed: what the emptiest ones hold fills up the others."""
+    pool: list = []
+    first, last = 0, len(left) - 1
+
+    def take(room: int) -> list:
+        """Up to so many tokens from the pool, the last piece cut if need be."""
+        out = []
+        while room and pool:
+            doc, s, ids, n = pool.pop()
+            out.append((doc, s, ids[:room], n))
+            if len(ids) > room:
+                pool.append((doc, s + room, ids[room:], n))
+            room -= len(out[-1][2])
+        return out
+
+    while first <= last:
+        fill, pieces = left[first]
+        while fill < window and (pool or first < last):
+            if not pool:
+                pool += reversed(left[last][1])
+                last -= 1
+            got = take(window - fill)
+            pieces = pieces + got
+            fill += sum(len(p[2]) for p in got)
+        first += 1
+        if fill == window:
+            yield pieces
+        else:  # the last one, and the pool is empty
+            pool += reversed(pieces)
+    total = sum(len(p[2]) for p in pool)
+    for size in (1 << b for b in range(window.bit_length(), -1, -1) if total >> b & 1):
+        yield take(size)
 
 
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = WINDOW, tokenizer: str | None = None, end_id: int = END, with_ids: bool = False) -> DataFrame:

@@ -46,7 +46,6 @@ def test_packing_is_a_partition_of_all_ids(spark):
     from tokenizers import Tokenizer
 
     lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    lib.encode_special_tokens = True
     got = packing.pack(df.selectExpr("*", "1 AS length"), window=64, with_ids=True).collect()
     want = sorted(lib.encode(t or "", add_special_tokens=False).ids + [1] for _, t in rows)
     by, seqs = {}, {}
@@ -67,6 +66,32 @@ def test_packing_is_a_partition_of_all_ids(spark):
     assert packing.pack(df.limit(0)).count() == 0
 
 
+def test_packing_keeps_what_was_placed():
+    r = np.random.default_rng(4)
+    docs = [(k, r.integers(0, 9, int(n))) for k, n in enumerate(r.geometric(0.004, 700))]
+    bins = packing.SumOfSquares(512)
+    for k, ids in docs:
+        n = len(ids) % 512
+        if n:
+            bins.add((k, len(ids) - n, ids[len(ids) - n :], len(ids)), n)
+    left = bins.rest()
+    windows = list(packing._closed(left, 512))
+    kept = {id(p[2]) for w in windows for p in w if len(w) and sum(len(x[2]) for x in w) == 512}
+    placed = sum(len(p[2]) for _, ps in left for p in ps)
+    assert sum(len(p[2]) for _, ps in left for p in ps if id(p[2]) in kept) >= 0.9 * placed - 512
+    assert sorted((p[0], p[1] + k) for w in windows for p in w for k in range(len(p[2]))) == sorted((p[0], p[1] + k) for _, ps in left for p in ps for k in range(len(p[2])))
+    short = [sum(len(p[2]) for p in w) for w in windows if sum(len(p[2]) for p in w) < 512]
+    assert sum(short) < 512 and all(n & (n - 1) == 0 for n in short)
+    assert list(packing._closed([], 512)) == []
+
+
+def test_long_text_and_window_of_one(spark):
+    df = spark.createDataFrame([(1, "word " * 60_000), (2, "a")], "doc_id long, text string")
+    got = packing.pack(df).collect()
+    assert sum(r.length for r in got if r.doc_id == 1) == next(r.doc_tokens for r in got if r.doc_id == 1)
+    assert all(r.length == 1 and r.sequence_tokens == 1 for r in packing.pack(df.where("doc_id = 2"), window=1).collect())
+
+
 def test_level_choice_is_the_least_sum():
     r = np.random.default_rng(2)
     bins = packing.SumOfSquares(16)
