@@ -1,23 +1,29 @@
 """Near copies by a MinHash LSH forest over five-word shingles, verified exactly (Jaccard of 0.8 or more).
 
-A text's signature gives each tree of the forest a label, a sequence of minima. The forest's tries are kept as sorted
-prefixes of those labels: from the full label, the matched prefix is shortened until the chance that a pair at the
-threshold meets in some tree reaches the target recall (`depth`). Texts that share such a prefix form a bucket.
-
-Inside a bucket, leaders are compared with the other members by signature; members almost equal to a leader lead no
-more, so that a bucket of near copies costs one comparison each, and no bucket emits all its pairs. Large buckets are
-dealt out in salted parts first, whose leaders then meet. By the triangle inequality of the Jaccard distance the wide
-bound for signatures loses no pair at the threshold. What is linked so far, a candidate group, is verified exactly, all
-pairs of it, in blocks of chunks with one matrix product each; a block returns sums per document and a spanning forest.
-
-Equal texts are one class before all that. Defined results: words are what white space separates, case counts; a text of
-fewer than five words has one shingle of all its words; a null text is an empty text; texts without words are linked to
-their equals only; a null id takes part and stays null; repeated rows are copies; an empty table gives no rows.
+A text's signature gives each tree of the forest a label, a sequence of minima. A tree's trie is kept as its sorted labels:
+the texts below a node are a run of labels with a common prefix. A text is first matched by its whole label, then by
+prefixes that are shortened a digit at a time: it goes up to the next shorter prefix as long as no other text there stands
+for it (one that is almost equal by signature, a leader, goes up in its place), until the chance that a pair at the
+threshold meets in some tree reaches the target recall (`depth`). At each node that a text comes to, it is compared by
+signature with those that came there too, so that a node of near copies costs about one comparison each, and none emits all
+its pairs. Nodes of very many texts are dealt out in salted parts first, whose leaders then meet. What is linked so far, a
+candidate group, is verified exactly, all pairs of it, in blocks of chunks with one matrix product each; a block returns
+sums per document and a spanning forest.
+
+The bounds for signatures follow from the threshold by the triangle inequality of the Jaccard distance, with two standard
+errors of an estimate from 128 minima to spare: a pair at the threshold of which both texts are stood for by others, thrice
+over, is still linked in a tree in about 97 of 100 cases, and pairs mostly meet in several trees.
+
+Equal texts are one class before all that, whatever their ids. Defined results: words are what white space separates, case
+counts; a text of fewer than five words has one shingle of all its words; a null text is an empty text; texts without
+words are linked to their equals only; a null id takes part and stays null; rows that share an id are texts of their own,
+and where several groups would go by one id, all but one of them, like groups of null ids alone, go by a negative number
+made from a text; of rows with equal ids and texts `keep_one` keeps any one; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
+import math
 from functools import partial
 
 import numpy as np
@@ -32,8 +38,8 @@ from .graph import components
 U = np.uint64
 N, THRESHOLD = 5, 0.8
 TREES, LONGEST, RECALL = 16, 8, 0.998
-#: Signature bounds: a pair at the threshold is at least 0.7 from any leader that holds one of its texts at 0.95.
-LINK, ABSORB = 0.55, 0.95
+#: Digits of a label beyond the shortest prefix that are kept, 16 bits each.
+TAIL = 3
 PART, CHUNK = 4096, 200
 RNG = np.random.default_rng(20240229)
 MULTIPLIERS = RNG.integers(0, 1 << 63, TREES * LONGEST, dtype=np.uint64) * U(2) + U(1)
@@ -52,6 +58,13 @@ def depth(threshold: float = THRESHOLD, target: float = RECALL, trees: int = TRE
     return d
 
 
+def bounds(threshold: float = THRESHOLD) -> tuple[float, float]:
+    """The signature similarities from which two texts are linked, and from which one stands for the other."""
+    absorb = 1 - 0.15 * (1 - threshold)
+    spread = math.sqrt(threshold * (1 - threshold) / (TREES * LONGEST))
+    return max(threshold - 6 * (1 - absorb) - 2 * spread, 0.02), absorb
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int = N) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of texts that lie end to end, and how many each has (repeats included)."""
     starts, ends, counts = W.split(data, offsets)
@@ -73,44 +86,36 @@ def shingles(data: np.ndarray, offsets: np.ndarray, n: int = N) -> tuple[np.ndar
 
 
 def _signatures(batches, prefix: int):
-    """id, text hash, number of shingles, the bucket keys of all trees, a byte of each minimum."""
+    """id, h1, h2, the trees' labels (a hash of the first `prefix` minima, then 16 bits of each of TAIL further ones), a byte of each minimum."""
     for b in batches:
-        data, offsets = W.bytes_of(b.column(1))
-        ids = b.column(0)
+        data, offsets = W.bytes_of(b.column(0))
         for x, y in W.chunks(offsets):
-            part, off = data[offsets[x] : offsets[y]], offsets[x : y + 1] - offsets[x]
-            s, counts = shingles(part, off)
+            s, counts = shingles(data[offsets[x] : offsets[y]], offsets[x : y + 1] - offsets[x])
             some = counts > 0
             at = (np.cumsum(counts) - counts)[some]
             minima = np.zeros((TREES * LONGEST, len(counts)), U)
+            labels = np.zeros((len(counts), TREES, 2), U)
             with np.errstate(over="ignore"):
                 if len(at):
                     for k, m in enumerate(MULTIPLIERS):
                         minima[k, some] = np.minimum.reduceat(s * m, at)
-                keys = np.zeros((TREES, len(counts)), U)
                 for t in range(TREES):
                     h = np.full(len(counts), U(t + 1))
-                    for d in range(prefix):
-                        h = W.mix(h + minima[t * LONGEST + d])
-                    keys[t] = h
+                    for d in range(LONGEST):
+                        digit = minima[t * LONGEST + d]
+                        if d < prefix:
+                            h = W.mix(h + digit)
+                        elif d < prefix + TAIL:
+                            labels[:, t, 1] = labels[:, t, 1] << U(16) | W.mix(digit) >> U(48)
+                    labels[:, t, 0] = h
             low = np.ascontiguousarray((W.mix(minima) & U(255)).astype(np.uint8).T)
-            keys = np.ascontiguousarray(keys.T)
-            view = part.tobytes()
-            yield pa.RecordBatch.from_pydict({
-                "id": ids.slice(x, y - x),
-                "doc_id": b.column(2).slice(x, y - x),
-                "text_hash": [hashlib.blake2b(view[off[i] : off[i + 1]], digest_size=16).digest() for i in range(len(counts))],
-                "n": pa.array(counts, pa.int64()),
-                "keys": [k.tobytes() if z else None for k, z in zip(keys, some, strict=True)],
-                "sig": [k.tobytes() for k in low],
-            })
-
-
-def _bucket_rows(batches):
+            yield pa.RecordBatch.from_arrays([*(c.slice(x, y - x) for c in b.columns[1:]), pa.array([k.tobytes() if z else None for k, z in zip(labels, some, strict=True)], pa.binary()), pa.array([k.tobytes() for k in low], pa.binary())], names=["id", "h1", "h2", "labels", "sig"])
+
+
+def _label_rows(batches):
     for b in batches:
-        reps, keys = b.column(0).to_numpy(), b.column(1).drop_null()
-        keys = np.frombuffer(b"".join(keys.to_pylist()), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(reps, TREES))], names=["key", "rep"])
+        reps, labels = b.column(0).to_numpy(), np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(labels[:, 0]), pa.array(labels[:, 1]), pa.array(np.repeat(reps, TREES))], names=["key", "tail", "rep"])
 
 
 def _runs(batches, n_keys: int):
@@ -135,28 +140,43 @@ def _runs(batches, n_keys: int):
         yield key, pa.Table.from_batches(held)
 
 
-def _led(batches):
+def _climb(tails: np.ndarray, sig: np.ndarray, digits: int, link: float, absorb: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of the sorted labels below one node, `digits` longer than its prefix: the least member that each is connected with,
+    and which are still leaders when all have come up to the node."""
+    free, root = np.ones(len(tails), bool), np.arange(len(tails))
+    for level in range(digits, -1, -1):  # digits that must agree; shorter prefixes from round to round
+        up = np.flatnonzero(free)
+        node = tails[up] >> (16 * (digits - level))
+        edges = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1], [True]]))
+        for x, y in zip(edges[:-1], edges[1:], strict=True):
+            here = up[x:y]
+            if len(here) < 2:
+                continue
+            rows, there = sig[here], np.ones(len(here), bool)
+            for i in range(len(here)):
+                if not there[i]:
+                    continue
+                est = (rows == rows[i]).mean(1)
+                met = np.unique(root[here[est >= link]])
+                if len(met) > 1:
+                    root[np.isin(root, met)] = met[0]
+                there &= est < absorb
+                there[i] = True
+            free[here[~there]] = False
+    return root, free
+
+
+def _led(batches, digits: int, link: float, absorb: float):
     """Within each (key, part): an edge from every member to the least member that leaders connect it with, and whether it
-    has led; as many rows as members."""
+    leads; as many rows as members."""
     out = []
     for (key, _), t in _runs(batches, 2):
-        reps = t["rep"].to_numpy()
-        order = np.argsort(reps)
+        reps, tails = t["rep"].to_numpy(), t["tail"].to_numpy()
+        order = np.lexsort((reps, tails))
         reps = reps[order]
-        raw = t["sig"].combine_chunks()
-        sig = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(len(reps), -1)[order]
-        free, lead = np.ones(len(reps), bool), np.zeros(len(reps), bool)
-        root = np.arange(len(reps))
-        for i in range(len(reps)):
-            if not free[i]:
-                continue
-            est = (sig == sig[i]).mean(1)
-            met = np.unique(root[est >= LINK])
-            if len(met) > 1:
-                root[np.isin(root, met)] = met[0]
-            free &= est < ABSORB
-            lead[i] = True
-        out.append((np.full(len(reps), key), reps, reps[root], lead))
+        sig = np.frombuffer(b"".join(t["sig"].combine_chunks().to_pylist()), np.uint8).reshape(len(reps), -1)[order]
+        root, lead = _climb(tails[order], sig, digits, link, absorb)
+        out.append((np.full(len(reps), key), tails[order], reps, reps[root], lead))
         if sum(len(x[0]) for x in out) > 50_000:
             yield _edges(out)
             out = []
@@ -165,7 +185,7 @@ def _led(batches):
 
 
 def _edges(out):
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["key", "a", "b", "lead"])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["key", "tail", "a", "b", "lead"])
 
 
 def _verified(batches, threshold: float):
@@ -214,52 +234,69 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(out, pa.binary())], names=[*b.schema.names[1:], "shingles"])
 
 
-def _inner_id(id_col: str, text: Column) -> Column:
-    """Ids that are null go by a negative number of their text."""
-    return F.coalesce(F.col(id_col).cast("long"), -(F.xxhash64(text).bitwiseAND((1 << 62) - 1)) - 2)
+def _keys(df: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """text, id, and the two hashes by which equal texts are known."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return [text.alias("text"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
 
 
 def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD, target: float = RECALL) -> DataFrame:
     """A row per document: doc_id, class_id (least id of its group of near copies), copy_of (least id of equal texts) and
     n_links (documents at the threshold or above, copies included)."""
-    return _classes(df, id_col, text_col, threshold, target).select("doc_id", "class_id", "copy_of", "n_links")
+    made, found = _classes(df, id_col, text_col, threshold, target)
+    return made.select("id", "h1", "h2").join(found, ["h1", "h2"]).select(F.col("id").alias("doc_id"), "class_id", "copy_of", "n_links")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD, target: float = RECALL) -> DataFrame:
-    """`df` with the document of the least id of each group of near copies, all its columns as they are."""
-    heads = _classes(df, id_col, text_col, threshold, target).where("id = class_id").select(F.col("id").alias("_id")).distinct()
-    rows = df.withColumn("_id", _inner_id(id_col, F.coalesce(F.col(text_col), F.lit(""))))
-    return rows.join(heads, "_id", "left_semi").dropDuplicates(["_id"]).select(*df.columns)
-
-
-def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float, target: float) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    docs = df.select(_inner_id(id_col, text).alias("id"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    made = written(docs.select("id", "text", "doc_id").mapInArrow(partial(_signatures, prefix=depth(threshold, target)), "id long, doc_id long, text_hash binary, n long, keys binary, sig binary"), "near-signatures")
-    # A class of equal texts goes by its least id; the aggregate is partial, so that copies are not gathered.
-    least = made.groupBy("text_hash").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.min_by("keys", "id").alias("keys"), F.min_by("sig", "id").alias("sig"))
-    reps = written(least, "near-classes")
-    rows = reps.where("keys is not null").select("rep", "keys").mapInArrow(_bucket_rows, "key long, rep long")
+    """`df` with the document of the least id of each group of near copies, all its columns as they are. A text that shares
+    its id with another text comes after those that do not."""
+    _, found = _classes(df, id_col, text_col, threshold, target)
+    heads = found.where("copy_of = class_id").select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.coalesce("least", F.lit(0)).alias("_id"), F.col("least").isNull().alias("_none"))
+    _, id_, h1, h2 = _keys(df, id_col, text_col)
+    rows = df.withColumns({"_h1": h1, "_h2": h2, "_id": F.coalesce(id_, F.lit(0)), "_none": id_.isNull()})
+    keys = ["_h1", "_h2", "_id", "_none"]
+    return rows.join(heads, keys, "left_semi").dropDuplicates(keys).select(*df.columns)
+
+
+def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float, target: float) -> tuple[DataFrame, DataFrame]:
+    """The documents with the hashes of their texts, and of each text: h1, h2, least (id), copy_of, class_id, n_links."""
+    docs = df.select(*_keys(df, id_col, text_col))
+    least = depth(threshold, target)
+    made = written(docs.mapInArrow(partial(_signatures, prefix=least), "id long, h1 long, h2 long, labels binary, sig binary"), "near-signatures")
+    # A class of equal texts; the aggregate is partial, so that copies are not gathered. Numbers are given as the table is written.
+    reps = made.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.max("labels").alias("labels"), F.max("sig").alias("sig"))
+    reps = written(reps.withColumn("rep", F.monotonically_increasing_id()), "near-classes")
+    rows = reps.where("labels is not null").select("rep", "labels").mapInArrow(_label_rows, "key long, tail long, rep long")
     shared = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     rows = rows.join(shared, "key").join(reps.select("rep", "sig"), "rep")
-    rows = rows.select("key", F.pmod(F.xxhash64("rep"), F.ceil(F.col("m") / PART)).cast("long").alias("part"), "rep", "sig", "m")
-    lead = "key long, a long, b long, lead boolean"
-    one = written(rows.repartition("key", "part").sortWithinPartitions("key", "part").select("key", "part", "rep", "sig").mapInArrow(_led, lead), "near-edges")
-    # The leaders of a bucket that was dealt out meet in a second round.
-    heads = one.where("lead").join(shared.where(F.col("m") > PART), "key").select("key", F.lit(0).cast("long").alias("part"), F.col("a").alias("rep")).distinct()
-    two = heads.join(reps.select("rep", "sig"), "rep").select("key", "part", "rep", "sig").repartition("key").sortWithinPartitions("key", "part").mapInArrow(_led, lead)
+    rows = rows.select("key", F.pmod(F.xxhash64("rep"), F.ceil(F.col("m") / PART)).cast("long").alias("part"), "rep", "tail", "sig")
+    link, absorb = bounds(threshold)
+    climb = partial(_led, digits=min(LONGEST - least, TAIL), link=link, absorb=absorb)
+    lead = "key long, tail long, a long, b long, lead boolean"
+    one = written(rows.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(climb, lead), "near-edges")
+    # The leaders of a node that was dealt out meet in a second round.
+    heads = one.where("lead").join(shared.where(F.col("m") > PART), "key").select("key", F.lit(0).cast("long").alias("part"), F.col("a").alias("rep"), "tail")
+    two = heads.join(reps.select("rep", "sig"), "rep").select("key", "part", "rep", "tail", "sig").repartition("key").sortWithinPartitions("key", "part").mapInArrow(climb, lead)
     groups = written(components(one.union(two).select("a", "b")), "near-groups")
     # Candidate groups in chunks, and every pair of chunks of a group as a block.
     size = groups.groupBy("root").agg(F.ceil(F.count("*") / CHUNK).alias("parts"))
     members = groups.join(size, "root").select(F.col("node").alias("rep"), "root", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("long").alias("own"))
-    members = members.join(reps.select("rep", "copies"), "rep")
-    sets = docs.select(F.col("id").alias("rep"), "text").join(members, "rep").dropDuplicates(["rep"]).select("text", "rep", "root", "parts", "own", "copies").mapInArrow(_sets, "rep long, root long, parts long, own long, copies long, shingles binary")
+    # One document of each class, the least, has the text; those without an id or with one that is shared may be several.
+    members = members.join(reps.select("rep", "copies", "h1", "h2", F.coalesce("least", F.lit(0)).alias("id")), "rep")
+    texts = docs.select("text", F.coalesce("id", F.lit(0)).alias("id"), "h1", "h2")
+    sets = texts.join(members, ["id", "h1", "h2"]).dropDuplicates(["rep"]).select("text", "rep", "root", "parts", "own", "copies").mapInArrow(_sets, "rep long, root long, parts long, own long, copies long, shingles binary")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
     blocks = sets.select("*", other.alias("other")).select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "rep", "copies", "shingles")
     checked = blocks.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(partial(_verified, threshold=threshold), "a long, b long, links long")
     checked = written(checked, "near-links")
     links = checked.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("others"))
     roots = components(checked.select("a", "b")).withColumnRenamed("node", "rep")
-    found = reps.select("rep", "copies", "text_hash").join(links, "rep", "left").join(roots, "rep", "left")
-    found = found.select("text_hash", "rep", F.coalesce("root", "rep").alias("root"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return made.select("id", "doc_id", "text_hash").join(found, "text_hash").select("id", "doc_id", F.col("root").alias("class_id"), F.col("rep").alias("copy_of"), "n_links")
+    # The number that a text goes by: its least id, if no other text goes by that one.
+    other_number = -(F.col("h1").bitwiseAND((1 << 62) - 1)) - 2
+    owners = reps.where("least is not null").groupBy("least").agg(F.min(F.struct("h1", "h2")).alias("owner"), F.count("*").alias("n")).where("n > 1").drop("n")
+    named = reps.select("rep", "copies", "h1", "h2", "least").join(owners, "least", "left")
+    owned = F.col("least").isNotNull() & (F.col("owner").isNull() | (F.col("owner") == F.struct("h1", "h2")))
+    found = named.withColumn("other", ~owned).withColumn("copy_of", F.when(owned, F.col("least")).otherwise(other_number)).join(links, "rep", "left").join(roots, "rep", "left")
+    found = written(found.select("h1", "h2", "least", "other", "copy_of", F.coalesce("root", "rep").alias("root"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "near-found")
+    names = found.groupBy("root").agg(F.min(F.struct("other", "copy_of")).alias("class"))
+    return made, found.join(names, "root").select("h1", "h2", "least", "copy_of", F.col("class.copy_of").alias("class_id"), "n_links")

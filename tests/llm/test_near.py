@@ -83,3 +83,48 @@ def test_components(spark):
     e = spark.createDataFrame([(k, k + 1) for k in range(1, 40)] + [(100, 99), (99, 98), (5, 5)], "a long, b long")
     got = {r.node: r.root for r in components(e).collect()}
     assert got == {k: 1 for k in range(1, 41)} | {98: 98, 99: 98, 100: 98}
+
+
+def test_rows_that_share_an_id(spark):
+    a, b, c = ("one two three four five six seven", "eight nine ten eleven twelve", "red green blue black white")
+    rows = [(7, a), (7, b), (8, b + " z"), (None, c), (None, c), (None, "x y z u v w"), (9, a), (3, "x y z u v w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted((r.doc_id or -1, r.text) for r in near.keep_one(df).collect())
+    # One of each text; where a text has ids, the least.
+    assert kept == sorted([(7, a), (7, b), (8, b + " z"), (-1, c), (3, "x y z u v w")])
+    got = near.near_copies(df.selectExpr("*", "1 AS least", "2 AS other", "3 AS root")).collect()
+    assert len({r.class_id for r in got}) == 5 and sorted(r.n_links for r in got) == [0, 0, 1, 1, 1, 1, 1, 1]
+
+
+def test_keep_one_keeps_one_of_each_group(spark):
+    rows = list(enumerate(corpus(11, 150)))
+    rows = [(None if k % 13 == 0 else k // 3 if k % 5 == 0 else 1000 + k, t) for k, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = plain([(k, t) for k, (_, t) in enumerate(rows)])
+    group = {t or "": want[k][0] for k, (_, t) in enumerate(rows)}
+    kept = [group[r.text or ""] for r in near.keep_one(df).collect()]
+    assert sorted(kept) == sorted(set(group.values()))
+
+
+def test_lower_threshold_against_all_pairs(spark):
+    rows = list(enumerate(corpus(6, 120)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r.n_links for r in near.near_copies(df, threshold=0.5).collect()}
+    sets = [shingle_set(t) for _, t in rows]
+    for i, (_, t) in enumerate(rows):
+        same = [j for j, (_, u) in enumerate(rows) if j != i and ((t or "") == (u or "") or (sets[i] and len(sets[i] & sets[j]) >= 0.5 * len(sets[i] | sets[j])))]
+        assert got[i] == len(same)
+
+
+def test_climb_shortens_prefixes(spark):
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    one = r.integers(0, 256, 128).astype(np.uint8)
+    near_one = one.copy()
+    near_one[:20] += 1
+    far = r.integers(0, 256, 128).astype(np.uint8)
+    tails = np.array([0x000100020003, 0x000100020003, 0x000100020009, 0x000100070000, 0x000900000000])
+    sig = np.stack([one, one, near_one, far, near_one])
+    root, lead = near._climb(tails, sig, 3, 0.55, 0.97)
+    assert root.tolist() == [0, 0, 0, 3, 0] and lead.tolist() == [True, False, True, True, False]
