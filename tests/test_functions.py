@@ -32,7 +32,7 @@ def test_names(spark):
 
 
 def test_hash_ids(spark):
-    name = "com:example:Thermostat"
+    name = "orchard:water:Sprinkler"
     want = str(10**12 + int.from_bytes(hashlib.sha256(name.encode()).digest()[:8], "big") % 10**12)
     assert column(spark, ids.hash_id(F.col("x")), [(f"dtmi:{name};1",), (f"dtmi:{name};2",)], "x string") == [want, want]
     want += f"{int(hashlib.md5(b'p').hexdigest()[:8], 16) % 10000:04d}"

@@ -1,7 +1,9 @@
 """Digital-twin models and business-data documents: parsing, conversion, checks."""
 
+import hashlib
+
 import pytest
-from documents import CUSTOMER, MANIFEST, MODEL, ROOM, THERMOSTAT
+from documents import MANIFEST, MISTER, MODEL, READER, SPRINKLER
 
 from sedgeline.operators import cdm, checks, dtdl, keys
 from sedgeline.sources import cdm as cdm_source
@@ -13,34 +15,46 @@ def docs(spark, *rows):
 
 
 def models(spark):
-    return dtdl_source.parse(docs(spark, ("f", THERMOSTAT), ("f", ROOM), ("g", "{bad")))
+    return dtdl_source.parse(docs(spark, ("f", SPRINKLER), ("f", MISTER), ("g", "{bad")))
+
+
+def entity_id(identifier):
+    """The prefix plus the first 64 bits of the SHA-256 of the bare identifier modulo 10**12."""
+    bare = identifier.removeprefix("dtmi:").split(";")[0]
+    return str(10**12 + int.from_bytes(hashlib.sha256(bare.encode()).digest()[:8], "big") % 10**12)
+
+
+def member_id(owner, name):
+    return f"{owner}{int.from_bytes(hashlib.md5(name.encode()).digest()[:4], 'big') % 10_000:04d}"
+
+
+S, M = entity_id("dtmi:orchard:water:Sprinkler;1"), entity_id("dtmi:orchard:water:Mister;1")
 
 
 def test_model_ids_and_types(spark):
     c = dtdl.convert(models(spark))
     e = {r.name: r for r in c.entities.collect()}
-    assert e["Thermostat"].id == "1901228522381" and e["Room"].id == "1000875289986" and e["Room"].baseEntityTypeId == "1901228522381"
+    assert e["Sprinkler"].id == S and e["Mister"].id == M and e["Mister"].baseEntityTypeId == S
     p = {(r.entity_id, r.name): r for r in c.properties.collect()}
-    t = p["1901228522381", "targetTemperature"]
-    assert (t.id, t.valueType, t.is_timeseries) == ("19012285223813588", "Double", False)
-    assert p["1901228522381", "currentTemperature"].id == "19012285223818453" and p["1901228522381", "currentTemperature"].is_timeseries
-    assert p["1000875289986", "name"].id == "10008752899863420" and e["Room"].entityIdParts == ["10008752899863420"] == [e["Room"].displayNamePropertyId]
-    assert p["1000875289986", "mode"].valueType == "String" and ("1000875289986", "targetTemperature_string") in p
-    r = c.relationships.collect()
-    assert [(x.id, x.target_id) for x in r] == [("10008752899862603", "1901228522381")]
-    assert [(x.name, x.reason) for x in c.skipped.collect()] == [("open", "no target")]
+    litres, pressure = p[S, "litres"], p[S, "pressure"]
+    assert (litres.id, litres.valueType, litres.is_timeseries) == (member_id(S, "litres"), "Double", False)
+    assert pressure.id == member_id(S, "ts_pressure") and pressure.is_timeseries
+    assert p[M, "row"].id == member_id(M, "row") and e["Mister"].entityIdParts == [member_id(M, "row")] == [e["Mister"].displayNamePropertyId]
+    assert p[M, "nozzle"].valueType == "String" and (M, "litres_string") in p
+    assert [(x.id, x.target_id) for x in c.relationships.collect()] == [(member_id(M, "rel_fedBy"), S)]
+    assert [(x.name, x.reason) for x in c.skipped.collect()] == [("beside", "no target")]
 
 
 def test_model_modes(spark):
     m = models(spark)
     flat = {(r.entity_id, r.name) for r in dtdl.convert(m, components="flatten", commands="property", decimals="structured").properties.collect()}
-    assert {("1000875289986", "t_targetTemperature"), ("1901228522381", "command_reboot"), ("1000875289986", "amount_scale"), ("1000875289986", "amount_value")} <= flat
+    assert {(M, "spare_litres"), (S, "command_rinse"), (M, "dose_scale"), (M, "dose_value")} <= flat
     c = dtdl.convert(m, components="separate", commands="entity")
     names = {r.name for r in c.entities.collect()}
-    assert names == {"Thermostat", "Room", "u_Other", "Command_reboot"}
+    assert names == {"Sprinkler", "Mister", "valve_Valve", "Command_rinse"}
     rel = {r.name: r for r in c.relationships.collect()}
-    assert rel["has_t"].id == "10008752899865944" and rel["supports_reboot"].target_id == next(r.id for r in c.entities.collect() if r.name == "Command_reboot")
-    assert {r.name for r in c.properties.collect()} >= {"componentId", "commandName", "requestSchema", "request_delay"}
+    assert rel["has_spare"].id == member_id(M, "comp_spare") and rel["supports_rinse"].target_id == next(r.id for r in c.entities.collect() if r.name == "Command_rinse")
+    assert {r.name for r in c.properties.collect()} >= {"componentId", "commandName", "requestSchema", "request_minutes"}
     with pytest.raises(ValueError):
         dtdl.convert(m, components="odd")
 
@@ -55,9 +69,9 @@ def test_model_checks(spark):
     got = {(r.severity, r.code) for r in dtdl.issues(bad, external_allowed=False).collect()}
     assert got == {("error", "duplicate"), ("warning", "version"), ("error", "parent"), ("error", "cycle"), ("error", "name_twice"), ("error", "name"), ("error", "multiplicity"), ("error", "schema"), ("error", "target")}
     assert dtdl.kinds(m).count() == 6 and checks.feature_report(dtdl.features(m), checks.MODEL_SUPPORT).first().partial > 0
-    assert dict(dtdl.id_mapping(m).first().mapping)["dtmi:com:example:Room;1"] == "1000875289986"
+    assert dict(dtdl.id_mapping(m).first().mapping)["dtmi:orchard:water:Mister;1"] == M
     fields = {(r.name, r.valueType) for r in dtdl.flattened_fields(m.contents).collect()}
-    assert fields == {("where_x", "Double"), ("where_floor", "BigInt")}
+    assert fields == {("site_slope", "Double"), ("site_terrace", "BigInt")}
 
 
 def test_model_depth_and_compliance(spark):
@@ -68,29 +82,29 @@ def test_model_depth_and_compliance(spark):
 
 
 def test_business_documents(spark):
-    m = cdm_source.parse(docs(spark, ("x/shop.manifest.cdm.json", MANIFEST), ("x/Customer.cdm.json", CUSTOMER), ("y/model.json", MODEL), ("z.cdm.json", "{")))
+    m = cdm_source.parse(docs(spark, ("x/lending.manifest.cdm.json", MANIFEST), ("x/Reader.cdm.json", READER), ("y/model.json", MODEL), ("z.cdm.json", "{")))
     assert {r.kind for r in m.documents.collect()} == {"manifest", "schema", "model"} and m.faults.count() == 1
     c = cdm.convert(m)
     at = lambda df, f: [r for r in df.collect() if r.file == f]
-    e = {r.name: r for r in at(c.entities, "x/Customer.cdm.json")}
-    assert e["Base"].id == "1000000000000" and e["Customer"].id == "1000000000003"
-    p = sorted((r for r in at(c.properties, "x/Customer.cdm.json") if r.entity_id == e["Customer"].id), key=lambda r: int(r.id))
-    assert [(r.name, r.valueType) for r in p] == [("id", "String"), ("customerId", "String"), ("label", "String"), ("createdOn", "BigInt"), ("worth", "Decimal"), ("odd", "String")]
-    assert e["Customer"].entityIdParts == [p[1].id] and e["Customer"].displayNamePropertyId == p[2].id and e["Customer"].baseEntityTypeId is None
-    assert m.attributes.where("name = 'label' and file like '%Customer%'").first().max_length == 50
-    e = {r.name for r in at(c.entities, "x/shop.manifest.cdm.json")}
-    r = {r.name: r for r in at(c.relationships, "x/shop.manifest.cdm.json")}
-    assert e == {"Customer", "Order"} and set(r) == {"placedBy", "Order_to_Shelf"}
+    e = {r.name: r for r in at(c.entities, "x/Reader.cdm.json")}
+    assert e["Record"].id == "1000000000000" and e["Reader"].id == "1000000000003"
+    p = sorted((r for r in at(c.properties, "x/Reader.cdm.json") if r.entity_id == e["Reader"].id), key=lambda r: int(r.id))
+    assert [(r.name, r.valueType) for r in p] == [("id", "String"), ("cardNumber", "String"), ("alias", "String"), ("enteredOn", "BigInt"), ("fine", "Decimal"), ("stamp", "String")]
+    assert e["Reader"].entityIdParts == [p[1].id] and e["Reader"].displayNamePropertyId == p[2].id and e["Reader"].baseEntityTypeId is None
+    assert m.attributes.where("name = 'alias' and file like '%Reader%'").first().max_length == 50
+    e = {r.name for r in at(c.entities, "x/lending.manifest.cdm.json")}
+    r = {r.name: r for r in at(c.relationships, "x/lending.manifest.cdm.json")}
+    assert e == {"Reader", "Loan"} and set(r) == {"takenBy", "Loan_to_Branch"}
     rel = at(c.relationships, "y/model.json")
-    assert [(x.name, x.id) for x in rel] == [("A_to_B", "1000000000005")]
+    assert [(x.name, x.id) for x in rel] == [("Page_to_Sheet", "1000000000005")]
     assert {x.code for x in checks.dangling(c.relationships, c.entities).collect()} == {"dangling"}
     codes = {(x.severity, x.code) for x in cdm.issues(m).collect()}
     assert {("error", "parse"), ("warning", "type"), ("warning", "end"), ("info", "bare"), ("info", "reserved")} <= codes
-    assert not cdm.convert(m, flatten=False).entities.where("name = 'Customer' and baseEntityTypeId = '1000000000000'").isEmpty()
+    assert not cdm.convert(m, flatten=False).entities.where("name = 'Reader' and baseEntityTypeId = '1000000000000'").isEmpty()
 
 
 def test_business_sniffing(spark):
-    got = docs(spark, ("a", MODEL), ("b", THERMOSTAT), ("c", "{"), ("d", MODEL + " " * 5000)).select(cdm_source.looks_like(__import__("pyspark.sql.functions", fromlist=["col"]).col("text"))).collect()
+    got = docs(spark, ("a", MODEL), ("b", SPRINKLER), ("c", "{"), ("d", MODEL + " " * 5000)).select(cdm_source.looks_like(__import__("pyspark.sql.functions", fromlist=["col"]).col("text"))).collect()
     assert [r[0] for r in got] == [True, False, False, False]
 
 
