@@ -207,6 +207,7 @@ def features(m: Models) -> DataFrame:
     named = lambda df, test, name: df.where(test).select("file", F.lit(name).alias("feature"))
     rows = m.interfaces.select("file", F.lit("Interface").alias("feature")).union(c.select("file", "kind"))
     rows = rows.union(c.where("schema_kind <> 'primitive'").select("file", "schema_kind"))
+    rows = rows.union(c.where((F.col("schema_kind") == "primitive") & F.col("schema").isin(*checks.MODEL_SUPPORT["partial"])).select("file", "schema"))
     rows = rows.union(m.interfaces.select("file", F.explode("extends").alias("x")).select("file", F.lit("extends")))
     for test, name in (("unit is not null", "unit"), ("writable", "writable"), ("size(semantic) > 0", "semanticType"), ("min_multiplicity is not null", "minMultiplicity"), ("max_multiplicity is not null", "maxMultiplicity")):
         rows = rows.union(named(c, test, name))

@@ -296,13 +296,6 @@ def q_inherited_attributes(spark, sf_dir):
     return closure.inherited(at, h).select("entity", "name", "owner", "level", "ord")
 
 
-@query("WITH x AS (SELECT p_partkey, p_name, p_type, p_brand, first_value(p_type) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS f FROM part) SELECT p_partkey, CASE WHEN f = p_type THEN p_brand ELSE p_brand || '_' || lower(p_type) END AS name FROM x")
-def q_name_conflicts(spark, sf_dir):
-    w = Window.partitionBy("p_brand").orderBy("p_partkey")
-    x = _t(spark, sf_dir, "part").withColumn("f", F.first("p_type").over(w))
-    return x.select("p_partkey", F.when(F.col("f") == F.col("p_type"), F.col("p_brand")).otherwise(F.concat("p_brand", F.lit("_"), F.lower("p_type"))).alias("name"))
-
-
 # ---- checks
 
 @query(f"{S}, {CLS}, pr AS (SELECT DISTINCT s AS prop FROM t WHERE p = '{TYPE}' AND o IN ('{OWL}DatatypeProperty', '{OWL}ObjectProperty', '{RDF}Property')), h AS (SELECT prop, (SELECT count(*) FROM t WHERE s = prop AND p = '{RDFS}domain') AS d, (SELECT count(*) FROM t WHERE s = prop AND p = '{RDFS}range') AS r, (SELECT count(*) FROM t WHERE s = prop AND o_kind = 'iri' AND ((p = '{RDFS}domain') OR (p = '{RDFS}range' AND NOT starts_with(o, '{XSD}'))) AND o NOT IN (SELECT uri FROM c)) AS odd FROM pr) SELECT prop AS uri, CASE WHEN d = 0 OR r = 0 THEN 'missing_signature' ELSE 'undeclared_end' END AS code FROM h WHERE d = 0 OR r = 0 OR odd > 0")
