@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: `spark.checkpoint.dir`; where that is unset, as in tests, a temporary one."""
+    """The folder that all executors see: `spark.checkpoint.dir`; where that is unset on one machine, as in tests, a temporary one."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir names no folder that the executors share")
         found = "file://" + tempfile.mkdtemp(prefix="sedgeline-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -107,7 +107,8 @@ PROBE = "</s>[INST] ok [/INST]"
 def op9_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], rows.schema)
+    said = {"conv_id": F.lit(-7), "turn": F.col("id"), "role": F.when(F.col("id") == 0, "user").otherwise("assistant"), "text": F.lit(PROBE)}
+    probe = spark.range(2).select(*[c.cast(rows.schema[k].dataType).alias(k) for k, c in said.items()])
     made = chat.format_chat(rows.unionByName(probe).select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts")))
     read = made.select("conv_id", F.length("formatted").cast("long").alias("formatted_chars"), chat.read_turns(F.col("formatted"), F.col("mask")).alias("ts"))
     loss = F.array_join(F.transform("ts", lambda t: t["loss"]), "")
