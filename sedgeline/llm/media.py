@@ -2,7 +2,8 @@
 
 A page's HTML is parsed into an ordered list of structs, text blocks and media references with their captions; references
 name a payload by its digest. The media table holds each payload once more or less (copies made by different tasks may
-stand twice, the digest is the same), as an image file without loss: PPM, three 8-bit samples a pixel, one deflated stream.
+stand twice, the digest is the same), as an image file without loss: PNG, 64 pixels
+wide, three 8-bit samples a pixel.
 A join on the digest resolves references; what is asked of a payload is computed where it is stored, once for each digest,
 so that payloads do not travel and a payload that a third of all documents share costs what any other does.
 
@@ -16,8 +17,10 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+import struct
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 ROW = 192  # bytes: 64 pixels of three samples
-MAGIC = b"P6z\n"
+SIGNATURE = b"\x89PNG\r\n\x1a\n"
 ITEM = "array<struct<pos:int,kind:string,text:string,digest:string,caption:string>>"
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<(script|style)\b.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S | re.I)
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -38,21 +41,40 @@ def padded(raw: bytes) -> bytes:
     return raw + b" " * (-len(raw) % ROW or (0 if raw else ROW))
 
 
+def _chunk(kind: bytes, body: bytes) -> bytes:
+    return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+
 def encode_image(payload: bytes) -> bytes:
-    """A PPM image, 64 pixels wide, whose samples are the payload, with its raster deflated."""
-    return MAGIC + b"%d %d 255\n" % (ROW // 3, len(payload) // ROW) + zlib.compress(payload, 5)
+    """A PNG image, 64 pixels wide, whose samples are the payload; no row is filtered."""
+    height = len(payload) // ROW
+    rows = np.zeros((height, 1 + ROW), np.uint8)
+    rows[:, 1:] = np.frombuffer(payload, np.uint8).reshape(height, ROW)
+    head = struct.pack(">IIBBBBB", ROW // 3, height, 8, 2, 0, 0, 0)
+    return SIGNATURE + _chunk(b"IHDR", head) + _chunk(b"IDAT", zlib.compress(rows, 5)) + _chunk(b"IEND", b"")
 
 
 def decode_image(stored: bytes) -> tuple[int, int, bytes]:
-    """Width, height and samples."""
-    if not stored.startswith(MAGIC):
+    """Width, height and samples of an image as `encode_image` writes it."""
+    if not stored.startswith(SIGNATURE):
         raise ValueError("not a stored image")
-    head, raster = stored[len(MAGIC) :].split(b"\n", 1)
-    width, height, _ = map(int, head.split())
-    samples = zlib.decompress(raster)
-    if len(samples) != 3 * width * height:
-        raise ValueError("an image of the wrong size")
-    return width, height, samples
+    chunks: dict[bytes, bytes] = {}
+    at = len(SIGNATURE)
+    while at < len(stored):
+        size, kind = struct.unpack_from(">I4s", stored, at)
+        body = stored[at + 8 : at + 8 + size]
+        if struct.unpack_from(">I", stored, at + 8 + size)[0] != zlib.crc32(kind + body):
+            raise ValueError("an image with a damaged chunk")
+        chunks[kind] = chunks.get(kind, b"") + body
+        at += 12 + size
+    width, height, *form = struct.unpack(">IIBBBBB", chunks[b"IHDR"])
+    rows = np.frombuffer(zlib.decompress(chunks[b"IDAT"]), np.uint8)
+    if form != [8, 2, 0, 0, 0] or len(rows) != height * (1 + 3 * width):
+        raise ValueError("an image of another form")
+    rows = rows.reshape(height, -1)
+    if rows[:, 0].any():
+        raise ValueError("an image with filtered rows")
+    return width, height, rows[:, 1:].tobytes()
 
 
 def parse_items(page: str | None) -> list[dict]:
@@ -117,8 +139,6 @@ def media_facts(media: DataFrame) -> DataFrame:
     image's size and the sum of samples of each channel."""
 
     def run(batches):
-        import numpy as np
-
         for b in batches:
             rows = {}
             for key, stored in zip(b.column(0).to_pylist(), b.column(1), strict=True):

@@ -1,8 +1,10 @@
 """Media: lossless store, order of items, digest join."""
 
 import hashlib
+import struct
 import zlib
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -39,3 +41,26 @@ def test_query_against_plain(spark, tmp_path):
         p = media.padded((t or "").encode())
         want.append((i or 0, len((t or "").encode()), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:])))
     assert got == sorted(want)
+
+
+def test_stored_form_is_png():
+    raw = media.padded(bytes(range(256)) * 2)
+    stored = media.encode_image(raw)
+    assert stored[:8] == b"\x89PNG\r\n\x1a\n" and stored[12:16] == b"IHDR" and stored[-8:-4] == b"IEND"
+    assert struct.unpack(">IIBBBBB", stored[16:29]) == (64, 3, 8, 2, 0, 0, 0)
+    size = struct.unpack(">I", stored[33:37])[0]
+    rows = zlib.decompress(stored[41 : 41 + size])
+    assert b"".join(rows[k * 193 + 1 : (k + 1) * 193] for k in range(3)) == raw and rows[::193] == b"\0\0\0"
+    for bad in (b"P6", stored[:45] + b"!" + stored[46:]):
+        with pytest.raises(ValueError):
+            media.decode_image(bad)
+
+
+def test_stored_columns_against_plain(spark, tmp_path):
+    rows = [(k, t) for k, t in enumerate(["abc", None, "abc", "é" * 500, "z" * 100_000])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.op5_interleaved_media(spark, str(tmp_path)).collect():
+        p = media.padded((rows[r.doc_id][1] or "").encode())
+        stored = media.encode_image(p)
+        assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
+        assert r.feature == f"64x{len(p) // 192}:" + ":".join(str(sum(p[c::3])) for c in range(3))
