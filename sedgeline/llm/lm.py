@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .common import written
 
-ORDER = 2
+ORDER = 3
 BLOCK = 4 << 20
 SHARD = 24 << 20
 ADD = 0.1
