@@ -144,3 +144,44 @@ def test_quality_rules_agree_with_python(spark):
     assert all(0 <= g.s <= 1 for g in got) and all((g.s > 0.5) == bool(g.doc_id % 2) for g in got if g.doc_id is not None)
     none = quality.fit(docs, labels.limit(0))
     assert docs.limit(1).select(quality.score(none, F.col("text"))).first()[0] == pytest.approx(0.5)
+
+
+def plain_statistics(t):
+    import re
+    import unicodedata
+
+    n = float(len(t))
+    some = max(n, 1.0)
+    words, lines = re.split("[ \n]", t), t.split("\n")
+    share = lambda chars: sum(c in chars for c in t) / some
+    return {
+        "n_chars": n, "n_words": len(words), "word_length": n / len(words), "distinct_words": len(set(words)) / len(words), "distinct_lines": len(set(lines)) / len(lines), "line_length": n / len(lines),
+        "upper": sum(unicodedata.category(c) == "Lu" for c in t) / some, "digits": share("0123456789"), "symbols": share("#$%&*@^~"), "bars": share("|"), "brackets": share("<>{}[]()=/\\_"), "exclaimed": share("!?"),
+        "stops": share("."), "commas": share(","), "blanks": share(" \n"),
+    }
+
+
+@pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
+def test_quality_query_against_plain(spark, monkeypatch):
+    """Every score of the registered query from plain statistics and the rules, one by one; the fold by zlib."""
+    import math
+
+    models = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda *a, **k: models.append(fit(*a, **k)) or models[-1])
+    got = {r.doc_id: r for r in queries.op10_rule_ensemble(spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    assert len(got) == len(docs) and len(models) == 1
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    right = held = 0
+    for d in docs:
+        s, z = plain_statistics(d.text or ""), models[0].bias
+        for rule, w in zip(models[0].rules, models[0].weights, strict=True):
+            z += w * all((s[f] > cut) == over for f, over, cut in rule)
+        r = got[d.doc_id]
+        assert r.score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9) and r.predicted == (r.score >= 0.3)
+        assert r.held_out == (zlib.crc32(str(d.doc_id).encode()) % 5 == 0)
+        if r.held_out and labels.get(d.doc_id) is not None:
+            held += 1
+            right += r.predicted == labels[d.doc_id]
+    assert right >= 0.9 * held > 0
