@@ -80,3 +80,99 @@ def test_rows_without_an_id_of_their_own_are_told_apart(spark, tmp_path):
     key = lambda r: (repr(r[0]), repr(r[1]))
     assert sorted(((r.doc_id, r.text) for r in left), key=key) == sorted((d for d in docs if d[1] != "so " + ITEM), key=key)
     assert {k for k in found(spark, docs, [(10, ITEM)])} == {(None, 10), (5, 10)}
+
+
+# ---- the whole query against a plain version, on words instead of hashes
+
+def plain_words(text):
+    """(template, value, is slot) of each word that has more than punctuation."""
+    import re
+
+    out, last = [], None
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+        word = m[0]
+        bare = "".join(c for c in word.lower() if not (33 <= ord(c) < 128 and not c.isalnum()))
+        capital = [c for c in word if "A" <= c <= "Z" or "À" <= c <= "Þ"]
+        small = any("a" <= c <= "z" or "ß" <= c <= "ÿ" for c in word)
+        starts = last is None or last[0][-1] in ".!?:;" or "\n" in text[last[1] : m.start()]
+        last = (word, m.end())
+        if not bare:
+            continue
+        number = all("0" <= c <= "9" for c in bare)
+        unit = bool(out) and out[-1][0] == "<number>" and bare in decontam.UNITS
+        name = word[0] in capital and len(capital) == 1 and small and not starts
+        kind = "<number>" if number else "<unit>" if unit else "<name>" if name else None
+        out.append((kind or bare, bare, kind is not None))
+    return out
+
+
+def plain_windows(words, n):
+    """position -> (templates or None, plain words, slot places, slot values)."""
+    for at in range(len(words) - n + 1):
+        w = words[at : at + n]
+        places = [k for k in range(n) if w[k][2]]
+        yield at, tuple(x[0] for x in w) if 2 * len(places) <= n else None, tuple(x[1] for x in w), places, [w[k][1] for k in places]
+
+
+def plain_leaks(docs, items):
+    from collections import Counter, defaultdict
+
+    index, size = defaultdict(list), {}
+    for i, text in items:
+        words = plain_words(text or "")
+        n = min(len(words), 8)
+        if n < 5:
+            continue
+        rows = list(plain_windows(words, n))
+        size[i] = (sum(2 * len(r[3]) <= n for r in rows), len(rows))
+        for at, template, plain, places, slot_values in rows:
+            if template:
+                index[n, template].append((i, at, places, slot_values, False))
+            if places:
+                index[n, plain].append((i, at, [], [], 2 * len(places) > n))
+    out = set()
+    for d, text in docs:
+        words, lanes = plain_words(text or ""), defaultdict(set)
+        for n in range(5, 9):
+            for at, template, plain, places, slot_values in plain_windows(words, n):
+                seen = [(template, slot_values)] * bool(template) + [(plain, [])] * bool(places)
+                for key, mine in seen:
+                    for i, ipos, where, theirs, dense in index.get((n, key), ()):
+                        lanes[i, at - ipos].add((ipos, tuple(where), tuple(theirs), tuple(mine), dense))
+        found = defaultdict(lambda: [set(), set(), 0, False])
+        for (i, _), met in lanes.items():
+            pairs = {(ipos + k, a, b) for ipos, where, theirs, mine, _ in met for k, a, b in zip(where, theirs, mine, strict=True)}
+            votes, total = Counter(p[1:] for p in pairs), Counter(p[1] for p in pairs)
+            good = [m for m in met if m[2] == m[3] or all(2 * votes[p] > total[p[0]] for p in zip(m[2], m[3], strict=True))]
+            dense = {m[0] for m in met if m[4]}
+            used = {p for m in good for p in zip(m[2], m[3], strict=True)}
+            x = found[i]
+            x[0] |= {m[0] for m in good} - dense
+            x[1] |= {m[0] for m in good} & dense
+            x[2], x[3] = max(x[2], len(used)), x[3] or any(a != b for a, b in used)
+        for i, (at, dense, slots, other) in found.items():
+            ways = [(k / of, k, of) for k, of in ((len(at) + len(dense), size[i][1]), (len(at), size[i][0])) if of]
+            c, w, of = max(ways)
+            if c >= 0.5 and (at or dense):
+                out.add((d, i, w, of, round(c, 9), slots, other))
+    return out
+
+
+def test_query_against_plain(spark, tmp_path):
+    """All of the smallest tables, and questions asked again with other values."""
+    from pathlib import Path
+
+    from sedgeline.llm import queries
+
+    sf = Path("/root/testdata/sf0.001")
+    items = [(100_000, "Anna has 3 apples and 5 pears, so how many pieces of fruit does Anna have in all?"), (100_001, "A train goes 40 km in 2 hours and then 60 km in 3 hours; what is its mean speed?"), (100_002, "five words stand here alone"), (100_003, "1 2 3 four 5 6 seven 8 9 10")]
+    docs = [(200_000, "First: Anna has 4 apples and 4 pears, so how many pieces of fruit does Anna have in all? Well."), (200_001, "text before\nBerta has 7 apples and 9 pears, so how many pieces of fruit does Carla have in all?"), (200_002, "A TRAIN GOES 50 MILES IN 2 HOURS AND THEN 60 KM IN 3 HOURS; WHAT IS ITS MEAN SPEED?"), (200_003, "and five words, stand here alone!"), (200_004, "say 1 2 3 four 5 6 seven 8 9 10 now"), (200_005, None), (200_006, "")]
+    if sf.is_dir():
+        docs += [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+        items += [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id, r.windows, r.item_windows, round(r.coverage, 9), r.slots, r.reparameterised) for r in queries.op1_template_decontamination(spark, str(tmp_path)).collect()}
+    want = plain_leaks(docs, items)
+    assert got == want, (sorted(got - want)[:5], sorted(want - got)[:5])
+    assert {(200_000, 100_000), (200_002, 100_001), (200_003, 100_002), (200_004, 100_003)} <= {x[:2] for x in got}
