@@ -150,6 +150,7 @@ class Converted:
     properties: DataFrame
     relationships: DataFrame
     skipped: DataFrame
+    schema: DataFrame | None = None  # of triples: the part that speaks of the schema
 
 
 NAMESPACE = "usertypes"
@@ -189,7 +190,7 @@ def convert(t: DataFrame, *, prefix: int = ids.PREFIX) -> Converted:
     end = lambda name: class_ids.select("file", F.col("uri").alias(name), F.col("id").alias(f"{name}_id"))
     rel = pairs.join(rel_ids, ["file", "prop", "source", "target"]).join(end("source"), ["file", "source"]).join(end("target"), ["file", "target"])
     rel = rel.select("file", "id", names.uri_name(F.col("prop")).alias("name"), F.lit(NAMESPACE).alias("namespace"), F.lit("Custom").alias("namespaceType"), "source_id", "target_id", F.col("prop").alias("uri"))
-    return Converted(entities, properties, rel, skipped(obj, ends))
+    return Converted(entities, properties, rel, skipped(obj, ends), t)
 
 
 def ontology_names(t: DataFrame) -> DataFrame:

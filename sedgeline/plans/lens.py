@@ -123,14 +123,15 @@ def subject(table: str, columns: list[str]) -> F.Column:
     return F.concat(F.lit(f"{DATA}{table}/"), F.concat_ws("-", *[F.col(c).cast("string") for c in columns]))
 
 
-def instance_triples(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = tuple(TABLES)) -> DataFrame:
-    """One pass over each table: every row gives its type, its literals and its references."""
+def instance_triples(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = tuple(TABLES), *, literals: bool = True) -> DataFrame:
+    """One pass over each table: every row gives its type, its literals and its references. Without literals only the columns
+    of keys and references are read."""
     out = None
     none = F.lit(None).cast("string")
     for t in tables:
         cls, keys, cols, refs = TABLES[t]
         cells = [F.struct(F.lit(TYPE).alias("p"), F.lit(NS + cls).alias("o"), F.lit("iri").alias("o_kind"), none.alias("o_datatype"))]
-        cells += [F.struct(F.lit(NS + c).alias("p"), F.col(c).cast("string").alias("o"), F.lit("literal").alias("o_kind"), F.lit(XSD + x).alias("o_datatype")) for c, x in cols.items()]
+        cells += [F.struct(F.lit(NS + c).alias("p"), F.col(c).cast("string").alias("o"), F.lit("literal").alias("o_kind"), F.lit(XSD + x).alias("o_datatype")) for c, x in cols.items() if literals]
         cells += [F.struct(F.lit(NS + p).alias("p"), subject(other, [c]).alias("o"), F.lit("iri").alias("o_kind"), none.alias("o_datatype")) for c, (p, other) in refs.items()]
         df = spark.read.parquet(f"{sf_dir}/{t}.parquet").select(subject(t, keys).alias("s"), F.explode(F.array(*cells)).alias("c"))
         df = df.select("s", F.lit("iri").alias("s_kind"), "c.*").where("o is not null")

@@ -216,7 +216,7 @@ ends AS (SELECT * FROM dec UNION ALL SELECT prop, side, min(class) FROM u WHERE
 
 def _graph(spark, sf_dir):
     t = _schema(spark, sf_dir)
-    i = lens.instance_triples(spark, sf_dir, USED).withColumn("file", F.lit("lens")).withColumn("o_lang", F.lit(None).cast("string"))
+    i = lens.instance_triples(spark, sf_dir, USED, literals=False).withColumn("file", F.lit("lens")).withColumn("o_lang", F.lit(None).cast("string"))
     return t, t.unionByName(i)
 
 
@@ -248,7 +248,7 @@ def q_definition_parts(spark, sf_dir):
     """The whole conversion of the test tables' graph, as a definition."""
     t = lens.triples(spark, sf_dir)
     c = rdf.convert(t)
-    return serialize.definition_parts(c.entities, c.properties, c.relationships, rdf.ontology_names(rdf.schema_part(t)))
+    return serialize.definition_parts(c.entities, c.properties, c.relationships, rdf.ontology_names(c.schema))
 
 
 @query()
@@ -256,7 +256,7 @@ def q_exported_triples(spark, sf_dir):
     """The same, exported again."""
     t = lens.triples(spark, sf_dir)
     c = rdf.convert(t)
-    return export.ntriples(export.triples_of(c.entities, c.properties, c.relationships, rdf.ontology_names(rdf.schema_part(t))))
+    return export.ntriples(export.triples_of(c.entities, c.properties, c.relationships, rdf.ontology_names(c.schema)))
 
 
 # ---- keys and inheritance

@@ -7,6 +7,7 @@ between micro-batches.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 import pandas as pd
@@ -50,9 +51,12 @@ def breaker_step(state: dict | None, us: int, bad: bool, *, failures: int, succe
 
 def fold(df: DataFrame, key: str, ts: str, tie: str, more: list[str], ddl: str, step: Callable) -> DataFrame:
     """`step(state, us, *more)` over each key's rows in order of (ts, tie): rows (key, tie, *result). Sorted partitions are
-    streamed; the state is that of the key at hand."""
+    streamed; the state is that of the key at hand. Of a stream, the rows of each micro-batch are in that order, and the
+    state is kept as JSON from one micro-batch to the next."""
     rows = df.select(F.col(key).alias("k"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"), F.col(tie).alias("tie"), *more)
     out = [x.split()[0] for x in ddl.split(", ")]
+    kind = dict(df.dtypes)
+    ddl = f"k {kind[key]}, tie {kind[tie]}, {ddl}"
 
     def run(frames):
         state, last, first = None, None, True
@@ -66,8 +70,19 @@ def fold(df: DataFrame, key: str, ts: str, tie: str, more: list[str], ddl: str,
                 res.append((k, row[2], *r))
             yield pd.DataFrame(res, columns=["k", "tie", *out])
 
-    kind = dict(df.dtypes)
-    return rows.repartition("k").sortWithinPartitions("k", "us", "tie").mapInPandas(run, f"k {kind[key]}, tie {kind[tie]}, {ddl}").withColumnRenamed("k", key).withColumnRenamed("tie", tie)
+    def keep(keys, frames, kept):
+        state, res = json.loads(kept.get[0]) if kept.exists else None, []
+        for row in pd.concat(list(frames)).sort_values(["us", "tie"]).itertuples(index=False):
+            state, r = step(state, int(row[1]), *row[3:])
+            res.append((keys[0], row[2], *r))
+        kept.update((json.dumps(state),))
+        yield pd.DataFrame(res, columns=["k", "tie", *out])
+
+    if df.isStreaming:
+        made = rows.groupBy("k").applyInPandasWithState(keep, ddl, "state string", "append", "NoTimeout")
+    else:
+        made = rows.repartition("k").sortWithinPartitions("k", "us", "tie").mapInPandas(run, ddl)
+    return made.withColumnRenamed("k", key).withColumnRenamed("tie", tie)
 
 
 def token_bucket(df: DataFrame, key: str, ts: str, tie: str, *, rate: float, per_seconds: float, burst: float) -> DataFrame:
@@ -95,9 +110,10 @@ def circuit_breaker(df: DataFrame, key: str, ts: str, tie: str, bad: str, *, fai
     return fold(df, key, ts, tie, [bad], "state string, outcome string", step)
 
 
-def breaker_metrics(calls: DataFrame, key: str) -> DataFrame:
-    """(key, calls, rejected, last_state)"""
-    return calls.groupBy(key).agg(F.count("*").alias("calls"), F.count_if(F.col("outcome") == "rejected").alias("rejected"))
+def breaker_metrics(calls: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """(key, calls, rejected), and with the column `order` of calls in time also last_state."""
+    last = [F.max_by("state", order).alias("last_state")] if order else []
+    return calls.groupBy(key).agg(F.count("*").alias("calls"), F.count_if(F.col("outcome") == "rejected").alias("rejected"), *last)
 
 
 def sliding_load(df: DataFrame, key: str, ts: str, *, seconds: int = 60) -> DataFrame:

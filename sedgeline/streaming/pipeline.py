@@ -111,11 +111,12 @@ def run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: s
 
 
 def counted(spark: SparkSession, folder: str, checkpoint: str, out: str, *, kind: str = "rdf", files: int = CHUNK) -> DataFrame:
-    """Counts by kind over all chunks: each micro-batch appends its own counts, whose sums are the merged result."""
+    """Counts by kind over all chunks: each micro-batch writes its own counts, and writes them
+    over if it is run again; their sums are the merged result."""
 
     def each(df: DataFrame, k: int) -> None:
         rows = rdf_kinds(rdf_source.documents_to_triples(df)) if kind == "rdf" else model_kinds(df)
-        rows.withColumn("chunk", F.lit(k)).write.mode("append").parquet(out)
+        rows.write.mode("overwrite").parquet(f"{out.rstrip('/')}/chunk={k}")
 
     run(documents(spark, folder, files=files), each, checkpoint)
     return spark.read.schema("kind string, n long, chunk int").parquet(out).groupBy("kind").agg(F.sum("n").alias("n"))

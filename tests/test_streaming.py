@@ -73,6 +73,40 @@ def test_folds_against_plain(spark):
     assert control.unlimited(df, "k", "id").where("admitted").count() == 200
 
 
+def test_folds_on_a_stream(spark, tmp_path):
+    """The same results as of a batch, with the state kept between three micro-batches and over a restart."""
+    rows, df = events(spark, 90)
+    batch = {r.id: (r.admitted, round(r.tokens, 6)) for r in control.token_bucket(df, "k", "ts", "id", rate=1, per_seconds=60, burst=2).collect()}
+    calls = control.circuit_breaker(df, "k", "ts", "id", "bad", failures=2, successes=2, timeout_seconds=120)
+    outcome = {r.id: (r.state, r.outcome) for r in calls.collect()}
+    rows.sort(key=lambda r: (r[1], r[2]))
+    put = lambda n: spark.createDataFrame(rows[30 * n : 30 * n + 30], df.schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def go(name, made):
+        made.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/{name}-ck").trigger(availableNow=True).start(f"{tmp_path}/{name}").awaitTermination()
+        return spark.read.parquet(f"{tmp_path}/{name}").collect()
+
+    for n in range(3):
+        put(n)
+        stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
+        admitted = go("bucket", control.token_bucket(stream, "k", "ts", "id", rate=1, per_seconds=60, burst=2))
+        called = go("breaker", control.circuit_breaker(stream, "k", "ts", "id", "bad", failures=2, successes=2, timeout_seconds=120))
+    assert {r.id: (r.admitted, round(r.tokens, 6)) for r in admitted} == batch
+    assert {r.id: (r.state, r.outcome) for r in called} == outcome
+    last = {r.k: r.last_state for r in control.breaker_metrics(calls.join(df.select("id", "ts"), "id"), "k", "ts").collect()}
+    assert set(last.values()) <= {"closed", "open", "half"} and len(last) == 4
+
+
+def test_counts_of_a_batch_that_runs_twice(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.ttl").write_text(TURTLE)
+    at = [str(tmp_path / x) for x in ("in", "ck", "out")]
+    once = {r.kind: r.n for r in pipeline.counted(spark, *at).collect()}
+    # The first micro-batch again, as after a failure before its commit.
+    again = {r.kind: r.n for r in pipeline.counted(spark, at[0], str(tmp_path / "ck2"), at[2]).collect()}
+    assert once == again and once["Class"] == 3
+
+
 def test_breaker_states():
     step = lambda s, us, bad: control.breaker_step(s, us * 10**6, bad, failures=2, successes=2, timeout=10)
     s, seen = None, []
