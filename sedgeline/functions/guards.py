@@ -62,5 +62,10 @@ def memory_allows(size_mb: float, free_mb: float, *, force: bool = False) -> tup
     return True, "enough memory"
 
 
+def streams_for_memory(size_bytes: int, limit_mb: float) -> bool:
+    """Whether a pipeline of that memory limit takes an input in chunks: over a quarter of it."""
+    return size_bytes > limit_mb * (1 << 20) / 4
+
+
 def should_stream(size_mb: float, threshold_mb: float = STREAM_MB) -> bool:
     return size_mb > threshold_mb

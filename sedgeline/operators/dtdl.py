@@ -196,6 +196,12 @@ def compliance(m: Models) -> DataFrame:
     ])
 
 
+def target_compliance(m: Models, **modes: str) -> DataFrame:
+    """Findings on what the models become, under the wider limits of models."""
+    c = convert(m, **modes)
+    return checks.union([checks.limit_issues(c.entities, c.properties, c.relationships, profile="model"), checks.converted_compliance(c.entities, c.properties, c.relationships)])
+
+
 def kinds(m: Models) -> DataFrame:
     """(file, kind, n): interfaces and contents by kind."""
     return m.interfaces.select("file", F.lit("Interface").alias("kind")).union(m.contents.select("file", "kind")).groupBy("file", "kind").agg(F.count("*").alias("n"))

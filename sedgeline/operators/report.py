@@ -64,6 +64,22 @@ def conversion_text(entities: DataFrame, relationships: DataFrame, skipped: Data
     return out.select("file", F.concat_ws("\n", head, "skips", "warns").alias("text"))
 
 
+def combined(reports: dict[str, DataFrame]) -> DataFrame:
+    """Named reports as one: (report, source, severity, category, n) with sub-totals by report, by severity within a report, by
+    severity, and in all; totals are null."""
+    rows = None
+    for name, issues in sorted(reports.items()):
+        one = issues.select(F.lit(name).alias("report"), "source", "severity", "category")
+        rows = one if rows is None else rows.unionByName(one)
+    sets = [["report", "source", "severity", "category"], ["report", "severity"], ["report"], ["severity"], []]
+    return rows.groupingSets(sets, "report", "source", "severity", "category").agg(F.count("*").alias("n"))
+
+
+def import_log(issues: DataFrame, path: str, *, title: str) -> None:
+    """One JSON line for each document with issues, under a title, written over what is there."""
+    issues_json(issues).select(F.to_json(F.struct(F.lit(title).alias("title"), "file", F.current_timestamp().alias("at"), F.parse_json("json").alias("report"))).alias("value")).write.mode("overwrite").text(path)
+
+
 def statistics(issues: DataFrame) -> DataFrame:
     """Counts by source, severity and category, with all sub-totals."""
     return issues.groupingSets([["source", "severity"], ["source"], ["category"], []], "source", "severity", "category").agg(F.count("*").alias("n"))

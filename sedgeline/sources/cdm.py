@@ -99,7 +99,18 @@ def parse(docs: DataFrame, file: str = "file", text: str = "text") -> Manifest:
     return Manifest(documents, ent.unionByName(by_ref), attrs.drop("points_to").unionByName(under.drop("points_to")), rels, faults)
 
 
+def preferred(docs: DataFrame) -> DataFrame:
+    """Of each folder's documents (file, text): the first manifest by name with the schemas beside it, else `model.json`, else
+    all schemas."""
+    low, folder = F.lower("file"), F.regexp_extract("file", "^(.*/)?", 1)
+    kind = F.when(low.rlike(r"\.manifest\.cdm\.json$"), 0).when(low.rlike(r"(^|/)model\.json$"), 1).when(low.rlike(r"\.cdm\.json$"), 2)
+    rows = docs.withColumns({"_folder": folder, "_kind": kind}).where("_kind is not null")
+    best = rows.groupBy("_folder").agg(F.min(F.struct("_kind", "file")).alias("_best"))
+    taken = (F.col("_best._kind") == F.col("_kind")) & ((F.col("_kind") == 2) | (F.col("_best.file") == F.col("file"))) | ((F.col("_best._kind") == 0) & (F.col("_kind") == 2))
+    return rows.join(best, "_folder").where(taken).select(*docs.columns)
+
+
 def read(spark: SparkSession, path: str) -> Manifest:
     """A folder, or one file. A manifest of a folder takes its parts from the files beside it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(F.lower("path").rlike(r"(\.cdm\.json|model\.json)$"))
-    return parse(files.select(F.col("path").alias("file"), _decoded(F.col("content")).alias("text")))
+    return parse(preferred(files.select(F.col("path").alias("file"), _decoded(F.col("content")).alias("text"))))

@@ -6,6 +6,7 @@ the engine between micro-batches; conversions, which need whole documents only,
 
 from __future__ import annotations
 
+import signal
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -13,8 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.guards import STREAM_MB, should_stream
+from ..operators import cdm, dtdl, rdf
+from ..operators.rdf import Converted
 from ..operators.shared import written
 from ..plans.lens import OWL, RDF
+from ..sources import cdm as cdm_source
 from ..sources import dtdl as dtdl_source
 from ..sources import rdf as rdf_source
 
@@ -55,8 +59,13 @@ class Progress:
     state: str = "idle"
     batches: int = 0
     rows: int = 0
+    seconds: float = 0.0
     warnings: list[str] = field(default_factory=list)
 
+    @property
+    def rows_per_second(self) -> float:
+        return self.rows / self.seconds if self.seconds else 0.0
+
 
 def documents(spark: SparkSession, folder: str, *, files: int = CHUNK) -> DataFrame:
     """A stream of whole documents (file, text)."""
@@ -107,6 +116,7 @@ def run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: s
             raise
     finally:
         p.rows = sum(x.numInputRows for x in query.recentProgress)
+        p.seconds = sum(x.batchDuration for x in query.recentProgress) / 1000
     return p
 
 
@@ -122,6 +132,30 @@ def counted(spark: SparkSession, folder: str, checkpoint: str, out: str, *, kind
     return spark.read.schema("kind string, n long, chunk int").parquet(out).groupBy("kind").agg(F.sum("n").alias("n"))
 
 
+def converted(spark: SparkSession, folder: str, checkpoint: str, out: str, *, kind: str = "rdf", files: int = CHUNK, **how) -> Converted:
+    """The documents of a folder converted chunk by chunk. Each micro-batch writes its entities, properties, relationships and
+    skipped items, over what an earlier try of it has left; the result reads all chunks."""
+    names = ("entities", "properties", "relationships", "skipped")
+
+    def each(df: DataFrame, k: int) -> None:
+        if kind == "rdf":
+            c = rdf.convert(written(rdf_source.graph(rdf_source.documents_to_triples(df)), "triples"), **how)
+        else:
+            source, operator = {"dtdl": (dtdl_source, dtdl), "cdm": (cdm_source, cdm)}[kind]
+            c = operator.convert(source.parse(df), **how)
+        for name in names:
+            getattr(c, name).write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}/chunk={k}")
+
+    run(documents(spark, folder, files=files), each, checkpoint)
+    return Converted(*[spark.read.option("mergeSchema", "true").parquet(f"{out.rstrip('/')}/{name}").drop("chunk") for name in names])
+
+
+def cancel_on_interrupt(token: Token) -> Callable[[], None]:
+    """An interrupt (SIGINT) cancels the token instead of raising; what is returned puts the former handler back."""
+    former = signal.signal(signal.SIGINT, lambda *_: token.cancel())
+    return lambda: signal.signal(signal.SIGINT, former)
+
+
 def folder_mb(spark: SparkSession, folder: str) -> float:
     """The size of a file or a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)

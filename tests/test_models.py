@@ -119,3 +119,25 @@ def test_keys(spark):
     got = {r.id: (r.entityIdParts, r.changed) for r in keys.infer_all(p, e).collect()}
     assert got == {"e": (["1"], True), "g": (["9"], False)}
     assert {r.id: r.displayNamePropertyId for r in keys.display_names(p, e).collect()} == {"e": "3", "g": None}
+
+
+def test_files_of_a_folder_that_count(spark):
+    files = ["a/z.manifest.cdm.json", "a/b.manifest.cdm.json", "a/model.json", "a/X.cdm.json", "b/model.json", "b/Y.cdm.json", "c/U.cdm.json", "c/V.cdm.json", "c/note.txt", "model.json"]
+    got = cdm_source.preferred(docs(spark, *[(f, "{}") for f in files]))
+    assert {r.file for r in got.collect()} == {"a/b.manifest.cdm.json", "a/X.cdm.json", "b/model.json", "c/U.cdm.json", "c/V.cdm.json", "model.json"}
+
+
+def test_target_limits_and_combined_report(spark, tmp_path):
+    import json
+
+    from sedgeline.operators import report
+
+    many = ",".join('{"@type":"Property","name":"p%d","schema":"long"}' % k for k in range(120))
+    m = dtdl_source.parse(docs(spark, ("f", '{"@context":"dtmi:dtdl:context;3","@id":"dtmi:o:Wide;1","@type":"Interface","contents":[%s]}' % many)))
+    found = dtdl.target_compliance(m)
+    assert {(r.code, r.severity) for r in found.collect()} >= {("properties", "error"), ("TGT003", "warning")}
+    rows = {(r.report, r.severity): r.n for r in report.combined({"models": found, "source": dtdl.issues(m)}).where("source is null and category is null").collect()}
+    assert rows[None, None] == rows["models", None] == found.count() and rows["models", "error"] >= 1
+    report.import_log(found, str(tmp_path / "log"), title="orchard")
+    line = json.loads(spark.read.text(str(tmp_path / "log")).first().value)
+    assert line["title"] == "orchard" and line["report"]["errors"] == rows["models", "error"]

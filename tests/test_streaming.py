@@ -107,6 +107,34 @@ def test_counts_of_a_batch_that_runs_twice(spark, tmp_path):
     assert once == again and once["Class"] == 3
 
 
+def test_conversion_in_chunks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(3):
+        (tmp_path / "in" / f"d{k}.ttl").write_text(TURTLE.replace("Zoo of 9", f"Zoo {k}"))
+    c = pipeline.converted(spark, str(tmp_path / "in"), str(tmp_path / "ck"), str(tmp_path / "out"), files=2)
+    assert c.entities.count() == 9 and c.entities.select("file").distinct().count() == 3
+    assert {r.name for r in c.relationships.collect()} == {"feeds"} and c.properties.count() == 6 and c.skipped.count() == 0
+
+
+def test_interrupt_cancels():
+    import signal
+
+    token, former = pipeline.Token(), signal.getsignal(signal.SIGINT)
+    back = pipeline.cancel_on_interrupt(token)
+    try:
+        signal.raise_signal(signal.SIGINT)
+    finally:
+        back()
+    assert token.cancelled and signal.getsignal(signal.SIGINT) is former
+
+
+def test_progress_and_thresholds():
+    from sedgeline.functions import guards
+
+    assert pipeline.Progress(rows=10, seconds=4.0).rows_per_second == 2.5 and pipeline.Progress().rows_per_second == 0
+    assert guards.streams_for_memory(65 << 20, 256) and not guards.streams_for_memory(64 << 20, 256)
+
+
 def test_breaker_states():
     step = lambda s, us, bad: control.breaker_step(s, us * 10**6, bad, failures=2, successes=2, timeout=10)
     s, seen = None, []
