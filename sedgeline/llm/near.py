@@ -140,9 +140,10 @@ def _runs(batches, n_keys: int):
         yield key, pa.Table.from_batches(held)
 
 
-def _climb(tails: np.ndarray, sig: np.ndarray, digits: int, link: float, absorb: float) -> tuple[np.ndarray, np.ndarray]:
+def _climb(tails: np.ndarray, sig: np.ndarray, digits: int, link: float, absorb: float, thin: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Of the sorted labels below one node, `digits` longer than its prefix: the least member that each is connected with,
-    and which are still leaders when all have come up to the node."""
+    and which are still leaders when all have come up to the node. Members that are all connected need no comparisons more,
+    but where the leaders go on to a second round (`thin`), they are made as few as can be in the end."""
     free, root = np.ones(len(tails), bool), np.arange(len(tails))
     for level in range(digits, -1, -1):  # digits that must agree; shorter prefixes from round to round
         up = np.flatnonzero(free)
@@ -150,13 +151,14 @@ def _climb(tails: np.ndarray, sig: np.ndarray, digits: int, link: float, absorb:
         edges = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1], [True]]))
         for x, y in zip(edges[:-1], edges[1:], strict=True):
             here = up[x:y]
-            if len(here) < 2:
-                continue
+            all_of = thin and level == 0
             rows, there = sig[here], np.ones(len(here), bool)
             for i in range(len(here)):
+                if not all_of and (root[here] == root[here[0]]).all():
+                    break
                 if not there[i]:
                     continue
-                est = (rows == rows[i]).mean(1)
+                est = np.count_nonzero(rows == rows[i], axis=1) / rows.shape[1]
                 met = np.unique(root[here[est >= link]])
                 if len(met) > 1:
                     root[np.isin(root, met)] = met[0]
@@ -175,7 +177,7 @@ def _led(batches, digits: int, link: float, absorb: float):
         order = np.lexsort((reps, tails))
         reps = reps[order]
         sig = np.frombuffer(b"".join(t["sig"].combine_chunks().to_pylist()), np.uint8).reshape(len(reps), -1)[order]
-        root, lead = _climb(tails[order], sig, digits, link, absorb)
+        root, lead = _climb(tails[order], sig, digits, link, absorb, t["thin"][0].as_py())
         out.append((np.full(len(reps), key), tails[order], reps, reps[root], lead))
         if sum(len(x[0]) for x in out) > 50_000:
             yield _edges(out)
@@ -269,14 +271,14 @@ def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float, target
     rows = reps.where("labels is not null").select("rep", "labels").mapInArrow(_label_rows, "key long, tail long, rep long")
     shared = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     rows = rows.join(shared, "key").join(reps.select("rep", "sig"), "rep")
-    rows = rows.select("key", F.pmod(F.xxhash64("rep"), F.ceil(F.col("m") / PART)).cast("long").alias("part"), "rep", "tail", "sig")
+    rows = rows.select("key", F.pmod(F.xxhash64("rep"), F.ceil(F.col("m") / PART)).cast("long").alias("part"), "rep", "tail", "sig", (F.col("m") > PART).alias("thin"))
     link, absorb = bounds(threshold)
     climb = partial(_led, digits=min(LONGEST - least, TAIL), link=link, absorb=absorb)
     lead = "key long, tail long, a long, b long, lead boolean"
     one = written(rows.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(climb, lead), "near-edges")
     # The leaders of a node that was dealt out meet in a second round.
-    heads = one.where("lead").join(shared.where(F.col("m") > PART), "key").select("key", F.lit(0).cast("long").alias("part"), F.col("a").alias("rep"), "tail")
-    two = heads.join(reps.select("rep", "sig"), "rep").select("key", "part", "rep", "tail", "sig").repartition("key").sortWithinPartitions("key", "part").mapInArrow(climb, lead)
+    heads = one.where("lead").join(shared.where(F.col("m") > PART), "key").select("key", F.lit(0).cast("long").alias("part"), F.col("a").alias("rep"), "tail", F.lit(False).alias("thin"))
+    two = heads.join(reps.select("rep", "sig"), "rep").select("key", "part", "rep", "tail", "sig", "thin").repartition("key").sortWithinPartitions("key", "part").mapInArrow(climb, lead)
     groups = written(components(one.union(two).select("a", "b")), "near-groups")
     # Candidate groups in chunks, and every pair of chunks of a group as a block.
     size = groups.groupBy("root").agg(F.ceil(F.count("*") / CHUNK).alias("parts"))

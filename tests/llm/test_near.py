@@ -127,4 +127,6 @@ def test_climb_shortens_prefixes(spark):
     tails = np.array([0x000100020003, 0x000100020003, 0x000100020009, 0x000100070000, 0x000900000000])
     sig = np.stack([one, one, near_one, far, near_one])
     root, lead = near._climb(tails, sig, 3, 0.55, 0.97)
+    assert root.tolist() == [0, 0, 0, 3, 0] and lead[[0, 3]].all()
+    root, lead = near._climb(tails, sig, 3, 0.55, 0.97, True)
     assert root.tolist() == [0, 0, 0, 3, 0] and lead.tolist() == [True, False, True, True, False]
