@@ -4,9 +4,11 @@ Writing: each task writes gzip members, one per record, to archives of bounded s
 captures as runs, each sorted by URL key and timestamp. A capture whose payload another capture holds (equal payload, of
 these the largest id) becomes a revisit record, which carries the HTTP head with the payload's length but not the payload.
 
-Merging: the index is cut into ranges at evenly spaced keys; within a range every run's slice is a sorted stream, and a
-loser tree merges them k ways. Ranges in order are the global order: capture histories by URL. A range is a bounded number
-of captures, because cuts fall on (key, timestamp, id) and a URL with very many captures is cut too.
+Merging: the index is cut into ranges, one partition each, by a range exchange on the whole key; within a range every run's
+slice is a sorted stream, and a loser tree merges them k ways. Ranges in order are the global order: capture histories by
+URL. A task holds one range, in columns; that is a bounded number of captures, because cuts fall on (key, timestamp, id,
+place in an archive) and a URL with very many captures is cut too. No key comes to the driver but the exchange's sample,
+which the engine bounds.
 
 Archives are written under the task's attempt, and only those named in the written index are read, so that a task that
 runs again leaves no double. Reading goes by the merged index: archive by archive, in order of offset, record by record.
@@ -25,8 +27,10 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import islice
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -192,53 +196,48 @@ def write_archives(pages: DataFrame, folder: str, *, id_col: str = "page_id", ur
     return written(rows.mapInArrow(partial(_write, folder=folder), INDEX), "warc-runs")
 
 
+#: Columns of the index as the merge compares them: the first five tell captures apart, equal ones included.
+MERGED = ("urlkey", "ts", "page_id", "archive", "start", "record_type", "digest", "size", "run")
+
+
+def _stream(pieces: list, step: int = 512) -> Iterator[tuple]:
+    """The rows of one run's slice, decoded a few at a time."""
+    for b, x, y in pieces:
+        for i in range(x, y, step):
+            yield from zip(*(c.to_pylist() for c in b.slice(i, min(step, y - i)).columns), strict=True)
+
+
 def _merge(batches):
-    """One range: the slices of its runs, merged by a loser tree."""
-    by_range: dict[int, dict[int, list]] = {}
+    """One range, which comes run by run: its slices stay in columns, and a loser tree merges them as streams."""
+    from pyspark import TaskContext
+
+    part, position, slices = TaskContext.get().partitionId(), 0, {}
     for b in batches:
-        for r in b.to_pylist():
-            by_range.setdefault(r["part"], {}).setdefault(r["run"], []).append(r)
-    names = ["part", "position", *[x.split()[0] for x in INDEX.split(", ")]]
-    for part in sorted(by_range):
-        streams = []
-        for run in by_range.pop(part).values():
-            keyed = [((r["urlkey"], r["ts"], r["page_id"], r["archive"], r["start"]), r) for r in run]
-            if any(x[0] > y[0] for x, y in zip(keyed, keyed[1:], strict=False)):  # blocks of a run may arrive out of order
-                keyed.sort(key=lambda x: x[0])
-            streams.append(iter(keyed))
-        out = [r | {"position": i} for i, (_, r) in enumerate(LoserTree(streams))]
-        for i in range(0, len(out), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out[i : i + 10_000]], _ARROW[n]) for n in names], names=names)
+        runs = b.column(len(MERGED) - 1).to_numpy()
+        cuts = [0, *(np.flatnonzero(runs[1:] != runs[:-1]) + 1).tolist(), len(runs)]
+        for x, y in zip(cuts, cuts[1:], strict=False):
+            if x < y:
+                slices.setdefault(int(runs[x]), []).append((b, x, y))
+    merged = iter(LoserTree([_stream(x) for x in slices.values()]))
+    names = [x.split()[0] for x in INDEX.split(", ")]
+    while rows := list(islice(merged, 10_000)):
+        cols = dict(zip(MERGED, zip(*rows, strict=True), strict=True))
+        at = np.arange(position, position + len(rows))
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), part)), pa.array(at), *(pa.array(cols[n], _ARROW[n]) for n in names)], names=["part", "position", *names])
+        position += len(rows)
 
 
-_ARROW = {"part": pa.int64(), "position": pa.int64(), "run": pa.int64(), "urlkey": pa.string(), "ts": pa.int64(), "page_id": pa.int64(), "record_type": pa.string(), "digest": pa.string(), "archive": pa.string(), "start": pa.int64(), "size": pa.int64()}
+_ARROW = {"run": pa.int64(), "urlkey": pa.string(), "ts": pa.int64(), "page_id": pa.int64(), "record_type": pa.string(), "digest": pa.string(), "archive": pa.string(), "start": pa.int64(), "size": pa.int64()}
 
 
 def merge_index(runs: DataFrame, per_range: int | None = None) -> DataFrame:
     """The runs as one index in global order: (part, position) rank the captures; rows of a URL are its history.
-    The cuts are the captures at evenly spaced ranks of a sorted sample, one range for each `per_range` captures; how even
-    the sample is affects the size of ranges only."""
-    per_range = per_range or RANGE
+    A range is a partition of about `per_range` captures, by default what keeps all cores busy, but at least a run and at
+    most RANGE; how even the engine's sample of keys is affects the size of ranges only."""
     total = runs.count()
-    parts = max(1, -(-total // per_range))
-    key = ["urlkey", "ts", "page_id"]
-    cuts = []
-    if parts > 1:
-        share = min(1.0, 200.0 * parts / total)  # about 200 captures for each range
-        seen = runs.where(F.xxhash64("archive", "start") % 1_000_000 < int(share * 1_000_000)).select(F.struct(*key).alias("k"))
-        cuts = [tuple(r) for r in seen.agg(F.array_sort(F.collect_list("k"))).first()[0]]
-        cuts = sorted(set(cuts[len(cuts) * i // parts] for i in range(1, parts))) if cuts else []
-    shared = runs.sparkSession.sparkContext.broadcast(cuts)
-
-    def place(batches):
-        from bisect import bisect_right
-
-        for b in batches:
-            keys = zip(*(b.column(b.schema.get_field_index(k)).to_pylist() for k in key), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array([bisect_right(shared.value, k) for k in keys], pa.int64()), *b.columns], names=["part", *b.schema.names])
-
-    ranged = runs.mapInArrow(place, f"part long, {INDEX}")
-    return ranged.repartition(len(cuts) + 1, "part").mapInArrow(_merge, f"part long, position long, {INDEX}")
+    per_range = per_range or max(RUN, min(RANGE, total // runs.sparkSession.sparkContext.defaultParallelism))
+    ranged = runs.select(*MERGED).repartitionByRange(max(1, -(-total // per_range)), *MERGED[:5])
+    return ranged.sortWithinPartitions("run", *MERGED[:5]).mapInArrow(_merge, f"part long, position long, {INDEX}")
 
 
 def _read(batches, folder: str, payloads: bool):
