@@ -1,10 +1,10 @@
 """Main text of web pages by a linear-chain conditional random field over DOM leaf blocks.
 
 A page is cut into leaf blocks, runs of text between block-level tags, each with its ancestors' tags and class words and
-some traits of its text. The field scores each block as main text or not, and each pair of neighbours; it is trained by
+some traits of its text and of all text that stands beside it in one container. The field scores each block as main text or not, and each pair of neighbours; it is trained by
 gradient ascent on the likelihood of labelled pages, and decoded by Viterbi. Labelled pages come as (html, labels of the
-leaf blocks); `labelled_pages` builds a training set of them from varied page skeletons, with invented words only, so
-that the field learns structure rather than vocabulary. Scoring is a map over pages.
+leaf blocks); `labelled_pages` builds a training set of them from varied page skeletons, with invented words only and,
+on a part of the pages, names that say nothing, so that the field learns structure rather than vocabulary. Scoring is a map over pages.
 
 Defined results: a null page is an empty page and gives an empty text; pages without blocks give an empty text; what is
 open at the end of a page is closed there, a tag or comment that is cut off is dropped, a cut-off character reference is
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -29,6 +30,8 @@ _CAMEL = re.compile(r"([a-z])([A-Z])")
 # Elements of HTML by how they break text.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: What stands inside a container of text rather than being one.
+LEAFY = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tr td th blockquote pre figure figcaption header hr".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 
@@ -48,17 +51,23 @@ def _words_of(attrs: str) -> tuple[str, ...]:
 def leaf_blocks(page: str) -> list[Block]:
     """Blocks of visible text in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    # Open elements: tag, the features of it and all above it, and the number of the container that its text stands in.
+    stack: list[tuple[str, frozenset[str], int]] = []
     parts: list[str] = []
-    linked = at = 0
+    linked = at = opened = 0
     anchor = False
+    inside: list[int] = []
+    mass: dict[int, int] = {}
 
     def put() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split()) if parts else ""
         parts.clear()
-        if text and not any(t == "head" for t, _ in stack):
-            out.append(Block(text, _features(text, linked / max(len(text), 1), stack)))
+        if text and not (stack and "a:head" in stack[-1][1]):
+            share = min(linked / len(text), 1)
+            out.append(Block(text, _features(text, share, stack)))
+            inside.append(stack[-1][2] if stack else 0)
+            mass[inside[-1]] = mass.get(inside[-1], 0) + int((text.count(" ") + 1) * (1 - share))
         linked = 0
 
     for m in _TOKEN.finditer(page):
@@ -102,21 +111,31 @@ def leaf_blocks(page: str) -> list[Block]:
                 if stack[k][0] in ("ul", "ol", "table", "dl", "select"):
                     break
         if name not in VOID:
-            stack.append((name, _words_of(m[4]) if "=" in m[4] else ()))
+            above, container = stack[-1][1:] if stack else (frozenset(), 0)
+            new = {f"a:{name}", *(f"c:{w}" for w in (_words_of(m[4]) if "=" in m[4] else ()))}
+            opened += 1
+            stack.append((name, above if new <= above else above | new, container if name in LEAFY else opened))
     if at < len(page):
         parts.append(page[at:])
     put()
+    most = max(mass.values(), default=0)
+    titled = {k for b, k in zip(out, inside, strict=True) if "a:h1" in b.features}
+    for b, k in zip(out, inside, strict=True):
+        b.features.append(f"m:{min(mass[k].bit_length(), 9)}")
+        if mass[k] == most:
+            b.features.append("most")
+        if k in titled:
+            b.features.append("titled")
     return out
 
 
-def _features(text: str, link_share: float, stack: list[tuple[str, tuple[str, ...]]]) -> list[str]:
-    out = [f"a:{t}" for t in {t for t, _ in stack}]
-    out += [f"c:{w}" for w in {w for _, ws in stack for w in ws}]
+def _features(text: str, link_share: float, stack: list[tuple[str, frozenset[str], int]]) -> list[str]:
+    out = sorted(stack[-1][1]) if stack else []
     out.append(f"t:{stack[-1][0] if stack else ''}")
     if len(stack) > 1:
         out.append(f"pp:{stack[-2][0]}")
     out.append(f"n:{min((text.count(' ') + 1).bit_length(), 7)}")
-    out.append(f"l:{int(min(link_share, 1) * 4)}")
+    out.append(f"l:{int(link_share * 4)}")
     out.append(f"e:{text[-1] in '.!?…:\"”'}")
     if "©" in text[:3]:
         out.append("copyright")
@@ -152,13 +171,15 @@ class Field:
         return y[::-1]
 
 
-def train(pages: list[tuple[str, list[int]]], *, rounds: int = 150, rate: float = 0.15, decay: float = 1e-3) -> Field:
-    """Maximum likelihood by Adam, forward and backward over all pages at once; `decay` is a Gaussian prior."""
+def train(pages: list[tuple[str, list[int]]], *, rounds: int = 150, rate: float = 0.15, decay: float = 1e-3, support: int = 1) -> Field:
+    """Maximum likelihood by Adam, forward and backward over all pages at once; `decay` is a Gaussian prior. Features of
+    fewer than `support` pages get no weight."""
     seqs = [(b, y) for b, y in ((leaf_blocks(p), y) for p, y in pages) if b]
     for b, y in seqs:
         if len(b) != len(y):
             raise ValueError(f"{len(y)} labels for {len(b)} blocks")
     names: dict[str, int] = {}
+    held = Counter(f for b, _ in seqs for f in {f for x in b for f in x.features})
     longest = max(len(b) for b, _ in seqs)
     rows, cols = [], []
     y = np.full((len(seqs), longest), -1)
@@ -166,8 +187,9 @@ def train(pages: list[tuple[str, list[int]]], *, rounds: int = 150, rate: float
         y[i, : len(b)] = lab
         for k, x in enumerate(b):
             for f in x.features:
-                rows.append(i * longest + k)
-                cols.append(names.setdefault(f, len(names)))
+                if held[f] >= support:
+                    rows.append(i * longest + k)
+                    cols.append(names.setdefault(f, len(names)))
     rows, cols = np.array(rows), np.array(cols)
     real = y >= 0
     theta = np.zeros(len(names) + 7)  # features, bias, transitions, start
@@ -207,7 +229,7 @@ def train(pages: list[tuple[str, list[int]]], *, rounds: int = 150, rate: float
 
 
 # Names that page parts go by, for the training pages.
-OTHER_NAMES = "nav navbar navigation menu topbar header masthead footer bottom copyright legal sidebar aside widget related recommended popular trending ad ads advert advertisement banner sponsor sponsored promo cookie cookies consent notice alert popup modal overlay subscribe newsletter signup login search form comments comment discussion replies reply respond disqus share social sharing follow breadcrumbs breadcrumb pagination pager tags links toolbar skip".split()
+OTHER_NAMES = "nav navbar navigation menu topbar header masthead footer bottom copyright legal sidebar aside widget related recommended popular trending ad ads advert advertisement banner sponsor sponsored promo cookie cookies consent notice alert popup modal overlay subscribe newsletter signup login search form comments comment discussion replies reply respond responses reactions reader readers feedback opinions reviews disqus share social sharing follow breadcrumbs breadcrumb pagination pager tags links toolbar skip".split()
 MAIN_NAMES = "article content post entry story main body text page blog news single hentry maintext articlebody".split()
 
 
@@ -222,7 +244,11 @@ def labelled_pages(seed: int = 7, n: int = 1200) -> list[tuple[str, list[int]]]:
         w = ["".join(pick(syllables) for _ in range(int(rng.integers(1, 4)))) for _ in range(int(rng.integers(lo, hi + 1)))]
         return " ".join(w).capitalize() + ("." if stop else "")
 
+    opaque = False
+
     def named(names: list[str]) -> str:
+        if opaque or chance(0.05):
+            return pick([f' class="{pick("abcdeghkmqrsuxz")}{int(rng.integers(1, 100))}"', f' id="{pick(syllables)}{pick(syllables)}"', ""])
         x = pick(names)
         return pick([f' class="{x}"', f' id="{x}"', f' class="{x}-{pick(["box", "wrap", "area", "list", "section"])}"', f' class="{pick(["col", "x1", "left", "wide"])} {x}"'])
 
@@ -230,6 +256,7 @@ def labelled_pages(seed: int = 7, n: int = 1200) -> list[tuple[str, list[int]]]:
     for _ in range(n):
         bits: list[str] = []
         labels: list[int] = []
+        opaque = chance(0.2)
 
         def leaf(html: str, label: int, bits=bits, labels=labels) -> None:
             bits.append(html)
@@ -246,6 +273,8 @@ def labelled_pages(seed: int = 7, n: int = 1200) -> list[tuple[str, list[int]]]:
             if kind == 0:
                 tag = pick(["nav", "header", "footer", "aside"])
                 bits.append(f"<{tag}{named(OTHER_NAMES) if chance(0.5) else ''}>")
+                if tag == "header" and chance(0.15):  # the site's name
+                    leaf(f"<h1>{words(1, 3, False)}</h1>", 0)
                 links("li") if chance(0.6) else leaf(f"<{pick(['p', 'div'])}>{words(2, 30)}", 0)
                 bits.append(f"</{tag}>")
             elif kind == 1:
@@ -263,7 +292,7 @@ def labelled_pages(seed: int = 7, n: int = 1200) -> list[tuple[str, list[int]]]:
                 leaf(f"<button>{words(1, 3, False)}</button>", 0)
                 bits.append("</form>")
             elif kind == 4:
-                bits.append(f"<{pick(['section', 'div', 'ol'])}{named(['comments', 'comment', 'discussion', 'replies', 'respond'])}>")
+                bits.append(f"<{pick(['section', 'div', 'ol'])}{named(['comments', 'comment', 'discussion', 'replies', 'respond', 'reactions', 'reader', 'responses', 'feedback'])}>")
                 if chance(0.5):
                     leaf(f"<h2>{words(1, 3, False)}</h2>", 0)
                 for _ in range(int(rng.integers(1, 5))):
@@ -274,12 +303,16 @@ def labelled_pages(seed: int = 7, n: int = 1200) -> list[tuple[str, list[int]]]:
                 links("p")
                 bits.append("</aside></nav>")
 
-        def main(bits=bits, leaf=leaf, other=other) -> None:
+        def main(bits=bits, leaf=leaf, opaque=opaque) -> None:
             headed = chance(0.2)
             bits.append("<header>" if headed else "")
             if chance(0.85):
                 leaf(f"<h1>{words(1, 12, chance(0.4))}</h1>", 1)
             bits.append("</header>" if headed else "")
+            if not opaque and chance(0.12):  # an article of a few words
+                for _ in range(int(rng.integers(1, 3))):
+                    leaf(f"<p>{words(1, 4)}</p>" if chance(0.5) else f"<p><b>{words(1, 4, chance(0.5))}<br>", 1)
+                return
             for _ in range(int(rng.integers(1, 10))):
                 kind = int(rng.integers(12))
                 if kind == 10:
@@ -328,7 +361,7 @@ def labelled_pages(seed: int = 7, n: int = 1200) -> list[tuple[str, list[int]]]:
 @lru_cache(maxsize=1)
 def default_field() -> Field:
     """The field trained on `labelled_pages()`; the same in every process."""
-    return train(labelled_pages())
+    return train(labelled_pages(), support=8)
 
 
 def main_text(page: str | None, field: Field) -> str:
