@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids, names, types
-from ..sources.dtdl import Models, fields_of
+from ..sources.dtdl import Models, fields_of, list_of, text_of
 from . import checks, closure, keys
 from .rdf import NAMESPACE, Converted
 from .shared import written
@@ -61,7 +61,7 @@ def convert(m: Models, *, components: str = "skip", commands: str = "skip", deci
             raise ValueError(f"unknown mode {mode}")
     i = written(m.interfaces.dropDuplicates(["file", "dtmi"]), "interfaces")
     c = written(m.contents.join(i.select("file", "dtmi"), ["file", "dtmi"], "left_semi"), "contents")
-    m = Models(i, c, m.faults)
+    m = Models(i, c, m.faults, m.schemas)
     e = edges(m)
     up, order = closure.ancestors(e), closure.topological(i.select("file", F.col("dtmi").alias("node")), e)
     owner = ids.hash_id(F.col("dtmi"), prefix)
@@ -155,6 +155,12 @@ def issues(m: Models, *, external_allowed: bool = True) -> DataFrame:
     prim = F.col("schema_kind") == "primitive"
     known = F.col("schema").isin([s for ss in types.DTDL_TYPES.values() for s in ss]) | F.startswith("schema", F.lit("dtmi:"))
     data = F.col("kind").isin("Property", "Telemetry")
+    inner = F.transform(list_of(F.try_parse_json("properties"), "$"), lambda q: text_of(q, "$.name"))
+    inner = c.where("kind = 'Relationship'").select("file", "dtmi", "name", F.posexplode(inner).alias("i", "inner")).where("inner is not null")
+    again = inner.withColumn("k", F.row_number().over(Window.partitionBy("file", "dtmi", "name", "inner").orderBy("i"))).where("k > 1")
+    sides = F.array(*[F.struct(F.lit(x).alias("side"), text_of(F.try_parse_json(x), "$.schema").alias("schema")) for x in ("request", "response")])
+    sides = c.where("kind = 'Command'").select("file", "dtmi", "name", F.explode(sides).alias("s")).select("file", "dtmi", "name", "s.side", "s.schema").where(F.col("schema").isNotNull() & ~known)
+    shared = m.schemas.withColumn("why", names.dtmi_faults(F.col("id")))
     return checks.union([
         iss(m.faults, "dtdl", "error", "syntax", "parse", F.col("fault"), null),
         iss(twice, "dtdl", "error", "identifier", "duplicate", "the identifier is used twice", F.col("dtmi")),
@@ -171,6 +177,10 @@ def issues(m: Models, *, external_allowed: bool = True) -> DataFrame:
         iss(c.where(F.length("name") > 512), "dtdl", "error", "content", "name_length", "a content name is too long", F.col("dtmi"), F.col("name")),
         iss(c.where("kind = 'Relationship' and max_multiplicity < 1"), "dtdl", "error", "content", "multiplicity", "maxMultiplicity is below 1", F.col("dtmi"), F.col("name")),
         iss(c.where(data & prim & ~known), "dtdl", "error", "schema", "schema", F.concat(F.lit("unknown schema "), F.col("schema")), F.col("dtmi"), F.col("name")),
+        iss(again, "dtdl", "error", "content", "property_twice", F.concat(F.lit("a relationship's property name is used twice: "), "inner"), F.col("dtmi"), F.col("name")),
+        iss(sides, "dtdl", "warning", "schema", "command_schema", F.concat(F.lit("unknown schema of the "), "side", F.lit(": "), "schema"), F.col("dtmi"), F.col("name")),
+        iss(shared.where("id is null"), "dtdl", "error", "schema", "shared_id", "a shared schema has no identifier", F.col("dtmi")),
+        iss(shared.where("id is not null and why is not null"), "dtdl", "error", "identifier", "shared_dtmi", F.concat(F.lit("identifier of a shared schema: "), "why"), F.col("dtmi"), F.col("id")),
         iss(users(targets("Relationship", "target")), "dtdl", ext, "reference", "target", "a target is not in the set", F.col("ref"), F.col("users")),
         iss(users(targets("Component", "schema")), "dtdl", ext, "reference", "component", "a component's schema is not in the set", F.col("ref"), F.col("users")),
     ])

@@ -32,11 +32,12 @@ def json_of(v: Column, path: str) -> Column:
 class Models:
     """interfaces (file, pos, dtmi, version, display, display_map, description, extends), contents (file, dtmi, pos, kind,
     semantic, name, id, schema, schema_kind, target, min_multiplicity, max_multiplicity, unit, writable, request, response,
-    properties), faults (file, fault)."""
+    properties), faults (file, fault), schemas (file, dtmi, pos, id): the shared schemas of interfaces."""
 
     interfaces: DataFrame
     contents: DataFrame
     faults: DataFrame
+    schemas: DataFrame
 
 
 def kind_of(v: Column, path: str = "$") -> Column:
@@ -73,8 +74,9 @@ def parse(docs: DataFrame, file: str = "file", text: str = "text") -> Models:
         text_of(c, "$.target").alias("target"), F.try_variant_get(c, "$.minMultiplicity", "int").alias("min_multiplicity"), F.try_variant_get(c, "$.maxMultiplicity", "int").alias("max_multiplicity"),
         text_of(c, "$.unit").alias("unit"), F.try_variant_get(c, "$.writable", "boolean").alias("writable"), json_of(c, "$.request").alias("request"), json_of(c, "$.response").alias("response"), json_of(c, "$.properties").alias("properties"),
     )
+    schemas = ok.select("file", "dtmi", F.posexplode(list_of(x, "$.schemas")).alias("pos", "s")).select("file", "dtmi", "pos", text_of(F.col("s"), '$["@id"]').alias("id"))
     known = F.col("kind").isin("Property", "Telemetry", "Relationship", "Component", "Command") & F.col("name").isNotNull()
-    return Models(interfaces, contents.where(known & ((F.col("kind") != "Component") | (F.col("schema_kind") == "primitive"))), faults)
+    return Models(interfaces, contents.where(known & ((F.col("kind") != "Component") | (F.col("schema_kind") == "primitive"))), faults, schemas)
 
 
 def read(spark: SparkSession, path: str, *, recursive: bool = True) -> Models:

@@ -74,6 +74,13 @@ def test_model_checks(spark):
     assert fields == {("site_slope", "Double"), ("site_terrace", "BigInt")}
 
 
+def test_checks_inside_contents(spark):
+    a = '{"@context":"dtmi:dtdl:context;3","@id":"dtmi:a;1","@type":"Interface","schemas":[{"@type":"Enum"},{"@id":"dtmi:s;1","@type":"Enum"},{"@id":"s","@type":"Map"}],"contents":[{"@type":"Relationship","name":"r","properties":[{"name":"p"},{"name":"q"},{"name":"p"},{"name":null}]},{"@type":"Command","name":"go","request":{"name":"x","schema":"odd"},"response":{"name":"y","schema":"dtmi:s;1"}},{"@type":"Command","name":"stop","request":{"name":"x","schema":{"@type":"Enum","valueSchema":"integer"}}}]}'
+    m = dtdl_source.parse(docs(spark, ("f", a), ("g", a.replace('"schemas"', '"other"').replace('"name":"q"},{"name":"p"}', '"name":"q"}').replace("odd", "long"))))
+    got = [(r.file, r.severity, r.code) for r in dtdl.issues(m).collect()]
+    assert sorted(got) == [("f", "error", "property_twice"), ("f", "error", "shared_dtmi"), ("f", "error", "shared_id"), ("f", "warning", "command_schema")]
+
+
 def test_model_depth_and_compliance(spark):
     chain = [('{"@context":"dtmi:dtdl:context;2","@id":"dtmi:c%d;1","@type":"Interface"%s}' % (k, f',"extends":"dtmi:c{k - 1};1"' if k else "")) for k in range(15)]
     m = dtdl_source.parse(docs(spark, *[("f", x) for x in chain]))
