@@ -33,6 +33,8 @@ THRESHOLD = 0.8
 BITS, ASKED = 20, 22
 #: Tokens of a set that the first round looks at.
 RAREST = 8
+#: Sets of so many tokens and more have the parity of 128 shares, as 64 no longer tell strangers apart.
+WIDE = 64
 #: Rows of two numbers that may be broadcast; more of them are joined by a shuffle.
 SMALL = 1 << 19
 
@@ -67,24 +69,27 @@ def _classes(docs: DataFrame) -> Column:
 
 def _more(n: Column, threshold: float) -> Column:
     """How many tokens over one two sets of at least n must share in their prefixes."""
-    return F.least(F.floor(n / 64).cast("int"), F.lit(4), F.ceil(n * F.lit(threshold) - 1e-9).cast("int") - 1)
-
-
-def _need(a: Column, b: Column, threshold: float) -> Column:
-    """The least overlap of two sets of those sizes at the threshold."""
-    return F.ceil(F.lit(threshold / (1 + threshold)) * (a + b) - 1e-9)
+    return F.least(F.floor(n / 192).cast("int"), F.lit(4), F.ceil(n * F.lit(threshold) - 1e-9).cast("int") - 1)
 
 
 def _fits(a: str, b: str, threshold: float) -> Column:
-    """The length filter and the bound by parity, for rows with n and parity."""
+    """The length filter and the bound by parity, for rows with n, parity and half."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = F.bit_count(F.col(f"{a}.parity").bitwiseXOR(F.col(f"{b}.parity")))
-    return (F.least(n, m) >= F.lit(threshold) * F.greatest(n, m) - 1e-9) & (apart <= n + m - 2 * _need(n, m, threshold))
+    apart, half = (F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}")) for p in ("parity", "half"))
+    most = n + m - 2 * F.ceil(_need(n, m, threshold))
+    wide = (F.least(n, m) < WIDE) | (F.bit_count(half) + F.bit_count(apart.bitwiseXOR(half)) <= most)
+    return (F.least(n, m) >= F.lit(threshold) * F.greatest(n, m) - 1e-9) & (F.bit_count(apart) <= most) & wide
+
+
+def _need(a: Column, b: Column, threshold: float) -> Column:
+    """The least overlap of two sets of those sizes at the threshold, not rounded up."""
+    return F.lit(threshold / (1 + threshold)) * (a + b) - 1e-9
 
 
 def _sets(docs: DataFrame, threshold: float) -> DataFrame:
-    """A row per set of tokens: id, line_no (the first line that has it), n, parity, prefix (its first tokens, rarest first:
-    6 bits of the frequency class, then 57 of the hash)."""
+    """A row per set of tokens: id, line_no (the first line that has it), n, parity (of 64 shares of the tokens), half (of one
+    half of each share; 0 for sets of under `WIDE`), prefix (its first tokens, rarest first: 6 bits of the frequency class,
+    then 57 of the hash)."""
     hashed = F.array_distinct(F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w)))
     # Subqueries may not stand inside lambdas; the optimizer merges the two selects, so that the lookup is in no row.
     lines = _lines(docs).select("id", "line_no", hashed.alias("h"), _classes(docs).alias("classes"))
@@ -92,23 +97,28 @@ def _sets(docs: DataFrame, threshold: float) -> DataFrame:
     keyed = F.transform("h", lambda h: F.shiftleft(of(h).cast("long"), 57).bitwiseOR(h.bitwiseAND((1 << 57) - 1)))
     # The explode of one element keeps the optimizer from computing the array anew wherever it is used.
     lines = lines.select("id", "line_no", keyed.alias("keys")).select("id", "line_no", F.explode(F.array(F.sort_array("keys"))).alias("keys")).where(F.size("keys") > 0)
-    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(k, 51).bitwiseAND(63).cast("int"))
-    parity = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(bit(k))).alias("parity")
     n = F.size("keys")
+    # A shift takes the last six bits of its distance: bits 51 to 56 of the hash. Bit 50 halves each share.
+    odd = lambda one: F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", one(k), F.shiftright(k, 51).cast("int"))))
+    parity = odd(lambda k: F.lit(1).cast("long"))
+    half = F.when(n < WIDE, F.lit(0).cast("long")).otherwise(odd(lambda k: F.shiftright(k, 50).bitwiseAND(1)))
     prefix = F.slice("keys", 1, n - F.ceil(n * F.lit(threshold) - 1e-9).cast("int") + 1 + _more(n, threshold))
-    first = F.struct("id", "line_no", n.alias("n"), parity, prefix.alias("prefix"))
+    first = F.struct("id", "line_no", n.alias("n"), parity.alias("parity"), half.alias("half"), prefix.alias("prefix"))
     sets = lines.select(F.xxhash64("keys").alias("h1"), F.xxhash64(F.lit(1), F.col("keys")).alias("h2"), first.alias("f")).groupBy("h1", "h2").agg(F.min("f").alias("f"))
     return sets.select("f.*")
 
 
 def _near(sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (ai, al, bi, bl) of a set with the first one and the one before it among those that share a rare token."""
-    posts = sets.select("id", "line_no", "n", "parity", F.explode(F.slice("prefix", 1, RAREST)).alias("token"))
+    """Pairs (ai, al, bi, bl) of a set with the first one and the one before it among those that share two tokens which
+    follow each other in the order (of a prefix's last token: that token)."""
+    pair = lambda k, i: F.struct(k.alias("token"), F.get("prefix", i + 1).alias("next"))
+    posts = sets.select("id", "line_no", "n", "parity", "half", F.explode(F.transform(F.slice("prefix", 1, RAREST), pair)).alias("p"))
     # Tokens of some thousand lines and more are dealt out, so that no token gathers its sets in one task.
-    parts = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.shiftrightunsigned("token", 58).cast("int") - 12, F.lit(0)))
-    w = Window.partitionBy("token", F.pmod(F.xxhash64("id", "line_no"), parts)).orderBy("id", "line_no")
-    one = F.struct("id", "line_no", "n", "parity")
-    met = posts.select(one.alias("b"), F.first(one).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag(one).over(w).alias("last"))
+    parts = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.shiftrightunsigned("p.token", 58).cast("int") - 12, F.lit(0)))
+    one = F.struct("id", "line_no", "n", "parity", "half")
+    posts = posts.select("id", "line_no", one.alias("b"), F.xxhash64("p.token", "p.next", F.pmod(F.xxhash64("id", "line_no"), parts)).alias("key"))
+    w = Window.partitionBy("key").orderBy("id", "line_no")
+    met = posts.select("b", F.first("b").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag("b").over(w).alias("last"))
     far = lambda a: ((F.col(f"{a}.id") != F.col("b.id")) | (F.col(f"{a}.line_no") != F.col("b.line_no"))) & _fits(a, "b", threshold)
     met = met.where(far("first") | F.coalesce(far("last"), F.lit(False))).select("b", F.explode(F.array("first", "last")).alias("a")).where(far("a"))
     return met.select(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).distinct()
@@ -119,14 +129,16 @@ def _met(sets: DataFrame, gone: DataFrame, threshold: float, small: bool) -> Dat
     gone = gone.withColumn("gone", F.lit(1))
     some = sets.join(F.broadcast(gone) if small else gone, ["id", "line_no"], "left")
     # Both sides read the same shuffle: every condition is on both and they use the same columns, so that nothing is moved
-    # below it on one side only.
-    posts = some.select("id", "line_no", "n", "parity", F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("i", "token"))
+    # below it on one side only. What is cheapest to tell stands first.
+    posts = some.select("id", "line_no", "n", "parity", "half", F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("i", "token"))
+    posts = posts.withColumn("rest", F.col("n") - F.col("i")).drop("i")
     a, b = posts.alias("a"), posts.alias("b")
     earlier = (F.col("a.id") < F.col("b.id")) | ((F.col("a.id") == F.col("b.id")) & (F.col("a.line_no") < F.col("b.line_no")))
+    turn = F.when(earlier, F.col("b.gone")).otherwise(F.col("a.gone") + 1) == 0
     n, m = F.col("a.n"), F.col("b.n")
     more = _more(F.least(n, m), threshold)
-    fits = _fits("a", "b", threshold) & (F.least(n - F.col("a.i"), m - F.col("b.i")) + more >= _need(n, m, threshold))
-    met = a.join(b, (F.col("a.token") == F.col("b.token")) & fits & (F.when(earlier, F.col("b.gone")).otherwise(F.col("a.gone") + 1) == 0))
+    place = F.least(F.col("a.rest"), F.col("b.rest")) + more >= _need(n, m, threshold)
+    met = a.join(b, (F.col("a.token") == F.col("b.token")) & turn & place & _fits("a", "b", threshold))
     met = met.groupBy(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).agg(F.count("*").alias("met"), F.max(more).alias("more"))
     return met.where("met > more").drop("met", "more")
 
@@ -147,14 +159,15 @@ def kept_lines(docs: DataFrame, *, threshold: float = THRESHOLD, small: int = SM
 
 def _verified(docs: DataFrame, pairs: DataFrame, threshold: float, small: int) -> tuple[DataFrame, tuple[DataFrame, ...]]:
     """(id, line_no) of the later lines (bi, bl) that match their earlier one (ai, al), by the tokens themselves, and the
-    tables that it is read from. The lines in question are read again from the texts; if they are many, a lookup of
-    2**ASKED bits keeps most others out of the join."""
+    tables that it is read from. The lines in question are read again from the texts that have one; if they are many, a
+    lookup of 2**ASKED bits keeps most others out of the join."""
     pairs = written(pairs, "line-pairs")
     asked = pairs.select(F.col("ai").alias("id"), F.col("al").alias("line_no")).union(pairs.select("bi", "bl")).distinct()
-    texts = _lines(docs)
     if 2 * pairs.count() <= small:
+        texts = _lines(docs.join(F.broadcast(asked.select("id").distinct()), "id", "left_semi"))
         asked = F.broadcast(asked)
     else:
+        texts = _lines(docs)
         cell = F.xxhash64("id", "line_no").bitwiseAND((1 << ASKED) - 1)
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(63).cast("int"))
         word = F.shiftright(cell, 6)

@@ -98,6 +98,31 @@ def test_thresholds_and_paths_against_all_pairs(spark, threshold, small):
     assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in plain(docs, threshold).items() if v}
 
 
+def sets_of(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs = lines._docs(lines._keyed(df, "doc_id", "text"), "text")
+    return docs, lines._sets(docs, 0.8).localCheckpoint()
+
+
+def test_long_strangers_are_not_verified(spark):
+    # Each two lines share tokens by chance, some of them in their prefixes, and none are alike.
+    r = random.Random(4)
+    _, sets = sets_of(spark, [" ".join(r.sample([f"w{k}" for k in range(1500)], 140)) for _ in range(200)])
+    none = spark.createDataFrame([], "id long, line_no long")
+    assert sets.count() == 200 and lines._met(sets, none, 0.8, True).count() < 20
+
+
+def test_first_round_finds_near_copies_among_strangers(spark):
+    # Every token stands in a tenth of all lines, so that the lines that share one of them are strangers.
+    r = random.Random(5)
+    words = [f"w{k}" for k in range(200)]
+    firsts = [r.sample(words, 20) for _ in range(300)]
+    copies = [w[:k] + [f"new{i}"] + w[k + 1 :] for i, w in enumerate(firsts) for k in [i % 20]]
+    docs, sets = sets_of(spark, [" ".join(w) for w in firsts + copies])
+    gone = {x.id for x in lines._verified(docs, lines._near(sets, 0.8), 0.8, lines.SMALL)[0].collect()}
+    assert gone <= set(range(300, 600)) and len(gone) > 270
+
+
 def test_odd_thresholds(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     for bad in (0, 1.5):
