@@ -130,3 +130,19 @@ def test_climb_shortens_prefixes(spark):
     assert root.tolist() == [0, 0, 0, 3, 0] and lead[[0, 3]].all()
     root, lead = near._climb(tails, sig, 3, 0.55, 0.97, True)
     assert root.tolist() == [0, 0, 0, 3, 0] and lead.tolist() == [True, False, True, True, False]
+
+
+def test_components_of_few_edges_in_one_task(spark, monkeypatch):
+    from sedgeline.llm import graph
+
+    r = random.Random(7)
+    edges = [(r.randrange(900), r.randrange(900)) for _ in range(500)] + [(2000, k) for k in range(1000, 1300)] + [(k + 1, k) for k in range(3000, 3200)] + [(-5, -9), (4, 4)]
+    e = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    names = []
+    monkeypatch.setattr(graph, "written", lambda df, name, _f=graph.written: names.append(name) or _f(df, name))
+    rows = [tuple(x) for x in components(e).collect()]
+    assert len(names) == 1 and len(set(rows)) == len(rows)
+    # The same in rounds.
+    assert dict(rows) == {x.node: x.root for x in components(e, few=0).collect()} and len(names) > 3
+    assert dict(rows)[2000] == 1000 and dict(rows)[3200] == 3000 and dict(rows)[-5] == -9
+    assert components(e.where("a = 4 AND b = 4")).count() == 0
