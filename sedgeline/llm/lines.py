@@ -5,7 +5,7 @@ the token's hash bucket over all texts, then the hash). By prefix filtering, two
 the threshold share 1 + k of the first `n - ceil(t n) + 1 + k` tokens of each (k is 0 for sets of under 64 tokens and grows
 with them, as chance meetings do). Only those are joined, under a length filter, a positional filter and a bound by parity:
 64 bits of a set, each the parity of a share of its tokens, differ from another set's in no more bits than the sets differ
-in tokens. What meets often enough is verified on its tokens. A line goes if any line before
+in tokens; the shorter set of two needs fewer of its first tokens for that. What meets often enough is verified on its tokens. A line goes if any line before
 it, by document id and line number, matches it.
 
 Lines with equal sets are one set first, so that a line repeated in a third of all documents is one row in the join. Near
@@ -128,18 +128,23 @@ def _met(sets: DataFrame, gone: DataFrame, threshold: float, small: bool) -> Dat
     """Pairs (ai, al, bi, bl) of all sets that pass the filters, the later one not yet gone."""
     gone = gone.withColumn("gone", F.lit(1))
     some = sets.join(F.broadcast(gone) if small else gone, ["id", "line_no"], "left")
-    # Both sides read the same shuffle: every condition is on both and they use the same columns, so that nothing is moved
-    # below it on one side only. What is cheapest to tell stands first.
     posts = some.select("id", "line_no", "n", "parity", "half", F.coalesce("gone", F.lit(0)).alias("gone"), F.posexplode("prefix").alias("i", "token"))
-    posts = posts.withColumn("rest", F.col("n") - F.col("i")).drop("i")
-    a, b = posts.alias("a"), posts.alias("b")
+    posts = posts.withColumn("rest", F.col("n") - F.col("i")).drop("i").where("token is not null and n is not null and parity is not null").repartition("token")
+    # On the shorter side only the tokens that are far enough to the front for a set of its own length. Both sides read the
+    # same shuffle: they use the same columns, and a condition with a row number (never negative) is not moved below it;
+    # those that the optimizer would add to one side are on both.
+    front = F.col("rest") + _more(F.col("n"), threshold) >= _need(F.col("n"), F.col("n"), threshold)
+    a, b = posts.where(F.when(F.monotonically_increasing_id() >= 0, front)).alias("a"), posts.alias("b")
     earlier = (F.col("a.id") < F.col("b.id")) | ((F.col("a.id") == F.col("b.id")) & (F.col("a.line_no") < F.col("b.line_no")))
-    turn = F.when(earlier, F.col("b.gone")).otherwise(F.col("a.gone") + 1) == 0
     n, m = F.col("a.n"), F.col("b.n")
-    more = _more(F.least(n, m), threshold)
+    ordered = (n < m) | ((n == m) & earlier)
+    turn = F.when(earlier, F.col("b.gone")).otherwise(F.col("a.gone")) == 0
+    more = _more(n, threshold)
     place = F.least(F.col("a.rest"), F.col("b.rest")) + more >= _need(n, m, threshold)
-    met = a.join(b, (F.col("a.token") == F.col("b.token")) & turn & place & _fits("a", "b", threshold))
-    met = met.groupBy(F.col("a.id").alias("ai"), F.col("a.line_no").alias("al"), F.col("b.id").alias("bi"), F.col("b.line_no").alias("bl")).agg(F.count("*").alias("met"), F.max(more).alias("more"))
+    met = a.join(b, (F.col("a.token") == F.col("b.token")) & ordered & _fits("a", "b", threshold) & turn & place)
+    of = lambda c, one, two: F.when(earlier, F.col(f"{one}.{c}")).otherwise(F.col(f"{two}.{c}"))
+    met = met.select(of("id", "a", "b").alias("ai"), of("line_no", "a", "b").alias("al"), of("id", "b", "a").alias("bi"), of("line_no", "b", "a").alias("bl"), more.alias("more"))
+    met = met.groupBy("ai", "al", "bi", "bl").agg(F.count("*").alias("met"), F.max("more").alias("more"))
     return met.where("met > more").drop("met", "more")
 
 

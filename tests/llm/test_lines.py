@@ -112,6 +112,24 @@ def test_long_strangers_are_not_verified(spark):
     assert sets.count() == 200 and lines._met(sets, none, 0.8, True).count() < 20
 
 
+def test_shorter_side_of_the_join_is_thinned_above_the_shared_shuffle(spark):
+    r = random.Random(9)
+    texts = [" ".join(r.sample([f"w{k}" for k in range(300)], 40)) for _ in range(60)]
+    # Near copies of other lengths, before and after their texts in the order; the later one of each two is met.
+    texts += [" ".join(t.split(" ")[:37]) for t in texts[:20]] + [t + " more" for t in texts[40:60]]
+    _, sets = sets_of(spark, texts)
+    gone = spark.createDataFrame([(60, 0), (61, 0)], "id long, line_no long")
+    met = lines._met(sets, gone, 0.8, False)
+    got = {(x.ai, x.bi) for x in met.collect()}
+    assert {(k, 60 + k) for k in range(2, 20)} | {(k, 40 + k) for k in range(40, 60)} <= got
+    assert all(a < b and b not in (60, 61) for a, b in got)
+    plan = met._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    shared = plan.index("ReusedExchange")
+    # One side is filtered above the shuffle that the other reads again as it is.
+    assert "Filter CASE WHEN (monotonically_increasing_id" in plan[:shared] and "monotonically_increasing_id" not in plan[shared:]
+    assert plan.index("monotonically_increasing_id") < plan.index("REPARTITION_BY_COL") < shared
+
+
 def test_first_round_finds_near_copies_among_strangers(spark):
     # Every token stands in a tenth of all lines, so that the lines that share one of them are strangers.
     r = random.Random(5)
