@@ -5,8 +5,8 @@ the token's hash bucket over all texts, then the hash). By prefix filtering, two
 the threshold share 1 + k of the first `n - ceil(t n) + 1 + k` tokens of each (k is 0 for sets of under 64 tokens and grows
 with them, as chance meetings do). Only those are joined, under a length filter, a positional filter and a bound by parity:
 64 bits of a set, each the parity of a share of its tokens, differ from another set's in no more bits than the sets differ
-in tokens; the shorter set of two needs fewer of its first tokens for that. What meets often enough is verified on its tokens. A line goes if any line before
-it, by document id and line number, matches it.
+in tokens; the shorter set of two needs fewer of its first tokens for that. What meets often enough is verified on its
+tokens. A line goes if any line before it, by document id and line number, matches it.
 
 Lines with equal sets are one set first, so that a line repeated in a third of all documents is one row in the join. Near
 copies do not meet pair by pair: in a first round each set is verified against the first set, and the one before it, of
