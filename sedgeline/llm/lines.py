@@ -10,8 +10,9 @@ tokens. A line goes if any line before it, by document id and line number, match
 
 Lines with equal sets are one set first, so that a line repeated in a third of all documents is one row in the join. Near
 copies do not meet pair by pair: in a first round each set is verified against the first set, and the one before it, of
-those that share one of its eight rarest tokens (frequent tokens in salted parts); nearly all near copies go by that, and
-a set that has gone is not looked up again, only looked at.
+those that share one of its eight rarest tokens (frequent tokens in salted parts); nearly all near copies in large groups
+go by that, and a set that has gone is not looked up again, only looked at. Tokens that occur fewer than 32 times are left
+out of that round: the few sets that share one are compared in the join anyway.
 
 Rows that share an id, or have none, are numbered in the order of their texts; the number stands in the upper half of
 `line_no` in here, so that (id, line_no) is one line of one row and in order. Other rows have number 0 and are not moved.
@@ -33,6 +34,8 @@ THRESHOLD = 0.8
 BITS, ASKED = 20, 22
 #: Tokens of a set that the first round looks at.
 RAREST = 8
+#: The frequency class (32 times in all texts) from which it looks at a token.
+COMMON = 10
 #: Sets of so many tokens and more have the parity of 128 shares, as 64 no longer tell strangers apart.
 WIDE = 64
 #: Rows of two numbers that may be broadcast; more of them are joined by a shuffle.
@@ -110,14 +113,14 @@ def _sets(docs: DataFrame, threshold: float) -> DataFrame:
 
 def _near(sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs (ai, al, bi, bl) of a set with the first one and the one before it among those that share two tokens which
-    follow each other in the order (of a prefix's last token: that token)."""
-    pair = lambda k, i: F.struct(k.alias("token"), F.get("prefix", i + 1).alias("next"))
-    posts = sets.select("id", "line_no", "n", "parity", "half", F.explode(F.transform(F.slice("prefix", 1, RAREST), pair)).alias("p"))
+    follow each other in the order (of a prefix's last token: that token), the first of them of class COMMON at least."""
+    posts = sets.select("id", "line_no", "n", "parity", "half", "prefix", F.posexplode(F.slice("prefix", 1, RAREST)).alias("i", "token"))
+    posts = posts.withColumn("next", F.get("prefix", F.col("i") + 1)).where(F.shiftrightunsigned("token", 57) >= COMMON)
     # Tokens of some thousand lines and more are dealt out, so that no token gathers its sets in one task.
-    parts = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.shiftrightunsigned("p.token", 58).cast("int") - 12, F.lit(0)))
+    parts = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.shiftrightunsigned("token", 58).cast("int") - 12, F.lit(0)))
     one = F.struct("id", "line_no", "n", "parity", "half")
-    posts = posts.select("id", "line_no", one.alias("b"), F.xxhash64("p.token", "p.next", F.pmod(F.xxhash64("id", "line_no"), parts)).alias("key"))
-    w = Window.partitionBy("key").orderBy("id", "line_no")
+    posts = posts.select(one.alias("b"), F.xxhash64("token", "next", F.pmod(F.xxhash64("id", "line_no"), parts)).alias("key"))
+    w = Window.partitionBy("key").orderBy("b")
     met = posts.select("b", F.first("b").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag("b").over(w).alias("last"))
     far = lambda a: ((F.col(f"{a}.id") != F.col("b.id")) | (F.col(f"{a}.line_no") != F.col("b.line_no"))) & _fits(a, "b", threshold)
     met = met.where(far("first") | F.coalesce(far("last"), F.lit(False))).select("b", F.explode(F.array("first", "last")).alias("a")).where(far("a"))

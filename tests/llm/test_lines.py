@@ -141,6 +141,15 @@ def test_first_round_finds_near_copies_among_strangers(spark):
     assert gone <= set(range(300, 600)) and len(gone) > 270
 
 
+def test_first_round_leaves_rare_tokens_to_the_join(spark):
+    texts = [" ".join(f"w{k}x{i}" for i in range(10)) for k in range(20)]
+    docs, sets = sets_of(spark, texts + [t + " more" for t in texts])
+    assert lines._near(sets, 0.8).count() == 0
+    none = spark.createDataFrame([], "id long, line_no long")
+    assert {(x.ai, x.bi) for x in lines._met(sets, none, 0.8, True).collect()} >= {(k, 20 + k) for k in range(20)}
+    assert {x.id for x in lines.kept_lines(docs).collect()} == set(range(20))
+
+
 def test_odd_thresholds(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     for bad in (0, 1.5):
