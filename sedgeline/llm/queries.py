@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, extract, lines, lm, media, near, packing, quality, warc
+from . import chat, decontam, extract, lines, lm, media, near, packing, quality, resample, runs, topk, warc
 from .common import table, written
 
 
@@ -147,5 +147,94 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", (fold == 0).alias("held_out"), quality.score(model, F.col("text")).alias("score")).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op1_template_decontamination, op2_line_set_join, op3_warc_index_merge, op4_crf_extraction, op5_interleaved_media, op6_lsh_forest_join, op7_deleted_interpolation, op8_sum_of_squares_packing, op9_chat_parts, op10_rule_ensemble)}
-ORACLES = {"op2_line_set_join": OP2_SQL, "op3_warc_index_merge": _op3_sql(), "op9_chat_parts": OP9_SQL}
+def op11_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth vector, by the integer inner product."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CASE WHEN len(q.v) = 0 THEN 0 ELSE list_inner_product(q.v, c.v) END::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+
+def planted(doc_id: Column, text: Column) -> Column:
+    """The words of a text; of one text in ten, by its id, with a tail that repeats."""
+    ws = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    g = F.floor(F.crc32(doc_id.cast("string").cast("binary")) / 10)
+
+    def tail(x: Column) -> Column:
+        n, a = F.size(x["ws"]), (x["g"] % F.size(x["ws"])).cast("int")
+        p = (1 + F.floor((n - a) / (3 + x["g"] % 8))).cast("int")
+        again = F.flatten(F.array_repeat(F.slice(x["ws"], a + 1, p), F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.concat(F.slice(x["ws"], 1, a), F.slice(again, 1, n - a)), " ")
+
+    # The words are bound to a name first, as an expression used several times would be computed as often.
+    with_tail = F.get(F.transform(F.array(F.struct(ws.alias("ws"), g.alias("g"))), lambda x: F.when(F.size(x["ws"]) > 0, tail(x))), F.lit(0))
+    return F.when(F.crc32(doc_id.cast("string").cast("binary")) % 10 == 0, with_tail).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, a tenth of them with a tail that repeats, with digests of their periodic runs."""
+    docs = table(spark, sf_dir, "documents")
+    found = runs.find_runs(docs.select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text")))
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    better = lambda a, r: F.when(a.isNull() | (r["length"] * a["period"] > a["length"] * r["period"]), r).otherwise(a)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))
+    return found.withColumn("best", F.aggregate("runs", none, better)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their weight towards the benchmark's distribution; a tenth of those long enough is drawn."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+OP13_SQL = r"""
+WITH tab AS (
+  SELECT list(list_reduce(range(9), lambda c, k: CASE WHEN k = 0 THEN c WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+), w AS (
+  SELECT 'd' AS side, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+  UNION ALL
+  SELECT 't', NULL, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+), b AS (
+  SELECT w, xor(4294967295, list_reduce(list_transform(range(strlen(w)), lambda i: ('0x' || substr(hex(encode(w)), 2 * i::INT + 1, 2))::BIGINT), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295)) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM w), tab
+), n AS (
+  SELECT bucket, count(*) FILTER (WHERE side = 'd') AS s, count(*) FILTER (WHERE side = 't') AS t FROM w JOIN b USING (w) GROUP BY bucket
+), g AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (st + 10000)::DOUBLE / ((s + 1)::DOUBLE * (tt + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM n, (SELECT sum(s) AS st, sum(t) AS tt FROM n)
+), d AS (
+  SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS total FROM w JOIN b USING (w) JOIN g USING (bucket) WHERE side = 'd' GROUP BY doc_id
+), x AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, CASE WHEN n_features > 0 THEN total // n_features - (total % n_features < 0)::INT ELSE 0 END::BIGINT AS weight,
+    ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h
+  FROM documents LEFT JOIN d USING (doc_id)
+), y AS (
+  SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM x
+), r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 10 * count(*) OVER () // 100 AS most FROM y WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= most THEN rank END AS rank FROM y LEFT JOIN r USING (doc_id)
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_template_decontamination, op2_line_set_join, op3_warc_index_merge, op4_crf_extraction, op5_interleaved_media, op6_lsh_forest_join, op7_deleted_interpolation, op8_sum_of_squares_packing, op9_chat_parts, op10_rule_ensemble, op11_top_k_search, op12_periodic_runs, op13_importance_resampling)}
+ORACLES = {"op2_line_set_join": OP2_SQL, "op3_warc_index_merge": _op3_sql(), "op9_chat_parts": OP9_SQL, "op11_top_k_search": OP11_SQL, "op13_importance_resampling": OP13_SQL}
