@@ -1,7 +1,7 @@
 """RDF documents as a DataFrame of triples.
 
-N-Triples and N-Quads are read line by line in SQL functions, split at will; the other syntaxes are read whole, a document
-a row, by Arrow-batched readers. A document that cannot be read gives a row in `faults` and no triples.
+N-Triples and N-Quads are read line by line in SQL functions, split at will; Turtle, TriG and N3 of some size are cut where
+statements end (`split`); the other syntaxes are read whole, a document a row, by Arrow-batched readers. A document that cannot be read gives a row in `faults` and no triples.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import markup, turtle
+from ..operators.shared import written
+from . import markup, split, turtle
 
 # The names that syntaxes go by, and their file extensions.
 FORMATS = ("turtle", "xml", "nt", "n3", "trig", "nquads", "trix", "json-ld", "hext", "rdfa", "microdata")
@@ -170,12 +171,45 @@ def _decoded(content: Column) -> Column:
     return F.coalesce(F.try_validate_utf8(content.cast("string")), F.decode(content, "ISO-8859-1"))
 
 
-def read(spark: SparkSession, path: str, fmt: str | None = None, *, recursive: bool = True, base: str = "") -> DataFrame:
-    """Files of one folder, or one file, as triples with `fault`."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
+#: Turtle and its kin are cut into parts from this size on; lines are always read as such.
+WHOLE_MB = 64
+LINES, CUT = ("nt", "nquads"), ("turtle", "trig", "n3")
+
+
+def read(spark: SparkSession, path: str, fmt: str | None = None, *, recursive: bool = True, base: str = "", whole_mb: float = WHOLE_MB) -> DataFrame:
+    """Files of one folder, or one file, as triples with `fault`. Lines of N-Triples and N-Quads, and the statements of larger
+    Turtle, TriG and N3 files, are read in as many tasks as their size asks for; other files each by one."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
     given = F.lit(fmt).cast("string")
-    docs = files.select(F.col("path").alias("file"), _decoded(F.col("content")).alias("text"))
-    return documents_to_triples(docs, fmt=resolved(given, F.col("file")), base=base)
+    kind = lambda file: resolved(given, file)
+    large = F.col("length") >= F.lit(whole_mb * (1 << 20))
+    apart = kind(F.col("path")).isin(*LINES), kind(F.col("path")).isin(*CUT) & large
+    shares = listed.select(F.when(apart[0], "lines").when(apart[1], "cut").otherwise("whole").alias("way")).distinct()
+    ways = {r["way"] for r in shares.collect()}  # at most three rows
+    docs = listed.where(~apart[0] & ~apart[1]).select(F.col("path").alias("file"), _decoded(F.col("content")).alias("text"))
+    out = documents_to_triples(docs, fmt=kind(F.col("file")), base=base)
+    # The same file has one name as a binary and another as text.
+    names = listed.select(F.col("_metadata.file_path").alias("uri"), F.col("path").alias("name"))
+    if "lines" in ways:
+        records = split.records(spark, path, "turtle", kind(F.col("_metadata.file_path")).isin(*LINES), recursive)
+        lines = records.join(names, F.col("file") == F.col("uri")).select(F.col("name").alias("file"), _decoded(F.col("value")).alias("line"))
+        out = out.unionByName(_whole_lines(lines, listed.where(apart[0]).select(F.col("path").alias("file"))))
+    if "cut" in ways:
+        wanted = kind(F.col("_metadata.file_path")).isin(*CUT) & (F.col("_metadata.file_size") >= F.lit(whole_mb * (1 << 20)))
+        records = split.records(spark, path, "turtle", wanted, recursive).join(names, F.col("file") == F.col("uri")).select(F.col("name").alias("file"), "block", "value")
+        out = out.unionByName(split.read_turtle(records, kind(F.col("file")), base))
+    return out
+
+
+def _whole_lines(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """Lines of documents as triples; a document with a line that is none, or without any content, gives a fault alone."""
+    bad = line_faults(lines).groupBy("file").agg(F.concat(F.lit("ValueError: "), F.min("fault")).alias("fault"))
+    empty = files.join(lines.where(F.trim("line") != "").select("file").distinct(), "file", "left_anti").select("file", F.lit("ValueError: the content is empty").alias("fault"))
+    faults = written(bad.unionByName(empty), "faults")
+    own = lambda x, kind: F.when(F.col(kind) == "bnode", F.concat("file", F.lit("#"), x)).otherwise(F.col(x)).alias(x)
+    triples = lines_to_triples(lines).join(faults.select("file"), "file", "left_anti")
+    triples = triples.select("file", "g", own("s", "s_kind"), "s_kind", "p", own("o", "o_kind"), "o_kind", "o_datatype", "o_lang", F.lit(None).cast("string").alias("fault"))
+    return triples.unionByName(faults.select("file", *[F.lit(None).cast("string").alias(c) for c in COLUMNS[1:]], "fault"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
