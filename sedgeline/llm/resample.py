@@ -69,7 +69,7 @@ def gains(df: DataFrame, target: DataFrame, text_col: str = "text", target_text:
     how = {"shortest": shortest, "longest": longest, "buckets": buckets}
     all_ = df.sparkSession.range(0, buckets, 1, 1).withColumnRenamed("id", "bucket")
     both = all_.join(_counted(df, text_col, "s", **how), "bucket", "left").join(_counted(target, target_text, "t", **how), "bucket", "left")
-    table = written(both.select("bucket", F.coalesce("s", F.lit(0)).alias("s"), F.coalesce("t", F.lit(0)).alias("t")).coalesce(1), "bucket-counts")
+    table = written(both.select("bucket", F.coalesce("s", F.lit(0)).alias("s"), F.coalesce("t", F.lit(0)).alias("t")), "bucket-counts")
     total_s, total_t = (float(x) for x in table.agg(F.sum("s"), F.sum("t")).first())
     ratio = (F.col("t") + 1.0) * F.lit(total_s + buckets) / ((F.col("s") + 1.0) * F.lit(total_t + buckets))
     return table.withColumn("gain", F.floor(1000 * F.ln(ratio)).cast("long"))
