@@ -68,6 +68,22 @@ def depths(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return at.select("file", "node", "depth").distinct()
 
 
+def deeper(edges: DataFrame, most: int, child: str = "child", parent: str = "parent") -> DataFrame:
+    """(file, node) of the nodes with a way up of more than `most` edges, whatever shorter ways they have: the nodes with a way
+    of k edges are the children of those with one of k - 1, so no pairs are built and the search ends at the limit. What
+    reaches a cycle has ways without end."""
+    e = written(edges.select("file", F.col(child).alias("node"), F.col(parent).alias("up")).where("up is not null").distinct())
+    now = e.select("file", "node").distinct()
+    for k in range(most):
+        above = now.select("file", F.col("node").alias("up"))
+        now = e.join(above, ["file", "up"], "left_semi").select("file", "node").distinct()
+        if k % 4 == 3:  # a few levels a plan
+            now = written(now)
+            if now.isEmpty():
+                break
+    return now
+
+
 def topological(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(file, node, ord): parents before children; what reaches a cycle comes last; ties by name. Ordered per document."""
     w = Window.partitionBy("file").orderBy(F.col("depth").asc_nulls_last(), "node")

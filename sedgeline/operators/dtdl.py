@@ -135,6 +135,7 @@ def id_mapping(m: Models, prefix: int = ids.PREFIX) -> DataFrame:
 
 # Limits of the language's versions.
 LIMITS = {2: {"contents": 300, "extends": 2, "depth": 10, "name": 64}, 3: {"contents": 100000, "extends": 1024, "depth": 10, "name": 512}, 4: {"contents": 100000, "extends": 1024, "depth": 12, "name": 512}}
+DEEPEST = 12
 NAME = "^[A-Za-z](?:[A-Za-z0-9_]*[A-Za-z0-9])?$"
 
 
@@ -147,7 +148,8 @@ def issues(m: Models, *, external_allowed: bool = True) -> DataFrame:
     all_edges = i.select("file", F.col("dtmi").alias("child"), F.explode("extends").alias("parent")).distinct()
     outside = all_edges.join(i.select("file", F.col("dtmi").alias("parent")), ["file", "parent"], "left_anti")
     up = closure.ancestors(all_edges)
-    deep = up.where("node <> ancestor").groupBy("file", "node").agg(F.max("level").alias("level")).where("level > 12")
+    loops = closure.reaches_cycle(up)
+    deep = closure.deeper(all_edges, DEEPEST).join(loops, ["file", "node"], "left_anti")
     same = c.withColumn("k", F.row_number().over(Window.partitionBy("file", "dtmi", "name").orderBy("pos"))).where("k > 1")
     targets = lambda kind, col: c.where(f"kind = '{kind}' and {col} is not null").select("file", F.col("name"), "dtmi", F.col(col).alias("ref")).join(i.select("file", F.col("dtmi").alias("ref")), ["file", "ref"], "left_anti")
     users = lambda df: df.groupBy("file", "ref").agg(F.array_join(F.slice(F.array_sort(F.collect_set("name")), 1, 3), ", ").alias("users"))
@@ -170,13 +172,13 @@ def issues(m: Models, *, external_allowed: bool = True) -> DataFrame:
         iss(i.where(F.length(F.coalesce("description", F.lit(""))) > 512), "dtdl", "warning", "length", "description", "the description is too long", F.col("dtmi")),
         iss(all_edges.where("child = parent"), "dtdl", "error", "inheritance", "self", "extends itself", F.col("child")),
         iss(outside, "dtdl", ext, "inheritance", "parent", "the parent is not in the set", F.col("child"), F.col("parent")),
-        iss(closure.on_cycle(up), "dtdl", "error", "inheritance", "cycle", "is its own ancestor", F.col("node")),
-        iss(deep, "dtdl", "error", "inheritance", "depth", F.concat(F.lit("inherits over levels: "), F.col("level").cast("string")), F.col("node")),
+        iss(loops.join(i.select("file", F.col("dtmi").alias("node")), ["file", "node"], "left_semi"), "dtdl", "error", "inheritance", "cycle", "inherits in a circle", F.col("node")),
+        iss(deep.join(i.select("file", F.col("dtmi").alias("node")), ["file", "node"], "left_semi"), "dtdl", "error", "inheritance", "depth", f"inherits over more than {DEEPEST} levels", F.col("node")),
         iss(same, "dtdl", "error", "content", "name_twice", "a content name is used twice", F.col("dtmi"), F.col("name")),
         iss(c.where(~F.col("name").rlike(NAME)), "dtdl", "error", "content", "name", "not a content name", F.col("dtmi"), F.col("name")),
         iss(c.where(F.length("name") > 512), "dtdl", "error", "content", "name_length", "a content name is too long", F.col("dtmi"), F.col("name")),
         iss(c.where("kind = 'Relationship' and max_multiplicity < 1"), "dtdl", "error", "content", "multiplicity", "maxMultiplicity is below 1", F.col("dtmi"), F.col("name")),
-        iss(c.where(data & prim & ~known), "dtdl", "error", "schema", "schema", F.concat(F.lit("unknown schema "), F.col("schema")), F.col("dtmi"), F.col("name")),
+        iss(c.where(data & prim & ~known), "dtdl", "warning", "schema", "schema", F.concat(F.lit("unknown schema "), F.col("schema")), F.col("dtmi"), F.col("name")),
         iss(again, "dtdl", "error", "content", "property_twice", F.concat(F.lit("a relationship's property name is used twice: "), "inner"), F.col("dtmi"), F.col("name")),
         iss(sides, "dtdl", "warning", "schema", "command_schema", F.concat(F.lit("unknown schema of the "), "side", F.lit(": "), "schema"), F.col("dtmi"), F.col("name")),
         iss(shared.where("id is null"), "dtdl", "error", "schema", "shared_id", "a shared schema has no identifier", F.col("dtmi")),
@@ -187,22 +189,44 @@ def issues(m: Models, *, external_allowed: bool = True) -> DataFrame:
 
 
 def compliance(m: Models) -> DataFrame:
-    """Findings by the limits of the version of each document (that of its first interface)."""
+    """Findings by the limits of the version of each document: that of its first interface with a known one, else 3. The depth
+    of an interface is the number of interfaces on its longest way up within the document, itself among them; where ways
+    run in a circle, of all that it reaches."""
     spark = m.interfaces.sparkSession
     lim = F.broadcast(spark.createDataFrame([(v, *x.values()) for v, x in LIMITS.items()], "version int, l_contents int, l_extends int, l_depth int, l_name int"))
-    of = m.interfaces.groupBy("file").agg(F.min_by("version", "pos").alias("version")).join(lim, "version")
-    n = m.contents.groupBy("file", "dtmi").agg(F.count("*").alias("n")).join(of, "file")
-    long = m.contents.join(of, "file").where(F.length("name") > F.col("l_name"))
-    many = m.interfaces.drop("version").join(of, "file").where(F.size("extends") > F.col("l_extends"))
-    depth = closure.ancestors(edges(m)).groupBy("file", "node").agg(F.max("level").alias("d")).join(of, "file").where(F.col("d") > F.col("l_depth"))
+    known = F.col("version").isin(*LIMITS)
+    of = written(m.interfaces.groupBy("file").agg(F.coalesce(F.min_by("version", F.when(known, F.col("pos"))), F.lit(3)).alias("version")).join(lim, "version"))
+    i = m.interfaces.drop("version").join(of, "file")
+    c = m.contents.where("kind <> 'Component'").join(of, "file")
+    bare = F.substring_index(F.regexp_replace("dtmi", "dtmi:", ""), ";", 1)
+    name = F.substring_index(bare, ":", -1)
+    system = i.select("file", "dtmi", F.explode(F.filter(F.split(bare, ":"), lambda x: F.startswith(x, F.lit("_")))).alias("segment"))
+    shown = F.coalesce(F.nullif(name, F.lit("")), names.display_name(F.col("display_map"), F.col("dtmi")), F.lit(""))
+    outside = i.select("file", "dtmi", F.explode("extends").alias("parent")).join(m.interfaces.select("file", F.col("dtmi").alias("parent")).distinct(), ["file", "parent"], "left_anti")
+    inner = written(edges(m).select("file", "child", "parent").distinct())
+    limits = sorted({x["depth"] for x in LIMITS.values()})
+    deep = None
+    for most in limits:
+        some = closure.deeper(inner, most - 1).withColumn("l_depth", F.lit(most))
+        deep = some if deep is None else deep.unionByName(some)
+    up = closure.ancestors(inner)
+    loops = closure.reaches_cycle(up)
+    reach = up.where("node <> ancestor").join(loops, ["file", "node"], "left_semi").groupBy("file", "node").agg((F.count("*") + 1).alias("d"))
+    deep = deep.join(of.select("file", "l_depth"), ["file", "l_depth"]).join(loops, ["file", "node"], "left_anti").select("file", "node")
+    deep = deep.unionByName(reach.join(of, "file").where("d > l_depth").select("file", "node"))
     iss = checks.issue
+    null = F.lit(None).cast("string")
     return checks.union([
-        iss(m.interfaces.where(names.dtmi_faults(F.col("dtmi")).isNotNull()), "compliance", "error", "identifier", "DTDL001", names.dtmi_faults(F.col("dtmi")), F.col("dtmi")),
-        iss(long, "compliance", "error", "name", "DTDL010", "a content name is too long for the version", F.col("dtmi"), F.col("name")),
-        iss(many, "compliance", "error", "inheritance", "DTDL020", "too many parents for the version", F.col("dtmi")),
-        iss(depth, "compliance", "error", "inheritance", "DTDL021", "too deep for the version", F.col("node")),
-        iss(n.where("n > l_contents"), "compliance", "error", "content", "DTDL030", "too many contents for the version", F.col("dtmi")),
-        iss(m.contents.where(~F.col("name").rlike(NAME)), "compliance", "error", "content", "DTDL031", "not a content name", F.col("dtmi"), F.col("name")),
+        iss(m.faults.where(F.endswith("fault", F.lit("has no @id"))), "compliance", "error", "identifier", "DTDL001", F.col("fault"), null),
+        iss(i.where(~F.startswith("dtmi", F.lit("dtmi:"))), "compliance", "error", "identifier", "DTDL002", "the identifier has another scheme", F.col("dtmi")),
+        iss(i.where(F.length("dtmi") > 128), "compliance", "error", "identifier", "DTDL003", "the identifier is too long", F.col("dtmi")),
+        iss(system, "compliance", "error", "identifier", "DTDL004", F.concat(F.lit("a segment of the system: "), "segment"), F.col("dtmi")),
+        iss(i.where(F.length(shown) > F.col("l_name")), "compliance", "error", "name", "DTDL010", "the interface's name is too long for the version", F.col("dtmi")),
+        iss(i.where(F.size("extends") > F.col("l_extends")), "compliance", "error", "inheritance", "DTDL020", "too many parents for the version", F.col("dtmi")),
+        iss(deep, "compliance", "error", "inheritance", "DTDL021", "too deep for the version", F.col("node")),
+        iss(outside, "compliance", "warning", "inheritance", "DTDL022", F.concat(F.lit("the parent is not in the document: "), "parent"), F.col("dtmi"), F.col("parent")),
+        iss(c.where(F.length("name") > F.col("l_name")), "compliance", "error", "content", "DTDL030", "a content name is too long for the version", F.col("dtmi"), F.col("name")),
+        iss(c.where(F.col("name").rlike(r"^[^\p{L}]")), "compliance", "error", "content", "DTDL031", "a content name starts with no letter", F.col("dtmi"), F.col("name")),
     ])
 
 

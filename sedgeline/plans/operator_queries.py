@@ -217,7 +217,7 @@ FAULTY = [
     ("", '{"@context": "dtmi:dtdl:context;3", "@id": "dtmi:f:a{k};1", "@type": "Interface", "contents": [{"@type": "Property", "name": "x", "schema": "long"}, {"@type": "Property", "name": "x", "schema": "long"}]}', ("error", "name_twice")),
     ("", '{"@context": "dtmi:dtdl:context;3", "@id": "dtmi:f:a{k};1", "@type": "Interface", "contents": [{"@type": "Property", "name": "_x", "schema": "long"}]}', ("error", "name")),
     ("", '{"@context": "dtmi:dtdl:context;3", "@id": "dtmi:f:a{k};1", "@type": "Interface", "extends": "dtmi:f:b;1"}', ("warning", "parent")),
-    ("", '{"@context": "dtmi:dtdl:context;3", "@id": "dtmi:f:a{k};1", "@type": "Interface", "contents": [{"@type": "Property", "name": "x", "schema": "strange"}, {"@type": "Relationship", "name": "r", "target": "dtmi:f:c;1"}]}', ("error", "schema"), ("warning", "target")),
+    ("", '{"@context": "dtmi:dtdl:context;3", "@id": "dtmi:f:a{k};1", "@type": "Interface", "contents": [{"@type": "Property", "name": "x", "schema": "strange"}, {"@type": "Relationship", "name": "r", "target": "dtmi:f:c;1"}]}', ("warning", "schema"), ("warning", "target")),
     ("", '{"@context": "dtmi:dtdl:context;9", "@id": "dtmi:f:a{k};1", "@type": "Interface", "contents": [{"@type": "Relationship", "name": "r", "maxMultiplicity": 0}]}', ("warning", "version"), ("error", "multiplicity")),
 ]
 
@@ -235,14 +235,30 @@ def q_model_issues(spark, sf_dir):
     return dtdl.issues(_faulty(spark, sf_dir)).select("file", "severity", "code")
 
 
-@query("SELECT 'n' || n_nationkey AS file, code FROM nation JOIN (VALUES (0, 'DTDL001'), (1, 'DTDL020'), (2, 'DTDL031'), (3, 'DTDL010')) x(i, code) ON n_nationkey % 4 = i")
+@query("SELECT 'p' || p_partkey AS file, code FROM part JOIN (VALUES (0, 'DTDL001'), (1, 'DTDL002'), (2, 'DTDL003'), (3, 'DTDL004'), (4, 'DTDL010'), (5, 'DTDL020'), (5, 'DTDL022'), (5, 'DTDL022'), (5, 'DTDL022'), (6, 'DTDL030'), (7, 'DTDL031')) x(i, code) ON p_partkey % 9 = i")
 def q_model_compliance(spark, sf_dir):
-    one = lambda dtmi, more, i: _per_nation(spark, sf_dir, '{"@context": "dtmi:dtdl:context;2", "@id": "%s", "@type": "Interface"%s}' % (dtmi, more)).where(F.col("key") % 4 == i)
-    named = ', "contents": [{"@type": "Property", "name": "%s", "schema": "long"}]'
-    docs = one("dtmi:dtdl:m{k};1", "", 0).unionByName(one("dtmi:f:m{k};1", ', "extends": ["dtmi:f:a;1", "dtmi:f:b;1", "dtmi:f:c;1"]', 1)).unionByName(one("dtmi:f:m{k};1", named % "9a", 2)).unionByName(one("dtmi:f:m{k};1", named % ("a" * 70), 3))
+    """A model for each part, with a fault by its number."""
+    k = F.col("p_partkey") % 9
+    named = lambda name: F.concat(F.lit('"contents": [{"@type": "Property", "name": "'), name, F.lit('", "schema": "long"}]'))
+    dtmi = F.when(k == 1, F.concat(F.lit("urn:part:"), _said(F.col("p_partkey")))).when(k == 2, F.concat(F.lit("dtmi:part:"), F.repeat(F.lit("ab:"), 50), F.lit("c;1"))).when(k == 3, "dtmi:part:_own:x;1").when(k == 4, F.concat(F.lit("dtmi:part:"), F.repeat(F.lit("n"), 70), F.lit(";1"))).otherwise(F.concat(F.lit("dtmi:part:p"), _said(F.col("p_partkey")), F.lit(";1")))
+    more = F.when(k == 5, F.lit('"extends": ["dtmi:f:a;1", "dtmi:f:b;1", "dtmi:f:c;1"]')).when(k == 6, named(F.repeat(F.lit("a"), 70))).when(k == 7, named(F.concat(F.lit("9"), F.regexp_replace("p_brand", "[^A-Za-z0-9]", "_")))).otherwise(named(F.lit("size")))
+    text = F.concat(F.lit('{"@context": "dtmi:dtdl:context;2", '), F.when(k == 0, "").otherwise(F.concat(F.lit('"@id": "'), dtmi, F.lit('", '))), F.lit('"@type": "Interface", '), more, F.lit("}"))
+    docs = _t(spark, sf_dir, "part").select(F.concat(F.lit("p"), _said(F.col("p_partkey"))).alias("file"), text.alias("text"))
     return dtdl.compliance(dtdl_source.parse(docs)).select("file", "code")
 
 
+@query("""WITH RECURSIVE n AS (SELECT DISTINCT p_size % 40 AS k FROM part), w(k, d) AS (SELECT k, 0 FROM n UNION SELECT n.k, w.d + 1 FROM w JOIN n ON n.k - w.k IN (1, 2) WHERE w.d <= 12)
+SELECT 'd' || k AS node, 'depth' AS code FROM w GROUP BY k HAVING max(d) > 12 UNION ALL SELECT 'd' || k, 'DTDL021' FROM w GROUP BY k HAVING max(d) >= 10""")
+def q_model_depths(spark, sf_dir):
+    """Models that extend the one and the two before them, by sizes of parts: the longest way counts."""
+    k = _t(spark, sf_dir, "part").select((F.col("p_size") % 40).cast("int").alias("k")).distinct()
+    ups = k.select("k").join(k.select(F.col("k").alias("u")), F.col("k").between(F.col("u") + 1, F.col("u") + 2), "left").groupBy("k").agg(F.array_join(F.transform(F.array_sort(F.collect_list("u")), lambda u: F.concat(F.lit('"dtmi:trade:d'), u.cast("string"), F.lit(';1"'))), ", ").alias("ups"))
+    text = F.concat(F.lit('{"@context": "dtmi:dtdl:context;3", "@id": "dtmi:trade:d'), _said(F.col("k")), F.lit(';1", "@type": "Interface", "extends": ['), "ups", F.lit("]}"))
+    m = dtdl_source.parse(ups.select(F.lit("sizes").alias("file"), text.alias("text")))
+    found = dtdl.issues(m).where("code = 'depth'").unionByName(dtdl.compliance(m).where("code = 'DTDL021'"))
+    return found.select(names.dtmi_name(F.col("uri")).alias("node"), "code")
+
+
 @query("SELECT 'n' || n_nationkey AS file, 5::BIGINT AS \"full\", 3::BIGINT AS partial, 1::BIGINT AS none, 0::BIGINT AS unknown FROM nation")
 def q_model_support(spark, sf_dir):
     """Constructs of the models by what becomes of them."""

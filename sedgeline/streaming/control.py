@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import retry_wait
 
-__all__ = ["bucket_step", "breaker_step", "breaker_metrics", "circuit_breaker", "fold", "retry_wait", "sliding_load", "sliding_limit", "token_bucket", "unlimited"]
+__all__ = ["admission", "admission_statistics", "admission_step", "bucket_step", "breaker_step", "breaker_metrics", "circuit_breaker", "fold", "retry_wait", "sliding_load", "sliding_limit", "token_bucket", "unlimited"]
 
 
 def bucket_step(state: dict | None, us: int, *, rate: float, per: float, burst: float) -> tuple[dict, bool]:
@@ -131,3 +131,41 @@ def sliding_limit(df: DataFrame, key: str, ts: str, tie: str, *, most: int = 30,
         return (kept + [us] if ok else kept), (ok,)
 
     return fold(df, key, ts, tie, [], "admitted boolean", step)
+
+
+def admission_step(state: list | None, us: int, size_mb: float, memory: float, took_us: int, *, most: int, seconds: float, most_mb: float, most_memory: float, most_open: int) -> tuple[list, str | None]:
+    """The first limit that a request meets, or none: admitted requests within the time before, content size, memory in use, and
+    admitted requests that have not ended. State: starts within that time, and ends to come; both are bounded by the limits."""
+    starts, ends = state or ([], [])
+    starts = [x for x in starts if x > us - seconds * 1e6]
+    ends = [x for x in ends if x > us]
+    if len(starts) >= most:
+        why = "rate"
+    elif size_mb > most_mb:
+        why = "size"
+    elif memory > most_memory:
+        why = "memory"
+    elif len(ends) >= most_open:
+        why = "concurrency"
+    else:
+        return [starts + [us], ends + [us + took_us]], None
+    return [starts, ends], why
+
+
+def admission(df: DataFrame, key: str, ts: str, tie: str, *, size_mb: str, memory: str, took_seconds: str, most: int = 30, seconds: float = 60.0, most_mb: float = 50.0, most_memory: float = 80.0, most_open: int = 5) -> DataFrame:
+    """(key, tie, admitted, limit): each request against all limits, in the order rate, size, memory, concurrency; `limit` is the
+    first that it meets. Columns give a request's size, the memory in use in per cent, and how long it runs if admitted; unknown
+    ones are 0. Of requests at the same time the lesser `tie` comes first; one that ends at that time is over."""
+
+    def step(state, us, size, used, took):
+        zero = lambda x: 0.0 if x is None or pd.isna(x) else float(x)
+        s, why = admission_step(state, us, zero(size), zero(used), int(round(zero(took) * 1e6)), most=most, seconds=seconds, most_mb=most_mb, most_memory=most_memory, most_open=most_open)
+        return s, (why is None, why)
+
+    return fold(df, key, ts, tie, [size_mb, memory, took_seconds], "admitted boolean, limit string", step)
+
+
+def admission_statistics(judged: DataFrame, key: str) -> DataFrame:
+    """(key, total, rejected_rate, rejected_size, rejected_memory, rejected_concurrency)"""
+    of = lambda why: F.count_if(F.col("limit") == why).alias(f"rejected_{why}")
+    return judged.groupBy(key).agg(F.count_if("admitted").alias("total"), *map(of, ("rate", "size", "memory", "concurrency")))

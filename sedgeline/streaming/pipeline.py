@@ -7,9 +7,10 @@ the engine between micro-batches; conversions, which need whole documents only,
 from __future__ import annotations
 
 import signal
+import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,56 +22,16 @@ from ..plans.lens import OWL, RDF
 from ..sources import cdm as cdm_source
 from ..sources import dtdl as dtdl_source
 from ..sources import rdf as rdf_source
+from .progress import Cancelled, Progress, Token
 
 CHUNK = 100
-
-
-class Cancelled(RuntimeError):
-    """The operation was told to stop."""
-
-
-@dataclass
-class Token:
-    """Tells operations to stop; callbacks run once; a token made from others is cancelled with them."""
-
-    parents: list[Token] = field(default_factory=list)
-    callbacks: list[Callable[[], None]] = field(default_factory=list)
-    _on: bool = False
-
-    def cancel(self) -> None:
-        if not self._on:
-            self._on = True
-            for f in self.callbacks:
-                f()
-
-    @property
-    def cancelled(self) -> bool:
-        return self._on or any(p.cancelled for p in self.parents)
-
-    def check(self) -> None:
-        if self.cancelled:
-            raise Cancelled
-
-
-@dataclass
-class Progress:
-    """What a run has done: micro-batches, rows, and how it ended (idle, running, done, cancelled, failed)."""
-
-    state: str = "idle"
-    batches: int = 0
-    rows: int = 0
-    seconds: float = 0.0
-    warnings: list[str] = field(default_factory=list)
-
-    @property
-    def rows_per_second(self) -> float:
-        return self.rows / self.seconds if self.seconds else 0.0
+__all__ = ["Cancelled", "Progress", "Token", "cancel_on_interrupt", "converted", "counted", "documents", "folder_mb", "model_kinds", "pipeline", "rdf_kinds", "run", "streams"]
 
 
 def documents(spark: SparkSession, folder: str, *, files: int = CHUNK) -> DataFrame:
-    """A stream of whole documents (file, text)."""
+    """A stream of whole documents (file, text, bytes)."""
     raw = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files).load(folder)
-    return raw.select(F.col("path").alias("file"), rdf_source._decoded(F.col("content")).alias("text"))
+    return raw.select(F.col("path").alias("file"), rdf_source._decoded(F.col("content")).alias("text"), F.col("length").alias("bytes"))
 
 
 def rdf_kinds(triples: DataFrame) -> DataFrame:
@@ -90,36 +51,49 @@ def model_kinds(docs: DataFrame) -> DataFrame:
 
 
 def run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, *, token: Token | None = None, on_progress: Callable[[Progress], None] | None = None, fail_fast: bool = True) -> Progress:
-    """All that is there now, micro-batch by micro-batch: `each(batch, id)`. A failed batch ends the run, or is a warning."""
+    """All that is there now, micro-batch by micro-batch: `each(batch, id)`. A failed batch ends the run, or is a warning that
+    names its first files. Rows, and bytes where the stream has them, are counted in each micro-batch."""
     p = Progress("running")
 
     def batch(df: DataFrame, k: int) -> None:
         if token is not None:
             token.check()
+        began = time.time()
+        size = F.coalesce(F.sum("bytes"), F.lit(0)) if "bytes" in df.columns else F.lit(0)
+        n, size = df.agg(F.count("*"), size).first()
         try:
             each(df, k)
         except Exception as e:
             if fail_fast:
                 raise
-            p.warnings.append(f"batch {k}: {e}")
-        p.batches += 1
+            files = [r[0] for r in df.select("file").sort("file").limit(3).collect()] if "file" in df.columns else []
+            p.warnings.append(f"batch {k} ({', '.join(files)}): {e}")
+        p.add(n, size, time.time() - began)
         if on_progress:
             on_progress(p)
 
     query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     try:
-        query.awaitTermination()
+        with p.listening(stream.sparkSession, query, rows=False):
+            query.awaitTermination()
         p.state = "done"
     except Exception:
         p.state = "cancelled" if token is not None and token.cancelled else "failed"
         if p.state == "failed" and fail_fast:
             raise
-    finally:
-        p.rows = sum(x.numInputRows for x in query.recentProgress)
-        p.seconds = sum(x.batchDuration for x in query.recentProgress) / 1000
     return p
 
 
+def _chunks(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """What chunks have written to a folder; nothing if there was none."""
+    try:
+        return spark.read.schema(schema).parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def counted(spark: SparkSession, folder: str, checkpoint: str, out: str, *, kind: str = "rdf", files: int = CHUNK) -> DataFrame:
     """Counts by kind over all chunks: each micro-batch writes its own counts, and writes them
     over if it is run again; their sums are the merged result."""
@@ -129,7 +103,7 @@ def counted(spark: SparkSession, folder: str, checkpoint: str, out: str, *, kind
         rows.write.mode("overwrite").parquet(f"{out.rstrip('/')}/chunk={k}")
 
     run(documents(spark, folder, files=files), each, checkpoint)
-    return spark.read.schema("kind string, n long, chunk int").parquet(out).groupBy("kind").agg(F.sum("n").alias("n"))
+    return _chunks(spark, out, "kind string, n long, chunk int").groupBy("kind").agg(F.sum("n").alias("n"))
 
 
 def converted(spark: SparkSession, folder: str, checkpoint: str, out: str, *, kind: str = "rdf", files: int = CHUNK, **how) -> Converted:
@@ -147,7 +121,13 @@ def converted(spark: SparkSession, folder: str, checkpoint: str, out: str, *, ki
             getattr(c, name).write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}/chunk={k}")
 
     run(documents(spark, folder, files=files), each, checkpoint)
-    return Converted(*[spark.read.option("mergeSchema", "true").parquet(f"{out.rstrip('/')}/{name}").drop("chunk") for name in names])
+    try:
+        return Converted(*[spark.read.option("mergeSchema", "true").parquet(f"{out.rstrip('/')}/{name}").drop("chunk") for name in names])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    each(spark.createDataFrame([], "file string, text string"), 0)  # no document at all: the same tables, empty
+    return Converted(*[spark.read.parquet(f"{out.rstrip('/')}/{name}").drop("chunk") for name in names])
 
 
 def cancel_on_interrupt(token: Token) -> Callable[[], None]:

@@ -67,7 +67,7 @@ def test_model_checks(spark):
     b = '{"@context":"dtmi:dtdl:context;2","@id":"dtmi:b;1","@type":"Interface","extends":["dtmi:a;1","dtmi:z;1"]}'
     bad = dtdl_source.parse(docs(spark, ("f", a), ("f", b), ("f", b)))
     got = {(r.severity, r.code) for r in dtdl.issues(bad, external_allowed=False).collect()}
-    assert got == {("error", "duplicate"), ("warning", "version"), ("error", "parent"), ("error", "cycle"), ("error", "name_twice"), ("error", "name"), ("error", "multiplicity"), ("error", "schema"), ("error", "target")}
+    assert got == {("error", "duplicate"), ("warning", "version"), ("error", "parent"), ("error", "cycle"), ("error", "name_twice"), ("error", "name"), ("error", "multiplicity"), ("warning", "schema"), ("error", "target")}
     assert dtdl.kinds(m).count() == 6 and checks.feature_report(dtdl.features(m), checks.MODEL_SUPPORT).first().partial > 0
     assert dict(dtdl.id_mapping(m).first().mapping)["dtmi:orchard:water:Mister;1"] == M
     fields = {(r.name, r.valueType) for r in dtdl.flattened_fields(m.contents).collect()}
@@ -85,7 +85,30 @@ def test_model_depth_and_compliance(spark):
     chain = [('{"@context":"dtmi:dtdl:context;2","@id":"dtmi:c%d;1","@type":"Interface"%s}' % (k, f',"extends":"dtmi:c{k - 1};1"' if k else "")) for k in range(15)]
     m = dtdl_source.parse(docs(spark, *[("f", x) for x in chain]))
     assert {r.uri for r in dtdl.issues(m).where("code = 'depth'").collect()} == {"dtmi:c13;1", "dtmi:c14;1"}
-    assert {r.uri for r in dtdl.compliance(m).where("code = 'DTDL021'").collect()} == {f"dtmi:c{k};1" for k in range(11, 15)}
+    assert {r.uri for r in dtdl.compliance(m).where("code = 'DTDL021'").collect()} == {f"dtmi:c{k};1" for k in range(10, 15)}
+    # Each also extends the next but one: the longest way counts, not the shortest.
+    twice = [('{"@context":"dtmi:dtdl:context;4","@id":"dtmi:c%d;1","@type":"Interface","extends":[%s]}' % (k, ",".join(f'"dtmi:c{j};1"' for j in (k - 2, k - 1) if j >= 0))) for k in range(15)]
+    ring = [('{"@context":"dtmi:dtdl:context;2","@id":"dtmi:r%d;1","@type":"Interface","extends":"dtmi:r%d;1"}' % (k, (k + 1) % n)) for n in (12,) for k in range(n)] + ['{"@context":"dtmi:dtdl:context;2","@id":"dtmi:tail;1","@type":"Interface","extends":"dtmi:r0;1"}']
+    m = dtdl_source.parse(docs(spark, *[("f", x) for x in twice], *[("ring", x) for x in ring], *[("small", x.replace("r0;1", "tail;1")) for x in ring[-1:]]))
+    found = dtdl.issues(m).collect()
+    assert {r.uri for r in found if r.code == "depth"} == {"dtmi:c13;1", "dtmi:c14;1"}
+    assert {r.file for r in found if r.code == "cycle"} == {"ring", "small"} and sum(r.code == "cycle" for r in found) == 14
+    found = dtdl.compliance(m).where("code = 'DTDL021'").collect()
+    assert {r.uri for r in found if r.file == "f"} == {"dtmi:c12;1", "dtmi:c13;1", "dtmi:c14;1"}
+    assert sum(r.file == "ring" for r in found) == 13 and not any(r.file == "small" for r in found)
+
+
+def test_compliance_codes(spark):
+    one = lambda dtmi, more="", v=2: '{"@context":"dtmi:dtdl:context;%d","@id":"%s","@type":"Interface"%s}' % (v, dtmi, more)
+    named = ',"contents":[{"@type":"%s","name":"%s","schema":"long"}]'
+    rows = [
+        ("a", '{"@context":"dtmi:dtdl:context;2","@type":"Interface"}', ["DTDL001"]), ("b", one("urn:x;1"), ["DTDL002"]), ("c", one("dtmi:" + "a" * 130 + ";1", v=3), ["DTDL003"]), ("d", one("dtmi:_x:_y:z;1"), ["DTDL004", "DTDL004"]),
+        ("e", one("dtmi:" + "n" * 65 + ";1"), ["DTDL010"]), ("f", one("dtmi:m;1", ',"extends":["dtmi:p;1","dtmi:q;1","dtmi:r;1"]'), ["DTDL020"] + ["DTDL022"] * 3), ("g", one("dtmi:m;1", named % ("Property", "p" * 65)), ["DTDL030"]),
+        ("h", one("dtmi:m;1", named % ("Telemetry", "9a")), ["DTDL031"]), ("i", one("dtmi:m;1", named % ("Component", "9" * 70)), []), ("j", one("dtmi:m;1", named % ("Property", "p" * 65), 9), []), ("k", one("dtmi:dtdl:m;1", named % ("Property", "a_")), []),
+    ]
+    found = dtdl.compliance(dtdl_source.parse(docs(spark, *[r[:2] for r in rows]))).collect()
+    assert {f: sorted(r.code for r in found if r.file == f) for f, _, _ in rows} == {f: codes for f, _, codes in rows}
+    assert {r.severity for r in found if r.code == "DTDL022"} == {"warning"}
 
 
 def test_business_documents(spark):
