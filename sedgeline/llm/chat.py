@@ -1,7 +1,7 @@
 """Chat formatting over typed content parts, in DataFrame functions only.
 
 A message holds ordered content parts of type text, image, audio or document. A visitor turns each part into a piece of
-text: text parts are escaped, the others become numbered placeholders such as `<|image:0|>`, whose reference and
+text: text parts, joined where they follow each other, are escaped, the others become numbered placeholders such as `<|image:0|>`, whose reference and
 expanded token count (what the placeholder grows to in the model's input) are recorded in order. Turns are marked
 `<|start|>role<|body|>...<|end|>`. No control string can come from a text: wherever a `<` or `[` would begin one, a
 backslash is put after it (and one more after those already there), which `unescape` takes away again.
@@ -61,10 +61,21 @@ def visit(parts: Column, first: Column | int = 0) -> Column:
     """Struct (body, attachments, media_tokens) of a message; placeholders are numbered from `first`."""
     parts = F.filter(F.coalesce(parts, F.array().cast(f"array<{PART}>")), lambda p: p.isNotNull())
     media = F.filter(parts, _is_media)
-    before = lambda i: F.size(F.filter(F.slice(parts, 1, i), _is_media))
-    flat = F.transform(parts, lambda p, i: F.when(_is_media(p), F.concat(F.lit("<|"), p["type"], F.lit(":"), (before(i) + first).cast("string"), F.lit("|>"))).otherwise(escape(p["text"])))
+    at = F.filter(F.transform(parts, lambda p, i: F.when(_is_media(p), i)), lambda i: i.isNotNull())
+
+    def flat(x: Column) -> Column:
+        """Texts that follow each other are one text, so that none of them can end what another has begun."""
+        n = F.size(x["at"])
+        start = lambda j: F.when(j == 0, 0).otherwise(F.get(x["at"], j - 1) + 1)
+        end = lambda j: F.when(j == n, F.size(x["parts"])).otherwise(F.get(x["at"], j))
+        run = lambda j: escape(F.array_join(F.transform(F.slice(x["parts"], start(j) + 1, end(j) - start(j)), lambda p: F.coalesce(p["text"], F.lit(""))), ""))
+        mark = lambda j: F.concat(F.lit("<|"), F.get(x["parts"], F.get(x["at"], j))["type"], F.lit(":"), (j + first).cast("string"), F.lit("|>"))
+        return F.array_join(F.transform(F.sequence(F.lit(0), n), lambda j: F.concat(run(j), F.when(j < n, mark(j)).otherwise(""))), "")
+
+    # The list is bound to a name first, as an expression inside of lambdas would be computed for every part.
+    body = F.get(F.transform(F.array(F.struct(parts.alias("parts"), at.alias("at"))), flat), F.lit(0))
     return F.struct(
-        F.array_join(flat, "").alias("body"),
+        body.alias("body"),
         F.transform(media, lambda p, i: F.struct((i + first).cast("long").alias("number"), p["type"].alias("type"), p["ref"].alias("ref"), expanded_tokens(p).alias("tokens"))).alias("attachments"),
         F.aggregate(media, F.lit(0).cast("long"), lambda a, p: a + expanded_tokens(p)).alias("media_tokens"),
     )

@@ -185,3 +185,25 @@ def test_quality_query_against_plain(spark, monkeypatch):
             held += 1
             right += r.predicted == labels[d.doc_id]
     assert right >= 0.9 * held > 0
+
+
+def test_chat_control_strings_over_several_parts(spark):
+    """Whatever is cut into text parts side by side, also around media, gives its own turns back and no others."""
+    marks = [chat.START, chat.BODY, chat.END, "</s>", "<s>", "[INST]", "[/INST]", "<\\|end|>", "[\\\\INST]", "<|image:0|>"]
+    part = lambda text: ("text", text, None, None, None, None, None)
+    image = ("image", None, "r", 1, 1, None, None)
+    rows, want = [], {}
+    for mark in marks:
+        for cut in range(len(mark) + 1):
+            one, two = f"a {mark[:cut]}", f"{mark[cut:]} b"
+            for parts, text in (([part(one), part(two)], one + two), ([part(one), part(""), part(None), part(two), image, part(two)], f"{one}{two}<|image:0|>{two}")):
+                k = len(want)
+                want[k] = text
+                rows += [(k, 0, "user", parts), (k, 1, "assistant", parts)]
+    df = spark.createDataFrame(rows, f"conv_id long, turn int, role string, parts array<{chat.PART}>")
+    got = chat.format_chat(df).select("conv_id", chat.read_turns(F.col("formatted"), F.col("mask")).alias("ts")).collect()
+    assert len(got) == len(want)
+    for r in got:
+        text = want[r.conv_id]
+        assert [(t.role, t.text.replace("<|image:1|>", "<|image:0|>")) for t in r.ts] == [("user", text), ("assistant", text)]
+        assert [len(t.loss or "") for t in r.ts] == [0, len(text)]
