@@ -78,24 +78,41 @@ def decode_image(stored: bytes) -> tuple[int, int, bytes]:
 
 
 def parse_items(page: str | None) -> list[dict]:
-    """Text and media of a page in order. A figure's caption belongs to the media in it."""
+    """Text and media of a page in order. A figure's caption, wherever it stands in the figure and whatever is in it, belongs to
+    the media of the figure; without media it is text. A medium without a source of its own has that of the first `source`
+    in it."""
     out: list[dict] = []
     text: list[str] = []
     figure: list[dict] | None = None
+    caption: list[str] = []
     in_caption = False
     at = 0
 
     def put_text() -> None:
         words = " ".join(entities.unescape("".join(text)).split())
         text.clear()
-        if not words:
-            return
-        if in_caption and figure:
-            for x in figure:
-                x["caption"] = words
-        else:
+        if words and in_caption:
+            caption.append(words)
+        elif words:
             out.append({"kind": "text", "text": words, "digest": None, "caption": None})
 
+    def end_figure() -> None:
+        nonlocal figure, in_caption
+        put_text()
+        in_caption = False
+        said = " ".join(caption)
+        caption.clear()
+        if said and figure:
+            for x in figure:
+                x["caption"] = said
+        elif said:
+            out.append({"kind": "text", "text": said, "digest": None, "caption": None})
+        figure = None
+
+    def digest_of(attrs: dict[str, str]) -> str | None:
+        src = attrs.get("src", "")
+        return src.removeprefix("sha256:") if src.startswith("sha256:") else None
+
     for m in _TAG.finditer(page or ""):
         text.append(page[at : m.start()])
         at = m.end()
@@ -105,18 +122,23 @@ def parse_items(page: str | None) -> list[dict]:
         if name in _BREAKS or name in _MEDIA:
             put_text()
         if name == "figure":
+            end_figure()
             figure = None if m[2] else []
         elif name == "figcaption":
+            put_text()
             in_caption = not m[2]
-        elif name in _MEDIA and not m[2]:
+        elif name in _MEDIA and not m[2] or name == "source" and not m[2]:
             attrs = {k.lower(): entities.unescape(a or b or c) for k, a, b, c in _ATTR.findall(m[4])}
-            src = attrs.get("src", "")
-            item = {"kind": _MEDIA[name], "text": None, "digest": src.removeprefix("sha256:") if src.startswith("sha256:") else None, "caption": attrs.get("alt", "")}
+            if name == "source":
+                if out and out[-1]["kind"] in _MEDIA.values() and out[-1]["digest"] is None:
+                    out[-1]["digest"] = digest_of(attrs)
+                continue
+            item = {"kind": _MEDIA[name], "text": None, "digest": digest_of(attrs), "caption": attrs.get("alt", "")}
             out.append(item)
             if figure is not None:
                 figure.append(item)
     text.append((page or "")[at:])
-    put_text()
+    end_figure()
     return [{"pos": i} | x for i, x in enumerate(out)]
 
 

@@ -64,3 +64,17 @@ def test_stored_columns_against_plain(spark, tmp_path):
         stored = media.encode_image(p)
         assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
         assert r.feature == f"64x{len(p) // 192}:" + ":".join(str(sum(p[c::3])) for c in range(3))
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<figure><figcaption>Cap</figcaption><img src='sha256:aa'></figure>", [("image", None, "aa", "Cap")]),
+        ("<figure><img><figcaption>One <p>para</p> two</figcaption></figure>after", [("image", None, None, "One para two"), ("text", "after", None, None)]),
+        ("<figure><img alt='x'>said<video><source src='sha256:bb'><source src='sha256:cc'></video><figcaption>both</figcaption></figure>", [("image", None, None, "both"), ("text", "said", None, None), ("video", None, "bb", "both")]),
+        ("a<figure><figcaption>only words</figcaption></figure>b", [("text", "a", None, None), ("text", "only words", None, None), ("text", "b", None, None)]),
+        ("<figure><img src='sha256:aa'><figcaption>not ended", [("image", None, "aa", "not ended")]),
+    ],
+)
+def test_captions(page, want):
+    assert [(x["kind"], x["text"], x["digest"], x["caption"]) for x in media.parse_items(page)] == want
