@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,5 +42,19 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def shielded(df: DataFrame, *helpers: str) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with those of its columns renamed that have the name of one of an operator's helper columns, and the names they
+    have now; the others keep theirs."""
+    taken = {h.lower() for h in helpers}
+    names, used = {}, {c.lower() for c in df.columns} | taken
+    for c in df.columns:
+        new = c
+        while new.lower() in taken or new != c and new.lower() in used:
+            new = f"own_{new}"
+        names[c] = new
+        used.add(new.lower())
+    return df.select([F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

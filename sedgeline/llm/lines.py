@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, written
+from .common import discard, shielded, written
 
 THRESHOLD = 0.8
 #: Buckets of token counts, and of the lookup of lines in question, in bits.
@@ -213,7 +213,7 @@ def _docs(keyed: DataFrame, text_col: str) -> DataFrame:
 
 def line_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD) -> DataFrame:
     """A row per document: doc_id, n_lines (with tokens), n_removed, kept_lines (numbers from 0, in order)."""
-    docs = _docs(_keyed(df, id_col, text_col), text_col)
+    docs = _docs(_keyed(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text"), "text")
     kept = kept_lines(docs, threshold=threshold).groupBy("id", "nth").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
     n = F.size(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""))
     out = docs.select("id", "nth", n.alias("n")).join(kept, ["id", "nth"], "left").withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
@@ -223,6 +223,9 @@ def line_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
 def remove_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD, drop_emptied: bool = False) -> DataFrame:
     """`df` with later matches taken out of the texts; blank lines and all other columns stay. With `drop_emptied`,
     documents that had lines with tokens and have none left go."""
+    columns = df.columns
+    df, names = shielded(df, "_id", "_nth", "_kept", "_flags", "_part", "_before", "count")
+    id_col, text_col = names[id_col], names[text_col]
     keyed = _keyed(df, id_col, text_col)
     kept = kept_lines(_docs(keyed, text_col), threshold=threshold).groupBy(F.col("id").alias("_id"), F.col("nth").alias("_nth")).agg(F.sort_array(F.collect_list("line_no")).alias("_kept"))
     # A flag for each line up to the last one kept, so that a line's is found by its number.
@@ -232,4 +235,4 @@ def remove_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = F.filter(F.split(F.col(text_col), "\n"), lambda x, i: (F.trim(x) == "") | F.coalesce(F.get("_flags", i), F.lit(False)))
     if drop_emptied:
         rows = rows.where(F.col("_kept").isNotNull() | F.col(text_col).isNull() | (F.trim(F.translate(text_col, "\n", " ")) == ""))
-    return rows.withColumn(text_col, F.array_join(lines, "\n")).select(*df.columns)
+    return rows.withColumn(text_col, F.array_join(lines, "\n")).select([F.col(f"`{n}`").alias(c) for c, n in zip(columns, names.values(), strict=True)])

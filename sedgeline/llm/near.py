@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import written
+from .common import shielded, written
 from .graph import components
 
 U = np.uint64
@@ -252,12 +252,15 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD, target: float = RECALL) -> DataFrame:
     """`df` with the document of the least id of each group of near copies, all its columns as they are. A text that shares
     its id with another text comes after those that do not."""
+    columns = df.columns
+    df, names = shielded(df, "_h1", "_h2", "_id", "_none")
+    id_col, text_col = names[id_col], names[text_col]
     _, found = _classes(df, id_col, text_col, threshold, target)
     heads = found.where("copy_of = class_id").select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.coalesce("least", F.lit(0)).alias("_id"), F.col("least").isNull().alias("_none"))
     _, id_, h1, h2 = _keys(df, id_col, text_col)
     rows = df.withColumns({"_h1": h1, "_h2": h2, "_id": F.coalesce(id_, F.lit(0)), "_none": id_.isNull()})
     keys = ["_h1", "_h2", "_id", "_none"]
-    return rows.join(heads, keys, "left_semi").dropDuplicates(keys).select(*df.columns)
+    return rows.join(heads, keys, "left_semi").dropDuplicates(keys).select([F.col(f"`{n}`").alias(c) for c, n in zip(columns, names.values(), strict=True)])
 
 
 def _classes(df: DataFrame, id_col: str, text_col: str, threshold: float, target: float) -> tuple[DataFrame, DataFrame]:

@@ -170,3 +170,12 @@ def test_very_long_text(spark):
     assert got[2].kept_lines == [1] and got[1].n_lines == 30_000
     out = {r.doc_id: r.text for r in lines.remove_lines(df).collect()}
     assert out[2] == "new words here to stay" and out[1].count("\n") == len(got[1].kept_lines) - 1
+
+
+def test_columns_named_as_helpers_stay(spark):
+    rows = [(1, "a b c d e\nx y", "p", 1), (2, "a b c d e\nz", "q", 2), (2, "other words here", "r", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id string, `count` long").selectExpr("*", "'n' AS _nth", "7 AS _kept", "8 AS _flags", "9 AS nth")
+    got = lines.remove_lines(df)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect())) == [(1, "a b c d e\nx y", "p", 1, "n", 7, 8, 9), (2, "other words here", "r", 3, "n", 7, 8, 9), (2, "z", "q", 2, "n", 7, 8, 9)]
+    assert lines.line_report(df).count() == 3

@@ -146,3 +146,13 @@ def test_components_of_few_edges_in_one_task(spark, monkeypatch):
     assert dict(rows) == {x.node: x.root for x in components(e, few=0).collect()} and len(names) > 3
     assert dict(rows)[2000] == 1000 and dict(rows)[3200] == 3000 and dict(rows)[-5] == -9
     assert components(e.where("a = 4 AND b = 4")).count() == 0
+
+
+def test_columns_named_as_helpers_stay(spark):
+    rows = [(1, " ".join(f"w{i}" for i in range(60)), "x", 1.5), (2, " ".join(f"w{i}" for i in range(60)), "y", 2.5), (3, "one two", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id string, _h1 double").selectExpr("*", "'n' AS _none", "7 AS own__id")
+    got = near.keep_one(df)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect())) == [(1, rows[0][1], "x", 1.5, "n", 7), (3, "one two", None, None, "n", 7)]
+    named = near.keep_one(df.drop("_id").withColumnRenamed("doc_id", "_id"), "_id")
+    assert sorted(r["_id"] for r in named.collect()) == [1, 3]
