@@ -3,14 +3,14 @@
 import json
 
 import pytest
-from documents import MISTER, MODEL, NTRIPLES, READER, SPRINKLER, TURTLE
+from documents import CRANE, GAUGES, HOIST, NTRIPLES, QUARRY, TURTLE
 
 from sedgeline.operators import checks, report
 from sedgeline.plans import documents as D
 
 
 def test_folder(spark, tmp_path):
-    for name, text in (("a.ttl", TURTLE), ("b.nt", NTRIPLES), ("t.json", SPRINKLER), ("r.dtdl", MISTER), ("Reader.cdm.json", READER), ("model.json", MODEL), ("x.txt", "?")):
+    for name, text in (("a.ttl", TURTLE), ("b.nt", NTRIPLES), ("t.json", HOIST), ("r.dtdl", CRANE), ("Gauges.cdm.json", GAUGES), ("model.json", QUARRY), ("x.txt", "?")):
         (tmp_path / name).write_text(text)
     (tmp_path / "l.ttl").write_bytes(TURTLE.replace("Zoo of 9", "Zoo é").encode("latin-1"))
     docs = D.read_folder(spark, str(tmp_path))
@@ -27,7 +27,7 @@ def test_folder(spark, tmp_path):
 
 
 def test_errors_raise(spark):
-    docs = spark.createDataFrame([("t.json", MISTER)], "file string, text string")
+    docs = spark.createDataFrame([("t.json", CRANE)], "file string, text string")
     with pytest.raises(D.NotValid, match="dangling"):
         D.definition(D.converted(docs, "dtdl"), D.titled(docs))
     assert D.definition(D.converted(docs, "dtdl"), D.titled(docs), skip_validation=True).count() == 4

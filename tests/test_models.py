@@ -3,7 +3,7 @@
 import hashlib
 
 import pytest
-from documents import MANIFEST, MISTER, MODEL, READER, SPRINKLER
+from documents import CRANE, CRANE_ID, GAUGES, HOIST, HOIST_ID, QUARRY, TIDES
 
 from sedgeline.operators import cdm, checks, dtdl, keys
 from sedgeline.sources import cdm as cdm_source
@@ -15,7 +15,7 @@ def docs(spark, *rows):
 
 
 def models(spark):
-    return dtdl_source.parse(docs(spark, ("f", SPRINKLER), ("f", MISTER), ("g", "{bad")))
+    return dtdl_source.parse(docs(spark, ("f", HOIST), ("f", CRANE), ("g", "{bad")))
 
 
 def entity_id(identifier):
@@ -28,33 +28,33 @@ def member_id(owner, name):
     return f"{owner}{int.from_bytes(hashlib.md5(name.encode()).digest()[:4], 'big') % 10_000:04d}"
 
 
-S, M = entity_id("dtmi:orchard:water:Sprinkler;1"), entity_id("dtmi:orchard:water:Mister;1")
+H, C = entity_id(HOIST_ID), entity_id(CRANE_ID)
 
 
 def test_model_ids_and_types(spark):
     c = dtdl.convert(models(spark))
     e = {r.name: r for r in c.entities.collect()}
-    assert e["Sprinkler"].id == S and e["Mister"].id == M and e["Mister"].baseEntityTypeId == S
+    assert e["Hoist"].id == H and e["Crane"].id == C and e["Crane"].baseEntityTypeId == H
     p = {(r.entity_id, r.name): r for r in c.properties.collect()}
-    litres, pressure = p[S, "litres"], p[S, "pressure"]
-    assert (litres.id, litres.valueType, litres.is_timeseries) == (member_id(S, "litres"), "Double", False)
-    assert pressure.id == member_id(S, "ts_pressure") and pressure.is_timeseries
-    assert p[M, "row"].id == member_id(M, "row") and e["Mister"].entityIdParts == [member_id(M, "row")] == [e["Mister"].displayNamePropertyId]
-    assert p[M, "nozzle"].valueType == "String" and (M, "litres_string") in p
-    assert [(x.id, x.target_id) for x in c.relationships.collect()] == [(member_id(M, "rel_fedBy"), S)]
-    assert [(x.name, x.reason) for x in c.skipped.collect()] == [("beside", "no target")]
+    load, wind = p[H, "load"], p[C, "wind"]
+    assert (load.id, load.valueType, load.is_timeseries) == (member_id(H, "load"), "Double", False)
+    assert wind.id == member_id(C, "ts_wind") and wind.is_timeseries and p[C, "sway"].valueType == "Double"
+    assert e["Hoist"].entityIdParts == [p[H, "grade"].id] and p[H, "grade"].valueType == "BigInt"
+    assert p[C, "label"].id == member_id(C, "label") and (C, "load_string") in p
+    assert [(x.id, x.target_id) for x in c.relationships.collect()] == [(member_id(C, "rel_lifts"), H)]
+    assert [(x.name, x.reason) for x in c.skipped.collect()] == [("hangsFrom", "no target")]
 
 
 def test_model_modes(spark):
     m = models(spark)
     flat = {(r.entity_id, r.name) for r in dtdl.convert(m, components="flatten", commands="property", decimals="structured").properties.collect()}
-    assert {(M, "spare_litres"), (S, "command_rinse"), (M, "dose_scale"), (M, "dose_value")} <= flat
+    assert {(C, "reserve_load"), (C, "reserve_plate"), (C, "command_slew"), (C, "mass_scale"), (C, "mass_value")} <= flat
     c = dtdl.convert(m, components="separate", commands="entity")
     names = {r.name for r in c.entities.collect()}
-    assert names == {"Sprinkler", "Mister", "valve_Valve", "Command_rinse"}
+    assert names == {"Hoist", "Crane", "cab_Cab", "Command_slew"}
     rel = {r.name: r for r in c.relationships.collect()}
-    assert rel["has_spare"].id == member_id(M, "comp_spare") and rel["supports_rinse"].target_id == next(r.id for r in c.entities.collect() if r.name == "Command_rinse")
-    assert {r.name for r in c.properties.collect()} >= {"componentId", "commandName", "requestSchema", "request_minutes"}
+    assert rel["has_reserve"].id == member_id(C, "comp_reserve") and rel["supports_slew"].target_id == next(r.id for r in c.entities.collect() if r.name == "Command_slew")
+    assert {r.name for r in c.properties.collect()} >= {"componentId", "commandName"}
     with pytest.raises(ValueError):
         dtdl.convert(m, components="odd")
 
@@ -69,9 +69,9 @@ def test_model_checks(spark):
     got = {(r.severity, r.code) for r in dtdl.issues(bad, external_allowed=False).collect()}
     assert got == {("error", "duplicate"), ("warning", "version"), ("error", "parent"), ("error", "cycle"), ("error", "name_twice"), ("error", "name"), ("error", "multiplicity"), ("warning", "schema"), ("error", "target")}
     assert dtdl.kinds(m).count() == 6 and checks.feature_report(dtdl.features(m), checks.MODEL_SUPPORT).first().partial > 0
-    assert dict(dtdl.id_mapping(m).first().mapping)["dtmi:orchard:water:Mister;1"] == M
+    assert dict(dtdl.id_mapping(m).first().mapping)[CRANE_ID] == C
     fields = {(r.name, r.valueType) for r in dtdl.flattened_fields(m.contents).collect()}
-    assert fields == {("site_slope", "Double"), ("site_terrace", "BigInt")}
+    assert fields == {("spot_bay", "BigInt"), ("spot_level", "Double"), ("spot_open", "Boolean")}
 
 
 def test_checks_inside_contents(spark):
@@ -112,29 +112,32 @@ def test_compliance_codes(spark):
 
 
 def test_business_documents(spark):
-    m = cdm_source.parse(docs(spark, ("x/lending.manifest.cdm.json", MANIFEST), ("x/Reader.cdm.json", READER), ("y/model.json", MODEL), ("z.cdm.json", "{")))
+    m = cdm_source.parse(docs(spark, ("x/tides.manifest.cdm.json", TIDES), ("x/Gauges.cdm.json", GAUGES), ("y/model.json", QUARRY), ("z.cdm.json", "{")))
     assert {r.kind for r in m.documents.collect()} == {"manifest", "schema", "model"} and m.faults.count() == 1
     c = cdm.convert(m)
     at = lambda df, f: [r for r in df.collect() if r.file == f]
-    e = {r.name: r for r in at(c.entities, "x/Reader.cdm.json")}
-    assert e["Record"].id == "1000000000000" and e["Reader"].id == "1000000000003"
-    p = sorted((r for r in at(c.properties, "x/Reader.cdm.json") if r.entity_id == e["Reader"].id), key=lambda r: int(r.id))
-    assert [(r.name, r.valueType) for r in p] == [("id", "String"), ("cardNumber", "String"), ("alias", "String"), ("enteredOn", "BigInt"), ("fine", "Decimal"), ("stamp", "String")]
-    assert e["Reader"].entityIdParts == [p[1].id] and e["Reader"].displayNamePropertyId == p[2].id and e["Reader"].baseEntityTypeId is None
-    assert m.attributes.where("name = 'alias' and file like '%Reader%'").first().max_length == 50
-    e = {r.name for r in at(c.entities, "x/lending.manifest.cdm.json")}
-    r = {r.name: r for r in at(c.relationships, "x/lending.manifest.cdm.json")}
-    assert e == {"Reader", "Loan"} and set(r) == {"takenBy", "Loan_to_Branch"}
-    rel = at(c.relationships, "y/model.json")
-    assert [(x.name, x.id) for x in rel] == [("Page_to_Sheet", "1000000000005")]
+    e = {r.name: r for r in at(c.entities, "x/Gauges.cdm.json")}
+    # Numbers run through entities and their properties: 1 + 3, then 1 + 4 (two of its own, of which one is the base's too).
+    assert [e[n].id for n in ("Device", "Sensor", "Gauge")] == [str(10**12 + k) for k in (0, 4, 9)]
+    p = sorted((r for r in at(c.properties, "x/Gauges.cdm.json") if r.entity_id == e["Gauge"].id), key=lambda r: int(r.id))
+    assert [(r.name, r.valueType) for r in p] == [("serial", "String"), ("maker", "String"), ("since", "DateTime"), ("weight", "BigInt"), ("title", "String"), ("mark", "String"), ("depth", "Decimal"), ("mood", "String")]
+    of = {r.name: r.id for r in p}
+    assert e["Gauge"].entityIdParts == [of["mark"]] and e["Gauge"].displayNamePropertyId == of["title"] and e["Gauge"].baseEntityTypeId is None
+    assert m.attributes.where("name = 'title' and file like '%Gauges%'").first().max_length == 12
+    e = {r.name for r in at(c.entities, "x/tides.manifest.cdm.json")}
+    r = {r.name: r for r in at(c.relationships, "x/tides.manifest.cdm.json")}
+    assert e == {"Gauge", "Sensor", "Harbour"} and set(r) == {"watchedBy", "Gauge_to_Pier"}
+    assert [(x.name, x.id) for x in at(c.relationships, "y/model.json")] == [("Pit_to_Crew", str(10**12 + 7))]
     assert {x.code for x in checks.dangling(c.relationships, c.entities).collect()} == {"dangling"}
     codes = {(x.severity, x.code) for x in cdm.issues(m).collect()}
-    assert {("error", "parse"), ("warning", "type"), ("warning", "end"), ("info", "bare"), ("info", "reserved")} <= codes
-    assert not cdm.convert(m, flatten=False).entities.where("name = 'Reader' and baseEntityTypeId = '1000000000000'").isEmpty()
+    assert {("error", "parse"), ("warning", "type"), ("warning", "end"), ("info", "bare")} <= codes
+    assert not cdm.convert(m, flatten=False).entities.where("name = 'Sensor' and baseEntityTypeId = '1000000000000'").isEmpty()
 
 
 def test_business_sniffing(spark):
-    got = docs(spark, ("a", MODEL), ("b", SPRINKLER), ("c", "{"), ("d", MODEL + " " * 5000)).select(cdm_source.looks_like(__import__("pyspark.sql.functions", fromlist=["col"]).col("text"))).collect()
+    from pyspark.sql import functions as F
+
+    got = docs(spark, ("a", QUARRY), ("b", HOIST), ("c", "{"), ("d", QUARRY + " " * 5000)).select(cdm_source.looks_like(F.col("text"))).collect()
     assert [r[0] for r in got] == [True, False, False, False]
 
 

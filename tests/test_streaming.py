@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from documents import MISTER, NTRIPLES, SPRINKLER, TURTLE
+from documents import CRANE, HOIST, NTRIPLES, TURTLE
 
 from sedgeline import plugins
 from sedgeline.streaming import control, pipeline
@@ -21,7 +21,7 @@ def test_counts_over_chunks(spark, tmp_path):
 
 def test_model_kinds_and_failures(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    for k, text in enumerate((SPRINKLER, MISTER)):
+    for k, text in enumerate((HOIST, CRANE)):
         (tmp_path / "in" / f"d{k}.json").write_text(text)
     got = pipeline.counted(spark, str(tmp_path / "in"), str(tmp_path / "ck"), str(tmp_path / "out"), kind="dtdl")
     assert {r.kind: r.n for r in got.collect()}["Interface"] == 2
