@@ -83,10 +83,18 @@ def q_known_types(spark, sf_dir):
     return _t(spark, sf_dir, "events").select("event_id", types.is_cdm_type(n).alias("known_cdm"), types.is_known_xsd(u).alias("known_xsd"), types.target_xsd(t).alias("out_type"))
 
 
-@query(f"""SELECT 'rdf' AS format, k AS source, v AS target, k LIKE '%decimal' AS precision_loss FROM (VALUES {_values(types.XSD_TYPES, XSD)}) r(k, v) UNION ALL
-SELECT 'dtdl', k, v, k LIKE '%decimal' FROM (VALUES {_values(types.DTDL_TYPES)}) d(k, v) UNION ALL SELECT 'cdm', k, v, false FROM (VALUES {_values(types.CDM_PRIMITIVES)}) c(k, v)""")
+_SOURCES = [*(XSD + s for ss in types.XSD_TYPES.values() for s in ss), *(s for ss in types.DTDL_TYPES.values() for s in ss), *(s for ss in types.CDM_PRIMITIVES.values() for s in ss), "unheard"]
+
+
+@query(f"""WITH r AS (SELECT 'rdf' AS format, k AS source, v AS target, k LIKE '%decimal' AS precision_loss FROM (VALUES {_values(types.XSD_TYPES, XSD)}) r(k, v) UNION ALL
+SELECT 'dtdl', k, v, k LIKE '%decimal' FROM (VALUES {_values(types.DTDL_TYPES)}) d(k, v) UNION ALL SELECT 'cdm', k, v, false FROM (VALUES {_values(types.CDM_PRIMITIVES)}) c(k, v)),
+x AS (SELECT event_id, ['rdf', 'dtdl', 'cdm'][event_id % 3 + 1] AS format, [{", ".join(f"'{s}'" for s in _SOURCES)}][event_id // 3 % {len(_SOURCES)} + 1] AS source FROM events)
+SELECT event_id, format, source, target, precision_loss FROM x LEFT JOIN r USING (format, source)""")
 def q_type_registry(spark, sf_dir):
-    return types.default_registry().table(spark)
+    """Types of values by format, looked up in the registry; a type of another format is not known."""
+    e = F.col("event_id")
+    x = _t(spark, sf_dir, "events").select("event_id", F.element_at(F.array(*[F.lit(f) for f in ("rdf", "dtdl", "cdm")]), (e % 3 + 1).cast("int")).alias("format"), F.element_at(F.array(*[F.lit(s) for s in _SOURCES]), (F.floor(e / 3) % len(_SOURCES) + 1).cast("int")).alias("source"))
+    return x.join(F.broadcast(types.default_registry().table(spark)), ["format", "source"], "left").select("event_id", "format", "source", "target", "precision_loss")
 
 
 @query("""SELECT l_orderkey, l_linenumber, '{"scale":' || (l_linenumber % 4) || ',"value":"' || l_quantity::BIGINT || '"}' AS as_json, l_linenumber % 4 AS scale, l_quantity::BIGINT::VARCHAR AS value, round(l_quantity::BIGINT * power(10.0, (l_linenumber % 4)::DOUBLE), 6) AS calculated FROM lineitem""")
@@ -301,7 +309,7 @@ def q_business_issues(spark, sf_dir):
 
 # ---- keys, orders, definitions
 
-@query("WITH " + lens_queries.COLS + """, s AS (SELECT entity_id AS id, arg_min(id, pos) AS one, arg_min(id, CASE WHEN contains(lower(name), 'name') THEN 0 ELSE 1000 END + pos) AS named FROM p WHERE vt = 'String' GROUP BY entity_id),
+@query("WITH " + lens_queries.COLS + """, s AS (SELECT entity_id AS id, arg_min(id, pos) AS one, arg_min(id, CASE WHEN contains(lower(name), 'name') THEN 0 ELSE 1000000000::BIGINT END + pos) AS named FROM p WHERE vt = 'String' GROUP BY entity_id),
 k AS (SELECT entity_id AS id, arg_min(id, pos) AS key, arg_min(vt, pos) AS kt FROM p WHERE vt IN ('String', 'BigInt') GROUP BY entity_id)
 SELECT k.id, k.key, true AS changed, CASE WHEN kt = 'String' THEN key ELSE named END AS display FROM k LEFT JOIN s USING (id)""")
 def q_filled_keys(spark, sf_dir):

@@ -53,9 +53,9 @@ def q_uri_names(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", names.local_name(F.col("url")).alias("local_name"), names.namespace(F.col("url")).alias("namespace"))
 
 
-@query(f"SELECT doc_id, {_sanitized('substr(text, 1, 200)')} AS name, {_sanitized('substr(text, 1, 200)', most=90)} AS model_name, {_sanitized('substr(text, 1, 200)', 'O_', 90, 'Ontology')} AS service_name FROM documents")
+@query(f"SELECT doc_id, {_sanitized('text')} AS name, {_sanitized('text', most=90)} AS model_name, {_sanitized('text', 'O_', 90, 'Ontology')} AS service_name FROM documents")
 def q_sanitized_names(spark, sf_dir):
-    x = F.substring("text", 1, 200)
+    x = F.col("text")
     return _t(spark, sf_dir, "documents").select("doc_id", names.sanitize(x).alias("name"), names.model_name(x).alias("model_name"), names.service_name(x).alias("service_name"))
 
 
@@ -205,7 +205,7 @@ def q_attached_properties(spark, sf_dir):
     return rdf.attached(t, rdf.data_properties(t)).select("class", "prop", "valueType")
 
 
-USED = ("nation", "customer", "supplier", "orders", "region", "lineitem", "part")
+USED = ("nation", "customer", "supplier", "orders", "region", "lineitem", "part", "events")
 I = f"i AS (SELECT * FROM ({lens.instance_sql(USED)}))"
 USAGE = f"""op AS (SELECT DISTINCT s AS prop FROM t WHERE p = '{TYPE}' AND o = '{OWL}ObjectProperty'),
 u AS (SELECT DISTINCT i.p AS prop, 'domain' AS side, k.o AS class FROM i JOIN i k ON k.s = i.s AND k.p = '{TYPE}' WHERE i.p IN (SELECT prop FROM op)
@@ -262,12 +262,15 @@ def q_exported_triples(spark, sf_dir):
 # ---- keys and inheritance
 
 def _columns(spark, sf_dir):
-    """Columns of the catalogue as properties of entities."""
-    rows = [("lens", t, i, f"{t}.{c}", c, {"int": "BigInt", "long": "BigInt", "double": "Double", "decimal": "Double"}.get(x, "String"), False) for t, (_, _, cols, _) in lens.TABLES.items() for i, (c, x) in enumerate(cols.items())]
-    return spark.createDataFrame(rows, "file string, entity_id string, pos int, id string, name string, valueType string, is_timeseries boolean")
+    """Parts as properties of their brands: names and types by name and size."""
+    size = F.col("p_size")
+    ending = F.when(size % 5 == 0, "_id").when(size % 5 == 1, "_name").otherwise("")
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("String", "BigInt", "Double", "DateTime")]), (size % 4 + 1).cast("int"))
+    rows = _t(spark, sf_dir, "part").select(F.lit("parts").alias("file"), F.col("p_brand").alias("entity_id"), F.col("p_partkey").cast("int").alias("pos"), F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"), F.concat(F.translate("p_name", " ", "_"), ending).alias("name"), kind.alias("valueType"), F.lit(False).alias("is_timeseries"))
+    return rows
 
 
-COLS = "p(entity_id, pos, id, name, vt) AS (VALUES " + ", ".join(f"('{t}', {i}, '{t}.{c}', '{c}', '{ {'int': 'BigInt', 'long': 'BigInt', 'double': 'Double', 'decimal': 'Double'}.get(x, 'String')}')" for t, (_, _, cols, _) in lens.TABLES.items() for i, (c, x) in enumerate(cols.items())) + ")"
+COLS = "p AS (SELECT p_brand AS entity_id, p_partkey::INT AS pos, 'p' || p_partkey AS id, replace(p_name, ' ', '_') || CASE p_size % 5 WHEN 0 THEN '_id' WHEN 1 THEN '_name' ELSE '' END AS name, ['String', 'BigInt', 'Double', 'DateTime'][p_size % 4 + 1] AS vt FROM part)"
 
 
 @query(f"""WITH {COLS}, v AS (SELECT * FROM p WHERE vt IN ('String', 'BigInt')), k AS (SELECT entity_id AS id, coalesce(arg_max(id, pos) FILTER (contains(lower(name), 'id')), arg_min(id, pos)) AS key, arg_max(id, pos) FILTER (vt = 'String' AND contains(lower(name), 'name')) AS nm FROM v GROUP BY entity_id)
@@ -276,7 +279,7 @@ def q_last_key(spark, sf_dir):
     return keys.last_key(_columns(spark, sf_dir)).select("id", F.get("entityIdParts", F.lit(0)).alias("key"), F.col("displayNamePropertyId").alias("display"))
 
 
-@query(f"WITH {COLS}, v AS (SELECT *, CASE WHEN {' OR '.join(f'''contains(lower(name), '{x}')''' for x in keys.PATTERNS)} THEN 0 ELSE 1 END AS r FROM p WHERE vt IN ('String', 'BigInt')) SELECT entity_id AS id, arg_min(id, r * 1000 + pos) AS key FROM v GROUP BY entity_id")
+@query(f"WITH {COLS}, v AS (SELECT *, CASE WHEN {' OR '.join(f'''contains(lower(name), '{x}')''' for x in keys.PATTERNS)} THEN 0 ELSE 1 END AS r FROM p WHERE vt IN ('String', 'BigInt')) SELECT entity_id AS id, arg_min(id, r * 1000000000::BIGINT + pos) AS key FROM v GROUP BY entity_id")
 def q_auto_key(spark, sf_dir):
     p = _columns(spark, sf_dir)
     e = p.select("file", F.col("entity_id").alias("id"), F.col("entity_id").alias("name")).distinct()
