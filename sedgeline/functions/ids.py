@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import ordered
+
 PREFIX = 1_000_000_000_000
 
 
@@ -22,16 +24,16 @@ def member_id(owner: Column, name: Column) -> Column:
 
 
 def numbered(df: DataFrame, *order: str, partition: tuple[str, ...] = (), prefix: int = PREFIX, first: int = 1, name: str = "id") -> DataFrame:
-    """Ids in the given order from `prefix + first`, one sequence for each `partition` (a document): documents run in
-    parallel, and no global sort is needed."""
-    w = Window.partitionBy(*partition).orderBy(*order)
-    return df.withColumn(name, (F.row_number().over(w) + F.lit(prefix + first - 1)).cast("string"))
+    """Ids in the given order from `prefix + first`, one sequence for each `partition` (a document), by ranges of the order: a
+    document of any size is numbered by many tasks."""
+    found = ordered.numbered(df, list(partition), list(order), "_place", prefix + first)
+    return found.withColumn(name, F.col("_place").cast("string")).drop("_place")
 
 
 def reserve(df: DataFrame, sizes: str, *order: str, partition: tuple[str, ...] = (), prefix: int = PREFIX) -> DataFrame:
     """Ranges of ids: `range_start` for each row that asks for `sizes` ids."""
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("range_start", F.coalesce(F.sum(sizes).over(w), F.lit(0)) + prefix)
+    found = ordered.running(df, list(partition), list(order), F.col(sizes), "range_start")
+    return found.withColumn("range_start", F.col("range_start") + prefix)
 
 
 def id_statistics(df: DataFrame, namespace: str, prefix: int = PREFIX) -> DataFrame:

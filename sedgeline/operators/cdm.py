@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids, names, types
 from ..sources.cdm import Manifest
 from . import checks, closure
+from .ordered import numbered
 from .rdf import NAMESPACE, Converted
 from .shared import written
 
@@ -59,7 +60,7 @@ def convert(m: Manifest, *, flatten: bool = True, prefix: int = ids.PREFIX) -> C
     a = written(a.where("type not in ('entity', 'entityReference')"), "cdm-attributes")
     at = ents.select("file", "entity", F.col("pos").alias("epos"))
     rels = m.relationships.select("file", "pos", relationship_name().alias("name"), names.path_tail(F.col("from_entity")).alias("source"), names.path_tail(F.col("to_entity")).alias("target"))
-    rels = rels.withColumn("k", F.row_number().over(Window.partitionBy("file").orderBy("pos", "name", "source", "target")))
+    rels = numbered(rels, ["file"], ["pos", "name", "source", "target"], "k", 1)
     ends = rels.select("file", "k", F.posexplode(F.array("source", "target")).alias("side", "entity")).join(ents.select("file", "entity"), ["file", "entity"], "left_anti")
     missing = ends.groupBy("file", "entity").agg(F.min(F.struct("k", "side")).alias("x"))
     things = (

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import numbered
 from .shared import written
 
 
@@ -85,9 +86,9 @@ def deeper(edges: DataFrame, most: int, child: str = "child", parent: str = "par
 
 
 def topological(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(file, node, ord): parents before children; what reaches a cycle comes last; ties by name. Ordered per document."""
-    w = Window.partitionBy("file").orderBy(F.col("depth").asc_nulls_last(), "node")
-    return depths(nodes, edges).withColumn("ord", F.row_number().over(w) - 1)
+    """(file, node, ord): parents before children; what reaches a cycle comes last; ties by name. Ordered per document, by
+    ranges of the order."""
+    return numbered(depths(nodes, edges), ["file"], [F.col("depth").asc_nulls_last(), "node"], "ord")
 
 
 def list_members(triples: DataFrame, rdf: str, heads: DataFrame, *, longest: int = 1000) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values
 from . import closure
+from .ordered import numbered
 
 
 def quoted(x: Column) -> Column:
@@ -73,13 +74,13 @@ def definition_parts(entities: DataFrame, properties: DataFrame, relationships:
     edges = entities.where("baseEntityTypeId is not null").select("file", F.col("id").alias("child"), F.col("baseEntityTypeId").alias("parent"))
     order = closure.topological(entities.select("file", F.col("id").alias("node")), edges).withColumnRenamed("node", "id")
     text = F.concat(F.lit('{\n  "metadata": {\n    "type": "Ontology",\n    "displayName": '), quoted(F.col("ontology")), F.lit("\n  }\n}"))
-    first = ontology.select("file", F.lit(0).alias("kind"), F.lit(0).alias("k"), F.lit(".platform").alias("path"), text.alias("json"))
-    second = ontology.select("file", F.lit(1).alias("kind"), F.lit(0).alias("k"), F.lit("definition.json").alias("path"), F.lit("{}").alias("json"))
-    ents = with_lists(entities, properties).join(order, ["file", "id"]).select("file", F.lit(2).alias("kind"), F.col("ord").alias("k"), F.concat(F.lit("EntityTypes/"), "id", F.lit("/definition.json")).alias("path"), entity_json().alias("json"))
-    rels = relationships.select("file", F.lit(3).alias("kind"), F.row_number().over(Window.partitionBy("file").orderBy("id")).alias("k"), F.concat(F.lit("RelationshipTypes/"), "id", F.lit("/definition.json")).alias("path"), relationship_json().alias("json"))
-    w = Window.partitionBy("file").orderBy("kind", "k", "path")
-    rows = first.union(second).union(ents).union(rels)
-    return rows.select("file", (F.row_number().over(w) - 1).alias("ord"), "path", F.regexp_replace(values.encoded(F.col("json")), "[\r\n]", "").alias("payload"), F.lit("InlineBase64").alias("payloadType"))
+    none = F.lit("").alias("by")
+    first = ontology.select("file", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("k"), none, F.lit(".platform").alias("path"), text.alias("json"))
+    second = ontology.select("file", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("k"), none, F.lit("definition.json").alias("path"), F.lit("{}").alias("json"))
+    ents = with_lists(entities, properties).join(order, ["file", "id"]).select("file", F.lit(2).alias("kind"), F.col("ord").cast("long").alias("k"), none, F.concat(F.lit("EntityTypes/"), "id", F.lit("/definition.json")).alias("path"), entity_json().alias("json"))
+    rels = relationships.select("file", F.lit(3).alias("kind"), F.lit(0).cast("long").alias("k"), F.col("id").alias("by"), F.concat(F.lit("RelationshipTypes/"), "id", F.lit("/definition.json")).alias("path"), relationship_json().alias("json"))
+    rows = numbered(first.union(second).union(ents).union(rels), ["file"], ["kind", "k", "by", "path"], "ord")
+    return rows.select("file", F.col("ord").cast("int").alias("ord"), "path", F.regexp_replace(values.encoded(F.col("json")), "[\r\n]", "").alias("payload"), F.lit("InlineBase64").alias("payloadType"))
 
 
 def definition_size(entities: DataFrame, properties: DataFrame, relationships: DataFrame) -> DataFrame:
