@@ -20,7 +20,8 @@ EVENTS = ("register", "unregister", "validate_start", "validate_complete", "conv
 
 @dataclass
 class Format:
-    """One format. `parse` takes documents (file, text); `check` and `convert` take what `parse` gives."""
+    """One format. `parse` takes documents (file, text); `check` and `convert` take what `parse` gives. `rows` reads an iterator
+    of documents to an iterator of rows of `schema`, which makes the format a data source of the engine (`datasource`)."""
 
     name: str
     extensions: tuple[str, ...]
@@ -35,6 +36,9 @@ class Format:
     max_version: tuple[int, ...] | None = None
     setup: Callable[[], None] | None = None
     cleanup: Callable[[], None] | None = None
+    rows: Callable | None = None
+    schema: str = ""
+    arguments: Callable | None = None
 
     def missing(self) -> list[str]:
         """Modules that it needs and that are not there."""
@@ -44,7 +48,7 @@ class Format:
         return not (self.min_version and version < self.min_version) and not (self.max_version and version > self.max_version)
 
     def info(self) -> dict[str, Any]:
-        return {"name": self.name, "extensions": list(self.extensions), "description": self.description, "check": self.check is not None, "convert": self.convert is not None, "export": self.export is not None}
+        return {"name": self.name, "extensions": list(self.extensions), "description": self.description, "check": self.check is not None, "convert": self.convert is not None, "export": self.export is not None, "source": self.rows is not None}
 
 
 class Formats:
@@ -149,3 +153,14 @@ def default_formats() -> Formats:
     for fmt in builtin():
         out.register(fmt)
     return out
+
+
+_shared: Formats | None = None
+
+
+def shared_formats() -> Formats:
+    """The one registry of this process, made when it is first asked for."""
+    global _shared
+    if _shared is None:
+        _shared = default_formats()
+    return _shared
