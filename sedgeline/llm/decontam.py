@@ -11,8 +11,8 @@ copy counts whatever its slots, case and lines; windows of more than half slots
 A document's windows are looked up in a bitmap of the benchmark's hashes first, which is 8 MB whatever the benchmark's
 size, so that only windows that can join leave the task that reads the text.
 
-Defined results: null texts are empty; items of fewer than five words match nothing, items of five to seven words match by
-one window of all their words; windows with fewer than half literal words are evidence with the same words only; repeated documents each get
+Defined results: null texts are empty; items without words match nothing, items of one to four words, whose templates would
+be anyone's, match by all their plain words, items of five to seven words match by one window of all their words; windows with fewer than half literal words are evidence with the same words only; repeated documents each get
 their rows, once for each id and text; rows with a null id come out with a null id; repeated items count once; empty tables give
 no rows; other columns are ignored.
 """
@@ -32,7 +32,7 @@ from . import words as W
 from .common import written
 
 U = np.uint64
-WINDOW, SHORTEST, COVERAGE = 8, 5, 0.5
+WINDOW, TEMPLATES, COVERAGE = 8, 5, 0.5
 BITS = 26
 
 # The unit words that a number may carry.
@@ -114,7 +114,7 @@ def canonical(lower: np.ndarray, low_off: np.ndarray, data: np.ndarray, offsets:
 def _windows(template: np.ndarray, value: np.ndarray, slot: np.ndarray, counts: np.ndarray, n: int):
     """Start words, hashes, texts of the windows of n words inside one text, whether they are plain, and dense. Those with
     enough literal words have a hash of their templates, those with slots one of their plain words too (without slots, both
-    are the same); dense ones have more than half slots, and plain words only."""
+    are the same); dense ones have more than half slots, and plain words only. Windows of a few words are plain ones all."""
     text = np.repeat(np.arange(len(counts)), counts)
     m = max(len(template) - n + 1, 0)
 
@@ -128,6 +128,9 @@ def _windows(template: np.ndarray, value: np.ndarray, slot: np.ndarray, counts:
     run = np.concatenate([[0], np.cumsum(slot)])
     k = run[n:][:m] - run[:m]
     inside = text[:m] == text[n - 1 :][:m]
+    if n < TEMPLATES:
+        at = np.flatnonzero(inside)
+        return at, hashes(value, at), text[at], np.ones(len(at), bool), np.zeros(len(at), bool)
     few, some = np.flatnonzero(inside & (2 * k <= n)), np.flatnonzero(inside & (k > 0))
     at = np.concatenate([few, some])
     return at, np.concatenate([hashes(template, few), hashes(value, some)]), text[at], np.arange(len(at)) >= len(few), 2 * k[at] > n
@@ -150,6 +153,9 @@ def _emit(batches, sizes: list[int], bitmap: np.ndarray | None, whole: bool):
                 else:
                     cell = h >> U(64 - BITS)
                     fit = (bitmap[cell >> U(3)] >> (cell & U(7)).astype(np.uint8)) & 1 > 0
+                    if n < TEMPLATES:  # once a text is enough, as such a window is all of its item
+                        fit = np.flatnonzero(fit)
+                        fit = fit[np.unique(np.stack([text[fit].astype(U), h[fit]]), axis=1, return_index=True)[1]]
                 at, h, text, plain, dense = at[fit], h[fit], text[fit], plain[fit], dense[fit]
                 places = [[] if z else np.flatnonzero(slot[a : a + n]).tolist() for a, z in zip(at, plain, strict=True)] if whole else [None] * len(at)
                 slots = [[] if z else value[a : a + n][slot[a : a + n]].view(np.int64).tolist() for a, z in zip(at, plain, strict=True)]
@@ -193,7 +199,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """The same with `text_key` of the document's text, which belongs to the key where ids are null or repeated."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text).alias("text")).where("id is not null").dropDuplicates()
-    sizes = list(range(SHORTEST, WINDOW + 1))
+    sizes = list(range(1, WINDOW + 1))
     known = written(items.select("id", "text", F.lit(0).cast("long").alias("key")).mapInArrow(partial(_emit, sizes=sizes, bitmap=None, whole=True), ROWS), "leak-items")
     # The bitmap as words of 64 bits that have any bit, at most 2**BITS / 64 of them.
     top = F.shiftrightunsigned("hash", 64 - BITS)

@@ -34,8 +34,11 @@ def test_upper_case_accents(spark):
 
 
 def test_short_items_and_empty(spark):
-    got = found(spark, [(1, "we saw one two three four five there"), (2, "one two three four")], [(1, "one two three four five"), (2, "one two three four")])
-    assert set(got) == {(1, 1)}
+    items = [(1, "one two three four five"), (2, "one two three four"), (3, "What is 7 * 8 ?"), (4, "yes"), (5, "?!"), (6, "seen 9 hens")]
+    docs = [(1, "we saw one two three four five there"), (2, "One, two\nthree four."), (3, "Then: what is 7 * 8 ? and again what is 7 8"), (4, "what is 7 * 9 ?"), (5, "Yes yes yes"), (6, "one two three"), (None, "Seen 9 hens"), (7, "seen 3 hens")]
+    got = found(spark, docs, items)
+    assert set(got) == {(1, 1), (1, 2), (2, 2), (3, 3), (5, 4), (None, 6)}
+    assert all((r.windows, r.item_windows, r.coverage, r.slots, r.reparameterised) == (1, 1, 1.0, 0, False) for k, r in got.items() if k != (1, 1))
     assert not found(spark, [], [(1, ITEM)]) and not found(spark, [(1, ITEM)], [])
 
 
@@ -122,6 +125,9 @@ def plain_leaks(docs, items):
         words = plain_words(text or "")
         n = min(len(words), 8)
         if n < 5:
+            if n:
+                size[i] = (1, 1)
+                index[n, tuple(w[1] for w in words)].append((i, 0, [], [], False))
             continue
         rows = list(plain_windows(words, n))
         size[i] = (sum(2 * len(r[3]) <= n for r in rows), len(rows))
@@ -133,9 +139,9 @@ def plain_leaks(docs, items):
     out = set()
     for d, text in docs:
         words, lanes = plain_words(text or ""), defaultdict(set)
-        for n in range(5, 9):
+        for n in range(1, 9):
             for at, template, plain, places, slot_values in plain_windows(words, n):
-                seen = [(template, slot_values)] * bool(template) + [(plain, [])] * bool(places)
+                seen = [(template, slot_values)] * bool(template) + [(plain, [])] * bool(places) if n > 4 else [(plain, [])]
                 for key, mine in seen:
                     for i, ipos, where, theirs, dense in index.get((n, key), ()):
                         lanes[i, at - ipos].add((ipos, tuple(where), tuple(theirs), tuple(mine), dense))
@@ -165,8 +171,8 @@ def test_query_against_plain(spark, tmp_path):
     from sedgeline.llm import queries
 
     sf = Path("/root/testdata/sf0.001")
-    items = [(100_000, "Anna has 3 apples and 5 pears, so how many pieces of fruit does Anna have in all?"), (100_001, "A train goes 40 km in 2 hours and then 60 km in 3 hours; what is its mean speed?"), (100_002, "five words stand here alone"), (100_003, "1 2 3 four 5 6 seven 8 9 10")]
-    docs = [(200_000, "First: Anna has 4 apples and 4 pears, so how many pieces of fruit does Anna have in all? Well."), (200_001, "text before\nBerta has 7 apples and 9 pears, so how many pieces of fruit does Carla have in all?"), (200_002, "A TRAIN GOES 50 MILES IN 2 HOURS AND THEN 60 KM IN 3 HOURS; WHAT IS ITS MEAN SPEED?"), (200_003, "and five words, stand here alone!"), (200_004, "say 1 2 3 four 5 6 seven 8 9 10 now"), (200_005, None), (200_006, "")]
+    items = [(100_000, "Anna has 3 apples and 5 pears, so how many pieces of fruit does Anna have in all?"), (100_001, "A train goes 40 km in 2 hours and then 60 km in 3 hours; what is its mean speed?"), (100_002, "five words stand here alone"), (100_003, "1 2 3 four 5 6 seven 8 9 10"), (100_004, "What is 7 * 8 ?"), (100_005, "!")]
+    docs = [(200_000, "First: Anna has 4 apples and 4 pears, so how many pieces of fruit does Anna have in all? Well."), (200_001, "text before\nBerta has 7 apples and 9 pears, so how many pieces of fruit does Carla have in all?"), (200_002, "A TRAIN GOES 50 MILES IN 2 HOURS AND THEN 60 KM IN 3 HOURS; WHAT IS ITS MEAN SPEED?"), (200_003, "and five words, stand here alone!"), (200_004, "say 1 2 3 four 5 6 seven 8 9 10 now"), (200_005, None), (200_006, ""), (200_007, "so what is 7 * 8 ? and what is 7 8 again"), (200_008, "what is 7 * 9 ?")]
     if sf.is_dir():
         docs += [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
         items += [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
@@ -175,4 +181,4 @@ def test_query_against_plain(spark, tmp_path):
     got = {(r.doc_id, r.item_id, r.windows, r.item_windows, round(r.coverage, 9), r.slots, r.reparameterised) for r in queries.op1_template_decontamination(spark, str(tmp_path)).collect()}
     want = plain_leaks(docs, items)
     assert got == want, (sorted(got - want)[:5], sorted(want - got)[:5])
-    assert {(200_000, 100_000), (200_002, 100_001), (200_003, 100_002), (200_004, 100_003)} <= {x[:2] for x in got}
+    assert {(200_000, 100_000), (200_002, 100_001), (200_003, 100_002), (200_004, 100_003), (200_007, 100_004)} <= {x[:2] for x in got}
