@@ -12,7 +12,7 @@ from ..sources import cdm as cdm_source
 from ..sources import dtdl as dtdl_source
 from ..sources import rdf as rdf_source
 from . import queries as lens_queries
-from .lens import RDF, XSD
+from .lens import OWL, RDF, RDFS, XSD
 from .queries import _HASH, CLS, LOCAL, S, _columns, _sanitized, _t, _values
 
 QUERIES: dict = {}
@@ -385,3 +385,53 @@ def q_model_limits(spark, sf_dir):
     r = n.limit(0).select("file", "id", "name", F.lit("user").alias("namespace"), F.lit("Custom").alias("namespaceType"), F.col("id").alias("source_id"), F.col("id").alias("target_id"))
     found = checks.limit_issues(e, p, r, profile="model").where("code = 'properties'")
     return found.join(n.select("name", F.col("n").cast("int").alias("n")), found["uri"] == n["name"]).select("name", "severity", "n")
+
+
+#: What each sixteenth part's document holds, and the finding: subject, predicate and object of its triples (`_:` for blank ones), severity, category, code.
+GRAPH_FAULTS = [
+    ([("x:doc", OWL + "imports", "x:other")], "warning", "external_import", "imports"),
+    ([("x:c", OWL + "intersectionOf", "_:l")], "warning", "unsupported_construct", "class_expression"),
+    ([("_:r", RDF + "type", OWL + "Restriction"), ("_:r", OWL + "onProperty", "x:p"), ("_:r", OWL + "someValuesFrom", "x:c")], "warning", "property_restriction", "restriction"),
+    ([("x:p", RDF + "type", OWL + "FunctionalProperty")], "info", "property_characteristic", "characteristic"),
+    ([("x:p", OWL + "propertyChainAxiom", "_:l")], "warning", "unsupported_construct", "property_axiom"),
+    ([("x:p", OWL + "inverseOf", "x:q")], "info", "unsupported_construct", "property_axiom"),
+    ([("x:c", OWL + "disjointWith", "x:d")], "info", "unsupported_construct", "class_axiom"),
+    ([("_:x", RDF + "type", OWL + "AllDisjointClasses")], "info", "unsupported_construct", "class_axiom"),
+    ([("x:p", RDF + "type", OWL + "ObjectProperty")], "warning", "missing_signature", "missing_signature"),
+    ([("x:p", RDF + "type", OWL + "ObjectProperty"), ("x:p", RDFS + "domain", "x:nowhere"), ("x:p", RDFS + "range", XSD + "string")], "warning", "missing_signature", "undeclared_end"),
+    ([("x:p", RDFS + "range", XSD + "oddType")], "info", "unsupported_datatype", "datatype"),
+    ([("x:p", RDFS + "range", "_:u"), ("_:u", OWL + "unionOf", "_:l")], "info", "unsupported_datatype", "datatype_union"),
+    ([("x:i", RDF + "type", OWL + "NamedIndividual")], "info", "individual", "count"),
+    ([("x:i", OWL + "sameAs", "x:j")], "info", "individual", "count"),
+    ([("x:a", RDF + "type", OWL + "AnnotationProperty")], "info", "annotation", "count"),
+    ([("_:s", RDF + "type", RDF + "Statement")], "warning", "reification", "count"),
+]
+
+
+@query("SELECT 'p' || p_partkey AS file, severity, category, code FROM part JOIN (VALUES " + ", ".join(f"({i}, '{s}', '{c}', '{k}')" for i, (_, s, c, k) in enumerate(GRAPH_FAULTS)) + f") x(i, severity, category, code) ON p_partkey % {len(GRAPH_FAULTS)} = i")
+def q_graph_issues(spark, sf_dir):
+    """A graph for each part, with one construct that a check speaks of; all checks run over all graphs."""
+    kind = lambda x: "bnode" if x.startswith("_:") else "iri"
+    triple = lambda s, p, o: F.struct(F.lit(s).alias("s"), F.lit(kind(s)).alias("s_kind"), F.lit(p).alias("p"), F.lit(o).alias("o"), F.lit(kind(o)).alias("o_kind"))
+    i = F.col("p_partkey") % len(GRAPH_FAULTS)
+    held = F.array().cast("array<struct<s:string,s_kind:string,p:string,o:string,o_kind:string>>")
+    for k, (rows, *_) in enumerate(GRAPH_FAULTS):
+        held = F.when(i == k, F.array(*[triple(*r) for r in rows])).otherwise(held)
+    null = F.lit(None).cast("string")
+    t = _t(spark, sf_dir, "part").select(F.concat(F.lit("p"), _said(F.col("p_partkey"))).alias("file"), F.explode(held).alias("x")).select("file", "x.*", null.alias("o_datatype"), null.alias("o_lang"))
+    return checks.preflight(t).select("file", "severity", "category", "code")
+
+
+@query("""WITH s AS (SELECT s_suppkey AS k, s_suppkey::VARCHAR AS id, CASE WHEN s_suppkey % 5 = 0 THEN '9 ' ELSE 'S' END || s_suppkey AS name FROM supplier)
+SELECT 1 + row_number() OVER (ORDER BY id) AS ord, 'EntityTypes/' || id || '/definition.json' AS path, name, 'user' AS namespace, CASE WHEN k % 4 = 0 THEN 'none' END AS parent, 'p' || CASE WHEN k % 3 = 0 THEN 'x' ELSE id END AS key, 'p' || id AS display, 'label' AS property, CASE WHEN k % 7 = 0 THEN 'Double' ELSE 'String' END AS type, NULL::VARCHAR AS source, NULL::VARCHAR AS target FROM s
+UNION ALL SELECT 1 + (SELECT count(*) FROM s) + row_number() OVER (ORDER BY 'r' || id), 'RelationshipTypes/r' || id || '/definition.json', 'r' || id, 'user', NULL, NULL, NULL, NULL, NULL, id, CASE WHEN k % 12 = 0 THEN id ELSE 'none' END FROM s WHERE k % 6 = 0""")
+def q_definition_payloads(spark, sf_dir):
+    """A definition of suppliers as ordered, encoded parts, and all that is read back from them."""
+    e, p, r = _definition(spark, sf_dir)
+    parts = serialize.definition_parts(e, p, r, e.select("file").distinct().withColumn("ontology", F.lit("suppliers")))
+    entities, properties, rels = serialize.relations_of(parts)
+    null = F.lit(None).cast("string")
+    of = properties.select("file", F.col("entity_id").alias("id"), F.col("name").alias("property"), F.col("valueType").alias("type"))
+    ents = entities.join(of, ["file", "id"], "left").select(F.concat(F.lit("EntityTypes/"), "id", F.lit("/definition.json")).alias("path"), "name", "namespace", F.col("baseEntityTypeId").alias("parent"), F.get("entityIdParts", F.lit(0)).alias("key"), F.col("displayNamePropertyId").alias("display"), "property", "type", null.alias("source"), null.alias("target"))
+    links = rels.select(F.concat(F.lit("RelationshipTypes/"), "id", F.lit("/definition.json")).alias("path"), "name", "namespace", *[null.alias(c) for c in ("parent", "key", "display", "property", "type")], F.col("source_id").alias("source"), F.col("target_id").alias("target"))
+    return parts.select(F.col("ord").cast("long").alias("ord"), "path").join(ents.unionByName(links), "path").select("ord", "path", "name", "namespace", "parent", "key", "display", "property", "type", "source", "target")
