@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names, types, values
-from ..operators import cdm, checks, closure, dtdl, keys, serialize
+from ..operators import cdm, checks, closure, dtdl, export, keys, serialize
 from ..sources import cdm as cdm_source
 from ..sources import dtdl as dtdl_source
 from ..sources import rdf as rdf_source
@@ -411,6 +411,10 @@ GRAPH_FAULTS = [
 @query("SELECT 'p' || p_partkey AS file, severity, category, code FROM part JOIN (VALUES " + ", ".join(f"({i}, '{s}', '{c}', '{k}')" for i, (_, s, c, k) in enumerate(GRAPH_FAULTS)) + f") x(i, severity, category, code) ON p_partkey % {len(GRAPH_FAULTS)} = i")
 def q_graph_issues(spark, sf_dir):
     """A graph for each part, with one construct that a check speaks of; all checks run over all graphs."""
+    return checks.preflight(_graphs(spark, sf_dir)).select("file", "severity", "category", "code")
+
+
+def _graphs(spark, sf_dir):
     kind = lambda x: "bnode" if x.startswith("_:") else "iri"
     triple = lambda s, p, o: F.struct(F.lit(s).alias("s"), F.lit(kind(s)).alias("s_kind"), F.lit(p).alias("p"), F.lit(o).alias("o"), F.lit(kind(o)).alias("o_kind"))
     i = F.col("p_partkey") % len(GRAPH_FAULTS)
@@ -418,8 +422,7 @@ def q_graph_issues(spark, sf_dir):
     for k, (rows, *_) in enumerate(GRAPH_FAULTS):
         held = F.when(i == k, F.array(*[triple(*r) for r in rows])).otherwise(held)
     null = F.lit(None).cast("string")
-    t = _t(spark, sf_dir, "part").select(F.concat(F.lit("p"), _said(F.col("p_partkey"))).alias("file"), F.explode(held).alias("x")).select("file", "x.*", null.alias("o_datatype"), null.alias("o_lang"))
-    return checks.preflight(t).select("file", "severity", "category", "code")
+    return _t(spark, sf_dir, "part").select(F.concat(F.lit("p"), _said(F.col("p_partkey"))).alias("file"), F.explode(held).alias("x")).select("file", "x.*", null.alias("o_datatype"), null.alias("o_lang"))
 
 
 @query("""WITH s AS (SELECT s_suppkey AS k, s_suppkey::VARCHAR AS id, CASE WHEN s_suppkey % 5 = 0 THEN '9 ' ELSE 'S' END || s_suppkey AS name FROM supplier)
@@ -435,3 +438,33 @@ def q_definition_payloads(spark, sf_dir):
     ents = entities.join(of, ["file", "id"], "left").select(F.concat(F.lit("EntityTypes/"), "id", F.lit("/definition.json")).alias("path"), "name", "namespace", F.col("baseEntityTypeId").alias("parent"), F.get("entityIdParts", F.lit(0)).alias("key"), F.col("displayNamePropertyId").alias("display"), "property", "type", null.alias("source"), null.alias("target"))
     links = rels.select(F.concat(F.lit("RelationshipTypes/"), "id", F.lit("/definition.json")).alias("path"), "name", "namespace", *[null.alias(c) for c in ("parent", "key", "display", "property", "type")], F.col("source_id").alias("source"), F.col("target_id").alias("target"))
     return parts.select(F.col("ord").cast("long").alias("ord"), "path").join(ents.unionByName(links), "path").select("ord", "path", "name", "namespace", "parent", "key", "display", "property", "type", "source", "target")
+
+
+@query(f"""SELECT 'p' || p_partkey AS file, severity, code FROM part JOIN (VALUES (0, 'warning', 'OWL040'), (2, 'warning', 'OWL001'), (4, 'info', 'OWL032'), (6, 'info', 'OWL031'), (8, 'warning', 'OWL020'), (8, 'warning', 'OWL021'), (9, 'warning', 'OWL022'), (12, 'info', 'OWL010')) x(i, severity, code) ON p_partkey % {len(GRAPH_FAULTS)} = i""")
+def q_graph_compliance(spark, sf_dir):
+    """The coded findings on the same graphs."""
+    return checks.owl_compliance(_graphs(spark, sf_dir)).select("file", "severity", "code")
+
+
+@query("""WITH s AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 5 = 0 THEN '9 ' ELSE 'S' END || s_suppkey AS name FROM supplier)
+SELECT name AS uri, 'warning' AS severity, 'parent' AS code FROM s WHERE k % 4 <> 0 AND k % 9 <> 1 UNION ALL SELECT 'r' || k, 'error', 'number' FROM s WHERE k % 6 = 0 UNION ALL SELECT 'r' || k, 'warning', 'dangling' FROM s WHERE k % 6 = 0 AND k % 12 <> 0
+UNION ALL SELECT 'EntityTypes/' || k || '/definition.json', 'error', 'payload' FROM s WHERE k % 9 = 1 UNION ALL SELECT 'EntityTypes/' || k || '/definition.json', 'error', 'payload_type' FROM s WHERE k % 9 = 2""")
+def q_payload_issues(spark, sf_dir):
+    """Checks of the finished definition of suppliers, some of whose parts are damaged; a damaged entity says nothing else."""
+    e, p, r = _definition(spark, sf_dir)
+    parts = serialize.definition_parts(e, p, r, e.select("file").distinct().withColumn("ontology", F.lit("suppliers")))
+    k = F.try_to_number(F.regexp_extract("path", r"^EntityTypes/(\d+)/", 1), F.lit("9" * 18)).cast("long")
+    spoilt = parts.withColumn("payload", F.when(k % 9 == 1, "?").otherwise(F.col("payload"))).withColumn("payloadType", F.when(k % 9 == 2, "Plain").otherwise(F.col("payloadType")))
+    return checks.payload_issues(spoilt).select("uri", "severity", "code")
+
+
+@query(f"""WITH s AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 5 = 0 THEN '9 ' ELSE 'S' END || s_suppkey AS name FROM supplier), o(b) AS (VALUES ('{export.BASE}')), u AS (SELECT k, name, '<' || b || {_sanitized('name', 'C_', 100000, 'UnnamedClass')} || '>' AS uri, b FROM s, o),
+l AS (SELECT DISTINCT x.line FROM u, LATERAL (SELECT unnest([uri || ' <{RDF}type> <{OWL}Class> .', uri || ' <{RDFS}label> "' || name || '" .', '<' || b || 'label> <{RDFS}domain> ' || uri || ' .', '<' || b || 'label> <{RDFS}range> <{XSD}' || CASE WHEN k % 7 = 0 THEN 'double' ELSE 'string' END || '> .', '<' || b || 'label> <{RDF}type> <{OWL}DatatypeProperty> .', '<' || b || 'label> <{RDFS}label> "label" .']) AS line) x
+ UNION SELECT x.line FROM u, LATERAL (SELECT unnest(['<' || b || 'r' || k || '> <{RDF}type> <{OWL}ObjectProperty> .', '<' || b || 'r' || k || '> <{RDFS}label> "r' || k || '" .', '<' || b || 'r' || k || '> <{RDFS}domain> ' || uri || ' .', '<' || b || 'r' || k || '> <{RDFS}range> ' || uri || ' .']) AS line) x WHERE k % 12 = 0
+ UNION SELECT unnest(['<' || rtrim(b, '#') || '> <{RDF}type> <{OWL}Ontology> .', '<' || rtrim(b, '#') || '> <{RDFS}label> "suppliers" .']) FROM o)
+SELECT line FROM l""")
+def q_exported_definition(spark, sf_dir):
+    """The definition of suppliers as lines of triples; parents and ends that are not there leave no trace."""
+    e, p, r = _definition(spark, sf_dir)
+    t = export.triples_of(e, p, r, e.select("file").distinct().withColumn("ontology", F.lit("suppliers")))
+    return export.ntriples(t).select("line")
