@@ -78,9 +78,10 @@ def _cells(key, left: pa.Table, right: pa.Table, dim: int, kind: str, cells: int
     """How many scores of each query are in each cell of its range."""
     n = np.zeros(left.num_rows * cells, np.int64)
     if left.num_rows and right.num_rows:
-        low, step = (left[c].to_numpy()[:, None] for c in ("low", "step"))
+        low, step, wide = (left[c].to_numpy()[:, None] for c in ("low", "step", "wide"))
         for _, s, own in _scored(left, right, dim, kind):
-            cell = (s.astype(np.int64) - low) // step
+            s = s.astype(np.int64)
+            cell = np.where(s - low < wide, (s - low) // step, -1)
             cell[own] = -1
             i, j = np.nonzero((cell >= 0) & (cell < cells))
             n += np.bincount(i * cells + cell[i, j], minlength=len(n))
@@ -117,14 +118,15 @@ def _kept(key, left: pa.Table, right: pa.Table, dim: int, kind: str, k: int) ->
 
 
 def _narrowed(state: DataFrame, counts: DataFrame, k: int, cells: int, slack: int) -> DataFrame:
-    """The state of the open queries after a round: the cell that holds the kth value, or all scores if there are fewer."""
+    """The state of the open queries after a round: the cell that holds the kth value, or all scores if there are fewer. Cells
+    may reach beyond the range they divide; `wide` ends it, as scores from there on are in `above` already."""
     down = Window.partitionBy("row").orderBy(F.col("cell").desc()).rowsBetween(Window.unboundedPreceding, 0)
     sums = counts.groupBy("row", "cell").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(down))
     both = state.join(sums, "row").where("above + upto >= {k} AND above + upto - n < {k}".format(k=k))
     found = both.select("row", (F.col("low") + F.col("cell") * F.col("step")).alias("low"), "step", (F.col("above") + F.col("upto") - F.col("n")).alias("above"), F.col("n"))
     closed = (F.col("step") == 1) | (F.col("above") + F.col("n") <= k + slack)
-    found = found.select("row", "low", F.when(closed, F.lit(0)).otherwise(F.ceil(F.col("step") / cells)).cast("long").alias("step"), "above")
-    return state.select("row", F.col("low").alias("least")).join(found, "row", "left").select("row", F.coalesce("low", "least").alias("low"), F.coalesce("step", F.lit(0)).cast("long").alias("step"), F.coalesce("above", F.lit(0)).cast("long").alias("above"))
+    found = found.select("row", "low", F.when(closed, F.lit(0)).otherwise(F.expr(f"(step + {cells - 1}) div {cells}")).cast("long").alias("step"), "above", F.col("step").alias("wide"))
+    return state.select("row", F.col("low").alias("least")).join(found, "row", "left").select("row", F.coalesce("low", "least").alias("low"), F.coalesce("step", F.lit(0)).cast("long").alias("step"), F.coalesce("above", F.lit(0)).cast("long").alias("above"), F.coalesce("wide", F.lit(0)).cast("long").alias("wide"))
 
 
 def top_k(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding", *, scale: int = SCALE, cells: int = CELLS, slack: int = SLACK, block: int = QUERIES, components: int = COMPONENTS) -> DataFrame:
@@ -150,7 +152,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", v
 
     # No score is beyond the product of the two lengths; 2 more for what doubles round.
     bound = F.ceil(F.sqrt(square) * F.lit(float(longest) ** 0.5) * (1 + 1e-9) + 2).cast("long")
-    open_ = queries.select("row", (-bound).alias("low"), F.ceil((2 * bound + 1) / cells).cast("long").alias("step"), F.lit(0).cast("long").alias("above"))
+    open_ = queries.select("row", (-bound).alias("low"), F.ceil((2 * bound + 1) / cells).cast("long").alias("step"), F.lit(0).cast("long").alias("above"), (2 * bound + 1).alias("wide"))
     open_ = written(open_, "top-k-state")
     done = []
     while True:

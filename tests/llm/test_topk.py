@@ -54,3 +54,11 @@ def test_long_vectors_are_exact(spark, size):
 def test_scores_over_64_bits_are_an_error(spark):
     with pytest.raises(ValueError, match="64 bits"):
         found(spark, [(0, [1e300]), (1, [1.0])], F.lit(True), 5)
+
+
+def test_cells_beyond_their_range_count_no_score_twice(spark):
+    # A range of 3 scores is divided into 8 cells; many rows have the scores above it, which earlier rounds counted.
+    rows = [(i, [1.0, 0.0] if i == 0 else [(100 + (1 if i % 100 < 8 else 0 if i < 60 else -1)) / 64, 0.0]) for i in range(200)]
+    rows += [(i, [(102 + i % 7) / 64, 1.0]) for i in range(201, 212)] + [(i, [(95 + i % 5) / 64, -1.0]) for i in range(221, 300)]
+    for k, cells in ((20, 8), (20, 512), (60, 512)):
+        assert found(spark, rows, F.col("vec_id") == 0, k, cells=cells, slack=0) == plainly(rows, lambda q: q == 0, k)
