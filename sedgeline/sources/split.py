@@ -18,7 +18,9 @@ import re
 from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ from ..operators.shared import written
 from . import turtle
 
 PIECE = 1 << 20
+#: Blocks and settings that go along with the pieces by broadcast; more of them are joined by file.
+MOST = 1 << 17
 #: Ways to be at a place: outside of strings, and in one.
 PLAIN = 0
 #: The depth at which a document starts that is one object: no part of it is an element.
@@ -36,21 +40,24 @@ _LONG_END = {1: re.compile(r'(?:[^"\\]|\\.|"(?!""))*"""', re.S), 2: re.compile(r
 _JSON = re.compile(r'"(?:[^"\\]|\\.)*"|"|[\[{]|[\]}]', re.S)
 _JSON_END = re.compile(r'(?:[^"\\]|\\.)*"', re.S)
 _SETTING = re.compile(r"@prefix|@base|\bprefix\b|\bbase\b", re.I)
+_INNER = re.sub(r"\?P<\w+>", "?:", turtle._TOKEN.pattern)
+#: The next token that may end a statement, change the depth or open a long string, with all before it.
+_STOP = re.compile(rf"""(?:(?>{_INNER}|.)(?<![\[\](){{}}.])(?!(?<="")"|(?<='')'))*+(?:{turtle._TOKEN.pattern}|.|\Z)""", re.X | re.S)
 
 
 def walk_turtle(text: str, mode: int, depth: int) -> tuple[int, int, list[int]]:
     """From a state at the start to the state at the end, and the places where statements end."""
     at, cuts = 0, []
     if mode:
-        end = _LONG_END[mode].match(text)
+        end = _LONG_END[mode].match(text) if ('"""' if mode == 1 else "'''") in text else None
         if not end:
             return mode, depth, cuts
         at = end.end()
-    for m in turtle._TOKEN.finditer(text, at):
+    for m in _STOP.finditer(text, at):
         kind = m.lastgroup
-        if kind == "ws" or kind == "iri":
+        if kind is None or kind == "ws" or kind == "iri":
             continue
-        value = m[0]
+        value = m[kind]
         if kind == "op":
             if value in "[({":
                 depth += 1
@@ -106,6 +113,16 @@ def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
 
+def _runs(b: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.Array]]:
+    """The records of a batch (file, block, value) by stretches of the same part."""
+    file, block, value = b.columns
+    n = len(value)
+    changes = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(block[1:], block[:-1])).to_numpy(zero_copy_only=False) if n > 1 else np.array([], bool)
+    places = [0, *(np.flatnonzero(changes) + 1).tolist(), n] if n else [0]
+    for i, j in zip(places, places[1:], strict=False):
+        yield (file[i].as_py(), block[i].as_py()), value[i:j]
+
+
 def _gathered(batches: Iterator[pa.RecordBatch], kind: str, piece: int) -> Iterator[pa.RecordBatch]:
     """Records of one part after the other, as pieces with the state at both ends for each state at the part's start."""
     walk, sep, ways = KINDS[kind]
@@ -128,21 +145,28 @@ def _gathered(batches: Iterator[pa.RecordBatch], kind: str, piece: int) -> Itera
         return _batch([row], _PIECES)
 
     for b in batches:
-        for file, block, value in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for (file, block), values in _runs(b):
+            sizes = np.cumsum(pc.binary_length(values).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+            values = values.to_pylist()
+            lead = 0
             if (file, block) != part:
                 if held:
                     yield close()
                 part, seq, now = (file, block), 0, [(m, 0) for m in range(ways)]
                 held, size = [], 0
-                first = block == 0
-                if kind == "json" and first and not value.strip(b"\xef\xbb\xbf \t\r\n"):
-                    now = [(m, NEVER) for m in range(ways)]
-            record = value if first else sep.encode() + value
-            first = False
-            held.append(record)
-            size += len(record)
-            if size >= piece:
-                yield close()
+                if block == 0:  # nothing ends before a file's first record
+                    if kind == "json" and not values[0].strip(b"\xef\xbb\xbf \t\r\n"):
+                        now = [(m, NEVER) for m in range(ways)]
+                    lead = 1
+            at, past = 0, lead
+            while at < len(values):
+                end = min(int(np.searchsorted(sizes, past + piece - size)) + 1, len(values))
+                body = sep.encode() + sep.encode().join(values[at:end])
+                held.append(body[lead:])
+                size += int(sizes[end - 1]) - past
+                at, past, lead = end, int(sizes[end - 1]), 0
+                if size >= piece:
+                    yield close()
     if held:
         yield close()
 
@@ -170,7 +194,7 @@ def units(records: DataFrame, kind: str, piece: int = PIECE) -> DataFrame:
     none = "CAST(ARRAY() AS array<struct<block:bigint,mode:int,depth:bigint>>)"
     step = "(a, b) -> named_struct('m', b.modes[a.m], 'd', a.d + b.depths[a.m], 'out', concat(a.out, array(named_struct('block', b.block, 'mode', a.m, 'depth', a.d))))"
     entries = files.select("file", F.col("valid").alias("utf8"), F.expr(f"inline(aggregate(bs, named_struct('m', 0, 'd', 0L, 'out', {none}), {step}).out)")).withColumnRenamed("mode", "entry")
-    entered = held.drop("valid").join(entries.withColumnRenamed("depth", "base"), ["file", "block"])
+    entered = held.drop("valid").join(_along(entries.withColumnRenamed("depth", "base"), "entries"), ["file", "block"])
     entered = entered.select("file", "block", "seq", "body", "utf8", F.expr("modes[entry]").alias("mode"), F.expr("base + depths[entry]").alias("depth"))
     parts = written(entered.mapInArrow(partial(_cut, kind=kind), _FRAGMENTS), "fragments")
     # A statement that a cut leaves open is a tail, pieces without an end and a head, all after the same number of ends.
@@ -181,6 +205,13 @@ def units(records: DataFrame, kind: str, piece: int = PIECE) -> DataFrame:
     return written(parts.where("part = 1").select("file", "block", "seq", "part", "text").unionByName(joined).where(F.col("text").rlike(r"\S")), "units")
 
 
+def _along(rows: DataFrame, name: str) -> DataFrame:
+    """`rows`, written, to be joined with pieces: by broadcast where they are few, so that the pieces stay where they are. A join
+    by file would put a file's pieces into one task."""
+    rows = written(rows, name)
+    return F.broadcast(rows) if rows.count() <= MOST else rows
+
+
 def records(spark: SparkSession, path: str | list[str], kind: str, where: Column | None = None, recursive: bool = True) -> DataFrame:
     """Files as (file, block, value): a record a row, split by bytes into as many tasks as the session's settings ask for."""
     text = spark.read.option("lineSep", KINDS[kind][1]).option("recursiveFileLookup", str(recursive).lower()).text(path)
@@ -197,7 +228,8 @@ _QUADS = "file string, block long, seq long, part int, g string, s string, s_kin
 def settings_of(text: str) -> list[tuple[str, str]]:
     """The prefixes and bases that a stretch of statements sets, in order: (name, source text)."""
     out = []
-    if not _SETTING.search(text):
+    low = text.lower()
+    if "prefix" not in low and "base" not in low or not _SETTING.search(text):
         return out
     depth, due, tokens = 0, True, []
     for m in turtle._TOKEN.finditer(text):
@@ -244,18 +276,23 @@ def _parsed(batches: Iterator[pa.RecordBatch], base: str) -> Iterator[pa.RecordB
                 reader.tokens = reader._split(source)
                 reader.read()
                 for g, s, p, o in reader.out:
-                    rows.append((*at, g, *_node(file, s), p, *_node(file, o), o[2], o[3], None, None))
+                    rows.append((g, *_node(file, s), p, *_node(file, o), o[2], o[3], None, None))
             except Exception as e:  # whatever a reader says of a document belongs to that document
                 rows, fault = [], f"{type(e).__name__}: {e}"
-            rows.append((*at, *[None] * 10, reader.count, fault))
-            yield _batch(rows, _QUADS)
+            rows.append((*[None] * 10, reader.count, fault))
+            schema = _schema(_QUADS)
+            place = [pa.repeat(pa.scalar(x, f.type), len(rows)) for x, f in zip(at, schema, strict=False)]
+            cols = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(schema)[len(at) :], strict=True)]
+            yield pa.RecordBatch.from_arrays(place + cols, schema=schema)
 
 
 def _node(file: str, node: turtle.Node) -> tuple[str, str, int | None]:
     """Value, kind, and the number of a blank node without a label."""
     value, kind = node[0], node[1]
-    fresh = int(value[1:]) if kind == "bnode" and value[0] == "b" else None
-    return f"{file}#{value}" if kind == "bnode" else value, kind, fresh
+    if kind != "bnode":
+        return value, kind, None
+    fresh = int(value[1:]) if value[0] == "b" else None
+    return f"{file}#{value}", kind, fresh
 
 
 def read_turtle(recs: DataFrame, fmt: Column | None = None, base: str = "", piece: int = PIECE) -> DataFrame:
@@ -269,14 +306,19 @@ def read_turtle(recs: DataFrame, fmt: Column | None = None, base: str = "", piec
     last = Window.partitionBy("file", "name").orderBy(*place)
     bases = F.max(F.col("name") == "").over(Window.partitionBy("file"))
     said = F.regexp_extract("source", "<.*>", 0)
-    found = found.withColumn("again", F.coalesce(F.lag(said).over(last) == said, F.lit(False)) & ~bases)
-    per_file = found.where("not again").groupBy("file").agg(F.array_sort(F.collect_list(F.struct("block", "seq", "part", "k", "source"))).alias("before"))
-    quads = us.join(per_file, "file", "left").select("file", "block", "seq", "part", "text", kind, "before").mapInArrow(partial(_parsed, base=base), _QUADS)
+    found = written(found.withColumn("again", F.coalesce(F.lag(said).over(last) == said, F.lit(False)) & ~bases).where("not again").drop("again"), "settings")
+    few = found.count() <= MOST
+    per_file = found.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("block", "seq", "part", "k", "source"))).alias("before"))
+    quads = us.join(F.broadcast(per_file) if few else per_file, "file", "left").select("file", "block", "seq", "part", "text", kind, "before").mapInArrow(partial(_parsed, base=base), _QUADS)
     quads = written(quads, "quads")
     bad = quads.where("fault is not null").groupBy("file").agg(F.min_by("fault", F.struct("block", "seq", "part")).alias("fault"))
     counts = running(quads.where("p is null").select("file", "block", "seq", "part", "fresh"), ["file"], ["block", "seq", "part"], F.col("fresh"), "past").drop("fresh")
     name = lambda x: F.when(F.col(f"{x}_k").isNull(), F.col(x)).otherwise(F.concat("file", F.lit("#b"), (F.col("past") + F.col(f"{x}_k")).cast("string"))).alias(x)
-    fine = quads.where("p is not null").join(counts, ["file", "block", "seq", "part"]).join(bad.select("file"), "file", "left_anti")
+    # Only rows with a blank node that has no label ask for its number in the document.
+    unlabelled = F.col("s_k").isNotNull() | F.col("o_k").isNotNull()
+    fine = quads.where(F.col("p").isNotNull() & ~unlabelled).withColumn("past", F.lit(None).cast("long"))
+    fine = fine.unionByName(quads.where(F.col("p").isNotNull() & unlabelled).join(counts, ["file", "block", "seq", "part"]))
+    fine = fine.join(_along(bad.select("file"), "faults"), "file", "left_anti")
     none = [F.lit(None).cast("string").alias(c) for c in ("g", "s", "s_kind", "p", "o", "o_kind", "o_datatype", "o_lang")]
     triples = fine.select("file", "g", name("s"), "s_kind", "p", name("o"), "o_kind", "o_datatype", "o_lang", F.lit(None).cast("string").alias("fault"))
     return triples.unionByName(bad.select("file", *none, "fault"))

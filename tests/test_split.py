@@ -156,3 +156,28 @@ def test_settings_are_told_from_text():
     text = 'x:prefix x:base "@prefix x: <http://no> ." .\n@prefix y: <http://y> .\nPREFIX z: <z>\nbase <http://b>\nx:a x:b x:c.@base <c> .'
     assert [s for _, s in split.settings_of(text)] == ["@prefix y: <http://y> .", "PREFIX z: <z>", "base <http://b>", "@base <c> ."]
     assert list(turtle.read("@prefix y: <http://y> . y:a y:b y:c ."))
+
+
+def test_one_document_is_read_by_many_tasks(spark, monkeypatch):
+    """Its settings and the states of its parts go to the pieces, not the pieces to one task of the file; the join by file
+    gives the same."""
+    kept = {}
+
+    def written(df, name="step"):
+        kept[name] = from_shared(df, name)
+        return kept[name]
+
+    from_shared = split.written
+    monkeypatch.setattr(split, "written", written)
+    docs = [("one", document(random.Random(8), 60)), ("wrong", HEAD + "x:a x:b .")]
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        got = cut(spark, docs, 5, 1)
+        tasks = {n: kept[n].where("file = 'one'").select("_metadata.file_path").distinct().count() for n in ("fragments", "quads")}
+        monkeypatch.setattr(split, "MOST", 0, raising=False)
+        assert cut(spark, docs, 5, 1) == got
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert min(tasks.values()) > 1, tasks
+    assert [r for r in got if r[0] == "one"] == [r for r in whole(spark, docs) if r[0] == "one"]
