@@ -172,6 +172,7 @@ def test_one_document_is_read_by_many_tasks(spark, monkeypatch):
     docs = [("one", document(random.Random(8), 60)), ("wrong", HEAD + "x:a x:b .")]
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables whose size is not known to be small
     try:
         got = cut(spark, docs, 5, 1)
         tasks = {n: kept[n].where("file = 'one'").select("_metadata.file_path").distinct().count() for n in ("fragments", "quads")}
@@ -179,5 +180,6 @@ def test_one_document_is_read_by_many_tasks(spark, monkeypatch):
         assert cut(spark, docs, 5, 1) == got
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert min(tasks.values()) > 1, tasks
     assert [r for r in got if r[0] == "one"] == [r for r in whole(spark, docs) if r[0] == "one"]
