@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from sedgeline.operators import marks, rdf
+from sedgeline.operators.shared import written
 from sedgeline.plans.lens import OWL, TYPE
 
 DDL = "file string, s string, s_kind string, p string, o string, o_kind string"
@@ -40,3 +41,29 @@ def test_rows_and_nodes_of_each_name(spark):
     want = sorted((p, sum(x[3] == p for x in rows), len({x[1] for x in rows if x[3] == p})) for p in {x[3] for x in rows})
     for most in (marks.MOST, 10):
         assert sorted(map(tuple, marks.counted(t, "p", "s", most).collect())) == want
+
+
+def _exchanged(spark, run):
+    """Rows that `run` writes to exchanges."""
+    store, none = spark._jsc.sc().statusStore(), spark._sc._gateway.new_array(spark._jvm.double, 0)
+    stages = lambda: (lambda x: [x.apply(i) for i in range(x.size())])(store.stageList(None, False, False, none, None))
+    last = max([s.stageId() for s in stages()], default=-1)
+    out = run()
+    return out, sum(s.shuffleWriteRecords() for s in stages() if s.stageId() > last)
+
+
+def test_usage_exchanges_few_nodes(spark):
+    """Name spaces say what may be, and some nodes show that it is; one node that differs is found by the second reading."""
+    n, x = 20000, F.col("id").cast("string")
+    a, b = F.concat(F.lit("http://x/a/"), x), F.concat(F.lit("http://x/b#"), x)
+    row = lambda s, p, o: F.struct(F.lit("f").alias("file"), s.alias("s"), F.lit("iri").alias("s_kind"), F.lit(p).alias("p"), o.alias("o"), F.lit("iri").alias("o_kind"))
+    t = spark.range(n).select(F.inline(F.array(row(a, TYPE, F.lit("A")), row(b, TYPE, F.lit("B")), row(a, "p", b)))).repartition(4, "o")
+    t = written(t).union(spark.createDataFrame([("f", c, "iri", TYPE, OWL + "Class", "iri") for c in "ABC"], DDL))
+    props = spark.createDataFrame([("f", "p")], "file string, prop string")
+    plain = [("f", "p", "domain", "A"), ("f", "p", "range", "B")]
+    got, rows = _exchanged(spark, lambda: rdf.usage(t, props).collect())
+    assert sorted(map(tuple, got)) == plain
+    assert rows < n / 10, rows
+    odd = t.union(spark.createDataFrame([("f", "http://x/a/7", "iri", TYPE, "C", "iri")], DDL))
+    for how in ({}, {"share": 1}, {"spaces": 0}):
+        assert sorted(map(tuple, rdf.usage(odd, props, **how).collect())) == sorted([*plain, ("f", "p", "domain", "C")])
