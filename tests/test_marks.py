@@ -67,3 +67,9 @@ def test_usage_exchanges_few_nodes(spark):
     odd = t.union(spark.createDataFrame([("f", "http://x/a/7", "iri", TYPE, "C", "iri")], DDL))
     for how in ({}, {"share": 1}, {"spaces": 0}):
         assert sorted(map(tuple, rdf.usage(odd, props, **how).collect())) == sorted([*plain, ("f", "p", "domain", "C")])
+
+
+def test_schema_is_taken_from_the_instances_by_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(rdf, "written", lambda df, name: df)
+    plan = rdf.schema_part(_graph(spark)[0].repartition(12))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 8, false" not in plan and "RepartitionByExpression" in plan
